@@ -1,0 +1,95 @@
+"""The batch run: checks, then the five analyses, then the outputs.
+
+Mirrors the reference product's run: checks only warn; each analysis is
+independent, so one failing analysis is logged and the others still run;
+outputs are the top-50 seller summary (CSV), the full ABC table (parquet)
+and the data behind each report chart and sheet (parquet), all written by
+Spark's distributed writers into ``output_dir`` (any Hadoop-compatible
+path).
+"""
+
+from __future__ import annotations
+
+import datetime as _dt
+import logging
+from dataclasses import dataclass, field
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from mercato.operators import abc, checks, cohort, delivery, monthly, scorecard
+from mercato.params import NO_FILTER, Params
+from mercato.sources.sinks import write_csv, write_parquet
+
+log = logging.getLogger("mercato")
+
+SUMMARY_ROWS = 50  # fixed value: sellers in summary.csv
+
+
+@dataclass
+class RunResult:
+    checks_passed: bool | None = None
+    failed_checks: list[dict] = field(default_factory=list)
+    written: dict[str, bool] = field(default_factory=dict)
+    errors: dict[str, str] = field(default_factory=dict)
+
+
+def _try(result: RunResult, name: str, fn):
+    try:
+        return fn()
+    except Exception as exc:  # noqa: BLE001 - one failed analysis must not stop the run
+        log.error("%s failed: %s", name, exc)
+        result.errors[name] = f"{type(exc).__name__}: {exc}"
+        return None
+
+
+def run_pipeline(
+    t,
+    output_dir: str,
+    params: Params = NO_FILTER,
+    now: _dt.datetime | None = None,
+) -> RunResult:
+    """Run checks, analyses and sinks; return what passed, what was written, what failed."""
+    result = RunResult()
+    out = output_dir.rstrip("/")
+
+    # checks: a few rows, fine to bring to the driver for logging
+    rows = _try(result, "checks", lambda: checks.all_checks(t, now).collect())
+    if rows is not None:
+        result.failed_checks = [r.asDict() for r in rows if not r["passed"]]
+        result.checks_passed = not result.failed_checks
+        for r in result.failed_checks:
+            log.warning("check failed: %s", r)
+
+    analyses: dict[str, callable] = {
+        "seller_scorecard": lambda: scorecard.seller_scorecard(t, params),
+        "abc_classification": lambda: abc.abc_classification(t, params),
+        "cohort_retention": lambda: cohort.cohort_retention(t, params),
+        "delivery_by_state": lambda: delivery.delivery_by_state(t, params),
+        "monthly_growth": lambda: monthly.monthly_growth(t, params),
+    }
+    frames: dict[str, DataFrame] = {}
+    for name, build in analyses.items():
+        df = _try(result, name, build)
+        if df is not None:
+            frames[name] = df
+
+    def save(name: str, fn) -> None:
+        ok = _try(result, name, fn)
+        result.written[name] = bool(ok)
+
+    if "seller_scorecard" in frames:
+        sc = frames["seller_scorecard"]
+        save("summary.csv", lambda: write_csv(scorecard.top_sellers(sc, SUMMARY_ROWS), f"{out}/summary.csv", True))
+        save("seller_scorecard", lambda: write_parquet(sc, f"{out}/report/seller_scorecard"))
+    if "abc_classification" in frames:
+        save("detail.parquet", lambda: write_parquet(frames["abc_classification"], f"{out}/detail.parquet"))
+        save("abc_tier_summary", lambda: write_parquet(abc.abc_tier_summary(t, params), f"{out}/report/abc_tier_summary"))
+    if "cohort_retention" in frames:
+        save("cohort_retention", lambda: write_parquet(frames["cohort_retention"], f"{out}/report/cohort_retention"))
+    if "delivery_by_state" in frames:
+        save("delivery_by_state", lambda: write_parquet(frames["delivery_by_state"], f"{out}/report/delivery_by_state"))
+    if "monthly_growth" in frames:
+        series = frames["monthly_growth"].withColumn("month_label", F.date_format("month", "yyyy-MM"))
+        save("monthly_series", lambda: write_parquet(series, f"{out}/report/monthly_series"))
+    return result

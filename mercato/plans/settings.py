@@ -7,3 +7,4 @@ inside the test data's span.
 STATE = "NATION_3"
 START = "1996-01-01"
 END = "1999-12-31"
+NOW = "2026-01-01 00:00:00"  # "now" of the date-range check in registered queries
