@@ -1,0 +1,42 @@
+import glob
+import os
+import tempfile
+
+from conftest import SF_SMALL
+from mercato.plans.pipeline import run_pipeline
+from mercato.sources.tables import Tables
+
+
+def test_run_writes_outputs_and_reports_failed_checks(spark):
+    out = tempfile.mkdtemp(prefix="mercato-run-")
+    t = Tables.from_tpch(spark, SF_SMALL)
+    res = run_pipeline(t, out)
+    assert not res.errors
+    assert res.checks_passed is False  # order_payments, geolocation absent in the mapping
+    missing = {r["table_name"] for r in res.failed_checks if r["check_name"] == "table_present"}
+    assert missing == {"order_payments", "geolocation"}
+    assert res.written["summary.csv"] and res.written["detail.parquet"]
+    summary = spark.read.option("header", True).csv(f"{out}/summary.csv")
+    assert summary.count() == min(50, t["sellers"].count())
+    assert len(glob.glob(f"{out}/summary.csv/*.csv")) == 1
+    detail = spark.read.parquet(f"{out}/detail.parquet")
+    assert detail.count() > 0 and "abc_class" in detail.columns
+    for name in ("abc_tier_summary", "cohort_retention", "delivery_by_state", "monthly_series", "seller_scorecard"):
+        assert os.path.isdir(f"{out}/report/{name}")
+
+
+def test_one_failed_analysis_does_not_stop_the_rest(spark):
+    out = tempfile.mkdtemp(prefix="mercato-run-")
+    t = Tables.from_tpch(spark, SF_SMALL).without("order_reviews")
+    res = run_pipeline(t, out)
+    assert "seller_scorecard" in res.errors or "summary.csv" in res.errors
+    assert res.written["detail.parquet"] and res.written["monthly_series"]
+
+
+def test_empty_result_is_not_written(spark):
+    from mercato.params import Params
+
+    out = tempfile.mkdtemp(prefix="mercato-run-")
+    t = Tables.from_tpch(spark, SF_SMALL)
+    res = run_pipeline(t, out, Params(seller_state="NO_SUCH_STATE"))
+    assert res.written["summary.csv"] is False and not os.path.exists(f"{out}/summary.csv")
