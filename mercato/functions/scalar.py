@@ -59,3 +59,16 @@ def safe_div(numerator: Column, denominator: Column) -> Column:
 def ts_literal(day: _dt.datetime) -> Column:
     """A ``timestamp_ntz`` literal built from text, independent of any time zone."""
     return F.lit(day.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+
+
+def to_cents(money: Column) -> Column:
+    """A ``decimal(p,2)`` amount as ``long`` cents: exact, and sums stay in a
+    64-bit buffer instead of a wide decimal (a BigDecimal per update).
+    Sums beyond 92 quadrillion units raise under ANSI mode."""
+    return (money * 100).cast("long")
+
+
+def cents_to_double(cents: Column) -> Column:
+    """Cents as a double amount: ``double(cents) / 100``, the same value as
+    casting the exact decimal amount to double (correctly rounded)."""
+    return cents.cast("double") / F.lit(100.0)

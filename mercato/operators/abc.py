@@ -6,7 +6,8 @@ count. The reference joins the items to *all* items of their order and never
 uses the second side, so each item counts once per item in its order
 (``fanout=True``, the parity default). Here that is a weight: items per order
 (a per-order count, partially aggregated, co-partitioned with the join on
-``order_id``) times price - no self-join, no pairs. ``fanout=False`` gives
+``order_id``) times price - no self-join, no pairs. Money is summed as
+``long`` cents (exact). ``fanout=False`` gives
 the plain revenue.
 
 Shares are against the grand total of the filtered set; the cumulative share
@@ -22,11 +23,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mercato.functions import round_half_away, safe_div
+from mercato.functions import cents_to_double, round_half_away, safe_div, to_cents
 from mercato.operators.filters import delivered_orders, items_of_state
-from mercato.operators.ranking import running_share
+from mercato.operators.ranking import reliable, running_share
 from mercato.params import NO_FILTER, Params
-from mercato.session import ensure_checkpoint_dir
 
 # Cumulative-share cut points of tiers A and B.
 CUTS = (0.80, 0.95)
@@ -47,39 +47,45 @@ def product_categories(t) -> DataFrame:
 def _product_revenue_exact(t, params: Params, fanout: bool) -> DataFrame:
     orders = delivered_orders(t, params).select("order_id")
     all_items = t["order_items"]
-    items = items_of_state(all_items.select("order_id", "product_id", "seller_id", "price"), t["sellers"], params.state)
+    items = items_of_state(
+        all_items.select("order_id", "product_id", "seller_id", to_cents(F.col("price")).alias("cents")),
+        t["sellers"],
+        params.state,
+    )
     j = items.join(orders, "order_id")
     if fanout:
-        per_order = all_items.groupBy("order_id").agg(F.count(F.lit(1)).cast("decimal(18,0)").alias("w"))
+        per_order = all_items.groupBy("order_id").agg(F.count(F.lit(1)).alias("w"))
         j = j.join(per_order, "order_id")
         return j.groupBy("product_id").agg(
-            F.sum(F.col("price") * F.col("w")).alias("revenue"), F.sum(F.col("w")).cast("long").alias("units_sold")
+            F.sum(F.col("cents") * F.col("w")).alias("revenue"), F.sum(F.col("w")).alias("units_sold")
         )
-    return j.groupBy("product_id").agg(F.sum("price").alias("revenue"), F.count(F.lit(1)).alias("units_sold"))
+    return j.groupBy("product_id").agg(F.sum("cents").alias("revenue"), F.count(F.lit(1)).alias("units_sold"))
 
 
 def product_revenue(t, params: Params = NO_FILTER, fanout: bool = False) -> DataFrame:
     """``product_id, revenue (double), units_sold``; plain unless ``fanout``."""
     r = _product_revenue_exact(t, params, fanout)
-    return r.select("product_id", F.col("revenue").cast("double").alias("revenue"), "units_sold")
+    return r.select("product_id", cents_to_double(F.col("revenue")).alias("revenue"), "units_sold")
 
 
 def product_shares(t, params: Params = NO_FILTER, fanout: bool = True, plain: bool = False) -> DataFrame:
-    """``product_id, revenue (exact), units_sold, revenue_share, cumulative_share``."""
+    """``product_id, revenue (long cents), units_sold, revenue_share, cumulative_share``."""
     r = _product_revenue_exact(t, params, fanout)
-    ensure_checkpoint_dir(r.sparkSession)
-    r = r.checkpoint(eager=True)  # ranked and joined back: compute the join once
-    return running_share(r, "revenue", "cumulative_share", share="revenue_share", plain=plain)
+    if not plain:
+        r = reliable(r)  # ranked and joined back: compute the joins once
+    return running_share(
+        r, "revenue", "cumulative_share", share="revenue_share", plain=plain, checkpointed=True, to_double=cents_to_double
+    )
 
 
 def product_revenue_share(t, params: Params = NO_FILTER, fanout: bool = True) -> DataFrame:
     s = product_shares(t, params, fanout)
-    return s.select("product_id", F.col("revenue").cast("double").alias("revenue"), "revenue_share")
+    return s.select("product_id", cents_to_double(F.col("revenue")).alias("revenue"), "revenue_share")
 
 
 def product_cumulative_share(t, params: Params = NO_FILTER, fanout: bool = True) -> DataFrame:
     s = product_shares(t, params, fanout)
-    return s.select("product_id", F.col("revenue").cast("double").alias("revenue"), "cumulative_share")
+    return s.select("product_id", cents_to_double(F.col("revenue")).alias("revenue"), "cumulative_share")
 
 
 def abc_detail(t, params: Params = NO_FILTER, fanout: bool = True, cuts=CUTS, plain: bool = False) -> DataFrame:
@@ -105,7 +111,7 @@ def abc_classification(t, params: Params = NO_FILTER, fanout: bool = True, cuts=
     return d.select(
         "product_id",
         "category",
-        F.round("revenue", 2).cast("double").alias("revenue"),
+        cents_to_double(F.col("revenue")).alias("revenue"),
         "units_sold",
         round_half_away(F.col("revenue_share") * 100, 4).alias("revenue_share_pct"),
         round_half_away(F.col("cumulative_share") * 100, 2).alias("cumulative_share_pct"),
@@ -126,7 +132,9 @@ def abc_tier_summary(t, params: Params = NO_FILTER, fanout: bool = True) -> Data
     return tiers.select(
         "abc_class",
         "product_count",
-        F.round("revenue", 2).cast("double").alias("revenue"),
+        cents_to_double(F.col("revenue")).alias("revenue"),
         "units_sold",
-        round_half_away(safe_div(F.col("revenue"), total) * 100, 2).alias("revenue_share_pct"),
+        round_half_away(safe_div(cents_to_double(F.col("revenue")), cents_to_double(total)) * 100, 2).alias(
+            "revenue_share_pct"
+        ),
     )

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mercato.functions import month_label, month_start, round_half_away, safe_div
+from mercato.functions import cents_to_double, month_label, month_start, round_half_away, safe_div, to_cents
 from mercato.operators.filters import delivered_orders, orders_with_seller_in
 from mercato.params import NO_FILTER, Params
 
@@ -25,13 +25,13 @@ def _order_months(t, params: Params) -> DataFrame:
 
 
 def _monthly_exact(t, params: Params) -> DataFrame:
-    """``month, revenue (decimal, exact), order_count, active_sellers``.
+    """``month, revenue (long cents, exact), order_count, active_sellers``.
 
     Revenue is price plus freight. With a seller state set, an order with
     one in-state item contributes all its items and sellers.
     """
     items = t["order_items"].select(
-        "order_id", "seller_id", (F.col("price") + F.col("freight_value")).alias("amount")
+        "order_id", "seller_id", to_cents(F.col("price") + F.col("freight_value")).alias("amount")
     )
     joined = items.join(_order_months(t, params), "order_id")
     # one aggregate, one read of the join: Catalyst expands each row once per
@@ -46,7 +46,7 @@ def _monthly_exact(t, params: Params) -> DataFrame:
 def monthly_revenue(t, params: Params = NO_FILTER) -> DataFrame:
     """``month, revenue (double, unrounded), order_count, active_sellers``."""
     m = _monthly_exact(t, params)
-    return m.select("month", F.col("revenue").cast("double").alias("revenue"), "order_count", "active_sellers")
+    return m.select("month", cents_to_double(F.col("revenue")).alias("revenue"), "order_count", "active_sellers")
 
 
 def monthly_growth(t, params: Params = NO_FILTER) -> DataFrame:
@@ -60,10 +60,11 @@ def monthly_growth(t, params: Params = NO_FILTER) -> DataFrame:
     m = _monthly_exact(t, params)
     w = Window.orderBy(F.col("month").asc_nulls_last())
     m = m.withColumn("prev", F.lag("revenue").over(w))
-    growth = safe_div(F.col("revenue") - F.col("prev"), F.col("prev")) * 100
+    # exact difference first, then both operands as double amounts
+    growth = safe_div(cents_to_double(F.col("revenue") - F.col("prev")), cents_to_double(F.col("prev"))) * 100
     return m.select(
         "month",
-        F.round("revenue", 2).cast("double").alias("revenue"),
+        cents_to_double(F.col("revenue")).alias("revenue"),
         "order_count",
         "active_sellers",
         round_half_away(growth, 1).alias("mom_growth_pct"),

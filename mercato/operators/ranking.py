@@ -3,23 +3,27 @@
 ``PERCENT_RANK() OVER (ORDER BY v)`` and ``SUM(v) OVER (ORDER BY v DESC)``
 have no ``PARTITION BY``; Spark plans them by moving every row to one task.
 Both only need, for each distinct value, how many rows (and how much of a
-sum) come before it in the order. :func:`ordered_prefix` computes that:
+sum) come before it in the order. :func:`ordered_prefixes` computes that for
+one or several orderings of the same input at once:
 
-1. aggregate to distinct values (``count``, ``sum``), combined map-side, so a
-   value shared by a third of all rows becomes one row; checkpoint it (the
-   upstream plan then runs once, and the result survives executor loss);
-2. one small job: total rows, totals of the sums and quantile boundaries of
-   the value (``percentile_approx``) - a handful of numbers;
+1. per ordering key, aggregate to distinct values (``count``, ``sum``),
+   combined map-side, so a value shared by a third of all rows becomes one
+   row;
+2. one small job for all keys: row totals, sum totals and quantile
+   boundaries of each key (``percentile_approx``) - a handful of numbers;
 3. bucket = a pure, monotone function of the value (binary search over the
-   boundaries), so equal values share a bucket and recomputation is safe;
-4. one small job: per-bucket totals (at most one row per bucket), turned
-   into per-bucket offsets on the driver;
+   boundaries), so equal values share a bucket and recomputation after a
+   lost executor gives the same bucket;
+4. one small job for all keys: per-bucket totals (at most one row per
+   bucket), turned into per-bucket offsets on the driver;
 5. a window partitioned by bucket, ordered by value, plus the bucket's
    offset. Distinct values make ROWS equal RANGE: ties share the result.
 
-NULL values form their own bucket, ordered last. The caller joins the result
-back to its rows on the value (null-safe); the join is a normal shuffle join
-that adaptive execution may broadcast or split when one value is hot.
+NULL values form their own bucket, ordered last. The input is read once per
+job, so pass a checkpointed (or cheap) frame; the public helpers checkpoint
+it unless told it already is. The caller joins the result back to its rows
+on the value (null-safe): a plain shuffle join that adaptive execution may
+broadcast, or split when one value is hot.
 """
 
 from __future__ import annotations
@@ -38,152 +42,240 @@ N_BEFORE = "_n_before"  # rows strictly before the value
 N_UPTO = "_n_upto"  # rows before or tied with the value
 _BUCKET = "_bucket"
 _KEYD = "_key_d"
+_SPEC = "_spec"
+
+
+@dataclass(frozen=True)
+class Spec:
+    """One ordering: by ``key`` (ascending unless ``descending``), summing ``sums``."""
+
+    key: str
+    sums: tuple[str, ...] = ()
+    descending: bool = False
 
 
 @dataclass(frozen=True)
 class Prefix:
-    """Result of :func:`ordered_prefix`."""
+    """Per distinct key: ``key, _n, _n_before, _n_upto`` and ``<s>, <s>_upto`` per sum."""
 
-    frame: DataFrame  # key, _n, _n_before, _n_upto, <s>, <s>_upto per summed column
+    frame: DataFrame
     total_rows: int
-    totals: dict  # summed column -> total over all rows (exact for decimals)
+    totals: dict  # summed column -> total over all rows (exact for decimals), None if no value
 
 
 def default_buckets(df: DataFrame) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
+def reliable(df: DataFrame) -> DataFrame:
+    """Checkpoint ``df`` into the shared checkpoint folder (eagerly)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def _order(col: Column, descending: bool) -> Column:
     return col.desc_nulls_last() if descending else col.asc_nulls_last()
 
 
-def ordered_prefix(
-    df: DataFrame,
-    key: str,
-    sums: tuple[str, ...] = (),
-    descending: bool = False,
-    buckets: int | None = None,
-    plain: bool = False,
-) -> Prefix:
-    """Per distinct ``key``: row counts and sums before / up to it in the order.
+def _distinct(df: DataFrame, spec: Spec) -> DataFrame:
+    return df.groupBy(spec.key).agg(F.count(F.lit(1)).alias(N), *[F.sum(s).alias(s) for s in spec.sums])
 
-    ``plain=True`` uses one global window instead (single task; for tests
-    that check the bucketed path against it).
-    """
-    spark = df.sparkSession
-    d = df.groupBy(key).agg(F.count(F.lit(1)).alias(N), *[F.sum(s).alias(s) for s in sums])
-    if not plain:
-        ensure_checkpoint_dir(spark)
-        d = d.checkpoint(eager=True)
 
+def _parse(text: str | None, dtype: str):
+    if text is None:
+        return None
+    if dtype.startswith("decimal"):
+        return Decimal(text)
+    if dtype in ("double", "float"):
+        return float(text)
+    return int(text)
+
+
+def _lit(value, dtype: str) -> Column:
+    if value is None:
+        return F.lit(None).cast(dtype)
+    return F.lit(str(value)).cast(dtype)
+
+
+def _add_nullable(offset: Column, running: Column) -> Column:
+    # SUM ignores NULLs: a NULL offset (nothing summed yet) adds nothing
+    return F.when(offset.isNull(), running).when(running.isNull(), offset).otherwise(offset + running)
+
+
+def _union_all(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def ordered_prefixes(
+    df: DataFrame, specs: list[Spec], buckets: int | None = None, plain: bool = False
+) -> list[Prefix]:
+    """One :class:`Prefix` per spec, from two small jobs in total.
+
+    ``plain=True`` uses one global window per spec instead (a single task;
+    for tests that check the bucketed path against it).
+    """
+    distinct = [_distinct(df, s) for s in specs]
+    types = [dict(d.dtypes) for d in distinct]
     nb = buckets or default_buckets(df)
     probs = [i / nb for i in range(1, nb)]
-    stats_cols = [F.sum(N).alias("rows")] + [F.sum(s).alias(s) for s in sums]
-    keyed = d.where(F.col(key).isNotNull()).select("*", F.col(key).cast("double").alias(_KEYD))
-    if probs and not plain:
-        stats_cols.append(F.percentile_approx(_KEYD, probs, 10000).alias("bounds"))
-    stats = keyed.agg(*stats_cols).first()
-    null_row = d.where(F.col(key).isNull()).select(*([N] + list(sums))).first()
-    total_rows = int(stats["rows"] or 0) + (int(null_row[N]) if null_row else 0)
-    totals = {s: stats[s] for s in sums}
 
-    if plain:
-        w = Window.orderBy(_order(F.col(key), descending)).rowsBetween(Window.unboundedPreceding, 0)
-        out = d.select(
-            key, N, *sums,
-            F.sum(N).over(w).alias(N_UPTO),
-            *[F.sum(s).over(w).alias(f"{s}_upto") for s in sums],
-        )
-    else:
-        bounds = sorted({b for b in (stats["bounds"] or []) if b is not None}) if probs else []
-        splits = [float("-inf")] + bounds + [float("inf")]
-        null_bucket = len(splits) - 1  # after every finite bucket
-        with_keyd = d.select("*", F.coalesce(F.col(key).cast("double"), F.lit(0.0)).alias(_KEYD))
+    # job 1: totals and boundaries of every key
+    stats_parts = []
+    for i, (spec, d) in enumerate(zip(specs, distinct)):
+        key = F.col(spec.key)
+        cols = [
+            F.lit(i).alias(_SPEC),
+            F.sum(N).cast("long").alias("rows"),
+            F.array(*[F.sum(s).cast("string") for s in spec.sums] or [F.lit(None).cast("string")]).alias("totals"),
+        ]
+        if probs and not plain:
+            cols.append(F.percentile_approx(key.cast("double"), probs, 10000).alias("bounds"))
+        else:
+            cols.append(F.array().cast("array<double>").alias("bounds"))
+        stats_parts.append(d.agg(*cols))
+    stats = {r[_SPEC]: r for r in _union_all(stats_parts).collect()}
+
+    results: list[Prefix] = []
+    bucketed: list[DataFrame] = []
+    null_buckets: list[int] = []
+    for i, (spec, d) in enumerate(zip(specs, distinct)):
+        row = stats[i]
+        totals = {s: _parse(row["totals"][j], types[i][s]) for j, s in enumerate(spec.sums)}
+        results.append(Prefix(d, int(row["rows"] or 0), totals))
+        if plain:
+            continue
+        bounds = sorted({b for b in (row["bounds"] or []) if b is not None})
+        null_bucket = len(bounds) + 1  # after every finite bucket
+        null_buckets.append(null_bucket)
+        with_keyd = d.select("*", F.coalesce(F.col(spec.key).cast("double"), F.lit(0.0)).alias(_KEYD))
         if bounds:
-            b = Bucketizer(splits=splits, inputCol=_KEYD, outputCol=_BUCKET, handleInvalid="keep")
-            with_keyd = b.transform(with_keyd)
+            splits = [float("-inf")] + bounds + [float("inf")]
+            with_keyd = Bucketizer(splits=splits, inputCol=_KEYD, outputCol=_BUCKET, handleInvalid="keep").transform(
+                with_keyd
+            )
         else:
             with_keyd = with_keyd.withColumn(_BUCKET, F.lit(0.0))
-        bucketed = with_keyd.select(
-            key, N, *sums,
-            F.when(F.col(key).isNull(), F.lit(null_bucket)).otherwise(F.col(_BUCKET).cast("int")).alias(_BUCKET),
+        bucket = F.when(F.col(spec.key).isNull(), F.lit(null_bucket)).otherwise(F.col(_BUCKET).cast("int"))
+        bucketed.append(with_keyd.select(spec.key, N, *spec.sums, bucket.alias(_BUCKET)))
+
+    if plain:
+        out = []
+        for spec, p in zip(specs, results):
+            w = Window.orderBy(_order(F.col(spec.key), spec.descending)).rowsBetween(Window.unboundedPreceding, 0)
+            frame = p.frame.select(
+                spec.key, N, *spec.sums,
+                F.sum(N).over(w).alias(N_UPTO),
+                *[F.sum(s).over(w).alias(f"{s}_upto") for s in spec.sums],
+            ).withColumn(N_BEFORE, F.col(N_UPTO) - F.col(N))
+            out.append(Prefix(frame, p.total_rows, p.totals))
+        return out
+
+    # job 2: per-bucket totals of every key (at most one row per bucket and key)
+    totals_parts = [
+        b.groupBy(_BUCKET).agg(
+            F.lit(i).alias(_SPEC),
+            F.sum(N).cast("long").alias(N),
+            F.array(*[F.sum(s).cast("string") for s in spec.sums] or [F.lit(None).cast("string")]).alias("sums"),
         )
-        per_bucket = {
-            r[_BUCKET]: r
-            for r in bucketed.groupBy(_BUCKET).agg(F.sum(N).alias(N), *[F.sum(s).alias(s) for s in sums]).collect()
-        }
-        finite = sorted((k for k in per_bucket if k != null_bucket), reverse=descending)
-        order = finite + ([null_bucket] if null_bucket in per_bucket else [])
+        for i, (spec, b) in enumerate(zip(specs, bucketed))
+    ]
+    per_bucket: dict[int, dict[int, tuple]] = {i: {} for i in range(len(specs))}
+    for r in _union_all(totals_parts).collect():
+        per_bucket[r[_SPEC]][r[_BUCKET]] = (r[N], r["sums"])
+
+    out = []
+    for i, (spec, b, p) in enumerate(zip(specs, bucketed, results)):
+        null_bucket = null_buckets[i]
+        finite = sorted((k for k in per_bucket[i] if k != null_bucket), reverse=spec.descending)
+        order = finite + ([null_bucket] if null_bucket in per_bucket[i] else [])
         off_n: dict[int, int] = {}
-        off_s: dict[str, dict[int, object]] = {s: {} for s in sums}
-        run_n, run_s = 0, {s: None for s in sums}
+        off_s: dict[str, dict[int, object]] = {s: {} for s in spec.sums}
+        run_n, run_s = 0, {s: None for s in spec.sums}
         for k in order:
+            n_k, sums_k = per_bucket[i][k]
             off_n[k] = run_n
-            run_n += int(per_bucket[k][N])
-            for s in sums:
+            run_n += int(n_k)
+            for j, s in enumerate(spec.sums):
                 off_s[s][k] = run_s[s]
-                v = per_bucket[k][s]
+                v = _parse(sums_k[j], types[i][s])
                 if v is not None:
                     run_s[s] = v if run_s[s] is None else run_s[s] + v
 
-        def offset(values: dict[int, object], dtype) -> Column:
-            arr = F.array(*[_lit(values.get(i), dtype) for i in range(null_bucket + 1)])
+        def offset(values: dict[int, object], dtype: str) -> Column:
+            arr = F.array(*[_lit(values.get(k), dtype) for k in range(null_bucket + 1)])
             return F.element_at(arr, F.col(_BUCKET) + 1)
 
-        w = Window.partitionBy(_BUCKET).orderBy(_order(F.col(key), descending)).rowsBetween(
+        w = Window.partitionBy(_BUCKET).orderBy(_order(F.col(spec.key), spec.descending)).rowsBetween(
             Window.unboundedPreceding, 0
         )
-        types = dict(bucketed.dtypes)
-        n_type = types[N]
-        out = bucketed.select(
-            key, N, *sums,
-            (offset(off_n, n_type) + F.sum(N).over(w)).alias(N_UPTO),
-            *[_add_nullable(offset(off_s[s], types[s]), F.sum(s).over(w)).alias(f"{s}_upto") for s in sums],
-        )
-    out = out.withColumn(N_BEFORE, F.col(N_UPTO) - F.col(N))
-    return Prefix(out, total_rows, totals)
+        frame = b.select(
+            spec.key, N, *spec.sums,
+            (offset(off_n, "long") + F.sum(N).over(w)).alias(N_UPTO),
+            *[_add_nullable(offset(off_s[s], types[i][s]), F.sum(s).over(w)).alias(f"{s}_upto") for s in spec.sums],
+        ).withColumn(N_BEFORE, F.col(N_UPTO) - F.col(N))
+        out.append(Prefix(frame, p.total_rows, p.totals))
+    return out
 
 
-def _lit(value, dtype: str) -> Column:
-    if value is None:
-        return F.lit(None).cast(dtype)
-    if isinstance(value, Decimal):
-        return F.lit(str(value)).cast(dtype)
-    return F.lit(value).cast(dtype)
+def ordered_prefix(df: DataFrame, key: str, sums: tuple[str, ...] = (), descending: bool = False,
+                   buckets: int | None = None, plain: bool = False) -> Prefix:
+    return ordered_prefixes(df, [Spec(key, tuple(sums), descending)], buckets=buckets, plain=plain)[0]
 
 
-def _add_nullable(offset: Column, running: Column) -> Column:
-    # SUM ignores NULLs: a NULL offset (nothing summed yet) adds nothing
-    return F.when(offset.isNull(), running).when(running.isNull(), offset).otherwise(offset + running)
+def percent_ranks(
+    df: DataFrame,
+    columns: dict[str, str],
+    buckets: int | None = None,
+    plain: bool = False,
+    checkpointed: bool = False,
+) -> DataFrame:
+    """``df`` plus, per ``key -> out``, ``PERCENT_RANK() OVER (ORDER BY key)``.
+
+    (rank - 1) / (n - 1), ties share the lowest rank, 0 when n = 1.
+    """
+    if not (plain or checkpointed):
+        df = reliable(df)
+    specs = [Spec(k) for k in columns]
+    out = df
+    for (key, name), p in zip(columns.items(), ordered_prefixes(df, specs, buckets=buckets, plain=plain)):
+        n = p.total_rows
+        pr = (F.col(N_BEFORE).cast("double") / F.lit(float(n - 1))) if n > 1 else F.lit(0.0)
+        ranks = p.frame.select(F.col(key).alias("_rank_key"), pr.alias(name))
+        out = out.join(ranks, out[key].eqNullSafe(ranks["_rank_key"])).drop("_rank_key")
+    return out
 
 
-def percent_rank_of(df: DataFrame, key: str, out: str, buckets: int | None = None, plain: bool = False) -> DataFrame:
-    """``df`` plus ``out`` = PERCENT_RANK() OVER (ORDER BY key): (rank-1)/(n-1), 0 when n=1."""
-    p = ordered_prefix(df.select(key), key, buckets=buckets, plain=plain)
-    n = p.total_rows
-    pr = (F.col(N_BEFORE).cast("double") / F.lit(float(n - 1))) if n > 1 else F.lit(0.0)
-    ranks = p.frame.select(F.col(key).alias("_rank_key"), pr.alias(out))
-    return df.join(ranks, df[key].eqNullSafe(ranks["_rank_key"])).drop("_rank_key")
+def percent_rank_of(df: DataFrame, key: str, out: str, buckets: int | None = None, plain: bool = False,
+                    checkpointed: bool = False) -> DataFrame:
+    return percent_ranks(df, {key: out}, buckets=buckets, plain=plain, checkpointed=checkpointed)
 
 
 def running_share(
-    df: DataFrame, key: str, cumulative: str, share: str | None = None, buckets: int | None = None, plain: bool = False
+    df: DataFrame,
+    key: str,
+    cumulative: str,
+    share: str | None = None,
+    buckets: int | None = None,
+    plain: bool = False,
+    checkpointed: bool = False,
+    to_double=lambda c: c.cast("double"),
 ) -> DataFrame:
     """``df`` plus ``SUM(key) OVER (ORDER BY key DESC) / SUM(key)`` (RANGE frame: ties share).
 
-    Also ``share`` = key / total when given. Both are doubles; NULL when the
-    total is 0 or NULL.
+    Also ``share`` = key / total when given. Both are doubles, dividing
+    ``to_double`` of the exact sums; NULL when the total is 0 or NULL.
     """
-    p = ordered_prefix(
-        df.select(key, F.col(key).alias("_v")), key, sums=("_v",), descending=True, buckets=buckets, plain=plain
-    )
+    if not (plain or checkpointed):
+        df = reliable(df)
+    p = ordered_prefix(df.select(key, F.col(key).alias("_v")), key, sums=("_v",), descending=True,
+                       buckets=buckets, plain=plain)
     total = p.totals["_v"]
-    tot = float(total) if total is not None and total != 0 else None
-    tot_lit = F.lit(tot).cast("double")
-    cum = p.frame.select(
-        F.col(key).alias("_share_key"), (F.col("_v_upto").cast("double") / tot_lit).alias(cumulative)
-    )
+    tot_lit = to_double(_lit(total if total is not None and total != 0 else None, dict(df.dtypes)[key]))
+    cum = p.frame.select(F.col(key).alias("_share_key"), (to_double(F.col("_v_upto")) / tot_lit).alias(cumulative))
     out = df.join(cum, df[key].eqNullSafe(cum["_share_key"])).drop("_share_key")
     if share:
-        out = out.withColumn(share, F.col(key).cast("double") / tot_lit)
+        out = out.withColumn(share, to_double(F.col(key)) / tot_lit)
     return out

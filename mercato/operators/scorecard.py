@@ -5,7 +5,7 @@ Plan: delivered orders in range are joined with their items once, on
 ``count`` of scores, co-partitioned on ``order_id``). One aggregate per
 seller then yields every metric:
 
-* revenue (price + freight, exact decimal) and distinct orders;
+* revenue (price + freight, exact, in long cents) and distinct orders;
 * average days early over items with both dates, and the on-time rate over
   all items - an item without a delivery date counts as late;
 * average review score weighted per item x review pair: sum of scores over
@@ -21,11 +21,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.functions import day_diff, round_half_away, safe_div
+from mercato.functions import cents_to_double, day_diff, round_half_away, safe_div, to_cents
 from mercato.operators.filters import delivered_orders, sellers_in
-from mercato.operators.ranking import percent_rank_of
+from mercato.operators.ranking import percent_ranks, reliable
 from mercato.params import NO_FILTER, Params
-from mercato.session import ensure_checkpoint_dir
 
 # Composite weights for revenue, on-time rate and review score.
 WEIGHTS = (0.40, 0.30, 0.30)
@@ -54,7 +53,7 @@ def _reviews_per_order(t) -> DataFrame:
 def seller_metrics(t, params: Params = NO_FILTER) -> DataFrame:
     """Per seller with delivered orders: exact sums behind every metric."""
     items = t["order_items"].select(
-        "order_id", "seller_id", (F.col("price") + F.col("freight_value")).alias("amount")
+        "order_id", "seller_id", to_cents(F.col("price") + F.col("freight_value")).alias("amount")
     )
     joined = items.join(_order_facts(t, params), "order_id").join(_reviews_per_order(t), "order_id", "left")
     return joined.groupBy("seller_id").agg(
@@ -72,7 +71,7 @@ def seller_metrics(t, params: Params = NO_FILTER) -> DataFrame:
 def seller_revenue(t, params: Params = NO_FILTER) -> DataFrame:
     """``seller_id, total_revenue (double), total_orders`` over delivered orders."""
     m = seller_metrics(t, params)
-    return m.select("seller_id", F.col("total_revenue").cast("double").alias("total_revenue"), "total_orders")
+    return m.select("seller_id", cents_to_double(F.col("total_revenue")).alias("total_revenue"), "total_orders")
 
 
 def seller_delivery(t, params: Params = NO_FILTER) -> DataFrame:
@@ -95,7 +94,7 @@ def seller_combined(t, params: Params = NO_FILTER) -> DataFrame:
         "seller_id",
         "seller_state",
         "seller_city",
-        F.coalesce(F.col("total_revenue"), F.lit(0).cast("decimal(38,2)")).alias("total_revenue"),
+        F.coalesce(F.col("total_revenue"), F.lit(0).cast("long")).alias("total_revenue"),  # cents
         "total_orders",
         F.coalesce(safe_div(F.col("on_time_items"), F.col("items")), F.lit(0.0)).alias("on_time_rate"),
         F.coalesce(F.col("avg_days_early"), F.lit(0.0)).alias("avg_days_early"),
@@ -106,11 +105,10 @@ def seller_combined(t, params: Params = NO_FILTER) -> DataFrame:
 def seller_percent_ranks(t, params: Params = NO_FILTER, plain: bool = False) -> DataFrame:
     """Combined sellers plus ``pr_revenue, pr_on_time, pr_review`` in [0, 1]."""
     c = seller_combined(t, params)
-    ensure_checkpoint_dir(c.sparkSession)
-    c = c.checkpoint(eager=True)  # read by three rankings and the final join
-    c = percent_rank_of(c, "total_revenue", "pr_revenue", plain=plain)
-    c = percent_rank_of(c, "on_time_rate", "pr_on_time", plain=plain)
-    return percent_rank_of(c, "avg_review_score", "pr_review", plain=plain)
+    if not plain:
+        c = reliable(c)  # read by the ranking jobs and the final joins: compute it once
+    ranks = {"total_revenue": "pr_revenue", "on_time_rate": "pr_on_time", "avg_review_score": "pr_review"}
+    return percent_ranks(c, ranks, plain=plain, checkpointed=True)
 
 
 def seller_scorecard(t, params: Params = NO_FILTER, weights=WEIGHTS, plain: bool = False) -> DataFrame:
@@ -129,7 +127,7 @@ def seller_scorecard(t, params: Params = NO_FILTER, weights=WEIGHTS, plain: bool
         "seller_id",
         "seller_state",
         "seller_city",
-        F.col("total_revenue").cast("double").alias("total_revenue"),
+        cents_to_double(F.col("total_revenue")).alias("total_revenue"),
         "total_orders",
         round_half_away(F.col("on_time_rate") * 100, 1).alias("on_time_pct"),
         round_half_away(F.col("avg_days_early"), 1).alias("avg_days_early"),

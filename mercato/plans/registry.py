@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mercato.functions import cents_to_double
 from mercato.operators import abc, checks, cohort, delivery, filters, monthly, scorecard
 from mercato.params import NO_FILTER, Params
 from mercato.plans.settings import END, NOW, START, STATE
@@ -23,10 +24,21 @@ DATE_RANGE = Params(start_date=START, end_date=END)
 FIXED_NOW = _dt.datetime.strptime(NOW, "%Y-%m-%d %H:%M:%S")
 
 
+_TABLES: dict[tuple[int, str], Tables] = {}
+
+
+def test_tables(spark: SparkSession, sf_dir: str) -> Tables:
+    """The mapped test tables, built once per session and folder (lazy frames)."""
+    key = (id(spark), sf_dir)
+    if key not in _TABLES or _TABLES[key].spark is not spark:
+        _TABLES[key] = Tables.from_tpch(spark, sf_dir)
+    return _TABLES[key]
+
+
 def _query(fn, params: Params = NO_FILTER, **options) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         tune(spark)
-        return fn(Tables.from_tpch(spark, sf_dir), params, **options)
+        return fn(test_tables(spark, sf_dir), params, **options)
 
     run.__name__ = getattr(fn, "__name__", "query")
     return run
@@ -44,7 +56,7 @@ def _seller_percent_ranks(t, p):
     r = scorecard.seller_percent_ranks(t, p)
     return r.select(
         "seller_id",
-        F.col("total_revenue").cast("double").alias("total_revenue"),
+        cents_to_double(F.col("total_revenue")).alias("total_revenue"),
         "on_time_rate",
         "avg_review_score",
         "pr_revenue",
