@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The reference reads finished tables only: no streams, watermarks, windows
+over event time, state or late data. Every analysis here is a batch
+DataFrame plan; nothing streaming is built, so as not to add operators the
+reference does not have. A streaming source could feed the same operators
+through ``foreachBatch`` if one is ever needed.
+"""
