@@ -119,12 +119,17 @@ def abc_classification(t, params: Params = NO_FILTER, fanout: bool = True, cuts=
     )
 
 
-def abc_tier_summary(t, params: Params = NO_FILTER, fanout: bool = True) -> DataFrame:
-    """Per tier: ``abc_class, product_count, revenue (2), units_sold, revenue_share_pct (2)``."""
-    d = abc_detail(t, params, fanout)
-    tiers = d.groupBy("abc_class").agg(
+def summarize_tiers(classification: DataFrame) -> DataFrame:
+    """Per tier of an :func:`abc_classification` result: ``abc_class, product_count,
+    revenue (2), units_sold, revenue_share_pct (2)``.
+
+    Works on the rounded output (as written to ``detail.parquet``): revenue
+    there is a whole number of cents, recovered exactly before summing.
+    """
+    cents = F.round(F.col("revenue") * 100).cast("long")
+    tiers = classification.groupBy("abc_class").agg(
         F.count(F.lit(1)).alias("product_count"),
-        F.sum("revenue").alias("revenue"),
+        F.sum(cents).alias("revenue"),
         F.sum("units_sold").alias("units_sold"),
     )
     # at most three rows: the grand total over them is a tiny window
@@ -138,3 +143,8 @@ def abc_tier_summary(t, params: Params = NO_FILTER, fanout: bool = True) -> Data
             "revenue_share_pct"
         ),
     )
+
+
+def abc_tier_summary(t, params: Params = NO_FILTER, fanout: bool = True) -> DataFrame:
+    """Tier summary of :func:`abc_classification` (see :func:`summarize_tiers`)."""
+    return summarize_tiers(abc_classification(t, params, fanout))

@@ -98,11 +98,11 @@ def cohort_retention(t, params: Params = NO_FILTER, windows=WINDOWS) -> DataFram
     )
 
 
-def cohort_retention_long(t, params: Params = NO_FILTER, windows=WINDOWS) -> DataFrame:
-    """Chart data in long form: ``cohort_month, window_days, returned, retention_pct``."""
-    c = cohort_retention(t, params, windows)
+def long_form(retention: DataFrame, windows=WINDOWS) -> DataFrame:
+    """A :func:`cohort_retention` result in long form:
+    ``cohort_month, window_days, returned, retention_pct``."""
     parts = [
-        c.select(
+        retention.select(
             "cohort_month",
             F.lit(d).alias("window_days"),
             F.col(f"returned_{d}d").alias("returned"),
@@ -114,3 +114,8 @@ def cohort_retention_long(t, params: Params = NO_FILTER, windows=WINDOWS) -> Dat
     for part in parts[1:]:
         out = out.unionByName(part)
     return out
+
+
+def cohort_retention_long(t, params: Params = NO_FILTER, windows=WINDOWS) -> DataFrame:
+    """Chart data: the three retention series in long form."""
+    return long_form(cohort_retention(t, params, windows), windows)

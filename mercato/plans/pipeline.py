@@ -78,18 +78,43 @@ def run_pipeline(
         ok = _try(result, name, fn)
         result.written[name] = bool(ok)
 
+    def derive(base: str, path: str, outputs: dict) -> None:
+        """Report tables read the written base table: a lineage cut, no recompute."""
+        if not result.written.get(base):
+            result.written.update({name: False for name in outputs})
+            return
+        written = t.spark.read.parquet(path)
+        for name, (fn, target) in outputs.items():
+            save(name, lambda fn=fn, target=target: fn(written, target))
+
+    def parquet(build):
+        return lambda df, target: write_parquet(build(df), target)
+
+    rep = f"{out}/report"
     if "seller_scorecard" in frames:
-        sc = frames["seller_scorecard"]
-        save("summary.csv", lambda: write_csv(scorecard.top_sellers(sc, SUMMARY_ROWS), f"{out}/summary.csv", True))
-        save("seller_scorecard", lambda: write_parquet(sc, f"{out}/report/seller_scorecard"))
+        save("seller_scorecard", lambda: write_parquet(frames["seller_scorecard"], f"{rep}/seller_scorecard"))
+        derive("seller_scorecard", f"{rep}/seller_scorecard", {
+            "summary.csv": (lambda df, p: write_csv(scorecard.top_sellers(df, SUMMARY_ROWS), p, True),
+                            f"{out}/summary.csv"),
+            "top_sellers_10": (parquet(lambda df: scorecard.top_sellers(df, 10)), f"{rep}/top_sellers_10"),
+        })
     if "abc_classification" in frames:
         save("detail.parquet", lambda: write_parquet(frames["abc_classification"], f"{out}/detail.parquet"))
-        save("abc_tier_summary", lambda: write_parquet(abc.abc_tier_summary(t, params), f"{out}/report/abc_tier_summary"))
+        derive("detail.parquet", f"{out}/detail.parquet", {
+            "abc_tier_summary": (parquet(abc.summarize_tiers), f"{rep}/abc_tier_summary"),
+        })
     if "cohort_retention" in frames:
-        save("cohort_retention", lambda: write_parquet(frames["cohort_retention"], f"{out}/report/cohort_retention"))
+        save("cohort_retention", lambda: write_parquet(frames["cohort_retention"], f"{rep}/cohort_retention"))
+        derive("cohort_retention", f"{rep}/cohort_retention", {
+            "cohort_retention_long": (parquet(cohort.long_form), f"{rep}/cohort_retention_long"),
+        })
     if "delivery_by_state" in frames:
-        save("delivery_by_state", lambda: write_parquet(frames["delivery_by_state"], f"{out}/report/delivery_by_state"))
+        save("delivery_by_state", lambda: write_parquet(frames["delivery_by_state"], f"{rep}/delivery_by_state"))
+        derive("delivery_by_state", f"{rep}/delivery_by_state", {
+            "delivery_days_early": (parquet(lambda df: df.select("state", "avg_days_early")),
+                                    f"{rep}/delivery_days_early"),
+        })
     if "monthly_growth" in frames:
         series = frames["monthly_growth"].withColumn("month_label", F.date_format("month", "yyyy-MM"))
-        save("monthly_series", lambda: write_parquet(series, f"{out}/report/monthly_series"))
+        save("monthly_series", lambda: write_parquet(series, f"{rep}/monthly_series"))
     return result

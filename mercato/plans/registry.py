@@ -27,7 +27,7 @@ FIXED_NOW = _dt.datetime.strptime(NOW, "%Y-%m-%d %H:%M:%S")
 _TABLES: dict[tuple[int, str], Tables] = {}
 
 
-def test_tables(spark: SparkSession, sf_dir: str) -> Tables:
+def mapped_tables(spark: SparkSession, sf_dir: str) -> Tables:
     """The mapped test tables, built once per session and folder (lazy frames)."""
     key = (id(spark), sf_dir)
     if key not in _TABLES or _TABLES[key].spark is not spark:
@@ -38,7 +38,7 @@ def test_tables(spark: SparkSession, sf_dir: str) -> Tables:
 def _query(fn, params: Params = NO_FILTER, **options) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         tune(spark)
-        return fn(test_tables(spark, sf_dir), params, **options)
+        return fn(mapped_tables(spark, sf_dir), params, **options)
 
     run.__name__ = getattr(fn, "__name__", "query")
     return run

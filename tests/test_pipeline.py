@@ -21,8 +21,15 @@ def test_run_writes_outputs_and_reports_failed_checks(spark):
     assert len(glob.glob(f"{out}/summary.csv/*.csv")) == 1
     detail = spark.read.parquet(f"{out}/detail.parquet")
     assert detail.count() > 0 and "abc_class" in detail.columns
-    for name in ("abc_tier_summary", "cohort_retention", "delivery_by_state", "monthly_series", "seller_scorecard"):
-        assert os.path.isdir(f"{out}/report/{name}")
+    for name in ("abc_tier_summary", "cohort_retention", "delivery_by_state", "monthly_series", "seller_scorecard",
+                 "top_sellers_10", "cohort_retention_long", "delivery_days_early"):
+        assert os.path.isdir(f"{out}/report/{name}"), name
+    # tier summary from the rounded detail equals the one computed from exact sums
+    from mercato.operators import abc
+
+    from_file = {r["abc_class"]: r.asDict() for r in spark.read.parquet(f"{out}/report/abc_tier_summary").collect()}
+    exact = {r["abc_class"]: r.asDict() for r in abc.abc_tier_summary(t).collect()}
+    assert from_file == exact
 
 
 def test_one_failed_analysis_does_not_stop_the_rest(spark):
