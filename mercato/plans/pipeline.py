@@ -25,6 +25,21 @@ log = logging.getLogger("mercato")
 
 SUMMARY_ROWS = 50  # fixed value: sellers in summary.csv
 
+# The order each analysis is written in (the reference's ORDER BY, with a
+# tie-break). A distributed sort: range-partitioned, then sorted per partition.
+OUTPUT_ORDER = {  # column -> descending?
+    "seller_scorecard": [("composite_score", True), ("seller_id", False)],
+    "abc_classification": [("revenue", True), ("product_id", False)],
+    "cohort_retention": [("cohort_month", False)],
+    "delivery_by_state": [("avg_days_early", True), ("state", False)],
+    "monthly_growth": [("month", False)],
+}
+
+
+def _ordered(df: DataFrame, name: str) -> DataFrame:
+    cols = [F.col(c).desc_nulls_last() if desc else F.col(c).asc_nulls_last() for c, desc in OUTPUT_ORDER[name]]
+    return df.orderBy(*cols)
+
 
 @dataclass
 class RunResult:
@@ -72,7 +87,7 @@ def run_pipeline(
     for name, build in analyses.items():
         df = _try(result, name, build)
         if df is not None:
-            frames[name] = df
+            frames[name] = _ordered(df, name)
 
     def save(name: str, fn) -> None:
         ok = _try(result, name, fn)
