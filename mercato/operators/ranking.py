@@ -15,7 +15,8 @@ one or several orderings of the same input at once:
    boundaries), so equal values share a bucket and recomputation after a
    lost executor gives the same bucket;
 4. one small job for all keys: per-bucket totals (at most one row per
-   bucket), turned into per-bucket offsets on the driver;
+   bucket), turned into per-bucket offsets on the driver and broadcast back
+   as a frame of at most one row per bucket;
 5. a window partitioned by bucket, ordered by value, plus the bucket's
    offset. Distinct values make ROWS equal RANGE: ties share the result.
 
@@ -34,6 +35,7 @@ from decimal import Decimal
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mercato.session import ensure_checkpoint_dir
 
@@ -204,17 +206,20 @@ def ordered_prefixes(
                 if v is not None:
                     run_s[s] = v if run_s[s] is None else run_s[s] + v
 
-        def offset(values: dict[int, object], dtype: str) -> Column:
-            arr = F.array(*[_lit(values.get(k), dtype) for k in range(null_bucket + 1)])
-            return F.element_at(arr, F.col(_BUCKET) + 1)
-
+        # offsets travel as a tiny frame (at most one row per bucket: a proven
+        # bound), broadcast to the bucketed values
+        off_fields = [T.StructField(_BUCKET, T.IntegerType(), False), T.StructField("_off_n", T.LongType(), False)]
+        off_fields += [T.StructField(f"_off_{s}", distinct[i].schema[s].dataType, True) for s in spec.sums]
+        offsets = df.sparkSession.createDataFrame(
+            [tuple([k, off_n[k]] + [off_s[s][k] for s in spec.sums]) for k in order], T.StructType(off_fields)
+        )
         w = Window.partitionBy(_BUCKET).orderBy(_order(F.col(spec.key), spec.descending)).rowsBetween(
             Window.unboundedPreceding, 0
         )
-        frame = b.select(
+        frame = b.join(F.broadcast(offsets), _BUCKET).select(
             spec.key, N, *spec.sums,
-            (offset(off_n, "long") + F.sum(N).over(w)).alias(N_UPTO),
-            *[_add_nullable(offset(off_s[s], types[i][s]), F.sum(s).over(w)).alias(f"{s}_upto") for s in spec.sums],
+            (F.col("_off_n") + F.sum(N).over(w)).alias(N_UPTO),
+            *[_add_nullable(F.col(f"_off_{s}"), F.sum(s).over(w)).alias(f"{s}_upto") for s in spec.sums],
         ).withColumn(N_BEFORE, F.col(N_UPTO) - F.col(N))
         out.append(Prefix(frame, p.total_rows, p.totals))
     return out
