@@ -6,19 +6,20 @@ Both only need, for each distinct value, how many rows (and how much of a
 sum) come before it in the order. :func:`ordered_prefixes` computes that for
 one or several orderings of the same input at once:
 
-1. per ordering key, aggregate to distinct values (``count``, ``sum``),
-   combined map-side, so a value shared by a third of all rows becomes one
-   row;
-2. one small job for all keys: row totals, sum totals and quantile
-   boundaries of each key (``percentile_approx``) - a handful of numbers;
-3. bucket = a pure, monotone function of the value (binary search over the
+1. one small job, one pass over the rows for all keys: row and sum totals
+   and quantile boundaries of each key (``percentile_approx``, partially
+   aggregated) - a handful of numbers;
+2. bucket = a pure, monotone function of the value (binary search over the
    boundaries), so equal values share a bucket and recomputation after a
    lost executor gives the same bucket;
-4. one small job for all keys: per-bucket totals (at most one row per
-   bucket), turned into per-bucket offsets on the driver and broadcast back
-   as a frame of at most one row per bucket;
-5. a window partitioned by bucket, ordered by value, plus the bucket's
-   offset. Distinct values make ROWS equal RANGE: ties share the result.
+3. one small job for all keys: per-bucket row counts and sums (partially
+   aggregated; at most one row per bucket), turned into per-bucket offsets
+   on the driver and broadcast back as a frame of at most one row per
+   bucket;
+4. aggregate to distinct values (``count``, ``sum``), combined map-side, so
+   a value shared by a third of all rows becomes one row; then a window
+   partitioned by bucket, ordered by value, plus the bucket's offset.
+   Distinct values make ROWS equal RANGE: ties share the result.
 
 NULL values form their own bucket, ordered last. The input is read once per
 job, so pass a checkpointed (or cheap) frame; the public helpers checkpoint
@@ -111,11 +112,30 @@ def _union_all(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
+def _bucketize(frame: DataFrame, key: str, bounds: list[float], null_bucket: int) -> DataFrame:
+    """``frame`` plus ``_bucket``: index of the boundary interval holding ``key``
+    (binary search, JVM-side), ``null_bucket`` for NULL keys."""
+    with_keyd = frame.select("*", F.coalesce(F.col(key).cast("double"), F.lit(0.0)).alias(_KEYD))
+    if bounds:
+        splits = [float("-inf")] + bounds + [float("inf")]
+        with_keyd = Bucketizer(splits=splits, inputCol=_KEYD, outputCol=_BUCKET, handleInvalid="keep").transform(
+            with_keyd
+        )
+    else:
+        with_keyd = with_keyd.withColumn(_BUCKET, F.lit(0.0))
+    bucket = F.when(F.col(key).isNull(), F.lit(null_bucket)).otherwise(F.col(_BUCKET).cast("int"))
+    return with_keyd.withColumn(_BUCKET, bucket).drop(_KEYD)
+
+
 def ordered_prefixes(
     df: DataFrame, specs: list[Spec], buckets: int | None = None, plain: bool = False
 ) -> list[Prefix]:
     """One :class:`Prefix` per spec, from two small jobs in total.
 
+    Both jobs aggregate the rows of ``df`` directly (partial aggregation, no
+    shuffle of rows): job 1 gives row and sum totals and the quantile
+    boundaries of every key in one pass; job 2 counts rows and sums per
+    bucket. Only the final plan aggregates to distinct values for the window.
     ``plain=True`` uses one global window per spec instead (a single task;
     for tests that check the bucketed path against it).
     """
@@ -124,48 +144,22 @@ def ordered_prefixes(
     nb = buckets or default_buckets(df)
     probs = [i / nb for i in range(1, nb)]
 
-    # job 1: totals and boundaries of every key
-    stats_parts = []
-    for i, (spec, d) in enumerate(zip(specs, distinct)):
-        key = F.col(spec.key)
-        cols = [
-            F.lit(i).alias(_SPEC),
-            F.sum(N).cast("long").alias("rows"),
-            F.array(*[F.sum(s).cast("string") for s in spec.sums] or [F.lit(None).cast("string")]).alias("totals"),
-        ]
+    # job 1: one pass over the rows for totals and boundaries of every key
+    stat_cols = [F.count(F.lit(1)).alias("rows")]
+    for i, spec in enumerate(specs):
+        stat_cols += [F.sum(s).cast("string").alias(f"_t{i}_{s}") for s in spec.sums]
         if probs and not plain:
-            cols.append(F.percentile_approx(key.cast("double"), probs, 10000).alias("bounds"))
-        else:
-            cols.append(F.array().cast("array<double>").alias("bounds"))
-        stats_parts.append(d.agg(*cols))
-    stats = {r[_SPEC]: r for r in _union_all(stats_parts).collect()}
-
-    results: list[Prefix] = []
-    bucketed: list[DataFrame] = []
-    null_buckets: list[int] = []
-    for i, (spec, d) in enumerate(zip(specs, distinct)):
-        row = stats[i]
-        totals = {s: _parse(row["totals"][j], types[i][s]) for j, s in enumerate(spec.sums)}
-        results.append(Prefix(d, int(row["rows"] or 0), totals))
-        if plain:
-            continue
-        bounds = sorted({b for b in (row["bounds"] or []) if b is not None})
-        null_bucket = len(bounds) + 1  # after every finite bucket
-        null_buckets.append(null_bucket)
-        with_keyd = d.select("*", F.coalesce(F.col(spec.key).cast("double"), F.lit(0.0)).alias(_KEYD))
-        if bounds:
-            splits = [float("-inf")] + bounds + [float("inf")]
-            with_keyd = Bucketizer(splits=splits, inputCol=_KEYD, outputCol=_BUCKET, handleInvalid="keep").transform(
-                with_keyd
-            )
-        else:
-            with_keyd = with_keyd.withColumn(_BUCKET, F.lit(0.0))
-        bucket = F.when(F.col(spec.key).isNull(), F.lit(null_bucket)).otherwise(F.col(_BUCKET).cast("int"))
-        bucketed.append(with_keyd.select(spec.key, N, *spec.sums, bucket.alias(_BUCKET)))
+            stat_cols.append(F.percentile_approx(F.col(spec.key).cast("double"), probs, 10000).alias(f"_b{i}"))
+    stats = df.agg(*stat_cols).first()
+    total_rows = int(stats["rows"] or 0)
+    prefixes = [
+        Prefix(d, total_rows, {s: _parse(stats[f"_t{i}_{s}"], types[i][s]) for s in spec.sums})
+        for i, (spec, d) in enumerate(zip(specs, distinct))
+    ]
 
     if plain:
         out = []
-        for spec, p in zip(specs, results):
+        for spec, p in zip(specs, prefixes):
             w = Window.orderBy(_order(F.col(spec.key), spec.descending)).rowsBetween(Window.unboundedPreceding, 0)
             frame = p.frame.select(
                 spec.key, N, *spec.sums,
@@ -175,21 +169,28 @@ def ordered_prefixes(
             out.append(Prefix(frame, p.total_rows, p.totals))
         return out
 
-    # job 2: per-bucket totals of every key (at most one row per bucket and key)
+    bounds = [
+        sorted({b for b in (stats[f"_b{i}"] or []) if b is not None}) if probs else [] for i in range(len(specs))
+    ]
+    null_buckets = [len(b) + 1 for b in bounds]  # after every finite bucket
+
+    # job 2: rows and sums per bucket of every key (at most one row per bucket and key)
     totals_parts = [
-        b.groupBy(_BUCKET).agg(
+        _bucketize(df.select(spec.key, *spec.sums), spec.key, bounds[i], null_buckets[i])
+        .groupBy(_BUCKET)
+        .agg(
             F.lit(i).alias(_SPEC),
-            F.sum(N).cast("long").alias(N),
+            F.count(F.lit(1)).alias(N),
             F.array(*[F.sum(s).cast("string") for s in spec.sums] or [F.lit(None).cast("string")]).alias("sums"),
         )
-        for i, (spec, b) in enumerate(zip(specs, bucketed))
+        for i, spec in enumerate(specs)
     ]
     per_bucket: dict[int, dict[int, tuple]] = {i: {} for i in range(len(specs))}
     for r in _union_all(totals_parts).collect():
         per_bucket[r[_SPEC]][r[_BUCKET]] = (r[N], r["sums"])
 
     out = []
-    for i, (spec, b, p) in enumerate(zip(specs, bucketed, results)):
+    for i, (spec, d, p) in enumerate(zip(specs, distinct, prefixes)):
         null_bucket = null_buckets[i]
         finite = sorted((k for k in per_bucket[i] if k != null_bucket), reverse=spec.descending)
         order = finite + ([null_bucket] if null_bucket in per_bucket[i] else [])
@@ -207,20 +208,25 @@ def ordered_prefixes(
                     run_s[s] = v if run_s[s] is None else run_s[s] + v
 
         # offsets travel as a tiny frame (at most one row per bucket: a proven
-        # bound), broadcast to the bucketed values
+        # bound), broadcast to the bucketed distinct values
         off_fields = [T.StructField(_BUCKET, T.IntegerType(), False), T.StructField("_off_n", T.LongType(), False)]
-        off_fields += [T.StructField(f"_off_{s}", distinct[i].schema[s].dataType, True) for s in spec.sums]
+        off_fields += [T.StructField(f"_off_{s}", d.schema[s].dataType, True) for s in spec.sums]
         offsets = df.sparkSession.createDataFrame(
             [tuple([k, off_n[k]] + [off_s[s][k] for s in spec.sums]) for k in order], T.StructType(off_fields)
         )
         w = Window.partitionBy(_BUCKET).orderBy(_order(F.col(spec.key), spec.descending)).rowsBetween(
             Window.unboundedPreceding, 0
         )
-        frame = b.join(F.broadcast(offsets), _BUCKET).select(
-            spec.key, N, *spec.sums,
-            (F.col("_off_n") + F.sum(N).over(w)).alias(N_UPTO),
-            *[_add_nullable(F.col(f"_off_{s}"), F.sum(s).over(w)).alias(f"{s}_upto") for s in spec.sums],
-        ).withColumn(N_BEFORE, F.col(N_UPTO) - F.col(N))
+        frame = (
+            _bucketize(d, spec.key, bounds[i], null_bucket)
+            .join(F.broadcast(offsets), _BUCKET)
+            .select(
+                spec.key, N, *spec.sums,
+                (F.col("_off_n") + F.sum(N).over(w)).alias(N_UPTO),
+                *[_add_nullable(F.col(f"_off_{s}"), F.sum(s).over(w)).alias(f"{s}_upto") for s in spec.sums],
+            )
+            .withColumn(N_BEFORE, F.col(N_UPTO) - F.col(N))
+        )
         out.append(Prefix(frame, p.total_rows, p.totals))
     return out
 
