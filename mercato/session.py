@@ -41,7 +41,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     file system). Only a local-mode session without the setting, as in tests,
     gets a fresh folder under the machine's temporary directory.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server's spark.checkpoint.dir applies
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir()
     if current:
         return current
