@@ -62,10 +62,17 @@ def ts_literal(day: _dt.datetime) -> Column:
 
 
 def to_cents(money: Column) -> Column:
-    """A ``decimal(p,2)`` amount as ``long`` cents: exact, and sums stay in a
-    64-bit buffer instead of a wide decimal (a BigDecimal per update).
-    Sums beyond 92 quadrillion units raise under ANSI mode."""
-    return (money * 100).cast("long")
+    """A ``decimal(p,2)`` amount as ``long`` cents, exact.
+
+    ``rint(double(x) * 100)``: the decimal -> double conversion and the
+    product each round once, so the result is within ``c * 2**-52`` of the
+    integer ``c`` and ``rint`` recovers it exactly for any amount below
+    2**51 cents (22 trillion units). Unlike ``x * 100`` on a decimal, this
+    stays in primitive doubles (no BigDecimal per row), and sums of cents
+    use a 64-bit buffer instead of a wide decimal. Sums beyond 92
+    quadrillion units raise under ANSI mode.
+    """
+    return F.rint(money.cast("double") * F.lit(100.0)).cast("long")
 
 
 def cents_to_double(cents: Column) -> Column:

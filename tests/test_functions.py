@@ -44,3 +44,21 @@ def test_month_start_and_label(spark):
 def test_safe_div_zero_is_null(spark):
     assert _one(spark, safe_div(F.col("a"), F.col("b")), "a long, b long", (5, 0)) is None
     assert _one(spark, safe_div(F.col("a"), F.col("b")), "a long, b long", (1, 4)) == 0.25
+
+
+def test_to_cents_exact(spark):
+    from decimal import Decimal
+
+    from mercato.functions import cents_to_double, to_cents
+
+    vals = [Decimal("0.01"), Decimal("0.29"), Decimal("-0.29"), Decimal("123456789.99"),
+            Decimal("9999999999999.99"), Decimal("0.00"), None]
+    rows = spark.createDataFrame([(v,) for v in vals], "x decimal(18,2)").select(
+        "x", to_cents(F.col("x")).alias("c"), cents_to_double(to_cents(F.col("x"))).alias("d")
+    ).collect()
+    for r in rows:
+        if r["x"] is None:
+            assert r["c"] is None
+        else:
+            assert r["c"] == int(r["x"] * 100)
+            assert r["d"] == float(r["x"])  # same double as casting the exact decimal
