@@ -68,11 +68,13 @@ def _utc_now() -> _dt.datetime:
     return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None, microsecond=0)
 
 
-def _table_checks(t, table: str, keys: bool, rows: bool, dates: bool, now: _dt.datetime | None) -> DataFrame | None:
+def _table_checks(
+    t, table: str, keys: bool, rows: bool, dates: bool, now: _dt.datetime | None, minimums: dict | None = None
+) -> DataFrame | None:
     """One aggregate over ``table`` producing the requested check rows."""
     df = t[table]
     key_cols = KEY_COLUMNS.get(table, ()) if keys else ()
-    minimum = MIN_ROW_COUNTS.get(table) if rows else None
+    minimum = (MIN_ROW_COUNTS if minimums is None else minimums).get(table) if rows else None
     want_dates = dates and table == DATE_TABLE
     aggs = [F.count(F.lit(1)).alias("_rows")] + [F.count(c).alias(f"_nn_{c}") for c in key_cols]
     if want_dates:
@@ -135,8 +137,10 @@ def check_key_columns(t) -> DataFrame:
 
 
 def check_row_counts(t, minimums: dict[str, int] | None = None) -> DataFrame:
-    parts = [_table_checks(t, n, False, True, False, None) for n in MIN_ROW_COUNTS if n in t]
-    return _union(t.spark, parts, _missing_rows(t, MIN_ROW_COUNTS, "min_row_count", None, MIN_ROW_COUNTS))
+    """Core tables hold at least their minimum number of rows (default :data:`MIN_ROW_COUNTS`)."""
+    limits = MIN_ROW_COUNTS if minimums is None else minimums
+    parts = [_table_checks(t, n, False, True, False, None, limits) for n in limits if n in t]
+    return _union(t.spark, parts, _missing_rows(t, limits, "min_row_count", None, limits))
 
 
 def check_date_range(t, now: _dt.datetime | None = None) -> DataFrame:

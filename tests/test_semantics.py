@@ -187,3 +187,10 @@ def test_future_minimum_date_fails(make_tables):
     t = make_tables(orders=[order(1, "2030-01-01")])
     r = checks.check_date_range(t, dt.datetime(2026, 1, 1)).first()
     assert r["passed"] is False and r["observed"] == "2030-01-01 00:00:00"
+
+
+def test_row_count_minimums_are_a_parameter(make_tables):
+    t = make_tables(orders=[order(i, "2020-01-05") for i in range(5)])
+    r = {x["table_name"]: x for x in checks.check_row_counts(t, {"orders": 5, "order_items": 0}).collect()}
+    assert r["orders"]["passed"] and r["orders"]["threshold"] == "5" and r["order_items"]["passed"]
+    assert set(r) == {"orders", "order_items"}
