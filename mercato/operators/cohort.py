@@ -100,20 +100,21 @@ def cohort_retention(t, params: Params = NO_FILTER, windows=WINDOWS) -> DataFram
 
 def long_form(retention: DataFrame, windows=WINDOWS) -> DataFrame:
     """A :func:`cohort_retention` result in long form:
-    ``cohort_month, window_days, returned, retention_pct``."""
-    parts = [
-        retention.select(
-            "cohort_month",
-            F.lit(d).alias("window_days"),
-            F.col(f"returned_{d}d").alias("returned"),
-            F.col(f"retention_{d}d_pct").alias("retention_pct"),
-        )
-        for d in windows
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    ``cohort_month, window_days, returned, retention_pct``.
+
+    One generator over each cohort row (no union, so the cohort plan runs once).
+    """
+    series = F.array(
+        *[
+            F.struct(
+                F.lit(d).alias("window_days"),
+                F.col(f"returned_{d}d").alias("returned"),
+                F.col(f"retention_{d}d_pct").alias("retention_pct"),
+            )
+            for d in windows
+        ]
+    )
+    return retention.select("cohort_month", F.inline(series))
 
 
 def cohort_retention_long(t, params: Params = NO_FILTER, windows=WINDOWS) -> DataFrame:
