@@ -84,3 +84,14 @@ def test_parquet_and_catalog_sources_give_the_same_answers(spark):
     assert a == sorted(tuple(r) for r in scorecard.seller_scorecard(mapped).collect())
     for name in mapped:
         spark.catalog.dropTempView(name)
+
+
+def test_command_line_run(spark):
+    from mercato.__main__ import main
+
+    out = tempfile.mkdtemp(prefix="mercato-cli-")
+    assert main(["--tpch", SF_SMALL, "--output", out, "--start-date", "1996-01-01"]) == 0
+    assert os.path.isdir(f"{out}/detail.parquet") and os.path.isdir(f"{out}/summary.csv")
+    assert main(["--tpch", SF_SMALL, "--output", out, "--end-date", "1999-02-30"]) == 1  # bad date
+    empty = tempfile.mkdtemp(prefix="mercato-cli-empty-")
+    assert main(["--input", empty, "--output", out]) == 1  # no table found
