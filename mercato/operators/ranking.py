@@ -67,7 +67,12 @@ class Prefix:
 
 
 def default_buckets(df: DataFrame) -> int:
-    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+    """One bucket per shuffle partition (200 when the setting is not a number)."""
+    value = df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")
+    try:
+        return max(1, int(value))
+    except ValueError:
+        return 200
 
 
 def reliable(df: DataFrame) -> DataFrame:
