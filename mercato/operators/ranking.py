@@ -21,7 +21,8 @@ one or several orderings of the same input at once:
    partitioned by bucket, ordered by value, plus the bucket's offset.
    Distinct values make ROWS equal RANGE: ties share the result.
 
-NULL values form their own bucket, ordered last. The input is read once per
+NaN (greatest) and NULL (ordered last, either direction) get buckets of
+their own. The input is read once per
 job, so pass a checkpointed (or cheap) frame; the public helpers checkpoint
 it unless told it already is. The caller joins the result back to its rows
 on the value (null-safe): a plain shuffle join that adaptive execution may
@@ -177,7 +178,9 @@ def ordered_prefixes(
     bounds = [
         sorted({b for b in (stats[f"_b{i}"] or []) if b is not None}) if probs else [] for i in range(len(specs))
     ]
-    null_buckets = [len(b) + 1 for b in bounds]  # after every finite bucket
+    # Bucketizer keeps NaN in index len(bounds) + 1, above every number (NaN
+    # sorts greatest); NULL gets its own index after it and is ordered last
+    null_buckets = [len(b) + 2 for b in bounds]
 
     # job 2: rows and sums per bucket of every key (at most one row per bucket and key)
     totals_parts = [

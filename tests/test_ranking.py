@@ -57,3 +57,21 @@ def test_no_single_partition_exchange(spark):
     df = _data(spark, 10)
     plan = running_share(df, "v", "cum", buckets=4)._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
+
+
+@pytest.mark.parametrize("descending", [False, True])
+def test_nan_and_null_keys(spark, descending):
+    from mercato.operators.ranking import N_UPTO, ordered_prefix
+
+    vals = [1.0, float("nan"), None, 2.0, float("nan"), 3.0, 2.0, None] * 5 + [float(i) for i in range(40)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "id long, v double")
+    order = F.col("v").desc_nulls_last() if descending else F.col("v").asc_nulls_last()
+    want = {
+        (r["v"] if r["v"] is None or r["v"] == r["v"] else "nan"): r["n"]
+        for r in df.groupBy("v").count().select(
+            "v", F.sum("count").over(Window.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)).alias("n")
+        ).collect()
+    }
+    p = ordered_prefix(df, "v", descending=descending, buckets=4)
+    got = {(r["v"] if r["v"] is None or r["v"] == r["v"] else "nan"): r[N_UPTO] for r in p.frame.collect()}
+    assert got == want
