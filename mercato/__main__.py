@@ -27,9 +27,10 @@ from mercato.sources.tables import Tables
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="mercato", description="Marketplace analytics on Spark")
     src = ap.add_mutually_exclusive_group(required=True)
-    src.add_argument("--input", help="folder with one parquet dataset per table")
+    src.add_argument("--input", help="folder with one dataset per table (see --format)")
     src.add_argument("--catalog-db", help="Spark catalog database holding the tables")
     src.add_argument("--tpch", help="folder of the TPC-H-like test data (test mapping)")
+    ap.add_argument("--format", default="parquet", help="format of --input: parquet, csv, orc, json")
     ap.add_argument("--output", required=True, help="output folder (shared file system or object store)")
     ap.add_argument("--start-date", default="")
     ap.add_argument("--end-date", default="")
@@ -44,7 +45,7 @@ def main(argv: list[str] | None = None) -> int:
         return 1
     spark = tune(SparkSession.builder.appName("mercato").getOrCreate())
     if args.input:
-        tables = Tables.from_parquet(spark, args.input)
+        tables = Tables.from_files(spark, args.input, args.format)
     elif args.catalog_db:
         tables = Tables.from_catalog(spark, args.catalog_db)
     else:

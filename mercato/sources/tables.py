@@ -2,8 +2,9 @@
 
 Three ways to build one:
 
-* :meth:`Tables.from_parquet` - a folder (local, HDFS, object store) with one
-  parquet dataset per table, e.g. ``orders/`` or ``orders.parquet``;
+* :meth:`Tables.from_parquet` / :meth:`Tables.from_files` - a folder (local,
+  HDFS, object store) with one dataset per table, e.g. ``orders/`` or
+  ``orders.parquet`` (parquet, CSV, ORC, JSON);
 * :meth:`Tables.from_catalog` - tables registered in a Spark catalog;
 * :meth:`Tables.from_tpch` - the test mapping that derives the marketplace
   tables from the TPC-H-like test data by fixed arithmetic on keys (views
@@ -61,19 +62,34 @@ class Tables(Mapping[str, DataFrame]):
 
     # -- builders ---------------------------------------------------------
     @classmethod
-    def from_parquet(cls, spark: SparkSession, folder: str, names=EXPECTED_TABLES) -> "Tables":
-        """Read each table present under ``folder``; declared tables are conformed."""
+    def from_files(
+        cls, spark: SparkSession, folder: str, fmt: str = "parquet", names=EXPECTED_TABLES, **options
+    ) -> "Tables":
+        """Read each table present under ``folder`` as ``<name>`` or ``<name>.<fmt>``.
+
+        Declared tables are conformed by column name (selected and cast), so
+        text formats need no schema inference: CSV is read with a header and
+        every column as text, then cast. Absent tables are left out; the
+        table check reports them.
+        """
+        if fmt == "csv":
+            options = {"header": "true", "inferSchema": "false", **options}
         frames = {}
         for name in names:
-            for candidate in (f"{folder.rstrip('/')}/{name}", f"{folder.rstrip('/')}/{name}.parquet"):
+            for candidate in (f"{folder.rstrip('/')}/{name}", f"{folder.rstrip('/')}/{name}.{fmt}"):
                 try:
-                    df = spark.read.parquet(candidate)
+                    df = spark.read.format(fmt).options(**options).load(candidate)
                 except Exception:  # noqa: BLE001 - absent dataset: the table check reports it
                     continue
                 frames[name] = conform(df, name)
                 break
         return cls(frames)
 
+    @classmethod
+    def from_parquet(cls, spark: SparkSession, folder: str, names=EXPECTED_TABLES) -> "Tables":
+        """Parquet datasets under ``folder`` (e.g. a database exported to parquet)."""
+        return cls.from_files(spark, folder, "parquet", names)
+
     @classmethod
     def from_catalog(cls, spark: SparkSession, database: str | None = None, names=EXPECTED_TABLES) -> "Tables":
         """Use tables of a Spark catalog database (the default database if ``None``)."""

@@ -95,3 +95,18 @@ def test_command_line_run(spark):
     assert main(["--tpch", SF_SMALL, "--output", out, "--end-date", "1999-02-30"]) == 1  # bad date
     empty = tempfile.mkdtemp(prefix="mercato-cli-empty-")
     assert main(["--input", empty, "--output", out]) == 1  # no table found
+
+
+def test_csv_source_conforms_by_name(spark):
+    from mercato.operators import monthly
+
+    folder = tempfile.mkdtemp(prefix="mercato-csv-")
+    mapped = Tables.from_tpch(spark, SF_SMALL)
+    for name, df in mapped.items():
+        # reversed column order: conform matches by name, not position
+        df.select(*reversed(df.columns)).write.mode("overwrite").option("header", True).csv(f"{folder}/{name}")
+    from_csv = Tables.from_files(spark, folder, "csv")
+    assert set(from_csv) == set(mapped)
+    assert dict(from_csv["orders"].dtypes)["order_purchase_timestamp"] == "timestamp_ntz"
+    want = sorted(tuple(r) for r in monthly.monthly_growth(mapped).collect())
+    assert sorted(tuple(r) for r in monthly.monthly_growth(from_csv).collect()) == want
