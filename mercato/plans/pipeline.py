@@ -36,7 +36,7 @@ OUTPUT_ORDER = {  # column -> descending?
 }
 
 
-def _ordered(df: DataFrame, name: str) -> DataFrame:
+def ordered_for_output(df: DataFrame, name: str) -> DataFrame:
     cols = [F.col(c).desc_nulls_last() if desc else F.col(c).asc_nulls_last() for c, desc in OUTPUT_ORDER[name]]
     return df.orderBy(*cols)
 
@@ -87,7 +87,7 @@ def run_pipeline(
     for name, build in analyses.items():
         df = _try(result, name, build)
         if df is not None:
-            frames[name] = _ordered(df, name)
+            frames[name] = ordered_for_output(df, name)
 
     def save(name: str, fn) -> None:
         ok = _try(result, name, fn)

@@ -110,3 +110,18 @@ def test_csv_source_conforms_by_name(spark):
     assert dict(from_csv["orders"].dtypes)["order_purchase_timestamp"] == "timestamp_ntz"
     want = sorted(tuple(r) for r in monthly.monthly_growth(mapped).collect())
     assert sorted(tuple(r) for r in monthly.monthly_growth(from_csv).collect()) == want
+
+
+def test_reference_named_api(spark):
+    from mercato import api
+
+    t = Tables.from_tpch(spark, SF_SMALL)
+    sc = api.get_seller_scorecard(t, "", "", "")
+    scores = [r["composite_score"] for r in sc.collect()]
+    assert scores == sorted(scores, reverse=True)
+    months = [r["month"] for r in api.get_monthly_revenue(t, "1996-01-01", "1999-12-31").collect()]
+    assert months == sorted(months) and len(months) == 48
+    assert api.get_abc_classification(t, seller_state="NATION_3").count() > 0
+    assert api.get_cohort_retention(t).count() > 0 and api.get_delivery_analysis(t).count() > 0
+    assert api.validate(t) is False  # two of the nine tables have no counterpart in the mapping
+    assert api.validate(t.without()) is False
