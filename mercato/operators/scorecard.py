@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mercato.functions import cents_to_double, day_diff, round_half_away, safe_div, to_cents
-from mercato.operators.filters import delivered_orders, sellers_in
+from mercato.operators.filters import delivered_orders, items_of_state, sellers_in
 from mercato.operators.ranking import percent_ranks, reliable
 from mercato.params import NO_FILTER, Params
 
@@ -51,10 +51,16 @@ def _reviews_per_order(t) -> DataFrame:
 
 
 def seller_metrics(t, params: Params = NO_FILTER) -> DataFrame:
-    """Per seller with delivered orders: exact sums behind every metric."""
-    items = t["order_items"].select(
-        "order_id", "seller_id", to_cents(F.col("price") + F.col("freight_value")).alias("amount")
-    )
+    """Per seller with delivered orders: exact sums behind every metric.
+
+    With a seller state set, only that state's sellers are ranked, and a
+    seller's metrics depend only on its own items: the items are restricted
+    to in-state sellers before the join, so the join and the aggregate
+    shrink with the state's share.
+    """
+    items = items_of_state(
+        t["order_items"].select("order_id", "seller_id", "price", "freight_value"), t["sellers"], params.state
+    ).select("order_id", "seller_id", to_cents(F.col("price") + F.col("freight_value")).alias("amount"))
     joined = items.join(_order_facts(t, params), "order_id").join(_reviews_per_order(t), "order_id", "left")
     return joined.groupBy("seller_id").agg(
         F.sum("amount").alias("total_revenue"),
