@@ -19,7 +19,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from mercato.params import Params
-from mercato.plans.pipeline import run_pipeline
+from mercato.plans.batch import run_batch
 from mercato.session import tune
 from mercato.sources.tables import Tables
 
@@ -53,7 +53,7 @@ def main(argv: list[str] | None = None) -> int:
     if not tables:
         log.error("no input table found")
         return 1
-    result = run_pipeline(tables, args.output, params)
+    result = run_batch(tables, args.output, params)
     log.info("checks passed: %s; written: %s; errors: %s", result.checks_passed, result.written, result.errors)
     return 0
 

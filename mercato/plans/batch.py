@@ -58,7 +58,7 @@ def _try(result: RunResult, name: str, fn):
         return None
 
 
-def run_pipeline(
+def run_batch(
     t,
     output_dir: str,
     params: Params = NO_FILTER,

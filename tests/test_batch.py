@@ -3,14 +3,14 @@ import os
 import tempfile
 
 from conftest import SF_SMALL
-from mercato.plans.pipeline import run_pipeline
+from mercato.plans.batch import run_batch
 from mercato.sources.tables import Tables
 
 
 def test_run_writes_outputs_and_reports_failed_checks(spark):
     out = tempfile.mkdtemp(prefix="mercato-run-")
     t = Tables.from_tpch(spark, SF_SMALL)
-    res = run_pipeline(t, out)
+    res = run_batch(t, out)
     assert not res.errors
     assert res.checks_passed is False  # order_payments, geolocation absent in the mapping
     missing = {r["table_name"] for r in res.failed_checks if r["check_name"] == "table_present"}
@@ -35,7 +35,7 @@ def test_run_writes_outputs_and_reports_failed_checks(spark):
 def test_one_failed_analysis_does_not_stop_the_rest(spark):
     out = tempfile.mkdtemp(prefix="mercato-run-")
     t = Tables.from_tpch(spark, SF_SMALL).without("order_reviews")
-    res = run_pipeline(t, out)
+    res = run_batch(t, out)
     assert "seller_scorecard" in res.errors or "summary.csv" in res.errors
     assert res.written["detail.parquet"] and res.written["monthly_series"]
 
@@ -45,13 +45,13 @@ def test_empty_result_is_not_written(spark):
 
     out = tempfile.mkdtemp(prefix="mercato-run-")
     t = Tables.from_tpch(spark, SF_SMALL)
-    res = run_pipeline(t, out, Params(seller_state="NO_SUCH_STATE"))
+    res = run_batch(t, out, Params(seller_state="NO_SUCH_STATE"))
     assert res.written["summary.csv"] is False and not os.path.exists(f"{out}/summary.csv")
 
 
 def test_outputs_are_written_in_report_order(spark):
     out = tempfile.mkdtemp(prefix="mercato-run-")
-    run_pipeline(Tables.from_tpch(spark, SF_SMALL), out)
+    run_batch(Tables.from_tpch(spark, SF_SMALL), out)
     import pyarrow.parquet as pq
 
     def in_file_order(path, column):  # part files by name, as a downstream reader would
