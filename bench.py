@@ -34,7 +34,10 @@ HEADLINE = [
 
 
 def _plan_stats(df) -> dict:
-    plan = df._jdf.queryExecution().executedPlan().toString()
+    try:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: no JVM handle
+        return {}
     return {
         "exchanges": len(re.findall(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition|RoundRobin)", plan)),
         "single_partition": plan.count("Exchange SinglePartition"),
@@ -55,11 +58,14 @@ def main() -> None:
         df.write.format("noop").mode("overwrite").save()
         return time.perf_counter() - t0, df
 
-    timings, plans = {}, {}
+    timings, plans, errors = {}, {}, {}
     for name in names:
-        _, df = once(name)  # warm-up
-        plans[name] = _plan_stats(df)
-        timings[name] = round(statistics.median(once(name)[0] for _ in range(runs)), 3)
+        try:
+            _, df = once(name)  # warm-up
+            plans[name] = _plan_stats(df)
+            timings[name] = round(statistics.median(once(name)[0] for _ in range(runs)), 3)
+        except Exception as exc:  # noqa: BLE001 - report and go on with the other queries
+            errors[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
         "metric": "sum_of_median_query_seconds",
@@ -70,6 +76,7 @@ def main() -> None:
         "cpus": cpus,
         "runs": runs,
         "plans": plans,
+        **({"errors": errors} if errors else {}),
     }))
     spark.stop()
 
