@@ -67,11 +67,14 @@ class Prefix:
     totals: dict  # summed column -> total over all rows (exact for decimals), None if no value
 
 
+MAX_BUCKETS = 4096  # bounds the quantile array, the offsets frame and the driver traffic
+
+
 def default_buckets(df: DataFrame) -> int:
-    """One bucket per shuffle partition (200 when the setting is not a number)."""
+    """One bucket per shuffle partition, at most :data:`MAX_BUCKETS` (200 if not a number)."""
     value = df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")
     try:
-        return max(1, int(value))
+        return max(1, min(int(value), MAX_BUCKETS))
     except ValueError:
         return 200
 
