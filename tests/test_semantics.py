@@ -194,3 +194,24 @@ def test_row_count_minimums_are_a_parameter(make_tables):
     r = {x["table_name"]: x for x in checks.check_row_counts(t, {"orders": 5, "order_items": 0}).collect()}
     assert r["orders"]["passed"] and r["orders"]["threshold"] == "5" and r["order_items"]["passed"]
     assert set(r) == {"orders", "order_items"}
+
+
+def test_operator_options(make_tables):  # K5 weights, K8 cuts, K11 windows, F10 threshold
+    first = "2020-01-01 12:00:00"
+    t = make_tables(
+        orders=[order(1, first, "2020-01-02", "2020-01-03"), order(2, "2020-01-05 12:00:00", "2020-01-06", "2020-01-09"),
+                order(3, "2020-01-02", "2020-01-04", "2020-01-03")],
+        order_items=[item(1, 10, 1, 70), item(2, 11, 2, 20), item(3, 12, 2, 10)],
+        customers=[(1, 100, "A"), (2, 100, "A"), (3, 300, "B")],
+        sellers=[(1, "S", "a"), (2, "S", "b")],
+    )
+    c = cohort.cohort_retention(t, windows=(3, 7)).first()
+    assert (c["returned_3d"], c["returned_7d"], c["retention_7d_pct"]) == (0, 1, 50.0)
+    assert {r["window_days"] for r in cohort.cohort_retention_long(t, windows=(3, 7)).collect()} == {3, 7}
+    tiers = rows(abc.abc_classification(t, fanout=False, cuts=(0.5, 0.9)), "product_id")
+    # cumulative 0.70, 0.90 (exactly on the cut: inclusive), 1.00
+    assert [tiers[p]["abc_class"] for p in (10, 11, 12)] == ["B", "B", "C"]
+    sc = rows(scorecard.seller_scorecard(t, weights=(1.0, 0.0, 0.0)), "seller_id")
+    assert sc[1]["composite_score"] == 100.0 and sc[2]["composite_score"] == 0.0  # revenue rank only: 70 > 30
+    assert {r["state"] for r in delivery.delivery_by_state(t, min_orders=1).collect()} == {"A", "B"}
+    assert delivery.delivery_by_state(t, min_orders=3).count() == 0
