@@ -5,8 +5,8 @@ range; with a seller state set, only items whose own seller is in the state
 count. The reference joins the items to *all* items of their order and never
 uses the second side, so each item counts once per item in its order
 (``fanout=True``, the parity default). Here that is a weight: items per order
-(a per-order count, partially aggregated, co-partitioned with the join on
-``order_id``) times price - no self-join, no pairs. Money is summed as
+(a count over the items x delivered-orders join, local to its ``order_id``
+partitions) times price - no self-join, no pairs. Money is summed as
 ``long`` cents (exact). ``fanout=False`` gives
 the plain revenue.
 
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercato.functions import cents_to_double, round_half_away, safe_div, to_cents
-from mercato.operators.filters import delivered_orders, items_of_state
+from mercato.operators.filters import delivered_items, items_of_state
 from mercato.operators.ranking import reliable, running_share
 from mercato.params import NO_FILTER, Params
 
@@ -44,22 +44,22 @@ def product_categories(t) -> DataFrame:
     )
 
 
-def _product_revenue_exact(t, params: Params, fanout: bool) -> DataFrame:
-    orders = delivered_orders(t, params).select("order_id")
-    all_items = t["order_items"]
+def _product_revenue_exact(t, params: Params, fanout: bool, joined: DataFrame | None = None) -> DataFrame:
+    base = joined if joined is not None else delivered_items(t, params)
     items = items_of_state(
-        all_items.select("order_id", "product_id", "seller_id", to_cents(F.col("price")).alias("cents")),
+        base.select("order_id", "product_id", "seller_id", to_cents(F.col("price")).alias("cents")),
         t["sellers"],
         params.state,
     )
-    j = items.join(orders, "order_id")
     if fanout:
-        per_order = all_items.groupBy("order_id").agg(F.count(F.lit(1)).alias("w"))
-        j = j.join(per_order, "order_id")
+        # every item of a delivered order is in ``base``: its count per order is
+        # the weight (local to the join's order_id partitions)
+        per_order = base.groupBy("order_id").agg(F.count(F.lit(1)).alias("w"))
+        j = items.join(per_order, "order_id")
         return j.groupBy("product_id").agg(
             F.sum(F.col("cents") * F.col("w")).alias("revenue"), F.sum(F.col("w")).alias("units_sold")
         )
-    return j.groupBy("product_id").agg(F.sum("cents").alias("revenue"), F.count(F.lit(1)).alias("units_sold"))
+    return items.groupBy("product_id").agg(F.sum("cents").alias("revenue"), F.count(F.lit(1)).alias("units_sold"))
 
 
 def product_revenue(t, params: Params = NO_FILTER, fanout: bool = False) -> DataFrame:
@@ -68,9 +68,11 @@ def product_revenue(t, params: Params = NO_FILTER, fanout: bool = False) -> Data
     return r.select("product_id", cents_to_double(F.col("revenue")).alias("revenue"), "units_sold")
 
 
-def product_shares(t, params: Params = NO_FILTER, fanout: bool = True, plain: bool = False) -> DataFrame:
+def product_shares(
+    t, params: Params = NO_FILTER, fanout: bool = True, plain: bool = False, joined: DataFrame | None = None
+) -> DataFrame:
     """``product_id, revenue (long cents), units_sold, revenue_share, cumulative_share``."""
-    r = _product_revenue_exact(t, params, fanout)
+    r = _product_revenue_exact(t, params, fanout, joined)
     if not plain:
         r = reliable(r)  # ranked and joined back: compute the joins once
     return running_share(
@@ -88,10 +90,12 @@ def product_cumulative_share(t, params: Params = NO_FILTER, fanout: bool = True)
     return s.select("product_id", cents_to_double(F.col("revenue")).alias("revenue"), "cumulative_share")
 
 
-def abc_detail(t, params: Params = NO_FILTER, fanout: bool = True, cuts=CUTS, plain: bool = False) -> DataFrame:
+def abc_detail(
+    t, params: Params = NO_FILTER, fanout: bool = True, cuts=CUTS, plain: bool = False, joined: DataFrame | None = None
+) -> DataFrame:
     """Unrounded classification (input to the report tables)."""
     a, b = cuts
-    s = product_shares(t, params, fanout, plain=plain)
+    s = product_shares(t, params, fanout, plain=plain, joined=joined)
     cum = F.col("cumulative_share")
     return s.join(product_categories(t), "product_id", "left").select(
         "product_id",
@@ -104,10 +108,12 @@ def abc_detail(t, params: Params = NO_FILTER, fanout: bool = True, cuts=CUTS, pl
     )
 
 
-def abc_classification(t, params: Params = NO_FILTER, fanout: bool = True, cuts=CUTS, plain: bool = False) -> DataFrame:
+def abc_classification(
+    t, params: Params = NO_FILTER, fanout: bool = True, cuts=CUTS, plain: bool = False, joined: DataFrame | None = None
+) -> DataFrame:
     """``product_id, category, revenue (2), units_sold, revenue_share_pct (4),
     cumulative_share_pct (2), abc_class``."""
-    d = abc_detail(t, params, fanout, cuts, plain=plain)
+    d = abc_detail(t, params, fanout, cuts, plain=plain, joined=joined)
     return d.select(
         "product_id",
         "category",

@@ -81,3 +81,28 @@ def active_orders(t, params: Params) -> DataFrame:
     """Active orders in the date range, restricted to orders with an in-state seller."""
     o = in_date_range(active(t["orders"]), params)
     return orders_with_seller_in(o, t["order_items"], t["sellers"], params.state)
+
+
+def delivered_items(t, params: Params) -> DataFrame:
+    """Items of delivered orders in the date range, with the order's timestamps.
+
+    The one large join shared by the scorecard, ABC and monthly analyses
+    (``order_id``); seller-state filters apply after it, each in its own
+    sense. The batch run computes it once and passes it to all three.
+    """
+    orders = delivered_orders(t, params).select(
+        "order_id",
+        "order_purchase_timestamp",
+        "order_delivered_customer_date",
+        "order_estimated_delivery_date",
+    )
+    items = t["order_items"].select("order_id", "product_id", "seller_id", "price", "freight_value")
+    return items.join(orders, "order_id")
+
+
+def orders_with_item_of_state(joined: DataFrame, sellers: DataFrame, state: str | None) -> DataFrame:
+    """Rows of ``joined`` (items with their orders) whose order holds an item of
+    a seller in ``state``: the order-level filter applied after the join."""
+    if not state:
+        return joined
+    return joined.join(order_ids_with_seller_in(joined, sellers, state), "order_id", "left_semi")

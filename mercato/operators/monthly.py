@@ -1,7 +1,8 @@
 """Monthly revenue trend and month-over-month growth.
 
-Plan: delivered orders in range (optionally only orders holding an in-state
-item) are joined with their items once, on ``order_id``, and one aggregate
+Plan: delivered orders in range are joined with their items once, on
+``order_id`` (shared with the scorecard and ABC in the batch run); with a
+seller state set, only orders holding an in-state item stay; one aggregate
 per month computes revenue and the two distinct counts (Catalyst's
 ``Expand`` rewrite, combined map-side, so the join is read once). The growth
 window then runs over one row per month, which is bounded by the calendar,
@@ -14,42 +15,40 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercato.functions import cents_to_double, month_label, month_start, round_half_away, safe_div, to_cents
-from mercato.operators.filters import delivered_orders, orders_with_seller_in
+from mercato.operators.filters import delivered_items, orders_with_item_of_state
 from mercato.params import NO_FILTER, Params
 
 
-def _order_months(t, params: Params) -> DataFrame:
-    o = delivered_orders(t, params)
-    o = orders_with_seller_in(o, t["order_items"], t["sellers"], params.state)
-    return o.select("order_id", month_start(F.col("order_purchase_timestamp")).alias("month"))
-
-
-def _monthly_exact(t, params: Params) -> DataFrame:
+def _monthly_exact(t, params: Params, joined: DataFrame | None = None) -> DataFrame:
     """``month, revenue (long cents, exact), order_count, active_sellers``.
 
     Revenue is price plus freight. With a seller state set, an order with
     one in-state item contributes all its items and sellers.
     """
-    items = t["order_items"].select(
-        "order_id", "seller_id", to_cents(F.col("price") + F.col("freight_value")).alias("amount")
+    base = joined if joined is not None else delivered_items(t, params)
+    base = orders_with_item_of_state(base, t["sellers"], params.state)
+    rows = base.select(
+        "order_id",
+        "seller_id",
+        month_start(F.col("order_purchase_timestamp")).alias("month"),
+        to_cents(F.col("price") + F.col("freight_value")).alias("amount"),
     )
-    joined = items.join(_order_months(t, params), "order_id")
     # one aggregate, one read of the join: Catalyst expands each row once per
     # distinct column and combines map-side before the shuffle
-    return joined.groupBy("month").agg(
+    return rows.groupBy("month").agg(
         F.sum("amount").alias("revenue"),
         F.count_distinct("order_id").alias("order_count"),
         F.count_distinct("seller_id").alias("active_sellers"),
     )
 
 
-def monthly_revenue(t, params: Params = NO_FILTER) -> DataFrame:
+def monthly_revenue(t, params: Params = NO_FILTER, joined: DataFrame | None = None) -> DataFrame:
     """``month, revenue (double, unrounded), order_count, active_sellers``."""
-    m = _monthly_exact(t, params)
+    m = _monthly_exact(t, params, joined)
     return m.select("month", cents_to_double(F.col("revenue")).alias("revenue"), "order_count", "active_sellers")
 
 
-def monthly_growth(t, params: Params = NO_FILTER) -> DataFrame:
+def monthly_growth(t, params: Params = NO_FILTER, joined: DataFrame | None = None) -> DataFrame:
     """``month, revenue, order_count, active_sellers, mom_growth_pct``.
 
     Growth compares with the previous *present* month (a month without
@@ -57,7 +56,7 @@ def monthly_growth(t, params: Params = NO_FILTER) -> DataFrame:
     the first month and when the previous revenue is 0. Rounded: revenue to
     2 decimals, growth to 1.
     """
-    m = _monthly_exact(t, params)
+    m = _monthly_exact(t, params, joined)
     w = Window.orderBy(F.col("month").asc_nulls_last())
     m = m.withColumn("prev", F.lag("revenue").over(w))
     # exact difference first, then both operands as double amounts

@@ -1,8 +1,9 @@
 """Seller scorecard: revenue, delivery and reviews, ranked into one score.
 
 Plan: delivered orders in range are joined with their items once, on
-``order_id``, and with reviews pre-aggregated per order (``sum`` and
-``count`` of scores, co-partitioned on ``order_id``). One aggregate per
+``order_id`` (:func:`~mercato.operators.filters.delivered_items`, shared with
+ABC and monthly revenue in the batch run), and with reviews pre-aggregated
+per order (``sum`` and ``count`` of scores, co-partitioned on ``order_id``). One aggregate per
 seller then yields every metric:
 
 * revenue (price + freight, exact, in long cents) and distinct orders;
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mercato.functions import cents_to_double, day_diff, round_half_away, safe_div, to_cents
-from mercato.operators.filters import delivered_orders, items_of_state, sellers_in
+from mercato.operators.filters import delivered_items, items_of_state, sellers_in
 from mercato.operators.ranking import percent_ranks, reliable
 from mercato.params import NO_FILTER, Params
 
@@ -30,18 +31,6 @@ from mercato.params import NO_FILTER, Params
 WEIGHTS = (0.40, 0.30, 0.30)
 
 
-def _order_facts(t, params: Params) -> DataFrame:
-    delivered_at = F.col("order_delivered_customer_date")
-    estimated_at = F.col("order_estimated_delivery_date")
-    return delivered_orders(t, params).select(
-        "order_id",
-        F.when(delivered_at.isNotNull() & estimated_at.isNotNull(), day_diff(delivered_at, estimated_at)).alias(
-            "days_early"
-        ),
-        F.when(delivered_at <= estimated_at, 1).otherwise(0).alias("on_time"),
-    )
-
-
 def _reviews_per_order(t) -> DataFrame:
     return t["order_reviews"].groupBy("order_id").agg(
         F.sum("review_score").alias("score_sum"),
@@ -50,19 +39,30 @@ def _reviews_per_order(t) -> DataFrame:
     )
 
 
-def seller_metrics(t, params: Params = NO_FILTER) -> DataFrame:
+def seller_metrics(t, params: Params = NO_FILTER, joined: DataFrame | None = None) -> DataFrame:
     """Per seller with delivered orders: exact sums behind every metric.
 
-    With a seller state set, only that state's sellers are ranked, and a
-    seller's metrics depend only on its own items: the items are restricted
-    to in-state sellers before the join, so the join and the aggregate
-    shrink with the state's share.
+    ``joined`` is :func:`~mercato.operators.filters.delivered_items` (computed
+    here when not given). With a seller state set, only that state's sellers
+    are ranked and a seller's metrics depend only on its own items, so the
+    items are restricted to in-state sellers first.
     """
-    items = items_of_state(
-        t["order_items"].select("order_id", "seller_id", "price", "freight_value"), t["sellers"], params.state
-    ).select("order_id", "seller_id", to_cents(F.col("price") + F.col("freight_value")).alias("amount"))
-    joined = items.join(_order_facts(t, params), "order_id").join(_reviews_per_order(t), "order_id", "left")
-    return joined.groupBy("seller_id").agg(
+    base = joined if joined is not None else delivered_items(t, params)
+    base = items_of_state(base, t["sellers"], params.state)
+    delivered_at = F.col("order_delivered_customer_date")
+    estimated_at = F.col("order_estimated_delivery_date")
+    items = base.select(
+        "order_id",
+        "seller_id",
+        to_cents(F.col("price") + F.col("freight_value")).alias("amount"),
+        F.when(delivered_at.isNotNull() & estimated_at.isNotNull(), day_diff(delivered_at, estimated_at)).alias(
+            "days_early"
+        ),
+        # an item without a delivery date counts as late
+        F.when(delivered_at <= estimated_at, 1).otherwise(0).alias("on_time"),
+    )
+    with_reviews = items.join(_reviews_per_order(t), "order_id", "left")
+    return with_reviews.groupBy("seller_id").agg(
         F.sum("amount").alias("total_revenue"),
         F.count_distinct("order_id").alias("total_orders"),
         F.avg("days_early").alias("avg_days_early"),
@@ -92,9 +92,9 @@ def seller_reviews(t, params: Params = NO_FILTER) -> DataFrame:
     return m.select("seller_id", safe_div(F.col("score_sum"), F.col("score_n")).alias("avg_review_score"))
 
 
-def seller_combined(t, params: Params = NO_FILTER) -> DataFrame:
+def seller_combined(t, params: Params = NO_FILTER, joined: DataFrame | None = None) -> DataFrame:
     """Sellers (of the state, if set) with at least one order, metrics defaulted to 0."""
-    m = seller_metrics(t, params)
+    m = seller_metrics(t, params, joined)
     sellers = sellers_in(t["sellers"], params.state).select("seller_id", "seller_state", "seller_city")
     return sellers.join(m, "seller_id").where(F.col("total_orders") > 0).select(
         "seller_id",
@@ -108,16 +108,20 @@ def seller_combined(t, params: Params = NO_FILTER) -> DataFrame:
     )
 
 
-def seller_percent_ranks(t, params: Params = NO_FILTER, plain: bool = False) -> DataFrame:
+def seller_percent_ranks(
+    t, params: Params = NO_FILTER, plain: bool = False, joined: DataFrame | None = None
+) -> DataFrame:
     """Combined sellers plus ``pr_revenue, pr_on_time, pr_review`` in [0, 1]."""
-    c = seller_combined(t, params)
+    c = seller_combined(t, params, joined)
     if not plain:
         c = reliable(c)  # read by the ranking jobs and the final joins: compute it once
     ranks = {"total_revenue": "pr_revenue", "on_time_rate": "pr_on_time", "avg_review_score": "pr_review"}
     return percent_ranks(c, ranks, plain=plain, checkpointed=True)
 
 
-def seller_scorecard(t, params: Params = NO_FILTER, weights=WEIGHTS, plain: bool = False) -> DataFrame:
+def seller_scorecard(
+    t, params: Params = NO_FILTER, weights=WEIGHTS, plain: bool = False, joined: DataFrame | None = None
+) -> DataFrame:
     """One row per ranked seller.
 
     ``seller_id, seller_state, seller_city, total_revenue (unrounded),
@@ -127,7 +131,7 @@ def seller_scorecard(t, params: Params = NO_FILTER, weights=WEIGHTS, plain: bool
     without reviews score 0 on reviews.
     """
     w_rev, w_on, w_review = weights
-    r = seller_percent_ranks(t, params, plain=plain)
+    r = seller_percent_ranks(t, params, plain=plain, joined=joined)
     composite = (F.col("pr_revenue") * w_rev + F.col("pr_on_time") * w_on + F.col("pr_review") * w_review) * 100
     return r.select(
         "seller_id",

@@ -125,3 +125,22 @@ def test_reference_named_api(spark):
     assert api.get_cohort_retention(t).count() > 0 and api.get_delivery_analysis(t).count() > 0
     assert api.validate(t) is False  # two of the nine tables have no counterpart in the mapping
     assert api.validate(t.without()) is False
+
+
+def test_batch_outputs_equal_standalone_operators(spark):
+    from mercato.operators import abc, monthly, scorecard
+    from mercato.params import Params
+
+    p = Params(start_date="1996-01-01", seller_state="NATION_3")
+    out = tempfile.mkdtemp(prefix="mercato-run-")
+    t = Tables.from_tpch(spark, SF_SMALL)
+    res = run_batch(t, out, p)
+    assert not res.errors
+
+    def same(path, df):
+        a = sorted(tuple(r) for r in spark.read.parquet(path).select(*df.columns).collect())
+        return a == sorted(tuple(r) for r in df.collect())
+
+    assert same(f"{out}/report/seller_scorecard", scorecard.seller_scorecard(t, p))
+    assert same(f"{out}/detail.parquet", abc.abc_classification(t, p))
+    assert same(f"{out}/report/monthly_series", monthly.monthly_growth(t, p))
