@@ -5,8 +5,8 @@ range; with a seller state set, only items whose own seller is in the state
 count. The reference joins the items to *all* items of their order and never
 uses the second side, so each item counts once per item in its order
 (``fanout=True``, the parity default). Here that is a weight: items per order
-(a count over the items x delivered-orders join, local to its ``order_id``
-partitions) times price - no self-join, no pairs. Money is summed as
+(a per-order count, partially aggregated, co-partitioned with the join on
+``order_id``) times price - no self-join, no pairs. Money is summed as
 ``long`` cents (exact). ``fanout=False`` gives
 the plain revenue.
 
@@ -52,9 +52,9 @@ def _product_revenue_exact(t, params: Params, fanout: bool, joined: DataFrame |
         params.state,
     )
     if fanout:
-        # every item of a delivered order is in ``base``: its count per order is
-        # the weight (local to the join's order_id partitions)
-        per_order = base.groupBy("order_id").agg(F.count(F.lit(1)).alias("w"))
+        # items per order, counted on the items table with map-side combine (one
+        # row per order crosses the shuffle), then co-partitioned with the join
+        per_order = t["order_items"].groupBy("order_id").agg(F.count(F.lit(1)).alias("w"))
         j = items.join(per_order, "order_id")
         return j.groupBy("product_id").agg(
             F.sum(F.col("cents") * F.col("w")).alias("revenue"), F.sum(F.col("w")).alias("units_sold")
