@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mercato.llm import bpe, records, token_counts
+from mercato.llm import (
+    bpe,
+    chat,
+    decontam,
+    embedding_dedup,
+    ngram_jaccard,
+    pitman_yor,
+    quality,
+    records,
+    token_counts,
+    toxicity,
+)
 from mercato.llm.common import table
 
 
@@ -17,6 +28,19 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.toxicity(docs, toxicity.train(docs, labels))
+
+
+def op3_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.scores(table(spark, sf_dir, "documents"))
+
+
 def op4_record_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.record_digests(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
@@ -25,10 +49,29 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 
+def op6_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.linked_calls(*chat.calls_of_turns(table(spark, sf_dir, "conversations")))
+
+
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality.quality(docs, quality.QualityModel(docs, labels))
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoding_digests(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_record_output, op5_token_counts, op10_bpe)
+    f.__name__: f
+    for f in (op1_ngram_jaccard, op2_toxicity, op3_pitman_yor, op4_record_output, op5_token_counts, op6_tool_calls,
+              op7_embedding_dedup, op8_quality, op9_decontamination, op10_bpe)
 }
