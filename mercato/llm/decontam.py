@@ -72,30 +72,52 @@ def _word_counts(docs: DataFrame, text_col: str, words: set[bytes]) -> dict[byte
     return {bytes(r["word"]): r["n"] for r in part.groupBy("word").agg(F.sum("n").alias("n")).collect()}
 
 
-def _join_block(rows: DataFrame, rarity: dict[bytes, int], windows: dict[tuple, set[str]]) -> DataFrame:
-    """Add one block's hits to (doc_id, text, n_words, spans, items)."""
+def _index(rarity: dict[bytes, int], windows: dict[tuple, set[str]]) -> dict[bytes, list]:
+    """Prefix word -> (its place in the window, the window's words, ids of the items)."""
     index: dict[bytes, list] = {}
     for w, items in windows.items():
-        at = min(range(len(w)), key=lambda i: (rarity.get(w[i], 0), w[i], i))  # the prefix under the rarity order
         if all(x in rarity for x in w):  # else some word is in no document
+            at = min(range(len(w)), key=lambda i: (rarity[w[i]], w[i], i))
             index.setdefault(w[at], []).append((at, list(w), sorted(items)))
-    held = rows.sparkSession.sparkContext.broadcast(index)
+    return index
+
+
+def matches(words: list[bytes], prefix: dict[bytes, list]):
+    """(first, end, item ids) of every window that occurs."""
+    n = len(words)
+    for p in [i for i, w in enumerate(words) if w in prefix]:
+        for at, window, ids in prefix[words[p]]:
+            lo = p - at
+            hi = lo + len(window)
+            if lo >= 0 and hi <= n and words[lo:hi] == window:
+                yield lo, hi, ids
+
+
+def _blocks(docs: DataFrame, benchmark: DataFrame, width: int, block_bytes: int, text_col: str):
+    """The prefix index of each block of items, handed to all tasks."""
+    bench = benchmark.select("item_id", "text")
+    size = bench.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
+    blocks = max(1, -(-size // block_bytes))
+    for k in range(blocks):
+        part = bench if blocks == 1 else bench.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
+        windows = _windows(part.collect(), width)  # one block of bounded size
+        rarity = _word_counts(docs, text_col, {x for w in windows for x in w})
+        yield k + 1 == blocks, docs.sparkSession.sparkContext.broadcast(_index(rarity, windows))
+
+
+def _join_block(rows: DataFrame, held) -> DataFrame:
+    """Add one block's hits to (doc_id, text, n_words, spans, items)."""
 
     def join(batches):
-        prefix = held.value
         for b in batches:
             n_words, all_spans, all_items = [], [], []
             for t, spans, items in zip(raw(b.column(1)), b.column(3).to_pylist(), b.column(4).to_pylist()):
                 words = item_words(t)
-                n, items, spans = len(words), set(items), set(zip(spans[::2], spans[1::2]))
-                for p in [i for i, w in enumerate(words) if w in prefix]:
-                    for at, window, ids in prefix[words[p]]:
-                        lo = p - at
-                        hi = lo + len(window)
-                        if lo >= 0 and hi <= n and words[lo:hi] == window:
-                            spans.add((lo, hi))
-                            items.update(ids)
-                n_words.append(n)
+                items, spans = set(items), set(zip(spans[::2], spans[1::2]))
+                for lo, hi, ids in matches(words, held.value):
+                    spans.add((lo, hi))
+                    items.update(ids)
+                n_words.append(len(words))
                 all_spans.append([x for s in sorted(spans) for x in s])
                 all_items.append(sorted(items))
             yield pa.RecordBatch.from_arrays(
@@ -108,22 +130,33 @@ def _join_block(rows: DataFrame, rarity: dict[bytes, int], windows: dict[tuple,
 def occurrences(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, block_bytes: int = BLOCK_BYTES,
                 id_col="doc_id", text_col="text") -> DataFrame:
     """Per document: doc_id, text, n_words, spans (flat list of first, end word) and items of windows that occur."""
-    bench = benchmark.select("item_id", "text")
-    size = bench.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
-    blocks = max(1, -(-size // block_bytes))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                        F.lit(0).cast("long").alias("n_words"), F.array().cast("array<long>").alias("spans"),
                        F.array().cast("array<string>").alias("items"))
-    for k in range(blocks):
-        part = bench if blocks == 1 else bench.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
-        windows = _windows(part.collect(), width)  # one block of bounded size
-        rarity = _word_counts(docs, text_col, {x for w in windows for x in w})
-        rows = _join_block(rows, rarity, windows)
-        if k + 1 < blocks:
+    for last, held in _blocks(docs, benchmark, width, block_bytes, text_col):
+        rows = _join_block(rows, held)
+        if not last:
             rows = stored(rows, "decontam")
     return rows
 
 
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, block_bytes: int = BLOCK_BYTES,
+                         text_col="text") -> DataFrame:
+    """The rows of ``docs``, all columns, in which no window occurs."""
+    out = docs
+    for _, held in _blocks(docs, benchmark, width, block_bytes, text_col):
+        out = out.where(_clean(held)(F.col(text_col)))
+    return out
+
+
+def _clean(held):
+    @F.arrow_udf("boolean")
+    def clean(texts: pa.Array) -> pa.Array:
+        return pa.array([next(matches(item_words(t), held.value), None) is None for t in raw(texts)], pa.bool_())
+
+    return clean
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, **kw) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated of every document."""
 

@@ -298,3 +298,8 @@ def jaccard_components(docs: DataFrame, id_col="doc_id", text_col="text", max_ho
     out = out.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     empty = sets.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return out.unionByName(empty)
+
+
+def stored_components(docs: DataFrame, **kw) -> DataFrame:
+    """:func:`jaccard_components`, written to the shared folder, for results that are read more than once."""
+    return stored(jaccard_components(docs, **kw), "components")
