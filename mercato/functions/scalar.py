@@ -58,7 +58,9 @@ def safe_div(numerator: Column, denominator: Column) -> Column:
 
 def ts_literal(day: _dt.datetime) -> Column:
     """A ``timestamp_ntz`` literal built from text, independent of any time zone."""
-    return F.lit(day.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+    if day.tzinfo is not None:
+        raise ValueError(f"{day} has a time zone; the tables' timestamps have none")
+    return F.lit(day.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
 
 
 def to_cents(money: Column) -> Column:

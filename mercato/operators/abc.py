@@ -4,11 +4,11 @@ Revenue is the sum of item prices (no freight) over delivered orders in
 range; with a seller state set, only items whose own seller is in the state
 count. The reference joins the items to *all* items of their order and never
 uses the second side, so each item counts once per item in its order
-(``fanout=True``, the parity default). Here that is a weight: items per order
-(a per-order count, partially aggregated, co-partitioned with the join on
-``order_id``) times price - no self-join, no pairs. Money is summed as
-``long`` cents (exact). ``fanout=False`` gives
-the plain revenue.
+(``fanout=True``, the parity default). Here that is a weight, the number of
+items of the order, held by the stored order-level frame
+(:func:`~mercato.operators.filters.order_frame`) that the items join once: no
+self-join, no pairs. Money is summed as ``long`` cents (exact).
+``fanout=False`` gives the plain revenue.
 
 Shares are against the grand total of the filtered set; the cumulative share
 is a running sum in descending revenue order where tied products share the
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercato.functions import cents_to_double, round_half_away, safe_div, to_cents
-from mercato.operators.filters import delivered_items, items_of_state
+from mercato.operators.filters import delivered_orders, items_of_state, order_frame, with_orders
 from mercato.operators.ranking import reliable, running_share
 from mercato.params import NO_FILTER, Params
 
@@ -44,22 +44,18 @@ def product_categories(t) -> DataFrame:
     )
 
 
-def _product_revenue_exact(t, params: Params, fanout: bool, joined: DataFrame | None = None) -> DataFrame:
-    base = joined if joined is not None else delivered_items(t, params)
-    items = items_of_state(
-        base.select("order_id", "product_id", "seller_id", to_cents(F.col("price")).alias("cents")),
-        t["sellers"],
-        params.state,
-    )
+def _product_revenue_exact(t, params: Params, fanout: bool, orders: DataFrame | None = None) -> DataFrame:
+    if orders is None:
+        orders = order_frame(t, params, weights=True) if fanout else delivered_orders(t, params).select("order_id")
+    items = items_of_state(t["order_items"], t["sellers"], params.state) if params.state else t["order_items"]
+    items = items.select("order_id", "product_id", to_cents(F.col("price")).alias("cents"))
     if fanout:
-        # items per order, counted on the items table with map-side combine (one
-        # row per order crosses the shuffle), then co-partitioned with the join
-        per_order = t["order_items"].groupBy("order_id").agg(F.count(F.lit(1)).alias("w"))
-        j = items.join(per_order, "order_id")
+        j = with_orders(items, orders.select("order_id", "n_items"))
         return j.groupBy("product_id").agg(
-            F.sum(F.col("cents") * F.col("w")).alias("revenue"), F.sum(F.col("w")).alias("units_sold")
+            F.sum(F.col("cents") * F.col("n_items")).alias("revenue"), F.sum("n_items").alias("units_sold")
         )
-    return items.groupBy("product_id").agg(F.sum("cents").alias("revenue"), F.count(F.lit(1)).alias("units_sold"))
+    j = with_orders(items, orders.select("order_id"))
+    return j.groupBy("product_id").agg(F.sum("cents").alias("revenue"), F.count(F.lit(1)).alias("units_sold"))
 
 
 def product_revenue(t, params: Params = NO_FILTER, fanout: bool = False) -> DataFrame:
@@ -69,10 +65,17 @@ def product_revenue(t, params: Params = NO_FILTER, fanout: bool = False) -> Data
 
 
 def product_shares(
-    t, params: Params = NO_FILTER, fanout: bool = True, plain: bool = False, joined: DataFrame | None = None
+    t, params: Params = NO_FILTER, fanout: bool = True, plain: bool = False, orders: DataFrame | None = None,
+    categories: bool = False,
 ) -> DataFrame:
-    """``product_id, revenue (long cents), units_sold, revenue_share, cumulative_share``."""
-    r = _product_revenue_exact(t, params, fanout, joined)
+    """``product_id, revenue (long cents), units_sold, revenue_share, cumulative_share``.
+
+    ``categories`` adds the category, joined while the aggregate is still
+    partitioned by product.
+    """
+    r = _product_revenue_exact(t, params, fanout, orders)
+    if categories:
+        r = r.join(product_categories(t), "product_id", "left")
     if not plain:
         r = reliable(r)  # ranked and joined back: compute the joins once
     return running_share(
@@ -91,13 +94,13 @@ def product_cumulative_share(t, params: Params = NO_FILTER, fanout: bool = True)
 
 
 def abc_detail(
-    t, params: Params = NO_FILTER, fanout: bool = True, cuts=CUTS, plain: bool = False, joined: DataFrame | None = None
+    t, params: Params = NO_FILTER, fanout: bool = True, cuts=CUTS, plain: bool = False, orders: DataFrame | None = None
 ) -> DataFrame:
     """Unrounded classification (input to the report tables)."""
     a, b = cuts
-    s = product_shares(t, params, fanout, plain=plain, joined=joined)
+    s = product_shares(t, params, fanout, plain=plain, orders=orders, categories=True)
     cum = F.col("cumulative_share")
-    return s.join(product_categories(t), "product_id", "left").select(
+    return s.select(
         "product_id",
         F.coalesce(F.col("category"), F.lit("Unknown")).alias("category"),
         "revenue",
@@ -109,11 +112,11 @@ def abc_detail(
 
 
 def abc_classification(
-    t, params: Params = NO_FILTER, fanout: bool = True, cuts=CUTS, plain: bool = False, joined: DataFrame | None = None
+    t, params: Params = NO_FILTER, fanout: bool = True, cuts=CUTS, plain: bool = False, orders: DataFrame | None = None
 ) -> DataFrame:
     """``product_id, category, revenue (2), units_sold, revenue_share_pct (4),
     cumulative_share_pct (2), abc_class``."""
-    d = abc_detail(t, params, fanout, cuts, plain=plain, joined=joined)
+    d = abc_detail(t, params, fanout, cuts, plain=plain, orders=orders)
     return d.select(
         "product_id",
         "category",

@@ -2,22 +2,29 @@
 
 Every check yields rows ``check_name, table_name, column_name, observed,
 threshold, passed`` (``observed``/``threshold`` as text, so all checks share
-one schema). A missing table is a failed row, not an exception. Each table
-is scanned once: row count, non-NULL counts of its key columns and, for
-``orders``, the purchase-date range come from one aggregate.
+one schema). A missing table or column is a failed row, not an exception, and
+:func:`run_checks` turns an error while a table is read into failed rows of that
+table alone. Each table is scanned once: row count, non-NULL counts of its key
+columns and, for ``orders``, the purchase-date range come from one aggregate;
+stored amounts with more than two decimals are counted in a second one, only
+where the stored type allows them.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import logging
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mercato.functions import ts_literal
+from mercato.sources.schema import altered_money
 from mercato.sources.tables import EXPECTED_TABLES
 
+log = logging.getLogger("mercato")
+
 # Key columns that must hold at least one non-NULL value.
 KEY_COLUMNS: dict[str, tuple[str, ...]] = {
     "orders": ("order_id", "customer_id"),
@@ -75,12 +82,22 @@ def _table_checks(
     df = t[table]
     key_cols = KEY_COLUMNS.get(table, ()) if keys else ()
     minimum = (MIN_ROW_COUNTS if minimums is None else minimums).get(table) if rows else None
+    absent = [c for c in key_cols if c not in df.columns]
+    key_cols = [c for c in key_cols if c in df.columns]
     want_dates = dates and table == DATE_TABLE
+    if want_dates and DATE_COLUMN not in df.columns:
+        want_dates = False
+        absent.append(DATE_COLUMN)
+    lost = None
+    if absent:
+        lost = _fixed(df.sparkSession, [
+            ("date_range" if c == DATE_COLUMN else "key_column_non_null", table, c, "column missing", None if c == DATE_COLUMN else "1", False)
+            for c in absent])
     aggs = [F.count(F.lit(1)).alias("_rows")] + [F.count(c).alias(f"_nn_{c}") for c in key_cols]
     if want_dates:
         aggs += [F.min(DATE_COLUMN).alias("_min_ts"), F.max(DATE_COLUMN).alias("_max_ts")]
     if not key_cols and minimum is None and not want_dates:
-        return None
+        return lost
     prof = df.agg(*aggs)
     structs = [
         _row("key_column_non_null", table, c, F.col(f"_nn_{c}"), "1", F.col(f"_nn_{c}") >= 1) for c in key_cols
@@ -100,7 +117,8 @@ def _table_checks(
                 F.coalesce(low <= ts_literal(when), F.lit(False)),
             )
         )
-    return prof.select(F.inline(F.array(*structs)))
+    out = prof.select(F.inline(F.array(*structs)))
+    return out if lost is None else out.unionByName(lost)
 
 
 def _missing_rows(t, tables, check: str, columns: dict | None = None, thresholds: dict | None = None) -> list[tuple]:
@@ -154,12 +172,45 @@ def all_checks(t, now: _dt.datetime | None = None) -> DataFrame:
     """Every check, one scan per table."""
     names = list(dict.fromkeys([*KEY_COLUMNS, *MIN_ROW_COUNTS, DATE_TABLE]))
     parts = [_table_checks(t, n, True, True, True, now) for n in names if n in t]
+    return _union(t.spark, parts + money_checks(t), _fixed_rows(t))
+
+
+def _fixed_rows(t) -> list[tuple]:
+    """Rows that need no table: presence, and the checks of missing tables."""
     fixed = _presence_rows(t)
     fixed += _missing_rows(t, KEY_COLUMNS, "key_column_non_null", KEY_COLUMNS, {n: 1 for n in KEY_COLUMNS})
     fixed += _missing_rows(t, MIN_ROW_COUNTS, "min_row_count", None, MIN_ROW_COUNTS)
     if DATE_TABLE not in t:
         fixed.append(("date_range", DATE_TABLE, DATE_COLUMN, None, None, False))
-    return _union(t.spark, parts, fixed)
+    return fixed
+
+
+def money_checks(t) -> list[DataFrame]:
+    """Per table: how many stored amounts are rounded on load (none may be)."""
+    out = []
+    for table, df in getattr(t, "stored", {}).items():
+        bad = altered_money(df, table)
+        if table not in t or not bad:
+            continue
+        counts = df.agg(*[F.count(F.when(cond, 1)).alias(c) for c, cond in bad.items()])
+        rows = [_row("money_two_decimals", table, c, F.col(c), "0", F.col(c) == 0) for c in bad]
+        out.append(counts.select(F.inline(F.array(*rows))))
+    return out
+
+
+def run_checks(t, now: _dt.datetime | None = None) -> list[dict]:
+    """Every check's row, each table run on its own: an error fails that table's checks and no others."""
+    names = [n for n in dict.fromkeys([*KEY_COLUMNS, *MIN_ROW_COUNTS, DATE_TABLE]) if n in t]
+    parts = [(n, lambda n=n: _table_checks(t, n, True, True, True, now)) for n in names]
+    parts += [("money", lambda p=p: p) for p in money_checks(t)]
+    rows = [dict(zip(CHECK_SCHEMA.names, r)) for r in _fixed_rows(t)]
+    for name, build in parts:
+        try:
+            rows += [r.asDict() for r in build().collect()]  # a handful of rows
+        except Exception as exc:  # noqa: BLE001 - reported as a failed check
+            log.error("checks of %s failed: %s", name, exc)
+            rows.append(dict(zip(CHECK_SCHEMA.names, ("readable", name, None, f"{type(exc).__name__}: {exc}"[:500], None, False))))
+    return rows
 
 
 def check_summary(t, now: _dt.datetime | None = None) -> DataFrame:

@@ -9,19 +9,17 @@ first (an order at the same instant does not count), within N days
 inclusive. Cohorts near the end of the data have unfinished windows; no
 correction is made.
 
-Plan, with no window over a person's rows (a single person may hold a large
-share of all orders):
-
-1. ``firsts``: ``min(ts)`` per person, combined map-side;
-2. purchases joined with ``firsts`` on the person (a skewed person is split
-   by adaptive execution, ``firsts`` has one row per person), then
-   ``min(ts) where ts > first`` per person, again combined map-side;
-3. counts per cohort month (few groups, combined map-side).
+Plan: orders join customers once; equal (person, instant) pairs are collapsed,
+combined map-side; each person's instants are ranked and only the first two kept,
+which Spark also does per task before the shuffle (a partial group limit), so a
+person with a third of all purchases sends two rows per task; minimum and maximum
+of those two are the first and second purchase. Counts per cohort month are a
+few groups, combined map-side.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercato.functions import month_start, round_half_away, safe_div
@@ -53,13 +51,16 @@ def customer_first_purchase(t, params: Params = NO_FILTER) -> DataFrame:
 
 def second_purchase(t, params: Params = NO_FILTER) -> DataFrame:
     """``customer_unique_id, cohort_month, first_purchase_ts, second_purchase_ts`` (NULL if none)."""
-    p = purchases(t, params)
-    firsts = p.groupBy("customer_unique_id").agg(F.min("ts").alias("first_purchase_ts"))
-    later = F.when(F.col("ts") > F.col("first_purchase_ts"), F.col("ts"))
+    instants = purchases(t, params).groupBy("customer_unique_id", "ts").agg(F.count(F.lit(1)).alias("orders"))
+    order = Window.partitionBy("customer_unique_id").orderBy("ts")
+    # after the collapse no two rows tie, so row numbers are dense ranks
+    two = instants.select("customer_unique_id", "ts", F.row_number().over(order).alias("place")).where(F.col("place") <= 2)
     return (
-        p.join(firsts, "customer_unique_id")
-        .groupBy("customer_unique_id", "first_purchase_ts")
-        .agg(F.min(later).alias("second_purchase_ts"))
+        two.groupBy("customer_unique_id")
+        .agg(
+            F.min("ts").alias("first_purchase_ts"),
+            F.min(F.when(F.col("place") == 2, F.col("ts"))).alias("second_purchase_ts"),
+        )
         .select(
             "customer_unique_id",
             month_start(F.col("first_purchase_ts")).alias("cohort_month"),

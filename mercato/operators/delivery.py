@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.functions import day_diff, round_half_away
+from mercato.functions import day_diff, round_half_away, safe_div
 from mercato.operators.filters import delivered, in_date_range, orders_with_seller_in
 from mercato.params import NO_FILTER, Params
 
@@ -56,11 +56,18 @@ def delivery_by_state(t, params: Params = NO_FILTER, min_orders: int = MIN_ORDER
         F.avg("actual_days").alias("avg_actual_days"),
         F.avg("estimated_days").alias("avg_estimated_days"),
         F.avg("days_early").alias("avg_days_early"),
-        F.stddev_samp("actual_days").alias("stddev_actual_days"),
+        F.sum("actual_days").alias("days"),
+        F.sum(F.col("actual_days").cast("long") * F.col("actual_days")).alias("days_squared"),
         F.sum(F.when(F.col("days_early") >= 0, 1).otherwise(0)).alias("on_time"),
         F.min("actual_days").cast("long").alias("min_actual_days"),
         F.max("actual_days").cast("long").alias("max_actual_days"),
     )
+    # from exact whole sums, so the result does not depend on the order of merging:
+    # (n * sum(d^2) - sum(d)^2) / (n * (n - 1))
+    n = F.col("order_count").cast("decimal(19,0)")
+    spread = n * F.col("days_squared").cast("decimal(19,0)") - F.col("days").cast("decimal(19,0)") * F.col("days").cast("decimal(19,0)")
+    pairs = F.col("order_count").cast("double") * (F.col("order_count") - 1).cast("double")
+    agg = agg.withColumn("stddev_actual_days", F.sqrt(safe_div(spread, pairs)))
     return agg.where(F.col("order_count") >= min_orders).select(
         "state",
         "order_count",
@@ -74,6 +81,10 @@ def delivery_by_state(t, params: Params = NO_FILTER, min_orders: int = MIN_ORDER
     )
 
 
+def days_early_of(by_state: DataFrame) -> DataFrame:
+    return by_state.select("state", "avg_days_early")
+
+
 def delivery_days_early(t, params: Params = NO_FILTER) -> DataFrame:
     """Chart data: ``state, avg_days_early``."""
-    return delivery_by_state(t, params).select("state", "avg_days_early")
+    return days_early_of(delivery_by_state(t, params))

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mercato.functions import ts_literal
+from mercato.operators.ranking import reliable
 from mercato.params import Params
 
 # Order states dropped by the cohort analysis.
@@ -83,26 +84,36 @@ def active_orders(t, params: Params) -> DataFrame:
     return orders_with_seller_in(o, t["order_items"], t["sellers"], params.state)
 
 
-def delivered_items(t, params: Params) -> DataFrame:
-    """Items of delivered orders in the date range, with the order's timestamps.
+def reviews_per_order(t) -> DataFrame:
+    return t["order_reviews"].groupBy("order_id").agg(
+        F.sum("review_score").alias("score_sum"),
+        F.count("review_score").alias("score_n"),
+        F.count(F.lit(1)).alias("review_n"),
+    )
+
+
+def items_per_order(t) -> DataFrame:
+    return t["order_items"].groupBy("order_id").agg(F.count(F.lit(1)).alias("n_items"))
+
+
+def order_frame(t, params: Params, reviews: bool = False, weights: bool = False) -> DataFrame:
+    """Delivered orders in the date range, one row each, written to the checkpoint folder.
 
-    The one large join shared by the scorecard, ABC and monthly analyses
-    (``order_id``); seller-state filters apply after it, each in its own
-    sense. The batch run computes it once and passes it to all three.
+    With the order's timestamps; ``reviews`` adds its review sums, ``weights``
+    its number of items. The aggregates below it combine map-side, so an
+    order that holds a third of all items or reviews is a few rows here. The
+    items then join this stored frame directly, each side behind a shuffle of
+    its own: the shape in which adaptive execution splits a hot order.
     """
     orders = delivered_orders(t, params).select(
-        "order_id",
-        "order_purchase_timestamp",
-        "order_delivered_customer_date",
-        "order_estimated_delivery_date",
-    )
-    items = t["order_items"].select("order_id", "product_id", "seller_id", "price", "freight_value")
-    return items.join(orders, "order_id")
+        "order_id", "order_purchase_timestamp", "order_delivered_customer_date", "order_estimated_delivery_date")
+    if reviews:
+        orders = orders.join(reviews_per_order(t), "order_id", "left")
+    if weights:
+        orders = orders.join(items_per_order(t), "order_id", "left")
+    return reliable(orders)
 
 
-def orders_with_item_of_state(joined: DataFrame, sellers: DataFrame, state: str | None) -> DataFrame:
-    """Rows of ``joined`` (items with their orders) whose order holds an item of
-    a seller in ``state``: the order-level filter applied after the join."""
-    if not state:
-        return joined
-    return joined.join(order_ids_with_seller_in(joined, sellers, state), "order_id", "left_semi")
+def with_orders(items: DataFrame, orders: DataFrame) -> DataFrame:
+    """The one large join: items with the columns of their order."""
+    return items.join(orders, "order_id")

@@ -1,12 +1,13 @@
 """Monthly revenue trend and month-over-month growth.
 
 Plan: delivered orders in range are joined with their items once, on
-``order_id`` (shared with the scorecard and ABC in the batch run); with a
-seller state set, only orders holding an in-state item stay; one aggregate
-per month computes revenue and the two distinct counts (Catalyst's
+``order_id``. With a seller state set, the *orders* are first restricted to those
+holding an in-state item and stored (one row per order), so the items still join
+a frame that lies directly behind a shuffle and a hot order can be split. One
+aggregate per month computes revenue and the two distinct counts (Catalyst's
 ``Expand`` rewrite, combined map-side, so the join is read once). The growth
-window then runs over one row per month, which is bounded by the calendar,
-not by the data.
+window then runs over one row per month, which is bounded by the calendar, not by
+the data.
 """
 
 from __future__ import annotations
@@ -15,18 +16,25 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercato.functions import cents_to_double, month_label, month_start, round_half_away, safe_div, to_cents
-from mercato.operators.filters import delivered_items, orders_with_item_of_state
+from mercato.operators.filters import delivered_orders, orders_with_seller_in, with_orders
+from mercato.operators.ranking import reliable
 from mercato.params import NO_FILTER, Params
 
 
-def _monthly_exact(t, params: Params, joined: DataFrame | None = None) -> DataFrame:
+def _monthly_exact(t, params: Params, orders: DataFrame | None = None) -> DataFrame:
     """``month, revenue (long cents, exact), order_count, active_sellers``.
 
     Revenue is price plus freight. With a seller state set, an order with
-    one in-state item contributes all its items and sellers.
+    one in-state item contributes all its items and sellers. ``orders`` is
+    :func:`~mercato.operators.filters.order_frame` (delivered orders are
+    read here when not given).
     """
-    base = joined if joined is not None else delivered_items(t, params)
-    base = orders_with_item_of_state(base, t["sellers"], params.state)
+    if orders is None:
+        orders = delivered_orders(t, params)
+    orders = orders.select("order_id", "order_purchase_timestamp")
+    if params.state:
+        orders = reliable(orders_with_seller_in(orders, t["order_items"], t["sellers"], params.state))
+    base = with_orders(t["order_items"].select("order_id", "seller_id", "price", "freight_value"), orders)
     rows = base.select(
         "order_id",
         "seller_id",
@@ -42,13 +50,13 @@ def _monthly_exact(t, params: Params, joined: DataFrame | None = None) -> DataFr
     )
 
 
-def monthly_revenue(t, params: Params = NO_FILTER, joined: DataFrame | None = None) -> DataFrame:
+def monthly_revenue(t, params: Params = NO_FILTER, orders: DataFrame | None = None) -> DataFrame:
     """``month, revenue (double, unrounded), order_count, active_sellers``."""
-    m = _monthly_exact(t, params, joined)
+    m = _monthly_exact(t, params, orders)
     return m.select("month", cents_to_double(F.col("revenue")).alias("revenue"), "order_count", "active_sellers")
 
 
-def monthly_growth(t, params: Params = NO_FILTER, joined: DataFrame | None = None) -> DataFrame:
+def monthly_growth(t, params: Params = NO_FILTER, orders: DataFrame | None = None) -> DataFrame:
     """``month, revenue, order_count, active_sellers, mom_growth_pct``.
 
     Growth compares with the previous *present* month (a month without
@@ -56,7 +64,7 @@ def monthly_growth(t, params: Params = NO_FILTER, joined: DataFrame | None = Non
     the first month and when the previous revenue is 0. Rounded: revenue to
     2 decimals, growth to 1.
     """
-    m = _monthly_exact(t, params, joined)
+    m = _monthly_exact(t, params, orders)
     w = Window.orderBy(F.col("month").asc_nulls_last())
     m = m.withColumn("prev", F.lag("revenue").over(w))
     # exact difference first, then both operands as double amounts
@@ -70,9 +78,13 @@ def monthly_growth(t, params: Params = NO_FILTER, joined: DataFrame | None = Non
     )
 
 
-def monthly_series(t, params: Params = NO_FILTER) -> DataFrame:
-    """Chart data: the growth table with a ``yyyy-MM`` month label."""
-    g = monthly_growth(t, params)
-    return g.select(
+def series_of(growth: DataFrame) -> DataFrame:
+    """A :func:`monthly_growth` result with a ``yyyy-MM`` month label, as charted."""
+    return growth.select(
         month_label(F.col("month")).alias("month_label"), "revenue", "order_count", "mom_growth_pct"
     )
+
+
+def monthly_series(t, params: Params = NO_FILTER) -> DataFrame:
+    """Chart data: the growth table with a ``yyyy-MM`` month label."""
+    return series_of(monthly_growth(t, params))

@@ -31,6 +31,7 @@ broadcast, or split when one value is hot.
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 from decimal import Decimal
 
@@ -41,6 +42,8 @@ from pyspark.sql import types as T
 
 from mercato.session import ensure_checkpoint_dir
 
+log = logging.getLogger("mercato")
+
 N = "_n"  # rows holding the value
 N_BEFORE = "_n_before"  # rows strictly before the value
 N_UPTO = "_n_upto"  # rows before or tied with the value
@@ -67,18 +70,21 @@ class Prefix:
     totals: dict  # summed column -> total over all rows (exact for decimals), None if no value
 
 
-MAX_BUCKETS = 4096  # bounds the quantile array, the offsets frame and the driver traffic
-
-
 def default_buckets(df: DataFrame) -> int:
-    """One bucket per shuffle partition, at most :data:`MAX_BUCKETS` (200 if not a number)."""
+    """One bucket per shuffle partition, so the window's tasks stay as small as any other shuffle's."""
     value = df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")
     try:
-        return max(1, min(int(value), MAX_BUCKETS))
+        return max(1, int(value))
     except ValueError:
+        log.warning("spark.sql.shuffle.partitions is %r; ranking with 200 buckets", value)
         return 200
 
 
+def _accuracy(buckets: int) -> int:
+    """Of the quantile boundaries: well below one bucket's share of the rows."""
+    return max(10_000, 4 * buckets)
+
+
 def reliable(df: DataFrame) -> DataFrame:
     """Checkpoint ``df`` into the shared checkpoint folder (eagerly)."""
     ensure_checkpoint_dir(df.sparkSession)
@@ -158,7 +164,7 @@ def ordered_prefixes(
     for i, spec in enumerate(specs):
         stat_cols += [F.sum(s).cast("string").alias(f"_t{i}_{s}") for s in spec.sums]
         if probs and not plain:
-            stat_cols.append(F.percentile_approx(F.col(spec.key).cast("double"), probs, 10000).alias(f"_b{i}"))
+            stat_cols.append(F.percentile_approx(F.col(spec.key).cast("double"), probs, _accuracy(nb)).alias(f"_b{i}"))
     stats = df.agg(*stat_cols).first()
     total_rows = int(stats["rows"] or 0)
     prefixes = [
@@ -247,6 +253,17 @@ def ordered_prefix(df: DataFrame, key: str, sums: tuple[str, ...] = (), descendi
     return ordered_prefixes(df, [Spec(key, tuple(sums), descending)], buckets=buckets, plain=plain)[0]
 
 
+def _bounds(df: DataFrame, keys: list[str], buckets: int) -> tuple[int, list[list[float]]]:
+    """Rows, and the quantile boundaries of every key, in one pass."""
+    probs = [i / buckets for i in range(1, buckets)]
+    cols = [F.count(F.lit(1)).alias("rows")]
+    if probs:
+        cols += [F.percentile_approx(F.col(k).cast("double"), probs, _accuracy(buckets)).alias(f"_b{i}") for i, k in enumerate(keys)]
+    stats = df.agg(*cols).first()
+    bounds = [sorted({b for b in (stats[f"_b{i}"] or []) if b is not None}) if probs else [] for i in range(len(keys))]
+    return int(stats["rows"] or 0), bounds
+
+
 def percent_ranks(
     df: DataFrame,
     columns: dict[str, str],
@@ -256,10 +273,53 @@ def percent_ranks(
 ) -> DataFrame:
     """``df`` plus, per ``key -> out``, ``PERCENT_RANK() OVER (ORDER BY key)``.
 
-    (rank - 1) / (n - 1), ties share the lowest rank, 0 when n = 1.
+    (rank - 1) / (n - 1), ties share the lowest rank, 0 when n = 1. All keys
+    (integers or floating point) are ranked together in one long frame of
+    (key, value): one aggregate to distinct values, one window by (key,
+    bucket), one join back on the value and one regroup per row.
     """
     if not (plain or checkpointed):
         df = reliable(df)
+    kinds = [df.schema[k].dataType for k in columns]
+    whole = [isinstance(k, T.IntegralType) for k in kinds]
+    if plain or not all(w or isinstance(k, (T.DoubleType, T.FloatType)) for w, k in zip(whole, kinds)):
+        return _percent_ranks_apart(df, columns, buckets, plain)
+
+    keys = list(columns)
+    n, bounds = _bounds(df, keys, buckets or default_buckets(df))
+    rows = df.withColumn("_row", F.monotonically_increasing_id())  # fixed: df is stored
+    measures = []
+    for i, k in enumerate(keys):
+        rows = _bucketize(rows, k, bounds[i], len(bounds[i]) + 2).withColumnRenamed(_BUCKET, f"_bucket{i}")
+        # integers beyond 2**53 share a double: the exact value breaks the tie
+        exact = F.col(k).cast("long") if whole[i] else F.lit(0).cast("long")
+        measures.append(F.struct(F.lit(i).alias("_m"), F.col(f"_bucket{i}").alias(_BUCKET), F.col(k).cast("double").alias("_v"), exact.alias("_x")))
+    long = rows.select("_row", *df.columns, F.inline(F.array(*measures)))
+
+    held: dict[int, dict[int, int]] = {i: {} for i in range(len(keys))}
+    for r in long.groupBy("_m", _BUCKET).agg(F.count(F.lit(1)).alias(N)).collect():  # at most one row per key and bucket
+        held[r["_m"]][r[_BUCKET]] = r[N]
+    before = []
+    for i, counts in held.items():
+        run = 0
+        for b in sorted(counts):  # NaN above every number, NULL last
+            before.append((i, b, run))
+            run += counts[b]
+    offsets = df.sparkSession.createDataFrame(before, f"_m int, {_BUCKET} int, _off long")
+    w = Window.partitionBy("_m", _BUCKET).orderBy(F.col("_v").asc_nulls_last(), F.col("_x").asc_nulls_last())
+    distinct = long.groupBy("_m", _BUCKET, "_v", "_x").agg(F.count(F.lit(1)).alias(N))
+    ranked = distinct.join(F.broadcast(offsets), ["_m", _BUCKET]).select(
+        F.col("_m").alias("_m2"), F.col("_v").alias("_v2"), F.col("_x").alias("_x2"),
+        (F.col("_off") + F.sum(N).over(w.rowsBetween(Window.unboundedPreceding, 0)) - F.col(N)).alias(N_BEFORE))
+    same = (F.col("_m") == F.col("_m2")) & F.col("_v").eqNullSafe(F.col("_v2")) & F.col("_x").eqNullSafe(F.col("_x2"))
+    share = F.col(N_BEFORE).cast("double") / F.lit(float(n - 1)) if n > 1 else F.lit(0.0)
+    back = long.join(ranked, same).groupBy("_row", *df.columns).agg(
+        *[F.max(F.when(F.col("_m") == i, share)).alias(columns[k]) for i, k in enumerate(keys)])
+    return back.drop("_row")
+
+
+def _percent_ranks_apart(df: DataFrame, columns: dict[str, str], buckets: int | None, plain: bool) -> DataFrame:
+    """Each key ranked on its own and joined back (decimals, and the plain window of the tests)."""
     specs = [Spec(k) for k in columns]
     out = df
     for (key, name), p in zip(columns.items(), ordered_prefixes(df, specs, buckets=buckets, plain=plain)):

@@ -1,10 +1,9 @@
 """Seller scorecard: revenue, delivery and reviews, ranked into one score.
 
-Plan: delivered orders in range are joined with their items once, on
-``order_id`` (:func:`~mercato.operators.filters.delivered_items`, shared with
-ABC and monthly revenue in the batch run), and with reviews pre-aggregated
-per order (``sum`` and ``count`` of scores, co-partitioned on ``order_id``). One aggregate per
-seller then yields every metric:
+Plan: an order-level frame (delivered orders in range with their review sums,
+one row per order, :func:`~mercato.operators.filters.order_frame`) is stored
+first; the items, restricted to the state's sellers when one is set, join it once
+on ``order_id``. One aggregate per seller then yields every metric:
 
 * revenue (price + freight, exact, in long cents) and distinct orders;
 * average days early over items with both dates, and the on-time rate over
@@ -23,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mercato.functions import cents_to_double, day_diff, round_half_away, safe_div, to_cents
-from mercato.operators.filters import delivered_items, items_of_state, sellers_in
+from mercato.operators.filters import items_of_state, order_frame, sellers_in, with_orders
 from mercato.operators.ranking import percent_ranks, reliable
 from mercato.params import NO_FILTER, Params
 
@@ -31,29 +30,26 @@ from mercato.params import NO_FILTER, Params
 WEIGHTS = (0.40, 0.30, 0.30)
 
 
-def _reviews_per_order(t) -> DataFrame:
-    return t["order_reviews"].groupBy("order_id").agg(
-        F.sum("review_score").alias("score_sum"),
-        F.count("review_score").alias("score_n"),
-        F.count(F.lit(1)).alias("review_n"),
-    )
-
-
-def seller_metrics(t, params: Params = NO_FILTER, joined: DataFrame | None = None) -> DataFrame:
+def seller_metrics(t, params: Params = NO_FILTER, orders: DataFrame | None = None) -> DataFrame:
     """Per seller with delivered orders: exact sums behind every metric.
 
-    ``joined`` is :func:`~mercato.operators.filters.delivered_items` (computed
-    here when not given). With a seller state set, only that state's sellers
-    are ranked and a seller's metrics depend only on its own items, so the
-    items are restricted to in-state sellers first.
+    ``orders`` is :func:`~mercato.operators.filters.order_frame` with reviews
+    (made here when not given). With a seller state set, only that state's
+    sellers are ranked and a seller's metrics depend only on its own items, so
+    the items are restricted to in-state sellers before the join.
     """
-    base = joined if joined is not None else delivered_items(t, params)
-    base = items_of_state(base, t["sellers"], params.state)
+    if orders is None:
+        orders = order_frame(t, params, reviews=True)
+    items = t["order_items"].select("order_id", "seller_id", "price", "freight_value")
+    base = with_orders(items_of_state(items, t["sellers"], params.state), orders)
     delivered_at = F.col("order_delivered_customer_date")
     estimated_at = F.col("order_estimated_delivery_date")
-    items = base.select(
+    rows = base.select(
         "order_id",
         "seller_id",
+        "score_sum",
+        "score_n",
+        "review_n",
         to_cents(F.col("price") + F.col("freight_value")).alias("amount"),
         F.when(delivered_at.isNotNull() & estimated_at.isNotNull(), day_diff(delivered_at, estimated_at)).alias(
             "days_early"
@@ -61,8 +57,7 @@ def seller_metrics(t, params: Params = NO_FILTER, joined: DataFrame | None = Non
         # an item without a delivery date counts as late
         F.when(delivered_at <= estimated_at, 1).otherwise(0).alias("on_time"),
     )
-    with_reviews = items.join(_reviews_per_order(t), "order_id", "left")
-    return with_reviews.groupBy("seller_id").agg(
+    return rows.groupBy("seller_id").agg(
         F.sum("amount").alias("total_revenue"),
         F.count_distinct("order_id").alias("total_orders"),
         F.avg("days_early").alias("avg_days_early"),
@@ -92,9 +87,9 @@ def seller_reviews(t, params: Params = NO_FILTER) -> DataFrame:
     return m.select("seller_id", safe_div(F.col("score_sum"), F.col("score_n")).alias("avg_review_score"))
 
 
-def seller_combined(t, params: Params = NO_FILTER, joined: DataFrame | None = None) -> DataFrame:
+def seller_combined(t, params: Params = NO_FILTER, orders: DataFrame | None = None) -> DataFrame:
     """Sellers (of the state, if set) with at least one order, metrics defaulted to 0."""
-    m = seller_metrics(t, params, joined)
+    m = seller_metrics(t, params, orders)
     sellers = sellers_in(t["sellers"], params.state).select("seller_id", "seller_state", "seller_city")
     return sellers.join(m, "seller_id").where(F.col("total_orders") > 0).select(
         "seller_id",
@@ -109,10 +104,10 @@ def seller_combined(t, params: Params = NO_FILTER, joined: DataFrame | None = No
 
 
 def seller_percent_ranks(
-    t, params: Params = NO_FILTER, plain: bool = False, joined: DataFrame | None = None
+    t, params: Params = NO_FILTER, plain: bool = False, orders: DataFrame | None = None
 ) -> DataFrame:
     """Combined sellers plus ``pr_revenue, pr_on_time, pr_review`` in [0, 1]."""
-    c = seller_combined(t, params, joined)
+    c = seller_combined(t, params, orders)
     if not plain:
         c = reliable(c)  # read by the ranking jobs and the final joins: compute it once
     ranks = {"total_revenue": "pr_revenue", "on_time_rate": "pr_on_time", "avg_review_score": "pr_review"}
@@ -120,7 +115,7 @@ def seller_percent_ranks(
 
 
 def seller_scorecard(
-    t, params: Params = NO_FILTER, weights=WEIGHTS, plain: bool = False, joined: DataFrame | None = None
+    t, params: Params = NO_FILTER, weights=WEIGHTS, plain: bool = False, orders: DataFrame | None = None
 ) -> DataFrame:
     """One row per ranked seller.
 
@@ -131,7 +126,7 @@ def seller_scorecard(
     without reviews score 0 on reviews.
     """
     w_rev, w_on, w_review = weights
-    r = seller_percent_ranks(t, params, plain=plain, joined=joined)
+    r = seller_percent_ranks(t, params, plain=plain, orders=orders)
     composite = (F.col("pr_revenue") * w_rev + F.col("pr_on_time") * w_on + F.col("pr_review") * w_review) * 100
     return r.select(
         "seller_id",

@@ -18,7 +18,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mercato.operators import abc, checks, cohort, delivery, monthly, scorecard
+from mercato.operators.filters import order_frame
 from mercato.params import NO_FILTER, Params
+from mercato.session import tune
 from mercato.sources.sinks import write_csv, write_parquet
 
 log = logging.getLogger("mercato")
@@ -58,6 +60,18 @@ def _try(result: RunResult, name: str, fn):
         return None
 
 
+def _shared_orders(t, params: Params) -> DataFrame | None:
+    """The order-level frame (:func:`~mercato.operators.filters.order_frame`) that three analyses join
+    their items with, made once per run. None if it can't be made: each analysis then
+    makes its own, and those that lack a table or column fail on their own."""
+    for reviews in (True, False):
+        try:
+            return order_frame(t, params, reviews=reviews, weights=True)
+        except Exception as exc:  # noqa: BLE001 - e.g. no review table
+            log.warning("no shared orders (reviews: %s): %s", reviews, exc)
+    return None
+
+
 def run_batch(
     t,
     output_dir: str,
@@ -67,21 +81,23 @@ def run_batch(
     """Run checks, analyses and sinks; return what passed, what was written, what failed."""
     result = RunResult()
     out = output_dir.rstrip("/")
+    tune(t.spark)
 
-    # checks: a few rows, fine to bring to the driver for logging
-    rows = _try(result, "checks", lambda: checks.all_checks(t, now).collect())
+    rows = _try(result, "checks", lambda: checks.run_checks(t, now))
     if rows is not None:
-        result.failed_checks = [r.asDict() for r in rows if not r["passed"]]
+        result.failed_checks = [r for r in rows if not r["passed"]]
         result.checks_passed = not result.failed_checks
         for r in result.failed_checks:
             log.warning("check failed: %s", r)
 
+    orders = _shared_orders(t, params)
+    with_reviews = orders if orders is not None and "score_sum" in orders.columns else None
     analyses: dict[str, callable] = {
-        "seller_scorecard": lambda: scorecard.seller_scorecard(t, params),
-        "abc_classification": lambda: abc.abc_classification(t, params),
+        "seller_scorecard": lambda: scorecard.seller_scorecard(t, params, orders=with_reviews),
+        "abc_classification": lambda: abc.abc_classification(t, params, orders=orders),
         "cohort_retention": lambda: cohort.cohort_retention(t, params),
         "delivery_by_state": lambda: delivery.delivery_by_state(t, params),
-        "monthly_growth": lambda: monthly.monthly_growth(t, params),
+        "monthly_growth": lambda: monthly.monthly_growth(t, params, orders=orders),
     }
     frames: dict[str, DataFrame] = {}
     for name, build in analyses.items():
@@ -126,10 +142,11 @@ def run_batch(
     if "delivery_by_state" in frames:
         save("delivery_by_state", lambda: write_parquet(frames["delivery_by_state"], f"{rep}/delivery_by_state"))
         derive("delivery_by_state", f"{rep}/delivery_by_state", {
-            "delivery_days_early": (parquet(lambda df: df.select("state", "avg_days_early")),
-                                    f"{rep}/delivery_days_early"),
+            "delivery_days_early": (parquet(delivery.days_early_of), f"{rep}/delivery_days_early"),
         })
     if "monthly_growth" in frames:
-        series = frames["monthly_growth"].withColumn("month_label", F.date_format("month", "yyyy-MM"))
-        save("monthly_series", lambda: write_parquet(series, f"{rep}/monthly_series"))
+        save("monthly_growth", lambda: write_parquet(frames["monthly_growth"], f"{rep}/monthly_growth"))
+        derive("monthly_growth", f"{rep}/monthly_growth", {
+            "monthly_series": (parquet(lambda df: monthly.series_of(df).orderBy("month_label")), f"{rep}/monthly_series"),
+        })
     return result

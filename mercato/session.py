@@ -1,8 +1,9 @@
 """Session helpers: the SQL settings the operators rely on.
 
-Nothing here changes results; the operators use ``timestamp_ntz`` and
-explicit casts so they give the same rows under any session time zone and
-with ANSI mode on or off. These settings only shape the physical plan.
+Nothing here changes results; the operators use ``timestamp_ntz`` and keep keys
+in their stored type, so they give the same rows under any session time zone and
+with ANSI mode on or off (text that is no amount or timestamp is an error with ANSI
+on and NULL without). These settings only shape the physical plan.
 """
 
 from __future__ import annotations
@@ -69,6 +70,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
+        # a checkpoint's files go when nothing refers to it any more
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("MERCATO_DRIVER_MEMORY", "8g"))
     )
     spark = builder.getOrCreate()

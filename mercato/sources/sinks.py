@@ -1,36 +1,40 @@
-"""File sinks: distributed writers, overwrite mode, skip empty results."""
+"""File sinks: distributed writers, overwrite mode, no output for empty results."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> bool:
     """Write ``df`` as CSV with a header; ``single_file`` only for bounded results.
 
-    Returns False (and writes nothing) when ``df`` has no rows.
+    Returns False (and leaves nothing at ``path``) when ``df`` has no rows.
     """
     return _write(df.coalesce(1) if single_file else df, path, "csv")
 
 
 def write_parquet(df: DataFrame, path: str) -> bool:
-    """Write ``df`` as parquet; returns False (nothing written) when empty."""
+    """Write ``df`` as parquet; returns False (nothing left at ``path``) when empty."""
     return _write(df, path, "parquet")
 
 
 def _write(df: DataFrame, path: str, fmt: str) -> bool:
-    # cache so the emptiness probe and the write compute the plan once;
-    # lost blocks are recomputed from lineage
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if df.isEmpty():
-            return False
-        writer = df.write.mode("overwrite")
-        if fmt == "csv":
-            writer.option("header", True).csv(path)
-        else:
-            writer.parquet(path)
+    # the rows are counted on their way to the files: the plan runs once
+    seen = Observation()
+    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+    if fmt == "csv":
+        writer.option("header", True).csv(path)
+    else:
+        writer.parquet(path)
+    if seen.get.get("rows", 0):
         return True
-    finally:
-        df.unpersist()
+    _remove(df, path)
+    return False
+
+
+def _remove(df: DataFrame, path: str) -> None:
+    """Drop the empty output folder that this write has just made."""
+    spark = df.sparkSession
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

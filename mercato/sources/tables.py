@@ -16,10 +16,11 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.sources.schema import SCHEMAS, conform
+from mercato.sources.schema import SCHEMAS, check_joined_keys, conform
 
 # The nine tables the marketplace database is expected to hold.
 EXPECTED_TABLES = (
@@ -36,10 +37,21 @@ EXPECTED_TABLES = (
 
 
 class Tables(Mapping[str, DataFrame]):
-    """Immutable mapping of table name to DataFrame; missing tables are absent."""
+    """Immutable mapping of table name to DataFrame; missing tables are absent.
 
-    def __init__(self, frames: Mapping[str, DataFrame]):
+    ``stored`` holds tables as they were read, before :func:`conform`; only the
+    money check looks at them.
+    """
+
+    def __init__(self, frames: Mapping[str, DataFrame], stored: Mapping[str, DataFrame] | None = None):
         self._frames = dict(frames)
+        self.stored = dict(stored or {})
+        check_joined_keys(self._frames)
+
+    @classmethod
+    def conformed(cls, read: Mapping[str, DataFrame]) -> "Tables":
+        """Tables of frames as read."""
+        return cls({n: conform(df, n) for n, df in read.items()}, read)
 
     def __getitem__(self, name: str) -> DataFrame:
         try:
@@ -58,7 +70,8 @@ class Tables(Mapping[str, DataFrame]):
         return next(iter(self._frames.values())).sparkSession
 
     def without(self, *names: str) -> "Tables":
-        return Tables({k: v for k, v in self._frames.items() if k not in names})
+        keep = lambda frames: {k: v for k, v in frames.items() if k not in names}
+        return Tables(keep(self._frames), keep(self.stored))
 
     # -- builders ---------------------------------------------------------
     @classmethod
@@ -67,23 +80,24 @@ class Tables(Mapping[str, DataFrame]):
     ) -> "Tables":
         """Read each table present under ``folder`` as ``<name>`` or ``<name>.<fmt>``.
 
-        Declared tables are conformed by column name (selected and cast), so
-        text formats need no schema inference: CSV is read with a header and
-        every column as text, then cast. Absent tables are left out; the
-        table check reports them.
+        Declared tables are conformed by column name, so text formats need no
+        schema inference: CSV is read with a header and every column as text;
+        amounts, scores and timestamps are cast, keys stay text. A path that
+        does not exist leaves its table out (the table check reports it); any
+        other error is raised with the table's name.
         """
         if fmt == "csv":
             options = {"header": "true", "inferSchema": "false", **options}
-        frames = {}
+        read = {}
         for name in names:
             for candidate in (f"{folder.rstrip('/')}/{name}", f"{folder.rstrip('/')}/{name}.{fmt}"):
                 try:
-                    df = spark.read.format(fmt).options(**options).load(candidate)
-                except Exception:  # noqa: BLE001 - absent dataset: the table check reports it
-                    continue
-                frames[name] = conform(df, name)
-                break
-        return cls(frames)
+                    read[name] = spark.read.format(fmt).options(**options).load(candidate)
+                    break
+                except Exception as exc:
+                    if not (isinstance(exc, AnalysisException) and exc.getCondition() == "PATH_NOT_FOUND"):
+                        raise RuntimeError(f"table {name!r} at {candidate} can't be read: {exc}") from exc
+        return cls.conformed(read)
 
     @classmethod
     def from_parquet(cls, spark: SparkSession, folder: str, names=EXPECTED_TABLES) -> "Tables":
@@ -95,7 +109,7 @@ class Tables(Mapping[str, DataFrame]):
         """Use tables of a Spark catalog database (the default database if ``None``)."""
         present = {t.name for t in spark.catalog.listTables(database)}
         prefix = f"{database}." if database else ""
-        return cls({n: conform(spark.table(prefix + n), n) for n in names if n in present})
+        return cls.conformed({n: spark.table(prefix + n) for n in names if n in present})
 
     @classmethod
     def from_tpch(cls, spark: SparkSession, sf_dir: str) -> "Tables":
@@ -109,7 +123,7 @@ class Tables(Mapping[str, DataFrame]):
 
         frames = tpch_mapping(read("orders"), read("lineitem"), read("customer"), read("supplier"),
                               read("part"), read("nation"))
-        return cls({n: conform(df, n) for n, df in frames.items()})
+        return cls.conformed(frames)
 
 
 def _seconds(n):
@@ -149,7 +163,7 @@ def tpch_mapping(orders, lineitem, customer, supplier, part, nation) -> dict[str
     ).unionByName(
         orders.where(k % 50 == 7).select(k.alias("order_id"), (1 + (k * 3) % 5).cast("int").alias("review_score"))
     )
-    nations = F.broadcast(nation.select("n_nationkey", "n_name"))  # 25 rows
+    nations = nation.select("n_nationkey", "n_name")
     m_customers = (
         orders.select("o_orderkey", "o_custkey")
         .join(customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))

@@ -60,8 +60,13 @@ def test_outputs_are_written_in_report_order(spark):
 
     revenue = in_file_order(f"{out}/detail.parquet", "revenue")
     assert revenue == sorted(revenue, reverse=True)
-    months = in_file_order(f"{out}/report/monthly_series", "month")
-    assert months == sorted(months)
+    for name, column in (("monthly_growth", "month"), ("monthly_series", "month_label"), ("cohort_retention", "cohort_month")):
+        values = in_file_order(f"{out}/report/{name}", column)
+        assert len(values) > 2 and values == sorted(values)
+    early = in_file_order(f"{out}/report/delivery_by_state", "avg_days_early")
+    assert len(early) > 2 and early == sorted(early, reverse=True)
+    score = in_file_order(f"{out}/report/seller_scorecard", "composite_score")
+    assert score == sorted(score, reverse=True)
 
 
 def test_parquet_and_catalog_sources_give_the_same_answers(spark):
@@ -143,4 +148,25 @@ def test_batch_outputs_equal_standalone_operators(spark):
 
     assert same(f"{out}/report/seller_scorecard", scorecard.seller_scorecard(t, p))
     assert same(f"{out}/detail.parquet", abc.abc_classification(t, p))
-    assert same(f"{out}/report/monthly_series", monthly.monthly_growth(t, p))
+    assert same(f"{out}/report/monthly_growth", monthly.monthly_growth(t, p))
+    assert same(f"{out}/report/monthly_series", monthly.monthly_series(t, p))
+    written = spark.read.parquet(f"{out}/report/monthly_series").columns
+    assert written == monthly.monthly_series(t, p).columns
+
+
+def test_orders_are_prepared_once_per_run(spark, monkeypatch):
+    from mercato.operators import abc, filters, monthly, scorecard
+    from mercato.plans import batch
+
+    made = []
+    real = filters.order_frame
+
+    def counted(*a, **k):
+        made.append(k)
+        return real(*a, **k)
+
+    for module in (batch, abc, scorecard):
+        monkeypatch.setattr(module, "order_frame", counted)
+    out = tempfile.mkdtemp(prefix="mercato-run-")
+    assert not run_batch(Tables.from_tpch(spark, SF_SMALL), out).errors
+    assert made == [{"reviews": True, "weights": True}]

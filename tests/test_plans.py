@@ -5,10 +5,11 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
 from conftest import SF_SMALL
+from mercato.operators import abc, monthly, scorecard
+from mercato.params import Params
+from mercato.plans.registry import QUERIES, mapped_tables
 
-QUERIES = entry.queries()
 # single-partition exchanges allowed: bounded by months, by three tiers, or global aggregates
 BOUNDED_SINGLE = ("monthly_", "abc_tier_summary", "check_")
 
@@ -35,3 +36,46 @@ def test_operators_run_in_whole_stage_codegen(spark, name):
     assert len(matches) >= 5  # the pattern does see the operators
     outside = [m.group(0) for m in matches if m.group(1) is None]
     assert not outside, outside
+
+
+EXCHANGE = r"Exchange (hashpartitioning|rangepartitioning|SinglePartition|RoundRobin)"
+
+
+@pytest.fixture()
+def no_broadcast(spark):
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for k in keys:
+        spark.conf.set(k, "-1")
+    yield
+    for k in keys:
+        spark.conf.unset(k)
+
+
+def _planned(df) -> str:
+    """The plan before it runs (stored frames appear as scans of what was stored)."""
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_state_filter_of_monthly_costs_only_its_semi_join(spark, no_broadcast, monkeypatch):
+    stored = []
+    monkeypatch.setattr(monthly, "reliable", lambda df: stored.append(df) or df)
+    t = mapped_tables(spark, SF_SMALL)
+    plain = len(re.findall(EXCHANGE, _planned(monthly.monthly_growth(t))))
+    semi = monthly.monthly_growth(t, Params(seller_state="NATION_3"))
+    assert len(stored) == 1
+    own = len(re.findall(EXCHANGE, _planned(stored[0])))
+    # the stored orders carry the semi join; joining the items costs no more than without a state
+    assert len(re.findall(EXCHANGE, _planned(semi))) <= plain + own
+    assert "LeftSemi" in _planned(stored[0])
+
+
+def test_abc_filters_items_below_the_join(spark, no_broadcast):
+    df = abc._product_revenue_exact(mapped_tables(spark, SF_SMALL), Params(seller_state="NATION_3"), fanout=True)
+    lines = _planned(df).splitlines()
+    depth = {k: min(i for i, line in enumerate(lines) if k in line) for k in ("Inner", "LeftSemi")}
+    assert depth["Inner"] < depth["LeftSemi"]  # the semi join stands below the join with the orders
+
+
+def test_ranking_job_of_the_scorecard_is_short(spark, no_broadcast):
+    df = scorecard.seller_scorecard(mapped_tables(spark, SF_SMALL))
+    assert len(re.findall(EXCHANGE, _planned(df))) <= 6
