@@ -34,7 +34,7 @@ from mercato.llm.common import raw
 from mercato.llm.decontam import item_words
 
 SAMPLE_DOCS = 12_000
-FEATURES = 3_000
+FEATURES = 400
 GRADES = 3
 CUT = 0.5
 
@@ -74,10 +74,14 @@ def grades_of(docs: list[set[bytes]], toxic: np.ndarray, typical: list[bytes]) -
     return np.where(toxic, 1 + (held > cuts[0]).astype(int) + (held > cuts[1]), 0)
 
 
-def fit(docs: list[set[bytes]], toxic: np.ndarray, n_features: int = FEATURES, rounds: int = 250, ridge: float = 2.0) -> OrdinalModel:
+def fit(docs: list[set[bytes]], toxic: np.ndarray, n_features: int = FEATURES, rounds: int = 250, ridge: float = 0.3) -> OrdinalModel:
     """Penalised maximum likelihood by Adam over all rows; thresholds stay in order as sums of positive steps."""
     if not len(docs) or toxic.all() or not toxic.any():
         return OrdinalModel({}, [700.0] * GRADES)
+    once = dict(zip(map(frozenset, docs), toxic))  # copies count once
+    docs, toxic = list(once), np.array(list(once.values()))
+    if toxic.all() or not toxic.any():
+        return OrdinalModel({}, [700.0] * GRADES)
     words, typical = features_of(docs, toxic, n_features)
     grade = grades_of(docs, toxic, typical)
     index = {w: i for i, w in enumerate(words)}

@@ -1,0 +1,22 @@
+"""Registered queries of the operators against their SQL, over whole tables."""
+
+import duckdb
+import pytest
+
+from mercato.llm.oracle import ORACLES
+from mercato.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_matches_oracle(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "embeddings", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    got = QUERIES[name](spark, SF)
+    cur = con.execute(ORACLES[name])
+    cols = [d[0] for d in cur.description]
+    assert sorted(cols) == sorted(got.columns)
+    rows = got.select(cols).collect()
+    assert len(rows) > 100 and sorted(map(tuple, rows)) == sorted(cur.fetchall())
