@@ -249,6 +249,57 @@ def _linked(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return both.mapInArrow(_verify, "a long, b long")
 
 
+#: Of sets of n and m shingles that first meet where ``rest`` and ``rest2`` shingles are left of their orders: may they link?
+#: (intersection >= 3/7 of the sizes' sum; shingles before the meeting are not in the other set)
+FITS = "4 * least(n, m) >= 3 * greatest(n, m) AND 7 * least(rest, rest2) >= 3 * (n + m)"
+
+
+def _joined(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Links that connect all linked nodes (a, b), and their components (node, root)."""
+    # a node's shingles before its prefix's shared ones are its own, so they are not left for anyone
+    left = F.ceil(F.col("n") * 0.75) - 1 + F.size("first")
+    posts = nodes.select("node", "n", "least", left.alias("left"), F.posexplode("first").alias("at", "tok"))
+    posts = posts.select("node", "n", "least", "tok", (F.col("left") - F.col("at")).alias("rest"))
+
+    # each node with the least node of each of its prefix shingles
+    pivot = posts.groupBy("tok").agg(F.min(F.struct("least", "node", "n", "rest")).alias("p"), F.count("*").alias("c")).where("c > 1")
+    star = (posts.join(pivot.select("tok", "p"), "tok")
+            .select(F.col("node").alias("a"), F.col("p.node").alias("b"), "n", "rest", F.col("p.n").alias("m"), F.col("p.rest").alias("rest2"))
+            .where(f"a <> b AND {FITS}").select("a", "b").distinct())
+    links = stored(_linked(star, nodes), "shingle-links")
+    parts = components(links)
+
+    # what shares a prefix shingle across components
+    placed = (posts.drop("least").join(parts, "node", "left")
+              .select("tok", "node", "n", "rest", F.coalesce("root", "node").alias("part")))
+    several = placed.groupBy("tok").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi")
+    shared = stored(placed.join(several.select("tok"), "tok", "left_semi"), "shingle-posts")
+    # shingles held by the same nodes (those of one passage) count once, at their earliest place
+    alike = shared.groupBy("tok").agg(F.count("*").alias("c"), F.bit_xor(F.xxhash64("node")).alias("h1"),
+                                      F.bit_xor(F.xxhash64("node", F.lit(1))).alias("h2"))
+    name = alike.select("tok", F.xxhash64("c", "h1", "h2").alias("post"))
+    shared = stored(shared.join(name, "tok").groupBy("post", "node", "n", "part").agg(F.max("rest").alias("rest")), "shingle-posts")
+    # components that may hold a pair, before any pair is made
+    in_part = shared.groupBy("post", "part").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("rest").alias("rest"),
+                                                 F.max(F.col("rest") / F.col("n")).alias("best"))
+    other = in_part.toDF("post", "p2", "lo2", "hi2", "rest2", "best2")
+    across = in_part.withColumnRenamed("part", "p1").join(other, "post").where(
+        "p1 < p2 AND 4 * hi >= 3 * lo2 AND 4 * hi2 >= 3 * lo AND 7 * least(rest, rest2) >= 3 * (lo + lo2) "
+        "AND greatest(best, best2) >= 0.857").select("post", "p1", "p2", "lo2", "hi2", "rest2")
+    side = lambda p, node, n, rest: shared.select(
+        "post", F.col("part").alias(p), F.col("node").alias(node), F.col("n").alias(n), F.col("rest").alias(rest))
+    # a node goes on only to components whose bounds leave it a partner
+    may = "4 * n >= 3 * lo2 AND 4 * hi2 >= 3 * n AND 7 * least(rest, rest2) >= 3 * (n + greatest(lo2, ceil(0.75 * n)))"
+    near = across.join(side("p1", "a", "n", "rest"), ["post", "p1"]).where(may).select("post", "p2", "a", "n", "rest")
+    pairs = (near.join(side("p2", "b", "m", "rest2"), ["post", "p2"])
+             .where(FITS).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    more = stored(_linked(pairs, nodes), "shingle-links")
+    if more.isEmpty():
+        return links, parts
+    links = links.unionByName(more)
+    return links, components(links)
+
+
 def jaccard_components(docs: DataFrame, id_col="doc_id", text_col="text", max_hot: int = MAX_HOT,
                        max_bits: int = MAX_BITS) -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
@@ -262,31 +313,7 @@ def jaccard_components(docs: DataFrame, id_col="doc_id", text_col="text", max_ho
         sets.where("data IS NOT NULL").groupBy(F.col("sig").alias("node"), "sig2")
         .agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("first").alias("first"), F.first("data").alias("data"))
         .drop("sig2"), "shingle-nodes")
-    posts = nodes.select("node", "n", "least", F.explode("first").alias("tok"))
-
-    # each node with the least node of each of its prefix shingles
-    fits = "4 * least(n, m) >= 3 * greatest(n, m)"
-    pivot = posts.groupBy("tok").agg(F.min(F.struct("least", "node", "n")).alias("p"), F.count("*").alias("c")).where("c > 1")
-    star = (posts.join(pivot.select("tok", "p"), "tok")
-            .select(F.col("node").alias("a"), F.col("p.node").alias("b"), "n", F.col("p.n").alias("m"))
-            .where(f"a <> b AND {fits}").select("a", "b").distinct())
-    links = stored(_linked(star, nodes), "shingle-links")
-    parts = components(links)
-
-    # what shares a prefix shingle across components
-    placed = (posts.drop("least").join(parts, "node", "left")
-              .select("tok", "node", "n", F.coalesce("root", "node").alias("part")))
-    several = placed.groupBy("tok").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi")
-    left = stored(placed.join(several.select("tok"), "tok", "left_semi"), "shingle-posts")
-    in_part = left.select("tok", "part").distinct()
-    across = (in_part.select("tok", F.col("part").alias("p1")).join(in_part.select("tok", F.col("part").alias("p2")), "tok")
-              .where("p1 < p2"))
-    pairs = (across.join(left.select("tok", F.col("part").alias("p1"), F.col("node").alias("a"), "n"), ["tok", "p1"])
-             .join(left.select("tok", F.col("part").alias("p2"), F.col("node").alias("b"), F.col("n").alias("m")), ["tok", "p2"])
-             .where(fits).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    more = stored(_linked(pairs, nodes), "shingle-links")
-    if not more.isEmpty():
-        parts = components(links.unionByName(more))
+    links, parts = _joined(nodes)
 
     # the smallest id of each component's documents
     least = (sets.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("least"))
