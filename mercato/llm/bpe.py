@@ -46,7 +46,8 @@ def byte_symbols() -> list[str]:
     return [chr(b if b in shown else next(extra)) for b in range(256)]
 
 
-def _category(first: str) -> str:
+def latin(first: str) -> str:
+    """The characters below LATIN_END of a Unicode category, for a pattern's class."""
     return "".join(re.escape(chr(i)) for i in range(LATIN_END) if unicodedata.category(chr(i))[0] == first)
 
 
@@ -80,12 +81,12 @@ class PairIndexBPE:
         symbols = byte_symbols()
         self.inner = [self.vocab[s] for s in symbols]
         self.last = [self.vocab[s + self.suffix] for s in symbols]
-        letters, numbers = _category("L"), _category("N")
+        letters, numbers = latin("L"), latin("N")
         self.latin = re.compile(f"'(?:[stmd]|re|ve|ll)|[{letters}]+|[{numbers}]|[^{WHITE}{letters}{numbers}]+").findall
         self.white = re.compile(r"[^\s\x1c-\x1f]*(?:[\x1c-\x1f]+[^\s\x1c-\x1f]*)*").findall
         self.lib = Tokenizer.from_file(path)
         self.back = {ord(s): b for b, s in enumerate(symbols)}
-        self.pretokens = PieceCache(self.apply_ranks, 250_000)
+        self.pretokens = PieceCache(self.apply_ranks)
         self.pieces = PieceCache(self.learn)
 
     # -- pre-tokens ------------------------------------------------------

@@ -17,7 +17,12 @@ from mercato.session import ensure_checkpoint_dir
 BROADCAST_BYTES = 32 << 20
 
 
+#: Rows of a batch handed to Python: whole texts, some of them long, must fit a task's memory several times.
+BATCH_ROWS = 2_000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -105,20 +110,26 @@ class PieceCache(dict):
     """What is known of each text piece; what is not is learnt many at a time.
 
     ``learn(list of pieces) -> list of values`` is called once for each block
-    of texts. Past ``limit`` pieces the cache starts anew, so memory is bounded.
+    of texts. Memory is bounded by two generations of about ``limit`` pieces: a
+    full one becomes the old one, and pieces met again move to the new one.
     """
 
-    def __init__(self, learn, limit: int = 400_000):
+    def __init__(self, learn, limit: int = 150_000):
         super().__init__()
-        self.learn, self.limit, self.new = learn, limit, []
+        self.learn, self.limit, self.new, self.old = learn, limit, [], {}
 
     def __missing__(self, piece):
-        self.new.append(piece)
-        return None
+        known = self.old.get(piece)
+        if known is None:
+            self.new.append(piece)
+        else:
+            self[piece] = known
+        return known
 
     def values_of(self, texts: list[list]) -> list[list]:
         """For each list of pieces, the list of their values."""
         if len(self) > self.limit:
+            self.old = dict(self)
             self.clear()
         get, out = self.__getitem__, []
         for pieces in texts:

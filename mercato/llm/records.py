@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from mercato.llm.bpe import LATIN_END, WHITE, latin
 from mercato.llm.common import PieceCache, scratch_path, stored, strings
 
 MASK_DELTA = 0xA282EAD8  # fixed value of the masked checksums
@@ -65,40 +66,72 @@ def frames(stream) -> Iterator[bytes]:
 
 
 class SpacePieces:
-    """Ids of texts, piece by piece, each piece encoded by the library once.
+    """Ids of texts, piece by piece, each pre-token encoded by the library once.
 
     A piece is a space with what follows up to the next space. The byte-level
     pre-tokenizer always starts a new pre-token at a space that stands before
     something other than white space, so the pieces' ids put together are the
-    text's. Texts in which a space stands before white space or at the end,
-    or that hold an added token's string, go to the library whole.
+    text's. New pieces are cut into pre-tokens here (characters up to Latin
+    Extended-B; the library cuts the others), and the library encodes the new
+    pre-tokens of a block of texts in one call. Texts in which a space stands
+    before white space or at the end, or that hold an added token's string, go
+    to the library whole.
     """
 
     def __init__(self, path: str, dtype: str):
         from tokenizers import Tokenizer
-
-        self.tok = Tokenizer.from_file(path)
-        self.tok.no_truncation()
-        self.tok.no_padding()
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        self.tok, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        for t in (self.tok, self.plain):
+            t.no_truncation()
+            t.no_padding()
+        # the same vocabulary and merges for what is cut already
+        self.plain.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
         self.dtype = np.dtype(dtype)
+        vocabulary = self.tok.get_vocab(with_added_tokens=True)
+        self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():  # a character of a byte-level token is a byte
+            self.sizes[i] = len(token)
         self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.odd = re.compile(r" (?:\s|\Z)").search
-        self.inner = PieceCache(self.learn)
-        self.first = PieceCache(lambda pieces: [self.whole(p) for p in pieces], 50_000)
+        letters, numbers = latin("L"), latin("N")
+        self.cut = re.compile(f"'(?:[stmd]|re|ve|ll)| ?[{letters}]+| ?[{numbers}]+| ?[^{WHITE}{letters}{numbers}]+"
+                              f"|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+").findall
+        self.words = PieceCache(self.encode_words, 350_000)  # costly to work out
+        self.inner = PieceCache(self.learn, 100_000)
+        self.first = PieceCache(lambda pieces: [self.whole(p) for p in pieces], 20_000)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """One call for all. The bytes that tokens stand for tell which word each one is of."""
+        ids = self.plain.encode_batch_fast([words], is_pretokenized=True, add_special_tokens=False)[0].ids
+        ids = np.array(ids, self.dtype)
+        ends = np.cumsum(np.fromiter((len(w.encode()) for w in words), np.int64, len(words)))
+        upto = np.cumsum(self.sizes[ids])
+        cut = np.searchsorted(upto, ends) + 1
+        if len(upto) and (upto[cut - 1] != ends).any():
+            raise ValueError("a token goes over the end of a word")
+        data, w = ids.tobytes(), self.dtype.itemsize
+        cut = (cut * w).tolist()
+        return [data[a:b] for a, b in zip([0, *cut], cut)]
+
     def learn(self, pieces: list[str]) -> list[bytes]:
-        """Encode pieces (each without its space) in one call; tokens are told apart by their offsets."""
-        e = self.tok.encode(" " + " ".join(pieces), add_special_tokens=False)
-        ids = np.array(e.ids, self.dtype)
-        starts = np.fromiter((a for a, _ in e.offsets), np.int64, len(ids))
-        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces)) + 1
-        cut = np.searchsorted(starts, np.concatenate([[0], np.cumsum(sizes)]))
-        data = ids.tobytes()
-        cut = (cut * self.dtype.itemsize).tolist()
-        return [data[a:b] for a, b in zip(cut, cut[1:])]
+        """``pieces`` without their space, which is where each one starts when all are cut at once."""
+        known = [p for p in pieces if p.isascii() or max(p) < chr(LATIN_END)]
+        words = self.cut(" " + " ".join(known)) if known else []
+        found: list[bytes] = []
+        for w, ids in zip(words, self.words.values_of([words])[0]):
+            if w[0] == " ":
+                found.append(ids)
+            else:
+                found[-1] += ids
+        if len(known) == len(pieces):
+            return found
+        of = dict(zip(known, found, strict=True))
+        return [of[p] if p in of else self.whole(" " + p) for p in pieces]
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         for lo in range(0, len(texts), 512):
@@ -184,8 +217,10 @@ def write_records(docs: DataFrame, tokenizer_path: str, out: str, end_id: int =
         stream.close()
         with fs.open_output_stream(f"{temp}.index") as s:
             s.write(np.array(index, "<u8").tobytes())
-        fs.move(f"{temp}.index", f"{name}.index")
-        fs.move(f"{temp}.rec", name)
+        for source, target in ((f"{temp}.index", f"{name}.index"), (f"{temp}.rec", name)):
+            if fs.get_file_info(target).type != pafs.FileType.NotFound:  # of a task that is run again
+                fs.delete_file(target)
+            fs.move(source, target)
         yield pa.RecordBatch.from_pydict({
             "shard": pa.array([shard], pa.int32()), "path": [f"{out}/shard-{shard:06d}.rec"],
             "n_records": pa.array([len(index)], pa.int64()), "n_ids": pa.array([n_ids], pa.int64()),
