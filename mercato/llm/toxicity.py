@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mercato.llm.common import raw
+from mercato.llm.common import raw, stored
 from mercato.llm.decontam import item_words
 
 SAMPLE_DOCS = 12_000
@@ -78,10 +78,6 @@ def fit(docs: list[set[bytes]], toxic: np.ndarray, n_features: int = FEATURES, r
     """Penalised maximum likelihood by Adam over all rows; thresholds stay in order as sums of positive steps."""
     if not len(docs) or toxic.all() or not toxic.any():
         return OrdinalModel({}, [700.0] * GRADES)
-    once = dict(zip(map(frozenset, docs), toxic))  # copies count once
-    docs, toxic = list(once), np.array(list(once.values()))
-    if toxic.all() or not toxic.any():
-        return OrdinalModel({}, [700.0] * GRADES)
     words, typical = features_of(docs, toxic, n_features)
     grade = grades_of(docs, toxic, typical)
     index = {w: i for i, w in enumerate(words)}
@@ -114,22 +110,42 @@ def fit(docs: list[set[bytes]], toxic: np.ndarray, n_features: int = FEATURES, r
     return OrdinalModel({w: float(x) for w, x in zip(words, par)}, [float(t) for t in theta])
 
 
-def labelled_words(docs: DataFrame, labels: DataFrame, sample_docs: int) -> tuple[list[set[bytes]], np.ndarray]:
-    """Word sets and labels of a bounded sample of labelled documents."""
+def labelled_words(docs: DataFrame, labels: DataFrame, sample_docs: int, n_features: int = FEATURES) -> tuple[list[set[bytes]], np.ndarray]:
+    """The telling words that each document of a bounded sample holds, and its label.
+
+    Words are counted on the executors; the driver gets ``n_features`` of them and,
+    per sampled document, which of those it holds. Copies count once.
+    """
     y = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     y = y.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)  # at most sample_docs rows
     rows = docs.select("doc_id", "text").join(F.broadcast(y), "doc_id")
+    rows = rows.groupBy(F.xxhash64("text").alias("same"), F.length("text").alias("n")).agg(
+        F.min(F.struct("doc_id", "toxic", "text")).alias("d")).select("d.*")
 
     def words(batches):
         for b in batches:
-            sets = [sorted(set(item_words(t))) for t in raw(b.column(1))]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(sets, pa.list_(pa.binary()))], ["doc_id", "toxic", "words"])
-
-    rows = rows.select(F.col("doc_id").cast("long"), "text", F.col("toxic").cast("int"))
-    # words of a single sampled document tell nothing: send those of three or more
-    words = rows.mapInArrow(words, "doc_id long, toxic int, words array<binary>")
-    got = sorted(((r["doc_id"], r["toxic"], r["words"]) for r in words.toLocalIterator()), key=lambda r: (r[0], r[1], len(r[2])))
-    return [set(map(bytes, r[2])) for r in got], np.array([r[1] > 0 for r in got], bool)
+            sets = [sorted(set(item_words(t))) for t in raw(b.column(2))]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sets, pa.list_(pa.binary()))], ["doc_id", "toxic", "words"])
+
+    rows = rows.select(F.col("doc_id").cast("long"), (F.col("toxic") > 0).cast("int").alias("toxic"), "text")
+    sample = stored(rows.mapInArrow(words, "doc_id long, toxic int, words array<binary>"), "toxic-sample")
+    size, bad = sample.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    if not 0 < bad < size:
+        return [set()] * size, np.full(size, bool(bad))
+    p = bad / size
+    counts = sample.select("toxic", F.explode("words").alias("word")).groupBy("word").agg(
+        F.count("*").alias("n"), F.sum("toxic").alias("t")).where("n >= 3")
+    z = F.abs(F.col("t") - F.col("n") * p) / F.sqrt(F.col("n") * (p * (1 - p)))
+    telling = {bytes(r["word"]) for r in counts.orderBy(z.desc(), "word").select("word").limit(n_features).collect()}
+
+    def held(batches):
+        for b in batches:
+            sets = [[w for w in words if w in telling] for words in b.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sets, pa.list_(pa.binary()))], ["doc_id", "toxic", "words"])
+
+    got = sample.mapInArrow(held, "doc_id long, toxic int, words array<binary>").collect()
+    got = sorted((r["doc_id"], r["toxic"], sorted(map(bytes, r["words"]))) for r in got)
+    return [set(r[2]) for r in got], np.array([r[1] > 0 for r in got], bool)
 
 
 def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> OrdinalModel:
