@@ -5,8 +5,10 @@
 Each query is built from scratch (so eager steps inside it count), then run
 to completion into the ``noop`` sink. One warm-up pass, then the median of
 ``BENCH_RUNS`` timed passes per query. ``value`` is the sum of the medians.
-Also reported per query: shuffle exchanges and single-partition exchanges in
-the physical plan.
+Also reported per query: exchanges of all its jobs (stored frames, small ranking
+jobs, the final job). Each analysis also runs with a seller state and with a date
+range; their times are in ``queries`` and ``value`` sums the six headline
+queries alone, to compare with earlier rounds (``value_all``: all of them).
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from mercato.plans.jobs import plan_of, recorded, shape  # noqa: E402
 from mercato.plans.registry import QUERIES  # noqa: E402
 from mercato.session import local_session  # noqa: E402
 
@@ -31,25 +34,30 @@ HEADLINE = [
     "monthly_growth",
     "check_summary",
 ]
+FILTERED = [
+    "seller_scorecard_by_state",
+    "seller_scorecard_date_range",
+    "abc_classification_by_state",
+    "abc_classification_date_range",
+    "cohort_retention_by_state",
+    "cohort_retention_date_range",
+    "delivery_in_seller_state",
+    "delivery_date_range",
+    "monthly_growth_by_state",
+    "monthly_growth_date_range",
+]
 
 
-def _plan_stats(df) -> dict:
-    try:
-        plan = df._jdf.queryExecution().executedPlan().toString()
-    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: no JVM handle
-        return {}
-    return {
-        "exchanges": len(re.findall(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition|RoundRobin)", plan)),
-        "single_partition": plan.count("Exchange SinglePartition"),
-        "broadcasts": plan.count("BroadcastExchange"),
-    }
+def _plan_stats(jobs, df) -> dict:
+    shapes = [shape(p) for _, p in jobs] + [shape(plan_of(df))]
+    return {"jobs": len(shapes)} | {k: sum(x[k] for x in shapes) for k in shapes[0]}
 
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "5"))
-    names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
+    names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE + FILTERED)).split(",") if n]
     spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "16")), app="bench")
 
     def once(name):
@@ -61,15 +69,17 @@ def main() -> None:
     timings, plans, errors = {}, {}, {}
     for name in names:
         try:
-            _, df = once(name)  # warm-up
-            plans[name] = _plan_stats(df)
+            with recorded() as jobs:
+                _, df = once(name)  # warm-up
+            plans[name] = _plan_stats(jobs, df)
             timings[name] = round(statistics.median(once(name)[0] for _ in range(runs)), 3)
         except Exception as exc:  # noqa: BLE001 - report and go on with the other queries
             errors[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
         "metric": "sum_of_median_query_seconds",
-        "value": round(sum(timings.values()), 3),
+        "value": round(sum(timings.get(q, 0) for q in HEADLINE), 3),
+        "value_all": round(sum(timings.values()), 3),
         "unit": "sec",
         "queries": timings,
         "sf": float(m.group(1)) if m else sf_dir,

@@ -5,8 +5,8 @@
 Broadcast joins are switched off (static and adaptive), which is what the
 planner picks when every table is large. For each query: the shuffle
 exchanges and their keys, single-partition exchanges, and the filters
-pushed into the parquet scans. Only the final job's plan is shown; queries
-that checkpoint an intermediate frame read it as ``Scan ExistingRDD``.
+pushed into the parquet scans, over all jobs it runs: frames it stores,
+small ranking jobs, and the final job.
 """
 
 from __future__ import annotations
@@ -17,7 +17,8 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as entry  # noqa: E402
+from mercato.plans.jobs import plan_of, recorded, shape  # noqa: E402
+from mercato.plans.registry import QUERIES  # noqa: E402
 from mercato.session import local_session  # noqa: E402
 
 
@@ -33,19 +34,20 @@ def main() -> None:
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     print("# Physical plans at scale (broadcasts off)\n")
-    print("Generated by `tools/plan_report.py`. Shuffle keys per exchange; `SinglePartition` exchanges are")
-    print("listed with what bounds them. Checkpointed intermediates appear as `Scan ExistingRDD`.\n")
-    print("| Query | Shuffles | Shuffle keys | SinglePartition | Pushed filters |")
+    print("Generated by `tools/plan_report.py`, over all jobs of a query: *stored* frames (checkpoints), *small* jobs")
+    print("(ranking boundaries and bucket counts: partial aggregates, a few rows) and the *final* job.\n")
+    print("| Query | Shuffles: stored + small + final | Shuffle keys | SinglePartition: stored + small + final | Pushed filters |")
     print("|---|---|---|---|---|")
-    for name, q in entry.queries().items():
-        df = q(spark, sf_dir)
-        plan = df._jdf.queryExecution().executedPlan().toString()
-        shuffles = re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plan)
-        single = plan.count("Exchange SinglePartition")
-        pushed = sorted({p for p in re.findall(r"PushedFilters: \[([^\]]*)\]", plan) if p and p != "IsNotNull(o_orderkey)"})
-        keys = "; ".join(sorted({_keys(k)[:60] for k in shuffles}))
+    for name, q in QUERIES.items():
+        with recorded() as jobs:
+            df = q(spark, sf_dir)
+        parts = [[p for k, p in jobs if k == "checkpoint"], [p for k, p in jobs if k == "collect"], [plan_of(df)]]
+        total = lambda what: " + ".join(str(sum(shape(p)[what] for p in ps)) for ps in parts)
+        text = "\n".join(p for ps in parts for p in ps)
+        keys = "; ".join(sorted({_keys(k)[:60] for k in re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", text)}))
+        pushed = sorted({p for p in re.findall(r"PushedFilters: \[([^\]]*)\]", text) if p and p != "IsNotNull(o_orderkey)"})
         pf = "; ".join(_keys(p)[:70] for p in pushed)[:160]
-        print(f"| {name} | {len(shuffles)} | {keys} | {single} | {pf} |")
+        print(f"| {name} | {total('exchanges')} | {keys} | {total('single_partition')} | {pf} |")
     spark.stop()
 
 
