@@ -31,11 +31,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as a table in the shared folder and read back: cuts the lineage, survives lost executors."""
+def stored(df: DataFrame, name: str, *by: str) -> DataFrame:
+    """``df`` written as a table in the shared folder (in folders ``by``) and read back: cuts the lineage, survives lost executors."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

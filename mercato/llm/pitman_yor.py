@@ -1,22 +1,27 @@
 """Language-model scoring by a hierarchical Pitman-Yor model of words.
 
 Tokens are the words ``[^\\x20\\x09-\\x0D]+`` (A-Z in lower case) and one end per
-document. The context of a token is the most recent *frequent* word before it in
-its document (or none yet): each context has a restaurant, and all of them share
-the root restaurant as parent, whose own base is uniform over the training
-vocabulary and one class of unknown words. The frequent words that name
-contexts are chosen on a bounded sample of training documents
-(``SAMPLE_DOCS``); every count, seating and table covers all of them.
+document. The context of a token is the word directly before it in its document
+(or the document's start): each context has a restaurant, so restaurants grow
+with the corpus, and all of them share the root restaurant as parent, whose own
+base is uniform over the training vocabulary and one class of unknown words.
+Every count, seating and table covers all training documents. A context without
+training tokens backs off to the root.
 
 Seating. In restaurant r a customer of word w joins a table of w or opens one with
 probability proportional to ``(theta + D_r) * p_parent(w)`` against
 ``c - d * t`` (``D_r``: the discounts of all tables); each new table sends a
 customer to the parent. A Gibbs sweep seats all customers of each (r, w) anew
 given the other restaurants, then the root's; beyond 64 customers of one (r, w)
-they are seated in blocks, each of an eighth of those before. Words are
-independent of each other given ``D_r`` and the root's totals, so they are dealt
-into buckets by hash, which hold as many buckets' worth of those sums each. The
-sweeps after ``BURN_IN`` are averaged into predictive probabilities:
+they are seated in blocks, each of an eighth of those before. Words are dealt into
+buckets by hash. Between sweeps the restaurants' totals are summed over all
+buckets: a bucket sends the tables of its contexts to the contexts' groups, dealt
+by hash, which return the sums to every bucket that holds the context; the root's
+totals and the counts behind the two discounts are a few numbers in all. (A pair
+with one customer has one table in every sweep, so sweeps send only what other
+pairs opened beyond their first.) The sums are of whole numbers: scores depend on
+the number of buckets by their random numbers alone. The sweeps after ``BURN_IN``
+are averaged into predictive probabilities:
 
     p(w | r) = (c - d t) / (theta + c_r) + (theta + D_r) / (theta + c_r) * p_root(w)
 
@@ -26,7 +31,8 @@ Flow. Documents are dealt into shards by hash. A shard sends its distinct
 (word, context) pairs with their training counts to the words' buckets; buckets
 seat their words and answer each shard; shards score their documents. Texts are
 shuffled twice, pairs once each way; a word that holds a third of all tokens is
-one row per shard and context.
+one row per shard and context. Seatings are written to the shared folder after
+every sweep.
 
 Null or empty texts are one end token. A null doc_id belongs to the training
 part. Repeated rows count and are scored row by row.
@@ -44,71 +50,77 @@ from pyspark.sql import functions as F
 
 from mercato.llm.common import raw, stored, word_hashes, words_of
 
-SAMPLE_DOCS = 4_000
-CONTEXTS = 24
 SHARD_DOCS = 5_000
 SWEEPS, BURN_IN = 8, 3
 THETA, THETA_ROOT = 5.0, 5.0
 EXACT = 64  # customers of a (restaurant, word) that are seated one by one
 END = xxhash.xxh3_64_intdigest(b" end")  # no word holds a space
-LOW = np.uint64(0xFF)
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+START = xxhash.xxh3_64_intdigest(b" start")
 
+#: Rows between buckets, groups of contexts and shards: what they are, whose they are, from where, and arrays.
+ROWS = "kind int, bucket int, other int, a binary, b binary, c binary, n array<long>"
+TABLE = [c.split()[0] for c in ROWS.split(", ")]
+STATE, ASKED, TO_GROUP, SUMS, TOTALS, EXCESS, SEATED, ANSWER = range(8)
 
-def token_keys(text: bytes, frequent: np.ndarray) -> np.ndarray:
-    """One number per token: its word's hash with the context in the lowest byte (0: none yet)."""
-    words = words_of(text)
-    h = word_hashes(words, len(words))
-    at = np.minimum(np.searchsorted(frequent, h), max(0, len(frequent) - 1))
-    name = np.where(frequent[at] == h, at + 1, 0) if len(frequent) and len(h) else np.zeros(len(h), np.int64)
-    last = np.maximum.accumulate(np.where(name > 0, np.arange(len(h)), -1)) if len(h) else name
-    before = np.r_[-1, last]  # the latest frequent word before each token and before the end
-    ctx = np.where(before >= 0, name[before], 0) if len(h) else np.zeros(1, np.int64)
-    return (np.r_[h, np.uint64(END)] & ~LOW) | ctx.astype(np.uint64)
 
+def pack(x: np.ndarray, kind: str = "<u8") -> bytes:
+    return zlib.compress(x.astype(kind).tobytes(), 1)
 
-def frequent_words(docs: DataFrame, contexts: int, sample_docs: int) -> np.ndarray:
-    """Hashes of the commonest words of a sample of training documents, sorted."""
-    total = docs.count()
-    step = max(1, total // sample_docs)
 
-    def count(batches):
-        for b in batches:
-            words = [w for t in raw(b.column(0)) for w in words_of(t)]
-            h, n = np.unique(word_hashes(words, len(words)), return_counts=True)
-            top = np.argsort(-n, kind="stable")[: 20 * contexts]
-            yield pa.RecordBatch.from_arrays([pa.array(h[top].view(np.int64)), pa.array(n[top])], ["h", "n"])
+def unpack(x: bytes, kind: str = "<u8") -> np.ndarray:
+    return np.frombuffer(zlib.decompress(x), kind)
 
-    part = docs.where("train").where(F.pmod(F.xxhash64("doc_id"), F.lit(step)) == 0).select("text")
-    top = part.mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    top = top.orderBy(F.desc("n"), "h").limit(contexts).collect()
-    return np.sort(np.array([r["h"] for r in top], np.int64).view(np.uint64))
 
+def _table(rows: list[tuple]) -> pa.Table:
+    kinds = (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64()))
+    columns = zip(*rows) if rows else [[]] * len(TABLE)
+    return pa.table({n: pa.array(list(c), k) for n, c, k in zip(TABLE, columns, kinds)})
 
-def _shard_keys(texts: list[bytes], frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    keys = [token_keys(t, frequent) for t in texts]
-    return np.concatenate(keys), np.fromiter(map(len, keys), np.int64, len(keys))
 
+def token_pairs(texts: list[bytes]):
+    """Word and context of the distinct pairs in ascending order, the pair of each token, and tokens per text."""
+    hashes = []
+    for t in texts:
+        words = words_of(t)
+        hashes.append(np.r_[word_hashes(words, len(words)), np.uint64(END)])
+    sizes = np.fromiter(map(len, hashes), np.int64, len(hashes))
+    names, at = np.unique(np.concatenate([np.array([START], np.uint64), *hashes]), return_inverse=True)
+    before = at[:-1].copy()
+    before[np.cumsum(sizes) - sizes] = at[0]
+    pairs, where = np.unique(at[1:] * len(names) + before, return_inverse=True)
+    return names[pairs // len(names)], names[pairs % len(names)], where, sizes
 
-def _ask(frequent: np.ndarray, log_buckets: int):
+
+def _runs(x: np.ndarray) -> np.ndarray:
+    """Where each run of equal values of ``x`` begins."""
+    return np.flatnonzero(np.r_[True, x[1:] != x[:-1]]) if len(x) else np.zeros(0, np.int64)
+
+
+def _ask(log_buckets: int):
     def run(key, group):
-        keys, sizes = _shard_keys(raw(group["text"].combine_chunks()), frequent)
-        distinct, where = np.unique(keys, return_inverse=True)
+        word, context, where, sizes = token_pairs(raw(group["text"].combine_chunks()))
         train = np.repeat(group["train"].to_numpy(zero_copy_only=False), sizes)
-        n = np.bincount(where[train], minlength=len(distinct)).astype("<u4")
-        bucket = (distinct >> np.uint64(64 - log_buckets)).astype(np.int64) if log_buckets else np.zeros(len(distinct), np.int64)
-        found, at = np.unique(bucket, return_index=True)
-        cuts = list(zip(at, [*at[1:], len(distinct)]))
-        return pa.table({
-            "bucket": pa.array(found, pa.int32()), "shard": pa.array([key[0].as_py()] * len(found), pa.int32()),
-            "pairs": pa.array([distinct[a:b].tobytes() for a, b in cuts], pa.binary()),
-            "counts": pa.array([zlib.compress(n[a:b].tobytes(), 1) for a, b in cuts], pa.binary())})
+        n = np.bincount(where[train], minlength=len(word))
+        bucket = (word >> np.uint64(64 - log_buckets)).astype(np.int64) if log_buckets else np.zeros(len(word), np.int64)
+        cuts = [*_runs(bucket), len(word)]
+        out = []
+        for a, b in zip(cuts, cuts[1:]):
+            first = _runs(word[a:b])
+            size = np.diff(np.r_[first, b - a])
+            words = word[a:b][first].tobytes() + size.astype("<u4").tobytes()
+            out.append((ASKED, int(bucket[a]), key[0].as_py(), words, context[a:b].tobytes(), pack(n[a:b], "<u4"), None))
+        return _table(out)
 
     return run
 
 
 def discount(counts: np.ndarray) -> float:
     """From how many things were seen once and twice."""
-    one, two = int((counts == 1).sum()), int((counts == 2).sum())
+    return discount_of(int((counts == 1).sum()), int((counts == 2).sum()))
+
+
+def discount_of(one: int, two: int) -> float:
     return min(0.95, max(0.05, (one + 0.5) / (one + 2 * two + 1)))
 
 
@@ -129,11 +141,27 @@ def seat(rng, counts: np.ndarray, d: float, weight: np.ndarray) -> np.ndarray:
     return t
 
 
+def sweep_tables(rng, word: np.ndarray, counts: np.ndarray, t: np.ndarray, open_mass: np.ndarray, customers: np.ndarray,
+                 k: np.ndarray, d: float, d_root: float, root_customers: float, root_tables: float, vocabulary: int):
+    """One sweep over (context, word) pairs of a bucket and over its words in the root: tables, customers, root tables.
+
+    ``open_mass``: theta + D_r of each pair's context; it, ``root_customers``, ``root_tables`` and
+    ``vocabulary`` are those of all buckets.
+    """
+    base = 1.0 / (vocabulary + 1)
+    new_root = THETA_ROOT + d_root * root_tables
+    # the parent without the pair's own tables
+    rest = np.maximum(customers[word] - t - d_root * k[word], 0.0)
+    new = seat(rng, counts, d, open_mass * (rest + new_root * base) / (THETA_ROOT + root_customers))
+    customers = customers + np.bincount(word, new - t, len(customers))
+    return new, customers, seat(rng, customers, d_root, np.full(len(customers), new_root * base))
+
+
 def sample_tables(rng, word: np.ndarray, context: np.ndarray, counts: np.ndarray, contexts: int, scale: int,
                   sweeps: int, burn_in: int):
-    """Averaged seatings of one bucket.
+    """Averaged seatings of pairs by themselves, in memory, as one of ``scale`` like parts; the query shares totals instead.
 
-    ``word``: index of each (context, word) pair's word; ``scale``: how many buckets there are.
+    ``word``: index of each (context, word) pair's word.
     Returns d, d_root, tables per pair, customers and tables of the root per word.
     """
     n_words = int(word.max()) + 1
@@ -142,18 +170,11 @@ def sample_tables(rng, word: np.ndarray, context: np.ndarray, counts: np.ndarray
     customers = np.bincount(word, t, n_words)
     d_root = discount(customers)
     k = np.ones(n_words)
-    base = 1.0 / (scale * n_words + 1)
     mean_t, mean_c, mean_k = np.zeros(len(t)), np.zeros(n_words), np.zeros(n_words)
     for sweep in range(sweeps):
-        new_root = THETA_ROOT + d_root * k.sum() * scale
-        total = THETA_ROOT + customers.sum() * scale
-        # the parent without the pair's own tables
-        rest = np.maximum(customers[word] - t - d_root * k[word], 0.0)
-        parent = (rest + new_root * base) / total
         open_mass = THETA + d * np.bincount(context, t, contexts) * scale
-        t = seat(rng, counts, d, open_mass[context] * parent)
-        customers = np.bincount(word, t, n_words)
-        k = seat(rng, customers, d_root, np.full(n_words, new_root * base))
+        t, customers, k = sweep_tables(rng, word, counts, t, open_mass[context], customers, k, d, d_root,
+                                       customers.sum() * scale, k.sum() * scale, n_words * scale)
         if sweep >= burn_in:
             mean_t += t
             mean_c += customers
@@ -162,83 +183,170 @@ def sample_tables(rng, word: np.ndarray, context: np.ndarray, counts: np.ndarray
     return d, d_root, mean_t / kept, mean_c / kept, mean_k / kept
 
 
-def _answer(contexts: int, scale: int, sweeps: int, burn_in: int):
+def _send(bucket: int, names: np.ndarray, values: list[np.ndarray], groups: int) -> list[tuple]:
+    """Messages of a bucket to the groups of its (ascending) contexts."""
+    group = ((names >> np.uint64(32)) * np.uint64(groups) >> np.uint64(32)).astype(np.int64)
+    cuts = [*_runs(group), len(names)]
+    return [(TO_GROUP, bucket, int(group[a]), names[a:b].tobytes(), pack(np.concatenate([v[a:b] for v in values])), None, None)
+            for a, b in zip(cuts, cuts[1:])]
+
+
+def _sum_groups(kind: int):
+    """Sums per context over all buckets, sent back to each in the order it asked in."""
+    def run(key, group):
+        names = [np.frombuffer(x, np.uint64) for x in group["a"].to_pylist()]
+        values = [unpack(x).reshape(-1, len(n)) for x, n in zip(group["b"].to_pylist(), names)]
+        _, where = np.unique(np.concatenate(names), return_inverse=True)
+        both = np.concatenate(values, axis=1)
+        total = [np.zeros(where.max() + 1, np.uint64) for _ in both]
+        for t, v in zip(total, both):
+            np.add.at(t, where, v)
+        out, at = [], 0
+        for bucket, n in zip(group["bucket"].to_pylist(), names):
+            mine = where[at : at + len(n)]
+            at += len(n)
+            out.append((kind, bucket, key[0].as_py(), pack(np.concatenate([t[mine] for t in total])), None, None, [len(n)]))
+        return _table(out)
+
+    return run
+
+
+def _returned(rows: list[dict], kind: int, columns: int) -> list[np.ndarray]:
+    mine = sorted((r for r in rows if r["kind"] == kind), key=lambda r: r["other"])
+    parts = [unpack(r["a"]).reshape(columns, -1).astype(np.float64) for r in mine]
+    return list(np.concatenate(parts, axis=1)) if parts else [np.zeros(0)] * columns
+
+
+def _gather(groups: int):
+    """The distinct pairs of a bucket with their counts, and where those of each shard are."""
     def run(key, group):
         bucket = key[0].as_py()
-        shard = group["shard"].to_pylist()
-        pairs = [np.frombuffer(x, np.uint64) for x in group["pairs"].to_pylist()]
-        counts = [np.frombuffer(zlib.decompress(x), "<u4") for x in group["counts"].to_pylist()]
-        all_pairs, where = np.unique(np.concatenate(pairs), return_inverse=True)
-        c = np.bincount(where, np.concatenate(counts), len(all_pairs)).astype(np.int64)
-        name = all_pairs & ~LOW
-        first = np.r_[True, name[1:] != name[:-1]]
-        word = np.cumsum(first) - 1
-        c_word = np.bincount(word, c).astype(np.int64)
-        mass, root = np.zeros(len(c), "<f4"), np.zeros(len(c_word), "<f4")
-        sums = np.zeros(2 * contexts + 4)
-        if c.any():
-            # the seating depends on the bucket's counts alone, so a task run again gives the same
-            rng = np.random.default_rng(bucket)
-            seen = np.flatnonzero(c)
-            known = np.flatnonzero(c_word)
-            index = np.zeros(len(c_word), np.int64)
-            index[known] = np.arange(len(known))
-            ctx = (all_pairs[seen] & LOW).astype(np.int64)
-            d, d_root, t, customers, k = sample_tables(rng, index[word[seen]], ctx, c[seen], contexts, scale, sweeps, burn_in)
-            mass[seen] = c[seen] - d * t
-            root[known] = customers - d_root * k
-            sums[:contexts] = np.bincount(ctx, c[seen], contexts)
-            sums[contexts : 2 * contexts] = d * np.bincount(ctx, t, contexts)
-            sums[-4:] = customers.sum(), d_root * k.sum(), c.sum(), len(known)
-        rows, at = [], 0
-        for p in pairs:
-            mine = where[at : at + len(p)]
-            at += len(p)
-            w = word[mine]
-            w = w[np.r_[True, w[1:] != w[:-1]]]
-            rows.append(zlib.compress(mass[mine].tobytes(), 1) if len(p) else b"")
-            rows.append(zlib.compress(root[w].tobytes() + c_word[w].astype("<u8").tobytes(), 1))
-        n = len(shard)
-        return pa.table({
-            "shard": pa.array([*shard, -1], pa.int32()), "bucket": pa.array([bucket] * (n + 1), pa.int32()),
-            "mass": pa.array([*rows[::2], None], pa.binary()), "root": pa.array([*rows[1::2], None], pa.binary()),
-            "sums": pa.array([*[None] * n, sums.tolist()], pa.list_(pa.float64()))})
+        shards, words, sizes, contexts, counts = group["other"].to_pylist(), [], [], [], []
+        for a, b, c in zip(group["a"].to_pylist(), group["b"].to_pylist(), group["c"].to_pylist()):
+            n = len(a) // 12
+            words.append(np.frombuffer(a, np.uint64, n))
+            sizes.append(np.frombuffer(a, "<u4", n, 8 * n))
+            contexts.append(np.frombuffer(b, np.uint64))
+            counts.append(unpack(c, "<u4"))
+        names, ctx = np.unique(np.concatenate(contexts), return_inverse=True)
+        _, word = np.unique(np.concatenate(words), return_inverse=True)
+        word = np.repeat(word, np.concatenate(sizes))
+        pairs, where = np.unique(word * len(names) + ctx, return_inverse=True)
+        c = np.bincount(where, np.concatenate(counts), len(pairs)).astype(np.int64)
+        word, ctx = pairs // len(names), pairs % len(names)
+        out = [(STATE, bucket, -1, names.tobytes(), pack(np.diff(word, prepend=0), "<u1"), pack(ctx, "<u4"), None),
+               (STATE, bucket, -2, pack(c), None, None, None)]
+        at = 0
+        for shard, n in zip(shards, map(len, contexts)):
+            out.append((ASKED, bucket, shard, pack(np.diff(where[at : at + n], prepend=0), "<u4"), None, None, None))
+            at += n
+        c_word = np.bincount(word, c)
+        customers = np.bincount(word, c > 0)
+        of = [(c_word > 0).sum(), c.sum(), (c > 0).sum(), (c == 1).sum(), (c == 2).sum(), (customers == 1).sum(), (customers == 2).sum()]
+        out.append((SUMS, bucket, -1, None, None, None, [int(x) for x in of]))
+        out += _send(bucket, names, [np.bincount(ctx, c, len(names)), np.bincount(ctx, c > 0, len(names))], groups)
+        return _table(out)
 
     return run
 
 
-def _score(frequent: np.ndarray, sums: np.ndarray, contexts: int):
-    c_r, d_r = sums[:contexts], sums[contexts : 2 * contexts]
-    customers, d_root, total, vocabulary = sums[-4:]
+class Bucket:
+    """What a bucket holds, from its rows: all pairs, and the live ones, those with more than one customer."""
+
+    def __init__(self, rows: list[dict]):
+        one = next(r for r in rows if r["kind"] == STATE and r["other"] == -1)
+        self.names = np.frombuffer(one["a"], np.uint64)
+        self.word = np.cumsum(unpack(one["b"], "<u1").astype(np.int64))
+        self.ctx = unpack(one["c"], "<u4").astype(np.int64)
+        self.counts = unpack(next(r for r in rows if r["kind"] == STATE and r["other"] == -2)["a"]).astype(np.int64)
+        self.n_words = int(self.word[-1]) + 1
+        self.first = np.bincount(self.word, self.counts > 0, self.n_words)  # root customers if each pair has one table
+        self.live = np.flatnonzero(self.counts > 1)
+        self.live_ctx, self.live_at = np.unique(self.ctx[self.live], return_inverse=True)
+        self.c_r, self.n_r = _returned(rows, TOTALS, 2)
+        seated = next((r for r in rows if r["kind"] == SEATED), None)
+        if seated is None:
+            self.t, self.k = np.ones(len(self.live)), (self.first > 0).astype(np.float64)
+            self.sum_t, self.sum_k = np.zeros(len(self.live)), np.zeros(self.n_words)
+        else:
+            self.t, self.sum_t = unpack(seated["a"]).reshape(2, -1).astype(np.float64)
+            self.k, self.sum_k = unpack(seated["b"]).reshape(2, -1).astype(np.float64)
+
+    def customers(self, excess: np.ndarray) -> np.ndarray:
+        return self.first + np.bincount(self.word[self.live], excess, self.n_words)
+
+
+def _sweep(sweep: int, groups: int, keep: bool, last: bool, d: float, d_root: float, root_customers: float, root_tables: float,
+           vocabulary: int):
+    def run(key, group):
+        bucket, rows = key[0].as_py(), group.to_pylist()
+        b = Bucket(rows)
+        excess = _returned(rows, EXCESS, 1)[0] if sweep else np.zeros(len(b.live_ctx))
+        known = np.flatnonzero(b.first)
+        index = np.zeros(b.n_words, np.int64)
+        index[known] = np.arange(len(known))
+        open_mass = (THETA + d * (b.n_r[b.live_ctx] + excess))[b.live_at]
+        # the seating depends on the buckets' counts alone, so a task run again gives the same
+        t, customers, k = sweep_tables(
+            np.random.default_rng([bucket, sweep]), index[b.word[b.live]], b.counts[b.live], b.t, open_mass,
+            b.customers(b.t - 1)[known], b.k[known], d, d_root, root_customers, root_tables, vocabulary)
+        b.k[known] = k
+        if keep:
+            b.sum_t = b.sum_t + t - 1
+            b.sum_k = b.sum_k + b.k
+        out = [(SEATED, bucket, -1, pack(np.concatenate([t, b.sum_t])), pack(np.concatenate([b.k, b.sum_k])), None, None),
+               (SUMS, bucket, -1, None, None, None, [int(x) for x in (customers.sum(), k.sum(), b.sum_t.sum(), b.sum_k.sum())])]
+        if last:  # every context asked for, with what the kept sweeps sum to
+            out += _send(bucket, b.names, [np.bincount(b.ctx[b.live], b.sum_t, len(b.names))], groups)
+        else:
+            out += _send(bucket, b.names[b.live_ctx], [np.bincount(b.live_at, t - 1, len(b.live_ctx))], groups)
+        return _table(out)
+
+    return run
+
+
+def _answer(kept: int, d: float, d_root: float, root_customers: float, root_tables: float, vocabulary: int):
+    """log10 p of each shard's pairs and the training counts of its words."""
+    def run(key, group):
+        rows = group.to_pylist()
+        b = Bucket(rows)
+        d_r = d * (b.n_r + _returned(rows, EXCESS, 1)[0] / kept)
+        t = (b.counts > 0).astype(np.float64)
+        t[b.live] += b.sum_t / kept
+        root = b.customers(b.sum_t / kept) - d_root * b.sum_k / kept
+        p_root = (root + (THETA_ROOT + d_root * root_tables) / (vocabulary + 1)) / (THETA_ROOT + root_customers)
+        p = (b.counts - d * t + (THETA + d_r)[b.ctx] * p_root[b.word]) / (THETA + b.c_r[b.ctx])
+        log_p, c_word = np.log10(p), np.bincount(b.word, b.counts, b.n_words)
+        out = []
+        for r in rows:
+            if r["kind"] == ASKED:
+                mine = np.cumsum(unpack(r["a"], "<u4").astype(np.int64))
+                w = b.word[mine]
+                out.append((ANSWER, key[0].as_py(), r["other"], log_p[mine].astype("<f4").tobytes(), pack(c_word[w[_runs(w)]]), None, None))
+        return _table(out)
+
+    return run
+
 
+def _score(total: int, vocabulary: int):
     def run(key, docs, answers):
         texts = raw(docs["text"].combine_chunks()) if docs.num_rows else []
         if not texts:
             return SCORES.empty_table()
-        keys, sizes = _shard_keys(texts, frequent)
-        distinct, where = np.unique(keys, return_inverse=True)
+        word, _, where, sizes = token_pairs(texts)
         answers = answers.sort_by("bucket")
-        mass = np.concatenate([np.frombuffer(zlib.decompress(x), "<f4") for x in answers["mass"].to_pylist()])
-        root, c_word = [], []
-        for x in answers["root"].to_pylist():
-            x = zlib.decompress(x)
-            n = len(x) // 12
-            root.append(np.frombuffer(x, "<f4", n))
-            c_word.append(np.frombuffer(x, "<u8", n, 4 * n))
-        root, c_word = np.concatenate(root).astype(np.float64), np.concatenate(c_word).astype(np.float64)
-        name = distinct & ~LOW
-        word = np.cumsum(np.r_[True, name[1:] != name[:-1]]) - 1
-        if len(mass) != len(distinct) or len(root) != word[-1] + 1:
+        model = np.concatenate([np.frombuffer(x, "<f4") for x in answers["a"].to_pylist()]).astype(np.float64)
+        c_word = np.concatenate([unpack(x) for x in answers["b"].to_pylist()]).astype(np.float64)
+        first = _runs(word)
+        if len(model) != len(word) or len(c_word) != len(first):
             raise ValueError("the answers are not those of this shard")
-        ctx = (distinct & LOW).astype(np.int64)
-        p_root = (root[word] + (THETA_ROOT + d_root) / (vocabulary + 1)) / (THETA_ROOT + customers)
-        p = mass / (THETA + c_r[ctx]) + (THETA + d_r[ctx]) / (THETA + c_r[ctx]) * p_root
-        model, base = np.log10(p), np.log10((c_word[word] + 1) / (total + vocabulary + 1))
+        c_word = np.repeat(c_word, np.diff(np.r_[first, len(word)]))
+        base = np.log10((c_word + 1) / (total + vocabulary + 1))
         at = np.r_[0, np.cumsum(sizes)[:-1]]
         add = lambda v: np.add.reduceat(v[where], at)
         return pa.table([
             docs["doc_id"].combine_chunks(), pa.array(~docs["train"].to_numpy(zero_copy_only=False)), pa.array(sizes),
-            pa.array(add((c_word[word] > 0).astype(np.int64))), pa.array(np.full(len(sizes), int(total))),
+            pa.array(add((c_word > 0).astype(np.int64))), pa.array(np.full(len(sizes), int(total))),
             pa.array(add(base)), pa.array(add(model))], schema=SCORES)
 
     return run
@@ -248,27 +356,53 @@ SCORES = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens
                     ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
 
-def scores(docs: DataFrame, contexts: int = CONTEXTS, shard_docs: int = SHARD_DOCS, sweeps: int = SWEEPS,
-           burn_in: int = BURN_IN, sample_docs: int = SAMPLE_DOCS, id_col="doc_id", text_col="text") -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10) of every document."""
+def _stored(df: DataFrame, name: str, *by: str) -> DataFrame:
+    """:func:`stored`; the shuffle files behind it, which nothing reads again, are dropped when it is written."""
+    conf, before = df.sparkSession.conf, df.sparkSession.conf.get(CLEANUP, "false")
+    conf.set(CLEANUP, "true")
+    try:
+        return stored(df, name, *by)
+    finally:
+        conf.set(CLEANUP, before)
+
+
+def _sums(rows: DataFrame, n: int) -> list[int]:
+    """The few numbers of the whole table: those of all buckets added up."""
+    found = rows.where(F.col("kind") == SUMS).agg(*[F.sum(F.col("n")[i]).alias(f"x{i}") for i in range(n)]).first()
+    return [int(x or 0) for x in found]
+
+
+def scores(docs: DataFrame, contexts: int | None = None, shard_docs: int = SHARD_DOCS, sweeps: int = SWEEPS,
+           burn_in: int = BURN_IN, id_col="doc_id", text_col="text") -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10) of every document.
+
+    ``contexts``: in how many groups the contexts' totals are summed (as many as buckets by default); no
+    context is left out.
+    """
     held_out = F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 7 == 2, F.lit(False))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), (~held_out).alias("train"))
     n = rows.count()
     shards = max(1, -(-n // shard_docs))
     log_buckets = max(0, (shards - 1).bit_length())
-    frequent = frequent_words(rows, contexts, sample_docs)
-    contexts = len(frequent) + 1
+    groups = contexts or 1 << log_buckets
     dealt = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("int"))
-    asked = dealt.groupBy("shard").applyInArrow(
-        _ask(frequent, log_buckets), "bucket int, shard int, pairs binary, counts binary")
-    answered = stored(asked.groupBy("bucket").applyInArrow(
-        _answer(contexts, 1 << log_buckets, sweeps, burn_in),
-        "shard int, bucket int, mass binary, root binary, sums array<double>"), "seatings")
-    # a few numbers per context
-    total = (answered.where("shard < 0").select(F.posexplode("sums").alias("i", "x"))
-             .groupBy("i").agg(F.sum("x").alias("x")).orderBy("i").collect())
-    sums = np.array([r["x"] for r in total]) if total else np.zeros(2 * contexts + 4)
-    mine = answered.where("shard >= 0").select("shard", "bucket", "mass", "root")
+    asked = dealt.groupBy("shard").applyInArrow(_ask(log_buckets), ROWS)
+    held = _stored(asked.groupBy("bucket").applyInArrow(_gather(groups), ROWS), "pairs", "kind")
+    vocabulary, total, pairs, *seen = _sums(held, 7)
+    d, d_root = discount_of(*seen[:2]), discount_of(*seen[2:])
+    of_kind = lambda df, *kinds: df.where(F.col("kind").isin(*kinds)).select(*TABLE)
+    summed = lambda df, kind: of_kind(df, TO_GROUP).groupBy("other").applyInArrow(_sum_groups(kind), ROWS)
+    fixed = of_kind(held, STATE).unionByName(_stored(summed(held, TOTALS), "totals"))
+    state, root_customers, root_tables = fixed, pairs, vocabulary  # a table for each pair and one in the root for each word
+    for sweep in range(sweeps):
+        run = _sweep(sweep, groups, sweep >= burn_in, sweep == sweeps - 1, d, d_root, root_customers, root_tables, vocabulary)
+        now = _stored(state.groupBy("bucket").applyInArrow(run, ROWS), "seatings", "kind")
+        root_customers, root_tables, sum_t, sum_k = _sums(now, 4)
+        state = fixed.unionByName(of_kind(now, SEATED)).unionByName(summed(now, EXCESS))
+    kept = max(1, sweeps - burn_in)
+    run = _answer(kept, d, d_root, pairs + sum_t / kept, sum_k / kept, vocabulary)
+    answered = _stored(state.unionByName(of_kind(held, ASKED)).groupBy("bucket").applyInArrow(run, ROWS), "answers")
+    mine = answered.select(F.col("other").alias("shard"), "bucket", "a", "b")
     return dealt.groupBy("shard").cogroup(mine.groupBy("shard")).applyInArrow(
-        _score(frequent, sums, contexts),
+        _score(total, vocabulary),
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -1,0 +1,37 @@
+"""Contexts are the words directly before, all of them; restaurants' totals are those of all buckets."""
+
+import math
+import random
+
+import pytest
+
+from mercato.llm import pitman_yor
+
+
+def paired_corpus():
+    """Each of many middling words is always followed by the same other one; a few common words stand between."""
+    rnd = random.Random(3)
+    rows = []
+    for i in range(600):
+        ws = []
+        for _ in range(12):
+            k = rnd.randrange(80)
+            ws += [f"left{k}", f"right{k}"] + rnd.choices(["the", "of", "and"], k=2)
+        rows.append((i, " ".join(ws)))
+    return rows
+
+
+def test_every_preceding_word_is_a_context(spark):
+    """A rare word tells its successor: that is worth far more than the latest frequent word."""
+    docs = spark.createDataFrame(paired_corpus(), "doc_id long, text string")
+    rows = pitman_yor.scores(docs, shard_docs=100).where("held_out").collect()
+    gain = sum(r["score"] - r["base_score"] for r in rows) / sum(r["n_tokens"] for r in rows)
+    # a quarter of the tokens (right<k>) has one of 80 outcomes under a root model and is certain given the word before
+    assert gain > 0.8 * math.log10(80) / 4
+
+
+def test_scores_hardly_depend_on_the_number_of_buckets(spark):
+    docs = spark.createDataFrame(paired_corpus(), "doc_id long, text string")
+    one, many = ({r["doc_id"]: r["score"] for r in pitman_yor.scores(docs, shard_docs=n).collect()} for n in (600, 10))
+    assert sum(many.values()) == pytest.approx(sum(one.values()), rel=2e-3)
+    assert max(abs(many[i] / one[i] - 1) for i in one) < 0.02
