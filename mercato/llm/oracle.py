@@ -76,8 +76,38 @@ SELECT c.doc_id, CAST(len(c.w) AS BIGINT) AS n_words, CAST(COALESCE(h.n, 0) AS B
   sha256(COALESCE(s.list, '')) AS items_sha256, COALESCE(h.n, 0) > 0 AS contaminated
 FROM cut c LEFT JOIN hit h ON h.doc_id = c.doc_id LEFT JOIN seen s ON s.doc_id = c.doc_id"""
 
+COLLOCATIONS = rf"""WITH
+pieces AS (
+  SELECT COALESCE(lang, 'und') AS lang, unnest(string_split_regex({LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+),
+cut AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+counts AS (
+  SELECT lang, w[k : k + m - 1] AS p, COUNT(*) AS f
+  FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS k FROM cut, (VALUES (1), (2), (3)) sizes(m))
+  GROUP BY 1, 2
+),
+words AS (SELECT lang, SUM(f) AS n FROM counts WHERE len(p) = 1 GROUP BY lang),
+candidates AS (SELECT lang, p, f AS a FROM counts WHERE len(p) > 1 AND f >= 10),
+covered AS (
+  SELECT s.lang, s.p FROM candidates s JOIN candidates t ON t.lang = s.lang AND len(s.p) = 2 AND len(t.p) = 3
+    AND (t.p[1:2] = s.p OR t.p[2:3] = s.p) AND 100 * t.a >= 50 * s.a
+),
+cuts AS (
+  SELECT c.lang, c.p, c.a, c.k, x.f AS l, y.f AS r,
+    (CAST(1000000 AS HUGEINT) * c.a * c.a) // (CAST(x.f AS HUGEINT) * y.f) AS score
+  FROM (SELECT lang, p, a, unnest(range(1, len(p))) AS k FROM candidates ANTI JOIN covered USING (lang, p)) c
+  JOIN counts x ON x.lang = c.lang AND x.p = c.p[1 : c.k] JOIN counts y ON y.lang = c.lang AND y.p = c.p[c.k + 1 :]
+),
+lowest AS (SELECT * FROM cuts QUALIFY ROW_NUMBER() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+placed AS (
+  SELECT lang, ROW_NUMBER() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank,
+    array_to_string(p, ' ') AS phrase, a, l, r, CAST(score AS BIGINT) AS score FROM lowest
+)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score FROM placed JOIN words USING (lang) WHERE rank <= 2000"""
+
 ORACLES: dict[str, str] = {
     "op1_ngram_jaccard": SHINGLE_COMPONENTS,
     "op7_embedding_dedup": VECTOR_COMPONENTS,
     "op9_decontamination": BENCHMARK_WINDOWS,
+    "op13_collocations": COLLOCATIONS,
 }

@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from mercato.llm import (
     bpe,
+    byte_bpe,
     chat,
+    collocations,
     decontam,
     embedding_dedup,
     ngram_jaccard,
+    periodic_runs,
     pitman_yor,
     quality,
     records,
@@ -70,8 +73,25 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoding_digests(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.with_repeats(table(spark, sf_dir, "documents"))
+    return periodic_runs.run_digests(periodic_runs.periodic_runs(docs))
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = tokenizer_file("byte_bpe_multi_50k.tiktoken")
+    return byte_bpe.encoding_digests(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_ngram_jaccard, op2_toxicity, op3_pitman_yor, op4_record_output, op5_token_counts, op6_tool_calls,
-              op7_embedding_dedup, op8_quality, op9_decontamination, op10_bpe)
+              op7_embedding_dedup, op8_quality, op9_decontamination, op10_bpe, op11_periodic_runs, op12_byte_bpe,
+              op13_collocations)
 }
