@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from mercato.functions import cents_to_double, round_half_away, safe_div, to_cents
 from mercato.operators.filters import delivered_orders, items_of_state, order_frame, with_orders
+from mercato.operators.order_lines import revenue_by_product
 from mercato.operators.ranking import reliable, running_share
 from mercato.params import NO_FILTER, Params
 
@@ -44,9 +45,10 @@ def product_categories(t) -> DataFrame:
     )
 
 
-def _product_revenue_exact(t, params: Params, fanout: bool, orders: DataFrame | None = None) -> DataFrame:
-    if orders is None:
-        orders = order_frame(t, params, weights=True) if fanout else delivered_orders(t, params).select("order_id")
+def _product_revenue_exact(t, params: Params, fanout: bool, lines: DataFrame | None = None) -> DataFrame:
+    if lines is not None:
+        return revenue_by_product(lines, items_of_state(lines, t["sellers"], params.state), fanout)
+    orders = order_frame(t, params, weights=True) if fanout else delivered_orders(t, params).select("order_id")
     items = items_of_state(t["order_items"], t["sellers"], params.state) if params.state else t["order_items"]
     items = items.select("order_id", "product_id", to_cents(F.col("price")).alias("cents"))
     if fanout:
@@ -65,7 +67,7 @@ def product_revenue(t, params: Params = NO_FILTER, fanout: bool = False) -> Data
 
 
 def product_shares(
-    t, params: Params = NO_FILTER, fanout: bool = True, plain: bool = False, orders: DataFrame | None = None,
+    t, params: Params = NO_FILTER, fanout: bool = True, plain: bool = False, lines: DataFrame | None = None,
     categories: bool = False,
 ) -> DataFrame:
     """``product_id, revenue (long cents), units_sold, revenue_share, cumulative_share``.
@@ -73,7 +75,7 @@ def product_shares(
     ``categories`` adds the category, joined while the aggregate is still
     partitioned by product.
     """
-    r = _product_revenue_exact(t, params, fanout, orders)
+    r = _product_revenue_exact(t, params, fanout, lines)
     if categories:
         r = r.join(product_categories(t), "product_id", "left")
     if not plain:
@@ -94,11 +96,11 @@ def product_cumulative_share(t, params: Params = NO_FILTER, fanout: bool = True)
 
 
 def abc_detail(
-    t, params: Params = NO_FILTER, fanout: bool = True, cuts=CUTS, plain: bool = False, orders: DataFrame | None = None
+    t, params: Params = NO_FILTER, fanout: bool = True, cuts=CUTS, plain: bool = False, lines: DataFrame | None = None
 ) -> DataFrame:
     """Unrounded classification (input to the report tables)."""
     a, b = cuts
-    s = product_shares(t, params, fanout, plain=plain, orders=orders, categories=True)
+    s = product_shares(t, params, fanout, plain=plain, lines=lines, categories=True)
     cum = F.col("cumulative_share")
     return s.select(
         "product_id",
@@ -112,11 +114,11 @@ def abc_detail(
 
 
 def abc_classification(
-    t, params: Params = NO_FILTER, fanout: bool = True, cuts=CUTS, plain: bool = False, orders: DataFrame | None = None
+    t, params: Params = NO_FILTER, fanout: bool = True, cuts=CUTS, plain: bool = False, lines: DataFrame | None = None
 ) -> DataFrame:
     """``product_id, category, revenue (2), units_sold, revenue_share_pct (4),
     cumulative_share_pct (2), abc_class``."""
-    d = abc_detail(t, params, fanout, cuts, plain=plain, orders=orders)
+    d = abc_detail(t, params, fanout, cuts, plain=plain, lines=lines)
     return d.select(
         "product_id",
         "category",

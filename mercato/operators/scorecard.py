@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from mercato.functions import cents_to_double, day_diff, round_half_away, safe_div, to_cents
 from mercato.operators.filters import items_of_state, order_frame, sellers_in, with_orders
+from mercato.operators.order_lines import metrics_by_seller
 from mercato.operators.ranking import percent_ranks, reliable
 from mercato.params import NO_FILTER, Params
 
@@ -30,16 +31,17 @@ from mercato.params import NO_FILTER, Params
 WEIGHTS = (0.40, 0.30, 0.30)
 
 
-def seller_metrics(t, params: Params = NO_FILTER, orders: DataFrame | None = None) -> DataFrame:
+def seller_metrics(t, params: Params = NO_FILTER, lines: DataFrame | None = None) -> DataFrame:
     """Per seller with delivered orders: exact sums behind every metric.
 
-    ``orders`` is :func:`~mercato.operators.filters.order_frame` with reviews
-    (made here when not given). With a seller state set, only that state's
+    ``lines`` are a run's :func:`~mercato.operators.order_lines.order_lines`
+    with reviews; without them the items are joined here. With a seller state set, only that state's
     sellers are ranked and a seller's metrics depend only on its own items, so
     the items are restricted to in-state sellers before the join.
     """
-    if orders is None:
-        orders = order_frame(t, params, reviews=True)
+    if lines is not None:
+        return metrics_by_seller(items_of_state(lines, t["sellers"], params.state))
+    orders = order_frame(t, params, reviews=True)
     items = t["order_items"].select("order_id", "seller_id", "price", "freight_value")
     base = with_orders(items_of_state(items, t["sellers"], params.state), orders)
     delivered_at = F.col("order_delivered_customer_date")
@@ -87,9 +89,9 @@ def seller_reviews(t, params: Params = NO_FILTER) -> DataFrame:
     return m.select("seller_id", safe_div(F.col("score_sum"), F.col("score_n")).alias("avg_review_score"))
 
 
-def seller_combined(t, params: Params = NO_FILTER, orders: DataFrame | None = None) -> DataFrame:
+def seller_combined(t, params: Params = NO_FILTER, lines: DataFrame | None = None) -> DataFrame:
     """Sellers (of the state, if set) with at least one order, metrics defaulted to 0."""
-    m = seller_metrics(t, params, orders)
+    m = seller_metrics(t, params, lines)
     sellers = sellers_in(t["sellers"], params.state).select("seller_id", "seller_state", "seller_city")
     return sellers.join(m, "seller_id").where(F.col("total_orders") > 0).select(
         "seller_id",
@@ -104,10 +106,10 @@ def seller_combined(t, params: Params = NO_FILTER, orders: DataFrame | None = No
 
 
 def seller_percent_ranks(
-    t, params: Params = NO_FILTER, plain: bool = False, orders: DataFrame | None = None
+    t, params: Params = NO_FILTER, plain: bool = False, lines: DataFrame | None = None
 ) -> DataFrame:
     """Combined sellers plus ``pr_revenue, pr_on_time, pr_review`` in [0, 1]."""
-    c = seller_combined(t, params, orders)
+    c = seller_combined(t, params, lines)
     if not plain:
         c = reliable(c)  # read by the ranking jobs and the final joins: compute it once
     ranks = {"total_revenue": "pr_revenue", "on_time_rate": "pr_on_time", "avg_review_score": "pr_review"}
@@ -115,7 +117,7 @@ def seller_percent_ranks(
 
 
 def seller_scorecard(
-    t, params: Params = NO_FILTER, weights=WEIGHTS, plain: bool = False, orders: DataFrame | None = None
+    t, params: Params = NO_FILTER, weights=WEIGHTS, plain: bool = False, lines: DataFrame | None = None
 ) -> DataFrame:
     """One row per ranked seller.
 
@@ -126,7 +128,7 @@ def seller_scorecard(
     without reviews score 0 on reviews.
     """
     w_rev, w_on, w_review = weights
-    r = seller_percent_ranks(t, params, plain=plain, orders=orders)
+    r = seller_percent_ranks(t, params, plain=plain, lines=lines)
     composite = (F.col("pr_revenue") * w_rev + F.col("pr_on_time") * w_on + F.col("pr_review") * w_review) * 100
     return r.select(
         "seller_id",

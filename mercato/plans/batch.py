@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mercato.operators import abc, checks, cohort, delivery, monthly, scorecard
-from mercato.operators.filters import order_frame
+from mercato.operators.order_lines import order_lines
 from mercato.params import NO_FILTER, Params
 from mercato.session import tune
 from mercato.sources.sinks import write_csv, write_parquet
@@ -60,15 +60,15 @@ def _try(result: RunResult, name: str, fn):
         return None
 
 
-def _shared_orders(t, params: Params) -> DataFrame | None:
-    """The order-level frame (:func:`~mercato.operators.filters.order_frame`) that three analyses join
-    their items with, made once per run. None if it can't be made: each analysis then
-    makes its own, and those that lack a table or column fail on their own."""
+def _shared_lines(t, params: Params) -> DataFrame | None:
+    """The stored :func:`~mercato.operators.order_lines.order_lines` that three analyses aggregate:
+    the items are read and joined once per run. None if they can't be made: each analysis then
+    joins its own, and those that lack a table or column fail on their own."""
     for reviews in (True, False):
         try:
-            return order_frame(t, params, reviews=reviews, weights=True)
+            return order_lines(t, params, reviews=reviews)
         except Exception as exc:  # noqa: BLE001 - e.g. no review table
-            log.warning("no shared orders (reviews: %s): %s", reviews, exc)
+            log.warning("no shared lines (reviews: %s): %s", reviews, exc)
     return None
 
 
@@ -90,14 +90,14 @@ def run_batch(
         for r in result.failed_checks:
             log.warning("check failed: %s", r)
 
-    orders = _shared_orders(t, params)
-    with_reviews = orders if orders is not None and "score_sum" in orders.columns else None
+    lines = _shared_lines(t, params)
+    with_reviews = lines if lines is not None and "score_sum" in lines.columns else None
     analyses: dict[str, callable] = {
-        "seller_scorecard": lambda: scorecard.seller_scorecard(t, params, orders=with_reviews),
-        "abc_classification": lambda: abc.abc_classification(t, params, orders=orders),
+        "seller_scorecard": lambda: scorecard.seller_scorecard(t, params, lines=with_reviews),
+        "abc_classification": lambda: abc.abc_classification(t, params, lines=lines),
         "cohort_retention": lambda: cohort.cohort_retention(t, params),
         "delivery_by_state": lambda: delivery.delivery_by_state(t, params),
-        "monthly_growth": lambda: monthly.monthly_growth(t, params, orders=orders),
+        "monthly_growth": lambda: monthly.monthly_growth(t, params, lines=lines),
     }
     frames: dict[str, DataFrame] = {}
     for name, build in analyses.items():

@@ -1,4 +1,4 @@
-"""The plans of all jobs a query runs while it is built: stored frames and small ranking jobs."""
+"""The plans of all jobs a query or a run starts: stored frames, small ranking jobs, written outputs."""
 
 from __future__ import annotations
 
@@ -17,11 +17,12 @@ def plan_of(df: DataFrame) -> str:
 
 @contextmanager
 def recorded() -> Iterator[list[tuple[str, str]]]:
-    """Within it, each ``checkpoint`` and ``collect`` adds (its name, its physical plan)."""
+    """Within it, each ``checkpoint``, ``collect`` and ``write`` adds (its name, its physical plan)."""
     from pyspark.sql.classic.dataframe import DataFrame as Classic
 
     jobs: list[tuple[str, str]] = []
     real = {name: getattr(Classic, name) for name in ("checkpoint", "collect")}
+    write = Classic.write
 
     def noting(name):
         def run(self, *args, **kw):
@@ -30,13 +31,19 @@ def recorded() -> Iterator[list[tuple[str, str]]]:
 
         return run
 
+    def writing(self):
+        jobs.append(("write", plan_of(self)))
+        return write.fget(self)
+
     try:
         for name in real:
             setattr(Classic, name, noting(name))
+        Classic.write = property(writing)
         yield jobs
     finally:
         for name, f in real.items():
             setattr(Classic, name, f)
+        Classic.write = write
 
 
 def shape(plan: str) -> dict[str, int]:

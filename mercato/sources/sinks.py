@@ -1,40 +1,79 @@
-"""File sinks: distributed writers, overwrite mode, no output for empty results."""
+"""File sinks: distributed writers, an output replaced whole or not at all, none for empty results.
+
+A result is written beside its target, under a name that readers skip, and its
+rows are counted on their way to the files, so the plan runs once. Only a whole
+result with rows takes the target's place; an empty result or a failed write leaves
+what an earlier run wrote. Works on any file system that Hadoop knows; where
+folders are renamed file by file (object stores) the change of place is not atomic, but
+the earlier output is kept until the new one stands.
+"""
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.readwriter import DataFrameWriter
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> bool:
     """Write ``df`` as CSV with a header; ``single_file`` only for bounded results.
 
-    Returns False (and leaves nothing at ``path``) when ``df`` has no rows.
+    Returns False, and leaves ``path`` as it is, when ``df`` has no rows.
     """
-    return _write(df.coalesce(1) if single_file else df, path, "csv")
+    return _write(df.coalesce(1) if single_file else df, path, lambda w, p: w.option("header", True).csv(p))
 
 
 def write_parquet(df: DataFrame, path: str) -> bool:
-    """Write ``df`` as parquet; returns False (nothing left at ``path``) when empty."""
-    return _write(df, path, "parquet")
+    """Write ``df`` as parquet; returns False (``path`` left as it is) when empty."""
+    return _write(df, path, lambda w, p: w.parquet(p))
 
 
-def _write(df: DataFrame, path: str, fmt: str) -> bool:
-    # the rows are counted on their way to the files: the plan runs once
+def _write(df: DataFrame, path: str, write: Callable[[DataFrameWriter, str], None]) -> bool:
+    folder, name = path.rstrip("/").rpartition("/")[::2]
+    beside = f"{folder}/" if folder or path.startswith("/") else ""
+    run = uuid.uuid4().hex
+    staging, earlier = f"{beside}_staging-{run}-{name}", f"{beside}_earlier-{run}-{name}"
+    files = _Files(df)
     seen = Observation()
-    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
-    if fmt == "csv":
-        writer.option("header", True).csv(path)
-    else:
-        writer.parquet(path)
-    if seen.get.get("rows", 0):
+    try:
+        write(df.observe(seen, F.count(F.lit(1)).alias("rows")).write, staging)
+        if not seen.get.get("rows", 0):
+            return False
+        files.replace(path, staging, earlier)
         return True
-    _remove(df, path)
-    return False
+    finally:
+        files.delete(staging)
+
+
+class _Files:
+    """Folders of the file system that a path names."""
+
+    def __init__(self, df: DataFrame):
+        spark = df.sparkSession
+        self.path = spark._jvm.org.apache.hadoop.fs.Path
+        self.conf = spark._jsc.hadoopConfiguration()
+
+    def _at(self, path: str):
+        target = self.path(path)
+        return target.getFileSystem(self.conf), target
 
+    def delete(self, path: str) -> None:
+        fs, target = self._at(path)
+        if fs.exists(target):
+            fs.delete(target, True)
 
-def _remove(df: DataFrame, path: str) -> None:
-    """Drop the empty output folder that this write has just made."""
-    spark = df.sparkSession
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    def replace(self, path: str, new: str, aside: str) -> None:
+        """``new`` takes the place of ``path``; should that fail, what stood there comes back."""
+        fs, target = self._at(path)
+        had = fs.exists(target)
+        if had and not fs.rename(target, self.path(aside)):
+            raise OSError(f"cannot move {path} aside")
+        if not fs.rename(self.path(new), target):
+            if had:
+                fs.rename(self.path(aside), target)
+            raise OSError(f"cannot move {new} to {path}")
+        if had:
+            self.delete(aside)

@@ -1,9 +1,16 @@
 import glob
 import os
+import random
+import re
 import tempfile
 
-from conftest import SF_SMALL
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL, money, ts
+from mercato.params import Params
 from mercato.plans.batch import run_batch
+from mercato.sources import sinks
 from mercato.sources.tables import Tables
 
 
@@ -49,6 +56,47 @@ def test_empty_result_is_not_written(spark):
     assert res.written["summary.csv"] is False and not os.path.exists(f"{out}/summary.csv")
 
 
+def _files(path):
+    return {f: open(f, "rb").read() for f in sorted(glob.glob(f"{path}/part-*"))}
+
+
+@pytest.mark.parametrize("write", [sinks.write_parquet, sinks.write_csv], ids=["parquet", "csv"])
+def test_a_result_replaces_the_earlier_output_whole_or_not_at_all(spark, write):
+    out = tempfile.mkdtemp(prefix="mercato-sink-")
+    path = f"{out}/detail"
+    full = spark.range(100).repartition(3)
+    assert write(full, path) is True and len(_files(path)) == 3
+    before = _files(path)
+    assert write(full.limit(0), path) is False  # empty after full: the earlier output stays
+    assert _files(path) == before
+    bad = full.select(F.when(F.col("id") == 70, F.raise_error(F.lit("broken row"))).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="broken row"):
+        write(bad, path)
+    assert _files(path) == before
+    assert write(spark.range(5).coalesce(1), path) is True and len(_files(path)) == 1  # replaced, not added to
+    assert os.listdir(out) == ["detail"]  # nothing is left beside it
+    assert write(full.limit(0), f"{out}/none") is False and not os.path.exists(f"{out}/none")
+
+
+def test_an_output_comes_back_when_the_new_one_cannot_take_its_place(spark, monkeypatch):
+    out = tempfile.mkdtemp(prefix="mercato-sink-")
+    sinks.write_parquet(spark.range(3), f"{out}/detail")
+    files = sinks._Files(spark.range(1))
+    with pytest.raises(OSError):
+        files.replace(f"{out}/detail", f"{out}/no-such-folder", f"{out}/_aside")
+    assert spark.read.parquet(f"{out}/detail").count() == 3 and os.listdir(out) == ["detail"]
+
+
+def test_a_run_with_empty_results_leaves_the_earlier_outputs(spark):
+    out = tempfile.mkdtemp(prefix="mercato-run-")
+    t = Tables.from_tpch(spark, SF_SMALL)
+    assert run_batch(t, out).written["detail.parquet"]
+    before = _files(f"{out}/detail.parquet"), _files(f"{out}/summary.csv"), _files(f"{out}/report/abc_tier_summary")
+    again = run_batch(t, out, Params(seller_state="NO_SUCH_STATE"))
+    assert again.written["detail.parquet"] is False and again.written["summary.csv"] is False
+    assert before == (_files(f"{out}/detail.parquet"), _files(f"{out}/summary.csv"), _files(f"{out}/report/abc_tier_summary"))
+
+
 def test_outputs_are_written_in_report_order(spark):
     out = tempfile.mkdtemp(prefix="mercato-run-")
     run_batch(Tables.from_tpch(spark, SF_SMALL), out)
@@ -154,19 +202,51 @@ def test_batch_outputs_equal_standalone_operators(spark):
     assert written == monthly.monthly_series(t, p).columns
 
 
-def test_orders_are_prepared_once_per_run(spark, monkeypatch):
-    from mercato.operators import abc, filters, monthly, scorecard
-    from mercato.plans import batch
+def _as_files(spark, mapped):
+    folder = tempfile.mkdtemp(prefix="mercato-src-")
+    for name, df in mapped.items():
+        df.write.parquet(f"{folder}/{name}")
+    return Tables.from_parquet(spark, folder)
+
+
+@pytest.mark.parametrize("params", [Params(), Params(start_date="1996-01-01", seller_state="NATION_3")], ids=["all", "by state"])
+def test_the_analyses_read_and_join_the_items_once_a_run(spark, monkeypatch, params):
+    from mercato.operators import checks
+    from mercato.plans.jobs import recorded
 
-    made = []
-    real = filters.order_frame
+    monkeypatch.setattr(checks, "run_checks", lambda t, now: [])
+    t = _as_files(spark, Tables.from_tpch(spark, SF_SMALL))
+    with recorded() as jobs:
+        assert not run_batch(t, tempfile.mkdtemp(prefix="mercato-run-"), params).errors
+    reading = [plan for _, plan in jobs if "/order_items" in plan]
+    # the lines; with a state also the in-state orders of the cohort and delivery analyses (two columns)
+    whole = [plan for plan in reading if "price" in plan]
+    assert len(whole) == 1 and whole[0].count("/order_items") == 1
+    assert len(re.findall(r"Join \[order_id#\d+L?\], \[order_id#\d+L?\], Inner", whole[0])) == 1
+    narrow = [plan for plan in reading if "price" not in plan]
+    assert len(narrow) == (0 if not params.state else 2)
 
-    def counted(*a, **k):
-        made.append(k)
-        return real(*a, **k)
 
-    for module in (batch, abc, scorecard):
-        monkeypatch.setattr(module, "order_frame", counted)
-    out = tempfile.mkdtemp(prefix="mercato-run-")
-    assert not run_batch(Tables.from_tpch(spark, SF_SMALL), out).errors
-    assert made == [{"reviews": True, "weights": True}]
+def test_shared_lines_give_what_the_analyses_give_alone(spark, make_tables):
+    from mercato.operators import abc, monthly, scorecard
+    from mercato.operators.order_lines import order_lines
+
+    rnd = random.Random(8)
+    orders = [(o, o, rnd.choice(["delivered"] * 5 + ["shipped", None]), ts(f"2020-0{1 + o % 4}-10"), rnd.choice([None, ts("2020-06-01")]),
+               rnd.choice([None, ts("2020-06-03")])) for o in range(40)] + [(40, 40, "delivered", None, None, None)]
+    items = [(rnd.randrange(42), rnd.choice([None, 10, 11, 12]), rnd.choice([None, 1, 2, 3]), rnd.choice([None, money(rnd.randint(0, 99))]),
+              rnd.choice([None, money(1)])) for _ in range(160)]
+    items += [(7, 10, 1, money(3), money(1))] * 30  # repeated rows of one order
+    t = make_tables(orders=orders, order_items=items, sellers=[(1, "S", "a"), (2, "S", "b"), (3, "R", "c"), (None, "S", "d")],
+                    order_reviews=[(o % 30, o % 6) for o in range(50)] + [(7, None)])
+    for params in (Params(), Params(seller_state="S"), Params(start_date="2020-02-01", end_date="2020-04-01", seller_state="R")):
+        lines = order_lines(t, params)
+        for alone, shared in (
+            (scorecard.seller_scorecard(t, params), scorecard.seller_scorecard(t, params, lines=lines)),
+            (abc.abc_classification(t, params), abc.abc_classification(t, params, lines=lines)),
+            (abc.abc_classification(t, params, fanout=False), abc.abc_classification(t, params, fanout=False, lines=lines)),
+            (monthly.monthly_growth(t, params), monthly.monthly_growth(t, params, lines=lines)),
+        ):
+            assert alone.columns == shared.columns and alone.dtypes == shared.dtypes
+            a, b = (sorted(map(tuple, df.collect()), key=str) for df in (alone, shared))
+            assert a == b and len(a) > 0

@@ -75,6 +75,14 @@ def test_state_filter_of_monthly_costs_only_its_semi_join(spark, no_broadcast, m
     assert "LeftSemi" in _planned(stored[0])
 
 
+@pytest.mark.parametrize("params", [Params(), Params(seller_state="NATION_3")], ids=["all", "by state"])
+def test_monthly_counts_without_expanding_rows(spark, no_broadcast, params):
+    plan = _planned(monthly.monthly_growth(mapped_tables(spark, SF_SMALL), params))
+    assert "Expand" not in plan and "Window" in plan
+    # items, orders, (month, seller), month, and the growth window over the months
+    assert len(re.findall(EXCHANGE, plan)) <= 5
+
+
 def test_abc_filters_items_below_the_join(spark, no_broadcast):
     df = abc._product_revenue_exact(mapped_tables(spark, SF_SMALL), Params(seller_state="NATION_3"), fanout=True)
     lines = _planned(df).splitlines()
