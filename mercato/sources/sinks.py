@@ -69,11 +69,17 @@ class _Files:
         """``new`` takes the place of ``path``; should that fail, what stood there comes back."""
         fs, target = self._at(path)
         had = fs.exists(target)
-        if had and not fs.rename(target, self.path(aside)):
-            raise OSError(f"cannot move {path} aside")
-        if not fs.rename(self.path(new), target):
+        if had:
+            self._move(fs, path, aside)
+        try:
+            self._move(fs, new, path)
+        except Exception:
             if had:
-                fs.rename(self.path(aside), target)
-            raise OSError(f"cannot move {new} to {path}")
+                self._move(fs, aside, path)
+            raise
         if had:
             self.delete(aside)
+
+    def _move(self, fs, path: str, to: str) -> None:
+        if not fs.rename(self.path(path), self.path(to)):  # some file systems raise, others say no
+            raise OSError(f"cannot move {path} to {to}")

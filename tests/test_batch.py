@@ -82,7 +82,7 @@ def test_an_output_comes_back_when_the_new_one_cannot_take_its_place(spark, monk
     out = tempfile.mkdtemp(prefix="mercato-sink-")
     sinks.write_parquet(spark.range(3), f"{out}/detail")
     files = sinks._Files(spark.range(1))
-    with pytest.raises(OSError):
+    with pytest.raises(Exception, match="no-such-folder"):
         files.replace(f"{out}/detail", f"{out}/no-such-folder", f"{out}/_aside")
     assert spark.read.parquet(f"{out}/detail").count() == 3 and os.listdir(out) == ["detail"]
 
