@@ -32,6 +32,7 @@ broadcast, or split when one value is hot.
 from __future__ import annotations
 
 import logging
+import math
 from dataclasses import dataclass
 from decimal import Decimal
 
@@ -275,15 +276,73 @@ def ordered_prefix(df: DataFrame, key: str, sums: tuple[str, ...] = (), descendi
     return ordered_prefixes(df, [Spec(key, tuple(sums), descending)], buckets=buckets, plain=plain)[0]
 
 
-def _bounds(df: DataFrame, keys: list[str], buckets: int) -> tuple[int, list[list[float]]]:
-    """Rows, and the quantile boundaries of every key, in one pass."""
+@dataclass(frozen=True)
+class _Scan:
+    """What carries a key's prefix scan from bucket to bucket."""
+
+    bucket: str  # the rows' column
+    offsets: DataFrame  # per bucket: _off (rows, or sum, before it), _upto (with it), _hot (one value on more rows than a bucket's share)
+
+    def carried(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with their bucket's offsets (at most two rows per shuffle partition: a proven bound) and ``_part``,
+        which deals a hot bucket's rows out as they lie in the frame."""
+        rows = rows.join(F.broadcast(self.offsets), self.bucket)
+        return rows.withColumn("_part", F.when(F.col("_hot"), F.spark_partition_id()).otherwise(-1))
+
+    def window(self, order: Column):
+        return Window.partitionBy(self.bucket, "_part").orderBy(order)
+
+
+def _scans(df: DataFrame, keys: list[str], buckets: int, descending: bool = False, sums: bool = False
+           ) -> tuple[DataFrame, list[_Scan], int, int | None]:
+    """The rows of the stored ``df`` with a bucket for each key (integers or doubles), the keys' prefix scans,
+    the number of rows and the last key's total; two small jobs for all keys.
+
+    Buckets are cut at quantiles, and each quantile is a bucket of its own. A
+    value on more rows than a bucket's share is a quantile, so it stands alone; its rows all
+    share one result and need not meet in one task. Null and NaN have buckets of
+    their own too. ``sums`` carries sums of the key (integers) instead of numbers of rows.
+    """
+    whole = [isinstance(df.schema[k].dataType, T.IntegralType) for k in keys]
+    values, places = [f"_v{i}" for i in range(len(keys))], [f"_b{i}" for i in range(len(keys))]
     probs = [i / buckets for i in range(1, buckets)]
     cols = [F.count(F.lit(1)).alias("rows")]
     if probs:
-        cols += [F.percentile_approx(F.col(k).cast("double"), probs, _accuracy(buckets)).alias(f"_b{i}") for i, k in enumerate(keys)]
+        cols += [F.percentile_approx(F.col(k).cast("double"), probs, _accuracy(buckets)).alias(f"_q{i}") for i, k in enumerate(keys)]
     stats = df.agg(*cols).first()
-    bounds = [sorted({b for b in (stats[f"_b{i}"] or []) if b is not None}) if probs else [] for i in range(len(keys))]
-    return int(stats["rows"] or 0), bounds
+    n = int(stats["rows"] or 0)
+
+    splits, alone = [], []
+    for i in range(len(keys)):
+        quantiles = {b + 0.0 for b in (stats[f"_q{i}"] or []) if b is not None and math.isfinite(b)} if probs else set()
+        # [b, the next number) holds b alone
+        cuts = sorted((quantiles | {math.nextafter(b, math.inf) for b in quantiles}) - {math.inf}) or [0.0]
+        splits.append([-math.inf, *cuts, math.inf])
+        one_value = not whole[i] or all(abs(b) < 2**53 for b in quantiles)  # greater integers may share a double
+        alone.append({j for j, x in enumerate(splits[i]) if one_value and x in quantiles} | {len(splits[i]) - 1, len(splits[i])})
+    rows = df.select("*", *[F.coalesce(F.col(k).cast("double") + F.lit(0.0), F.lit(0.0)).alias(v) for k, v in zip(keys, values)])
+    rows = Bucketizer(splitsArray=splits, inputCols=values, outputCols=places, handleInvalid="keep").transform(rows)
+    rows = rows.select(*df.columns, *[F.when(F.col(k).isNull(), F.lit(len(x))).otherwise(F.col(b).cast("int")).alias(b)
+                                      for k, b, x in zip(keys, places, splits)])
+    value = [F.col(k).cast("long") if sums else F.lit(1).cast("long") for k in keys]
+    measures = [F.struct(F.lit(i).alias("m"), F.col(b).alias("b"), v.alias("v")) for i, (b, v) in enumerate(zip(places, value))]
+    held: list[dict[int, tuple[int, int | None]]] = [{} for _ in keys]
+    per_bucket = rows.select(F.inline(F.array(*measures))).groupBy("m", "b").agg(F.count(F.lit(1)).alias(N), F.sum("v").alias("v"))
+    for r in per_bucket.collect():  # at most one row per key and bucket
+        held[r["m"]][r["b"]] = (r[N], r["v"])
+
+    scans, run = [], None
+    for i, b in enumerate(places):
+        null = len(splits[i])
+        order = sorted((x for x in held[i] if x != null), reverse=descending) + [x for x in held[i] if x == null]
+        run, carried = None if sums else 0, []
+        for x in order:
+            count, v = held[i][x]
+            upto = run if v is None else (run or 0) + v
+            carried.append((x, run, upto, x in alone[i] and count > n // buckets))
+            run = upto
+        scans.append(_Scan(b, df.sparkSession.createDataFrame(carried, f"{b} int, _off long, _upto long, _hot boolean")))
+    return rows, scans, n, run
 
 
 def percent_ranks(
@@ -295,49 +354,22 @@ def percent_ranks(
 ) -> DataFrame:
     """``df`` plus, per ``key -> out``, ``PERCENT_RANK() OVER (ORDER BY key)``.
 
-    (rank - 1) / (n - 1), ties share the lowest rank, 0 when n = 1. All keys
-    (integers or floating point) are ranked together in one long frame of
-    (key, value): one aggregate to distinct values, one window by (key,
-    bucket), one join back on the value and one regroup per row.
+    (rank - 1) / (n - 1), ties share the lowest rank, 0 when n = 1. Each key
+    (integers or floating point) costs one exchange of the rows, by bucket:
+    the rank inside the bucket plus the rows before the bucket. Rows are kept,
+    so nothing is joined back.
     """
     if not (plain or checkpointed):
         df = reliable(df)
     kinds = [df.schema[k].dataType for k in columns]
-    whole = [isinstance(k, T.IntegralType) for k in kinds]
-    if plain or not all(w or isinstance(k, (T.DoubleType, T.FloatType)) for w, k in zip(whole, kinds)):
+    if plain or not all(isinstance(k, (T.IntegralType, T.DoubleType, T.FloatType)) for k in kinds):
         return _percent_ranks_apart(df, columns, buckets, plain)
-
-    keys = list(columns)
-    n, bounds = _bounds(df, keys, buckets or default_buckets(df))
-    rows = df.withColumn("_row", F.monotonically_increasing_id())  # fixed: df is stored
-    measures = []
-    for i, k in enumerate(keys):
-        rows = _bucketize(rows, k, bounds[i], len(bounds[i]) + 2).withColumnRenamed(_BUCKET, f"_bucket{i}")
-        # integers beyond 2**53 share a double: the exact value breaks the tie
-        exact = F.col(k).cast("long") if whole[i] else F.lit(0).cast("long")
-        measures.append(F.struct(F.lit(i).alias("_m"), F.col(f"_bucket{i}").alias(_BUCKET), F.col(k).cast("double").alias("_v"), exact.alias("_x")))
-    long = rows.select("_row", *df.columns, F.inline(F.array(*measures)))
-
-    held: dict[int, dict[int, int]] = {i: {} for i in range(len(keys))}
-    for r in long.groupBy("_m", _BUCKET).agg(F.count(F.lit(1)).alias(N)).collect():  # at most one row per key and bucket
-        held[r["_m"]][r[_BUCKET]] = r[N]
-    before = []
-    for i, counts in held.items():
-        run = 0
-        for b in sorted(counts):  # NaN above every number, NULL last
-            before.append((i, b, run))
-            run += counts[b]
-    offsets = df.sparkSession.createDataFrame(before, f"_m int, {_BUCKET} int, _off long")
-    w = Window.partitionBy("_m", _BUCKET).orderBy(F.col("_v").asc_nulls_last(), F.col("_x").asc_nulls_last())
-    distinct = long.groupBy("_m", _BUCKET, "_v", "_x").agg(F.count(F.lit(1)).alias(N))
-    ranked = distinct.join(F.broadcast(offsets), ["_m", _BUCKET]).select(
-        F.col("_m").alias("_m2"), F.col("_v").alias("_v2"), F.col("_x").alias("_x2"),
-        (F.col("_off") + F.sum(N).over(w.rowsBetween(Window.unboundedPreceding, 0)) - F.col(N)).alias(N_BEFORE))
-    same = (F.col("_m") == F.col("_m2")) & F.col("_v").eqNullSafe(F.col("_v2")) & F.col("_x").eqNullSafe(F.col("_x2"))
-    share = F.col(N_BEFORE).cast("double") / F.lit(float(n - 1)) if n > 1 else F.lit(0.0)
-    back = long.join(ranked, same).groupBy("_row", *df.columns).agg(
-        *[F.max(F.when(F.col("_m") == i, share)).alias(columns[k]) for i, k in enumerate(keys)])
-    return back.drop("_row")
+    rows, scans, n, _ = _scans(df, list(columns), buckets or default_buckets(df))
+    for (key, name), scan in zip(columns.items(), scans):
+        before = F.col("_off") + F.rank().over(scan.window(F.col(key).asc_nulls_last())) - 1
+        share = before.cast("double") / F.lit(float(n - 1)) if n > 1 else F.lit(0.0)
+        rows = scan.carried(rows).withColumn(name, share).drop("_off", "_upto", "_hot", "_part", scan.bucket)
+    return rows
 
 
 def _percent_ranks_apart(df: DataFrame, columns: dict[str, str], buckets: int | None, plain: bool) -> DataFrame:
@@ -374,6 +406,19 @@ def running_share(
     """
     if not (plain or checkpointed):
         df = reliable(df)
+    if plain or not isinstance(df.schema[key].dataType, T.IntegralType):
+        return _running_share_joined(df, key, cumulative, share, buckets, plain, to_double)
+    rows, (scan,), _, total = _scans(df, [key], buckets or default_buckets(df), descending=True, sums=True)
+    whole = to_double(_lit(total or None, "bigint"))
+    inside = F.sum(F.col(key).cast("long")).over(scan.window(F.col(key).desc_nulls_last()))  # RANGE: ties share
+    upto = F.when(F.col("_hot"), F.col("_upto")).otherwise(_add_nullable(F.col("_off"), inside))
+    out = scan.carried(rows).withColumn(cumulative, to_double(upto) / whole)
+    out = out.drop("_off", "_upto", "_hot", "_part", scan.bucket)
+    return out.withColumn(share, to_double(F.col(key)) / whole) if share else out
+
+
+def _running_share_joined(df, key, cumulative, share, buckets, plain, to_double) -> DataFrame:
+    """By distinct values, joined back (decimals, and the plain window of the tests)."""
     p = ordered_prefix(df.select(key, F.col(key).alias("_v")), key, sums=("_v",), descending=True,
                        buckets=buckets, plain=plain)
     total = p.totals["_v"]

@@ -92,4 +92,11 @@ def test_abc_filters_items_below_the_join(spark, no_broadcast):
 
 def test_ranking_job_of_the_scorecard_is_short(spark, no_broadcast):
     df = scorecard.seller_scorecard(mapped_tables(spark, SF_SMALL))
-    assert len(re.findall(EXCHANGE, _planned(df))) <= 6
+    plan = _planned(df)
+    assert len(re.findall(EXCHANGE, plan)) <= 3  # one per ranked measure, of the rows themselves
+    assert "SortMergeJoin" not in plan  # nothing is joined back
+
+
+def test_ranking_job_of_abc_is_one_exchange(spark, no_broadcast):
+    plan = _planned(abc.abc_classification(mapped_tables(spark, SF_SMALL)))
+    assert len(re.findall(EXCHANGE, plan)) == 1 and "SortMergeJoin" not in plan
