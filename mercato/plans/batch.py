@@ -14,11 +14,12 @@ import datetime as _dt
 import logging
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mercato.operators import abc, checks, cohort, delivery, monthly, scorecard
 from mercato.operators.order_lines import order_lines
+from mercato.operators.ranking import numbered
 from mercato.params import NO_FILTER, Params
 from mercato.session import tune
 from mercato.sources.sinks import write_csv, write_parquet
@@ -38,9 +39,17 @@ OUTPUT_ORDER = {  # column -> descending?
 }
 
 
+def _output_order(name: str) -> list[Column]:
+    return [F.col(c).desc_nulls_last() if desc else F.col(c).asc_nulls_last() for c, desc in OUTPUT_ORDER[name]]
+
+
 def ordered_for_output(df: DataFrame, name: str) -> DataFrame:
-    cols = [F.col(c).desc_nulls_last() if desc else F.col(c).asc_nulls_last() for c, desc in OUTPUT_ORDER[name]]
-    return df.orderBy(*cols)
+    return df.orderBy(*_output_order(name))
+
+
+def numbered_for_output(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with each row's ``position`` in the analysis' output order, from 1 on."""
+    return numbered(df, *_output_order(name))
 
 
 @dataclass

@@ -379,3 +379,16 @@ FROM m_products c LEFT JOIN m_translation e USING (product_category_name)""",
     "monthly_series": monthly(
         "SELECT strftime(month, '%Y-%m') AS month_label, revenue, order_count, mom_growth_pct FROM trend"),
 }
+
+# Output orders, as text: the analysis' own ORDER BY and a tie-break.
+OUTPUT_ORDERS = {
+    "seller_scorecard": "composite_score DESC NULLS LAST, seller_id",
+    "abc_classification": "revenue DESC NULLS LAST, product_id NULLS LAST",
+    "cohort_retention": "cohort_month NULLS LAST",
+    "delivery_by_state": "avg_days_early DESC NULLS LAST, state NULLS LAST",
+    "monthly_growth": "month NULLS LAST",
+}
+ORACLES |= {
+    f"{name}_ordered": f"SELECT *, ROW_NUMBER() OVER (ORDER BY {order}) AS position FROM ({ORACLES[name]})"
+    for name, order in OUTPUT_ORDERS.items()
+}

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from mercato.functions import cents_to_double
 from mercato.operators import abc, checks, cohort, delivery, filters, monthly, scorecard
 from mercato.params import NO_FILTER, Params
+from mercato.plans.batch import OUTPUT_ORDER, numbered_for_output
 from mercato.plans.settings import END, NOW, START, STATE
 from mercato.session import tune
 from mercato.sources.tables import Tables
@@ -73,6 +74,14 @@ def _top(n):
     return top
 
 
+def _in_output_order(name):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return numbered_for_output(QUERIES[name](spark, sf_dir), name)
+
+    run.__name__ = f"{name}_ordered"
+    return run
+
+
 def _categories(t, p):
     return abc.product_categories(t)
 
@@ -137,3 +146,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "check_date_range": _query(_checks(checks.check_date_range, with_now=True)),
     "check_summary": _query(_checks(checks.check_summary, with_now=True)),
 }
+
+# each analysis in its output order: the rows with their positions
+QUERIES |= {f"{name}_ordered": _in_output_order(name) for name in OUTPUT_ORDER}
