@@ -25,7 +25,7 @@ import json
 import re
 import unicodedata
 from collections.abc import Iterator
-from heapq import heapify, heappop, heappush
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +36,9 @@ from mercato.llm.common import PieceCache
 
 #: Below this all characters are Latin: composed already, and told apart by category here.
 LATIN_END = 0x250
+#: Pieces whose ids a worker keeps, about 200 bytes each, in two generations.
+KEPT_PIECES = 600_000
+TEXTS = 2_000  # of which new pieces are learnt together
 WHITE = "\t\n\x0b\x0c\r \x85\xa0"  # fixed values: white space below LATIN_END
 
 
@@ -78,16 +81,18 @@ class PairIndexBPE:
             self.right.append(y)
             self.made.append(z)
             self.rank[x * self.base + y] = r
+        keys = np.fromiter(self.rank, np.int64, len(self.rank))
+        order = np.argsort(keys)
+        self.keys, self.key_ranks = keys[order], np.fromiter(self.rank.values(), np.int64, len(keys))[order]
         symbols = byte_symbols()
-        self.inner = [self.vocab[s] for s in symbols]
-        self.last = [self.vocab[s + self.suffix] for s in symbols]
+        self.inner = np.array([self.vocab[s] for s in symbols])
+        self.last = np.array([self.vocab[s + self.suffix] for s in symbols])
         letters, numbers = latin("L"), latin("N")
         self.latin = re.compile(f"'(?:[stmd]|re|ve|ll)|[{letters}]+|[{numbers}]|[^{WHITE}{letters}{numbers}]+").findall
         self.white = re.compile(r"[^\s\x1c-\x1f]*(?:[\x1c-\x1f]+[^\s\x1c-\x1f]*)*").findall
         self.lib = Tokenizer.from_file(path)
         self.back = {ord(s): b for b, s in enumerate(symbols)}
-        self.pretokens = PieceCache(self.apply_ranks)
-        self.pieces = PieceCache(self.learn)
+        self.pieces = PieceCache(self.learn, KEPT_PIECES)
 
     # -- pre-tokens ------------------------------------------------------
     def split(self, segment: str) -> list[str]:
@@ -104,57 +109,83 @@ class PairIndexBPE:
         return [bytes(self.back[ord(c)] for c in w) for w in mapped]
 
     # -- the index -------------------------------------------------------
-    def apply_ranks(self, words: list[bytes]) -> list[tuple[int, ...]]:
-        """Token ids of each pre-token."""
-        base, edge, rank, inner, last = self.base, self.edge, self.rank.get, self.inner, self.last
-        sym, begin = [edge], []
-        for w in words:
-            begin.append(len(sym))
-            sym.extend([inner[b] for b in w[:-1]])
-            sym.append(last[w[-1]])
-            sym.append(edge)
-        nxt, prv = list(range(1, len(sym) + 1)), list(range(-1, len(sym) - 1))
-        where: dict[int, list[int]] = {}
-        for p in range(1, len(sym) - 1):
-            r = rank(sym[p] * base + sym[p + 1])
-            if r is not None:
+    def apply_ranks(self, words: list[bytes]) -> list[bytes]:
+        """Token ids of each pre-token, unsigned 32-bit, little endian.
+
+        The symbols of all pre-tokens stand in one chain, an edge after each. The
+        index has all positions of each rank; a rank's positions merge together,
+        and the pairs beside what they made enter the index.
+        """
+        if not words:
+            return []
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        begin = np.cumsum(size + 1) - size
+        inside = np.ones(int(begin[-1] + size[-1] + 1), bool)
+        inside[0] = inside[begin + size] = False
+        sym = np.full(len(inside), self.edge, np.int64)
+        sym[inside] = self.inner[np.frombuffer(b"".join(words), np.uint8)]
+        ends = begin + size - 1
+        sym[ends] = self.last[np.frombuffer(bytes(w[-1] for w in words), np.uint8)]
+        nxt, prv = np.arange(1, len(sym) + 1), np.arange(-1, len(sym) - 1)
+        where: dict[int, list[np.ndarray]] = {}
+        active: list[int] = []
+
+        def enter(at: np.ndarray, ranks: np.ndarray) -> None:
+            at, ranks = at[ranks >= 0], ranks[ranks >= 0]
+            order = np.argsort(ranks, kind="stable")
+            at, ranks = at[order], ranks[order]
+            cut = np.flatnonzero(np.diff(ranks, prepend=-1)).tolist()
+            for r, lo, hi in zip(ranks[cut].tolist(), cut, [*cut[1:], len(at)]):
                 if r in where:
-                    where[r].append(p)
+                    where[r].append(at[lo:hi])
                 else:
-                    where[r] = [p]
-        active = list(where)
-        heapify(active)
+                    where[r] = [at[lo:hi]]
+                    heappush(active, r)
+
+        enter(np.arange(1, len(sym) - 1), self.ranks_of(sym[1:-1] * self.base + sym[2:]))
         while active:
             r = heappop(active)
             a, b, z = self.left[r], self.right[r], self.made[r]
-            at = where.pop(r)
-            if a == b:
-                at.sort()
-            for p in at:
-                q = nxt[p]
-                if sym[p] != a or sym[q] != b:
-                    continue
-                after = nxt[q]
-                sym[p], sym[q] = z, -1
-                nxt[p], prv[after] = after, p
-                before = prv[p]
-                for left, pair in ((p, z * base + sym[after]), (before, sym[before] * base + z)):
-                    n = rank(pair)
-                    if n is not None:
-                        if n in where:
-                            where[n].append(left)
-                        else:
-                            where[n] = [left]
-                            heappush(active, n)
-        return [tuple([s for s in sym[i : i + len(w)] if s >= 0]) for i, w in zip(begin, words)]
-
-    def learn(self, pieces: list[str]) -> list[tuple[bytes, str]]:
-        known = self.pretokens.values_of([self.words(p) for p in pieces])
-        out = []
-        for parts in known:
-            ids = [i for part in parts for i in part]
-            out.append((np.array(ids, "<u4").tobytes(), self.decode(ids)))
-        return out
+            at = np.unique(np.concatenate(where.pop(r)))  # some may be gone by now
+            at = at[sym[at] == a]
+            q = nxt[at]
+            at, q = at[sym[q] == b], q[sym[q] == b]
+            if a == b:  # of symbols in a row every second one merges with the one after it, from the left
+                at, q = self.every_second(at, q)
+            if not len(at):
+                continue
+            after = nxt[q]
+            sym[at], sym[q] = z, -1
+            nxt[at], prv[after] = after, at
+            before = prv[at]
+            places = np.concatenate([before, at])
+            enter(places, self.ranks_of(np.concatenate([sym[before] * self.base + z, z * self.base + sym[after]])))
+        stays = inside & (sym >= 0)
+        data = sym[stays].astype("<u4").tobytes()
+        cut = np.concatenate([[0], np.cumsum(np.add.reduceat(stays, begin, dtype=np.int64) * 4)]).tolist()
+        return [data[x:y] for x, y in zip(cut, cut[1:])]
+
+    def ranks_of(self, keys: np.ndarray) -> np.ndarray:
+        """Rank of each pair, -1 for none."""
+        place = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[place] == keys, self.key_ranks[place], -1)
+
+    @staticmethod
+    def every_second(at: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        chained = np.flatnonzero(np.concatenate([[False], q[:-1] == at[1:]])) if len(at) else at
+        if not len(chained):
+            return at, q
+        first = np.ones(len(at), bool)
+        first[chained] = False
+        place = np.arange(len(at)) - np.maximum.accumulate(np.where(first, np.arange(len(at)), 0))
+        return at[place % 2 == 0], q[place % 2 == 0]
+
+    def learn(self, pieces: list[str]) -> list[bytes]:
+        """Ids of each piece, unsigned 32-bit, little endian; pre-tokens that several pieces share are merged once."""
+        cut = [self.words(p) for p in pieces]
+        distinct = list(dict.fromkeys(w for words in cut for w in words))
+        ids = dict(zip(distinct, self.apply_ranks(distinct)))
+        return [b"".join(map(ids.__getitem__, words)) if len(words) != 1 else ids[words[0]] for words in cut]
 
     # -- texts -----------------------------------------------------------
     def decode(self, ids) -> str:
@@ -162,8 +193,8 @@ class PairIndexBPE:
 
     def encode(self, texts: list[str]) -> Iterator[tuple[bytes, str]]:
         """Ids (unsigned 32-bit, little endian) and the text decoded from them, of every text."""
-        for lo in range(0, len(texts), 512):
-            part, split, marks = texts[lo : lo + 512], [], []
+        for lo in range(0, len(texts), TEXTS):
+            part, split, marks = texts[lo : lo + TEXTS], [], []
             for t in part:
                 segments = self.added_at.split(t) if self.added_at and any(a in t for a in self.added) else [t]
                 split.append([p for s in segments[::2] for p in self.split(s)] if len(segments) > 1 else self.split(t))
@@ -173,11 +204,11 @@ class PairIndexBPE:
                     rest, values = iter(values), []
                     for k, s in enumerate(m):
                         if k % 2:
-                            values.append((np.uint32(self.added[s]).tobytes(), s))
+                            values.append(np.uint32(self.added[s]).tobytes())
                         else:
                             values.extend(next(rest) for _ in self.split(s))
-                ids, shown = zip(*values) if values else ((), ())
-                yield b"".join(ids), " ".join([x for x in shown if x])
+                data = b"".join(values)
+                yield data, self.decode(np.frombuffer(data, "<u4").tolist())
 
 
 _CODERS: dict[str, PairIndexBPE] = {}
