@@ -30,6 +30,7 @@ from mercato.llm.common import PieceCache
 
 SPACE = "▁"  # fixed value: the space mark of the vocabulary
 LIMIT = 4096
+KEPT_UNITS = 700_000  # whose counts a worker keeps, about 160 bytes each, in two generations
 
 
 class PrefixCounter:
@@ -43,10 +44,15 @@ class PrefixCounter:
         self.rank = {sp.id_to_piece(i): -sp.get_score(i) for i in ids}
         if any(SPACE in p.lstrip(SPACE) for p in self.rank):
             raise ValueError("a piece goes on from a letter into a space mark: units can't be told apart")
-        #: Every start of a piece, and whether it is itself a piece.
-        self.starts = {p[:k]: False for p in self.rank for k in range(1, len(p))} | dict.fromkeys(self.rank, True)
+        import ahocorasick
+
+        pieces = ahocorasick.Automaton()
+        for p in self.rank:
+            pieces.add_word(p, p)
+        pieces.make_automaton()
+        self.pieces_in = pieces.iter  # by their ends, of one end the longest first
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.counts = PieceCache(lambda units: [self.table(u)[-1] for u in units])
+        self.counts = PieceCache(lambda units: [self.table(u)[-1] for u in units], KEPT_UNITS)
         self.units = re.compile(f"{SPACE}*[^{SPACE}]*").findall
 
     def merged(self, text: str) -> list[str]:
@@ -65,32 +71,44 @@ class PrefixCounter:
 
     def follows(self, s: str, t: str) -> bool:
         """Do the merges leave ``t`` whole right after ``s`` (after nothing, if ``s`` is empty)?"""
-        if len(self.pairs) > 200_000:
+        if len(self.pairs) > 400_000:
             self.pairs.clear()
         got = self.pairs[s, t] = self.merged(s + t) == ([s, t] if s else [t])
         return got
 
     def table(self, unit: str) -> list[int]:
-        """``table[i]``: tokens of ``unit[:i]``, for every i."""
-        n, starts, pairs = len(unit), self.starts, self.pairs
+        """``table[i]``: tokens of ``unit[:i]``, for every i.
+
+        One token ends each prefix, the one that the merges leave whole after the
+        last token of what stands before it; it is looked for among the pieces
+        that end there, longest first.
+        """
+        n, pairs = len(unit), self.pairs.get
         count, last = [0] + [-1] * n, [""] * (n + 1)
-        for j in range(n):
-            s, c = last[j], count[j] + 1
-            for i in range(j + 1, n + 1):
-                t = unit[j:i]
-                token = starts.get(t)
-                if token is None:  # no piece starts so
-                    if i == j + 1 and count[i] < 0:
-                        count[i], last[i] = c - 1 + len(t.encode()), t
-                    break
-                if token and count[i] < 0:
-                    ok = pairs.get((s, t))
-                    if ok is None:
-                        ok = self.follows(s, t)
-                    if ok:
-                        count[i], last[i] = c, t
+        at = 1
+        for end, t in self.pieces_in(unit):
+            i = end + 1
+            if count[i] >= 0:
+                continue
+            while at < i:
+                if count[at] < 0:
+                    self.spell(unit, count, last, at)
+                at += 1
+            j = i - len(t)
+            ok = pairs((last[j], t))
+            if ok is None:
+                ok = self.follows(last[j], t)
+            if ok:
+                count[i], last[i] = count[j] + 1, t
+        for i in range(at, n + 1):
+            if count[i] < 0:
+                self.spell(unit, count, last, i)
         return count
 
+    def spell(self, unit: str, count: list[int], last: list[str], i: int) -> None:
+        """The prefix of i characters, which no piece ends: its last character is as many tokens as bytes."""
+        count[i], last[i] = count[i - 1] + len(unit[i - 1].encode()), unit[i - 1]
+
     def split(self, text: str) -> list[str]:
         """The units of a text as the library sees it: a mark before it, each space a mark."""
         if not text:
