@@ -98,8 +98,8 @@ class SpacePieces:
         letters, numbers = latin("L"), latin("N")
         self.cut = re.compile(f"'(?:[stmd]|re|ve|ll)| ?[{letters}]+| ?[{numbers}]+| ?[^{WHITE}{letters}{numbers}]+"
                               f"|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+").findall
-        self.words = PieceCache(self.encode_words, 350_000)  # costly to work out
-        self.inner = PieceCache(self.learn, 100_000)
+        self.words = PieceCache(self.encode_words, 200_000)
+        self.inner = PieceCache(self.learn, 500_000)  # asked first, so it saves most
         self.first = PieceCache(lambda pieces: [self.whole(p) for p in pieces], 20_000)
 
     def whole(self, text: str) -> bytes:
