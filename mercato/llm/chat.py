@@ -5,8 +5,9 @@ Inputs are three tables:
 * calls (conv_id, call_id, turn, name, arguments, after): ``arguments`` is JSON
   text; ``after`` is the call_id whose result the call builds on, or null;
 * results (conv_id, call_id, turn, content);
-* tools (name, schema): a JSON Schema object of the arguments. Tools are a
-  bounded table, checked before they are handed to the tasks.
+* tools (name, schema): a JSON Schema object of the arguments, joined with the
+  calls by name, so there may be any number of them. A null schema is none; of
+  several schemas of one name the first by text counts.
 
 Calls and results meet in a join on (conv_id, call_id); of several calls or
 results with one identifier the earliest counts and the others are ``repeated``.
@@ -38,7 +39,7 @@ from pyspark.sql import types as T
 
 from mercato.llm.common import stored
 
-SCHEMA_BYTES = 8 << 20
+PARSED_SCHEMAS = 1_000  # kept by a worker at once
 
 _TYPES = {
     "object": dict, "array": list, "string": str, "boolean": bool, "null": type(None),
@@ -85,17 +86,17 @@ def _no_constant(name):
     raise ValueError(name)
 
 
-def checked(name: str | None, arguments: str | None, schemas: dict[str, dict]) -> tuple[str | None, list[str]]:
-    """Canonical arguments (null if they can't be read) and their problems."""
+def checked(arguments: str | None, schema: dict | None) -> tuple[str | None, list[str]]:
+    """Canonical arguments (null if they can't be read) and their problems under their tool's schema."""
     try:
         value = json.loads(arguments, parse_constant=_no_constant) if arguments is not None else None
     except (ValueError, RecursionError):
         return None, ["arguments: not JSON"]
     if arguments is None:
         return None, ["arguments: missing"]
-    if name not in schemas:
+    if schema is None:
         return canonical(value), ["tool: unknown"]
-    return canonical(value), problems(value, schemas[name])
+    return canonical(value), problems(value, schema)
 
 
 def levels(calls: DataFrame, max_rounds: int = 48) -> DataFrame:
@@ -127,11 +128,7 @@ def linked_calls(calls: DataFrame, results: DataFrame, tools: DataFrame) -> Data
     """conv_id, call_id, turn, name, status, level, valid, errors, record of every call and of every result without one."""
     calls = calls.select("conv_id", "call_id", "turn", "name", "arguments", "after")
     results = results.select("conv_id", "call_id", "turn", "content")
-    size = tools.agg(F.sum(F.octet_length("schema") + F.octet_length("name"))).first()[0] or 0
-    if size > SCHEMA_BYTES:
-        raise ValueError(f"the tools' schemas take {size} bytes, more than {SCHEMA_BYTES}")
-    schemas = {r["name"]: json.loads(r["schema"]) for r in tools.where("name IS NOT NULL AND schema IS NOT NULL").collect()}
-
+    tools = tools.where("name IS NOT NULL AND schema IS NOT NULL").groupBy("name").agg(F.min("schema").alias("schema"))
     named = "conv_id IS NOT NULL AND call_id IS NOT NULL"
     known = stored(_first(calls.where(named), "turn", "name", "arguments", "after"), "calls")
     first = known.where("place = 1").drop("place")
@@ -157,16 +154,20 @@ def linked_calls(calls: DataFrame, results: DataFrame, tools: DataFrame) -> Data
     rows = joined.select(columns).unionByName(again).unionByName(nameless)
     rows = rows.unionByName(of_result(lone, "orphan")).unionByName(of_result(spare, "repeated result"))
 
-    held = rows.sparkSession.sparkContext.broadcast(schemas)
+    rows = rows.join(tools, "name", "left")
     kind = T.StructType([T.StructField("valid", T.BooleanType()), T.StructField("errors", T.StringType()), T.StructField("record", T.StringType())])
 
     @F.arrow_udf(kind)
-    def finish(conv, call, name, arguments, after, content, level, status):
-        valid, errors, records = [], [], []
-        for row in zip(*(x.to_pylist() for x in (conv, call, name, arguments, after, content, level, status))):
-            v, i, n, a, up, c, lv, s = row
+    def finish(conv, call, name, arguments, after, content, level, status, schema):
+        valid, errors, records, parsed = [], [], [], {None: None}
+        for row in zip(*(x.to_pylist() for x in (conv, call, name, arguments, after, content, level, status, schema))):
+            v, i, n, a, up, c, lv, s, rules = row
             is_call = not s.endswith("result") and s != "orphan"
-            args, wrong = checked(n, a, held.value) if is_call else (None, [])
+            if rules not in parsed:
+                if len(parsed) > PARSED_SCHEMAS:
+                    parsed = {None: None}
+                parsed[rules] = json.loads(rules)
+            args, wrong = checked(a, parsed[rules]) if is_call else (None, [])
             valid.append(not wrong if is_call else None)
             errors.append("; ".join(wrong))
             # arguments are canonical already: put them in as they are
@@ -176,7 +177,7 @@ def linked_calls(calls: DataFrame, results: DataFrame, tools: DataFrame) -> Data
         return pa.StructArray.from_arrays(
             [pa.array(valid, pa.bool_()), pa.array(errors, pa.string()), pa.array(records, pa.string())], names=["valid", "errors", "record"])
 
-    done = rows.withColumn("f", finish("conv_id", "call_id", "name", "arguments", "after", "content", "level", "status"))
+    done = rows.withColumn("f", finish("conv_id", "call_id", "name", "arguments", "after", "content", "level", "status", "schema"))
     return done.select("conv_id", "call_id", "turn", "name", "status", "level", "f.valid", "f.errors", "f.record")
 
 
@@ -194,7 +195,8 @@ def calls_of_turns(conversations: DataFrame) -> tuple[DataFrame, DataFrame, Data
 
     A user turn is a call of ``ask`` and a system turn one of ``instruct``; the
     assistant turn after a call is its result, with the identifier of that turn.
-    A call builds on the call two turns before.
+    A call builds on the call two turns before. A turn of any other role, or of
+    none, is a result that answers nothing: it comes out as an ``orphan``.
     """
     c = conversations.select(F.col("conv_id").cast("string").alias("conv_id"), "turn", "role", "text")
     name = lambda turn: F.concat(F.lit("turn-"), turn.cast("string"))
@@ -205,7 +207,7 @@ def calls_of_turns(conversations: DataFrame) -> tuple[DataFrame, DataFrame, Data
         "conv_id", name(F.col("turn")).alias("call_id"), "turn", F.when(F.col("role") == "user", "ask").otherwise("instruct").alias("name"),
         F.when(F.col("role") == "user", ask).otherwise(instruct).alias("arguments"),
         F.when(F.col("turn") >= 2, name(F.col("turn") - 2)).alias("after"))
-    results = c.where("role = 'assistant'").select(
-        "conv_id", name(F.col("turn") - 1).alias("call_id"), "turn", F.col("text").alias("content"))
+    results = c.where("role IS NULL OR role NOT IN ('user', 'system')").select(
+        "conv_id", F.when(F.col("role") == "assistant", name(F.col("turn") - 1)).alias("call_id"), "turn", F.col("text").alias("content"))
     tools = conversations.sparkSession.createDataFrame(TURN_TOOLS, "name string, schema string")
     return calls, results, tools

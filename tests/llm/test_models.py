@@ -253,3 +253,22 @@ def test_calls_of_the_conversations(spark):
             assert (r["status"] == "linked") == (after is not None and after["role"] == "assistant")
     empty = conv.limit(0)
     assert chat.linked_calls(*chat.calls_of_turns(empty)).collect() == []
+
+
+def test_turns_of_any_role_have_a_row(spark):
+    conv = spark.createDataFrame([(1, 0, "user", "hi"), (1, 1, "assistant", "yes"), (1, 2, "tool", "found"), (1, 3, None, "odd"), (None, 4, "judge", None)],
+                                 "conv_id long, turn long, role string, text string")
+    rows = chat.linked_calls(*chat.calls_of_turns(conv)).collect()
+    assert sorted(((r["turn"], r["status"]) for r in rows)) == [(0, "linked"), (2, "orphan"), (3, "orphan"), (4, "orphan")]
+    assert json.loads(next(r["record"] for r in rows if r["turn"] == 2))["result"] == "found"
+
+
+def test_any_number_of_tools(spark):
+    schema = '{"type":"object","required":["a"],"title":"%s"}' % ("x" * 20_000)
+    tools = spark.range(1_000).selectExpr("concat('t', id) AS name", f"'{schema}' AS schema")  # 20 MB
+    tools = tools.unionByName(spark.createDataFrame([("t3", '{"type":"array"}'), ("none", None), (None, "{}")], "name string, schema string"))
+    calls = spark.createDataFrame([("c", "1", 0, "t999", '{"a":1}', None), ("c", "2", 1, "t5", "{}", None), ("c", "3", 2, "none", "{}", None),
+                                   ("c", "4", 3, None, "{}", None)], "conv_id string, call_id string, turn long, name string, arguments string, after string")
+    results = spark.createDataFrame([], "conv_id string, call_id string, turn long, content string")
+    got = {r["call_id"]: r["errors"] for r in chat.linked_calls(calls, results, tools).collect()}
+    assert got == {"1": "", "2": "$.a: missing", "3": "tool: unknown", "4": "tool: unknown"}
