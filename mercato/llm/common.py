@@ -77,8 +77,9 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     Alternating large-star and small-star rounds (each node sends its
     neighbours to the smallest node seen), so the number of rounds grows with
     the logarithm of the longest path; links and labels stay distributed and
-    every round is written to the shared folder. A hub is never gathered: a
-    round needs only the minimum per node, aggregated before its shuffle.
+    every round is written to the shared folder. A round needs only the minimum
+    per node, aggregated before its shuffle; the edges then join that aggregate by
+    node, where a hub's edges meet in one task unless the minima are small enough to be broadcast.
     """
     edges = stored(
         links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links"

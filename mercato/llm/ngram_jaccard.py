@@ -169,7 +169,7 @@ class Sketch:
 
 
 def build_sketch(texts: DataFrame, max_hot: int = MAX_HOT, max_bits: int = MAX_BITS) -> Sketch:
-    """``texts``: one column. Its size is bounded by the two parameters whatever the input."""
+    """``texts``: one column. Within the two parameters up to about 3 TB of text; beyond, it grows with the number of buckets."""
     size = texts.agg(F.sum(F.octet_length(texts.columns[0]))).first()[0] or 0
     shingles = max(1, size // 6)
     buckets = max(8, -(-shingles // BUCKET))

@@ -11,9 +11,11 @@ training tokens backs off to the root.
 Seating. In restaurant r a customer of word w joins a table of w or opens one with
 probability proportional to ``(theta + D_r) * p_parent(w)`` against
 ``c - d * t`` (``D_r``: the discounts of all tables); each new table sends a
-customer to the parent. A Gibbs sweep seats all customers of each (r, w) anew
+customer to the parent. A sweep seats all customers of each (r, w) anew
 given the other restaurants, then the root's; beyond 64 customers of one (r, w)
-they are seated in blocks, each of an eighth of those before. Words are dealt into
+they are seated in blocks, each of an eighth of those before. This is a forward
+draw of the seating process, not yet true Gibbs sampling, which would take out and
+seat again each customer given all others: it opens more tables than the posterior has. Words are dealt into
 buckets by hash. Between sweeps the restaurants' totals are summed over all
 buckets: a bucket sends the tables of its contexts to the contexts' groups, dealt
 by hash, which return the sums to every bucket that holds the context; the root's
