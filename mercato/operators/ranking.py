@@ -1,32 +1,28 @@
 """Global order statistics without a single-partition window.
 
-``PERCENT_RANK() OVER (ORDER BY v)`` and ``SUM(v) OVER (ORDER BY v DESC)``
-have no ``PARTITION BY``; Spark plans them by moving every row to one task.
-Both only need, for each distinct value, how many rows (and how much of a
-sum) come before it in the order. :func:`ordered_prefixes` computes that for
-one or several orderings of the same input at once:
-
-1. one small job, one pass over the rows for all keys: row and sum totals
-   and quantile boundaries of each key (``percentile_approx``, partially
-   aggregated) - a handful of numbers;
-2. bucket = a pure, monotone function of the value (binary search over the
-   boundaries), so equal values share a bucket and recomputation after a
-   lost executor gives the same bucket;
-3. one small job for all keys: per-bucket row counts and sums (partially
-   aggregated; at most one row per bucket), turned into per-bucket offsets
-   on the driver and broadcast back as a frame of at most one row per
-   bucket;
-4. aggregate to distinct values (``count``, ``sum``), combined map-side, so
-   a value shared by a third of all rows becomes one row; then a window
-   partitioned by bucket, ordered by value, plus the bucket's offset.
-   Distinct values make ROWS equal RANGE: ties share the result.
-
-NaN (greatest) and NULL (ordered last, either direction) get buckets of
-their own. The input is read once per
-job, so pass a checkpointed (or cheap) frame; the public helpers checkpoint
-it unless told it already is. The caller joins the result back to its rows
-on the value (null-safe): a plain shuffle join that adaptive execution may
-broadcast, or split when one value is hot.
+``PERCENT_RANK() OVER (ORDER BY v)``, ``SUM(v) OVER (ORDER BY v DESC)`` and
+``ROW_NUMBER() OVER (ORDER BY ...)`` have no ``PARTITION BY``; Spark plans them by
+moving every row to one task. Here they are prefix scans: rows are dealt by ranges
+of their value, each range is worked on by itself, and a small frame carries what
+stands before it.
+
+* :func:`percent_ranks`, :func:`running_share` (integers and floating point):
+  buckets cut at quantiles, one exchange of the rows per key, a window inside the
+  bucket plus the bucket's offset. Rows are kept; nothing is joined back. See
+  :func:`_scans`.
+* :func:`numbered`: a stored range-partitioned sort and a count per partition.
+* :func:`ordered_prefixes` (any key, decimals too): aggregates to distinct values
+  (``count``, ``sum``), combined map-side, then a window by bucket over those; the
+  caller joins the result back to its rows on the value. Distinct values make ROWS equal
+  RANGE: ties share the result.
+
+Buckets are a pure, monotone function of the value (binary search over the
+boundaries), so equal values share a bucket and recomputation after a lost
+executor gives the same bucket. NaN (greatest) and NULL (ordered last, either
+direction) get buckets of their own. The driver receives quantiles and bucket
+totals: a few numbers per shuffle partition and key. The input is read once per
+job, so pass a checkpointed (or cheap) frame; the public helpers checkpoint it
+unless told it already is.
 """
 
 from __future__ import annotations
