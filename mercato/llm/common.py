@@ -33,10 +33,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def stored(df: DataFrame, name: str, *by: str) -> DataFrame:
     """``df`` written as a table in the shared folder (in folders ``by``) and read back: cuts the lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
+    return stored_at(df, scratch_path(df.sparkSession, name), *by)
+
+
+def stored_at(df: DataFrame, path: str, *by: str) -> DataFrame:
     df.write.partitionBy(*by).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a table of :func:`scratch_path` that nothing reads any more."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found.getFileSystem(spark._jsc.hadoopConfiguration()).delete(found, True)
 
 
 def small(df: DataFrame, rows: int, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:

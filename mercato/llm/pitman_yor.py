@@ -8,19 +8,23 @@ base is uniform over the training vocabulary and one class of unknown words.
 Every count, seating and table covers all training documents. A context without
 training tokens backs off to the root.
 
-Seating. In restaurant r a customer of word w joins a table of w or opens one with
-probability proportional to ``(theta + D_r) * p_parent(w)`` against
-``c - d * t`` (``D_r``: the discounts of all tables); each new table sends a
-customer to the parent. A sweep seats all customers of each (r, w) anew
-given the other restaurants, then the root's; beyond 64 customers of one (r, w)
-they are seated in blocks, each of an eighth of those before. This is a forward
-draw of the seating process, not yet true Gibbs sampling, which would take out and
-seat again each customer given all others: it opens more tables than the posterior has. Words are dealt into
-buckets by hash. Between sweeps the restaurants' totals are summed over all
-buckets: a bucket sends the tables of its contexts to the contexts' groups, dealt
-by hash, which return the sums to every bucket that holds the context; the root's
-totals and the counts behind the two discounts are a few numbers in all. (A pair
-with one customer has one table in every sweep, so sweeps send only what other
+Seating. In restaurant r a customer of word w joins a table of n customers with weight
+``n - d`` or opens one with weight ``q = (theta + D_r) * p_parent(w)`` (``D_r``: the
+discounts of all tables); each table sends a customer to the parent. Gibbs sampling:
+a sweep takes out all customers of each (r, w) in turn and draws their seating from
+its conditional given all other restaurants, then the root's. Given q, the number of
+tables t of c customers has probability proportional to ``q^t S_d(c, t)`` (``S_d``:
+generalised Stirling numbers). Up to ``STIRLING`` customers it is drawn from these
+weights directly; beyond, by Metropolis steps that leave the same law unchanged: all
+tables but the first customer's are a Poisson process of sizes, of which a part is
+drawn anew at a time (:func:`seat_many`). ``q`` is held while one seating is drawn,
+and the buckets of a sweep see each other's totals of the sweep before.
+
+Words are dealt into buckets by hash. Between sweeps the restaurants' totals are
+summed over all buckets: a bucket sends the tables of its contexts to the contexts'
+groups, dealt by hash, which return the sums to every bucket that holds the context;
+the root's totals and the counts behind the two discounts are a few numbers in all. (A
+pair with one customer has one table in every sweep, so sweeps send only what other
 pairs opened beyond their first.) The sums are of whole numbers: scores depend on
 the number of buckets by their random numbers alone. The sweeps after ``BURN_IN``
 are averaged into predictive probabilities:
@@ -33,8 +37,10 @@ Flow. Documents are dealt into shards by hash. A shard sends its distinct
 (word, context) pairs with their training counts to the words' buckets; buckets
 seat their words and answer each shard; shards score their documents. Texts are
 shuffled twice, pairs once each way; a word that holds a third of all tokens is
-one row per shard and context. Seatings are written to the shared folder after
-every sweep.
+one row per shard and context. The pairs are written once, bucketed as the sweeps
+group them, so a sweep reads them in place and shuffles only seatings and sums.
+Seatings are written to the shared folder after every sweep and dropped when the
+next ones are there; the result is written, and all tables behind it dropped.
 
 Null or empty texts are one end token. A null doc_id belongs to the training
 part. Repeated rows count and are scored row by row.
@@ -42,7 +48,10 @@ part. Repeated rows count and are scored row by row.
 
 from __future__ import annotations
 
+import math
+import uuid
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -50,12 +59,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.common import raw, stored, word_hashes, words_of
+from mercato.llm.common import drop_path, raw, scratch_path, stored, stored_at, word_hashes, words_of
 
 SHARD_DOCS = 5_000
 SWEEPS, BURN_IN = 8, 3
 THETA, THETA_ROOT = 5.0, 5.0
-EXACT = 64  # customers of a (restaurant, word) that are seated one by one
+STIRLING = 512  # customers of a (restaurant, word) up to which the table count is drawn from its weights
+STEPS = 30  # Metropolis steps beyond, times the part of the tables that a step draws anew
+MAX_PARTS = 8_192  # files that the buckets' pairs are written to
 END = xxhash.xxh3_64_intdigest(b" end")  # no word holds a space
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 START = xxhash.xxh3_64_intdigest(b" start")
@@ -126,20 +137,82 @@ def discount_of(one: int, two: int) -> float:
     return min(0.95, max(0.05, (one + 0.5) / (one + 2 * two + 1)))
 
 
+@lru_cache(4)
+def log_stirling(d: float) -> np.ndarray:
+    """log S_d(c, t): the summed weights of all seatings of c customers at t tables, without those of opening tables."""
+    out = np.full((STIRLING + 1, STIRLING + 1), -np.inf)
+    out[1, 1] = 0.0
+    t = np.arange(STIRLING + 1)
+    for c in range(1, STIRLING):
+        stay = np.log(np.maximum(c - d * t[1 : c + 1], 1e-300))
+        out[c + 1, 1 : c + 1] = np.logaddexp(out[c, :c], out[c, 1 : c + 1] + stay)
+        out[c + 1, c + 1] = out[c, c]
+    return out
+
+
+def _sibuya(rng, d: float, z: float, n: int) -> np.ndarray:
+    """n table sizes k with weight ``(1-d)(2-d)...(k-1-d) / k! * z^k``: a mixture of geometric sizes, thinned by z^k."""
+    out = np.zeros(0)
+    while len(out) < n:
+        p = np.maximum(rng.beta(d, 1 - d, max(16, 2 * (n - len(out)))), 1e-300)
+        with np.errstate(divide="ignore"):
+            k = np.maximum(1.0, np.ceil(np.log(1.0 - rng.random(len(p))) / np.log1p(-p)))
+        out = np.r_[out, k[rng.random(len(k)) < np.exp(k * math.log(z))]]
+    return out[:n]
+
+
+def seat_many(rng, c: int, d: float, weight: float) -> int:
+    """The tables of c customers: a draw with probabilities proportional to ``weight^t S_d(c, t)``.
+
+    The seating is that of the first customer's table, of m customers, and of the other tables' sizes k. Its
+    weight is that of a Poisson process of rate ``weight / d`` and Sibuya sizes, times ``Gamma(m-d) / Gamma(m)``. A
+    step keeps each other table with probability 1 - part, adds as many as the process has in that part, and is
+    accepted by the ratio of the last factor (never if m would be below one). Sizes are tilted by z^k, and the
+    factor by z^m, so that the process fits into c customers.
+    """
+    rate = weight / d
+
+    def mean(z: float) -> float:
+        return rate * d * z * (1 - z) ** (d - 1)
+
+    low, z = 0.0, 1 - 1 / c
+    if mean(z) > c:
+        for _ in range(60):
+            mid = (low + z) / 2
+            low, z = (mid, z) if mean(mid) < c else (low, mid)
+    window = 1 / (1 - z)
+    part = min(1.0, window**2 / (c * (1 + (1 - d) * z * window)))
+    fresh = part * rate * (1 - (1 - z) ** d)
+
+    def factor(m: float) -> float:
+        return math.lgamma(m - d) - math.lgamma(m) + m * math.log(z)
+
+    sizes, now = np.zeros(0), factor(c)
+    for _ in range(math.ceil(STEPS / part)):
+        new = np.r_[sizes[rng.random(len(sizes)) >= part], _sibuya(rng, d, z, rng.poisson(fresh))]
+        m = c - new.sum()
+        if m >= 1:
+            then = factor(m)
+            if then >= now or rng.random() < math.exp(then - now):
+                sizes, now = new, then
+    return len(sizes) + 1
+
+
 def seat(rng, counts: np.ndarray, d: float, weight: np.ndarray) -> np.ndarray:
-    """Tables after ``counts`` customers of a dish each; ``weight``: (theta + D_r) * p_parent(w)."""
+    """Tables of ``counts`` customers of a dish each, given all else; ``weight``: (theta + D_r) * p_parent(w)."""
     t = np.minimum(counts, 1).astype(np.float64)
-    live = np.flatnonzero(counts > 1)
-    done = np.ones(len(live))  # customers seated
-    while len(live):
-        w, c, now = weight[live], counts[live], t[live]
-        p = w / (w + done - d * now)
-        block = np.where(done < EXACT, 1, np.floor(done / 8))
-        block = np.minimum(block, c - done)
-        t[live] += np.where(block > 1, rng.binomial(block.astype(np.int64), p), rng.random(len(live)) < p)
-        done = done + block
-        more = done < c
-        live, done = live[more], done[more]
+    order = np.argsort(counts, kind="stable")
+    some = counts[order]
+    log_s, log_w = log_stirling(d), np.log(weight)
+    for c in np.unique(some[(some > 1) & (some <= STIRLING)]).astype(np.int64):
+        mine = order[np.searchsorted(some, c) : np.searchsorted(some, c, "right")]
+        tables = np.arange(1, c + 1)
+        for block in np.array_split(mine, -(-len(mine) * int(c) // (1 << 20))):
+            p = log_s[c, 1 : c + 1] + log_w[block, None] * tables
+            p = np.cumsum(np.exp(p - p.max(1, keepdims=True)), axis=1)
+            t[block] = 1 + (p[:, :-1] <= rng.random(len(block))[:, None] * p[:, -1:]).sum(1)
+    for i in order[np.searchsorted(some, STIRLING, "right") :]:
+        t[i] = seat_many(rng, int(counts[i]), d, float(weight[i]))
     return t
 
 
@@ -265,12 +338,14 @@ class Bucket:
         self.first = np.bincount(self.word, self.counts > 0, self.n_words)  # root customers if each pair has one table
         self.live = np.flatnonzero(self.counts > 1)
         self.live_ctx, self.live_at = np.unique(self.ctx[self.live], return_inverse=True)
-        self.c_r, self.n_r = _returned(rows, TOTALS, 2)
+        self.c_r, self.n_r = _returned(rows, TOTALS, 2)  # in the first sweep and for the answers
         seated = next((r for r in rows if r["kind"] == SEATED), None)
         if seated is None:
             self.t, self.k = np.ones(len(self.live)), (self.first > 0).astype(np.float64)
             self.sum_t, self.sum_k = np.zeros(len(self.live)), np.zeros(self.n_words)
+            self.n_live = self.n_r[self.live_ctx]
         else:
+            self.n_live = unpack(seated["c"]).astype(np.float64)
             self.t, self.sum_t = unpack(seated["a"]).reshape(2, -1).astype(np.float64)
             self.k, self.sum_k = unpack(seated["b"]).reshape(2, -1).astype(np.float64)
 
@@ -280,14 +355,14 @@ class Bucket:
 
 def _sweep(sweep: int, groups: int, keep: bool, last: bool, d: float, d_root: float, root_customers: float, root_tables: float,
            vocabulary: int):
-    def run(key, group):
-        bucket, rows = key[0].as_py(), group.to_pylist()
+    def run(key, pairs, moving):
+        bucket, rows = key[0].as_py(), pairs.to_pylist() + moving.to_pylist()
         b = Bucket(rows)
         excess = _returned(rows, EXCESS, 1)[0] if sweep else np.zeros(len(b.live_ctx))
         known = np.flatnonzero(b.first)
         index = np.zeros(b.n_words, np.int64)
         index[known] = np.arange(len(known))
-        open_mass = (THETA + d * (b.n_r[b.live_ctx] + excess))[b.live_at]
+        open_mass = (THETA + d * (b.n_live + excess))[b.live_at]
         # the seating depends on the buckets' counts alone, so a task run again gives the same
         t, customers, k = sweep_tables(
             np.random.default_rng([bucket, sweep]), index[b.word[b.live]], b.counts[b.live], b.t, open_mass,
@@ -296,7 +371,7 @@ def _sweep(sweep: int, groups: int, keep: bool, last: bool, d: float, d_root: fl
         if keep:
             b.sum_t = b.sum_t + t - 1
             b.sum_k = b.sum_k + b.k
-        out = [(SEATED, bucket, -1, pack(np.concatenate([t, b.sum_t])), pack(np.concatenate([b.k, b.sum_k])), None, None),
+        out = [(SEATED, bucket, -1, pack(np.concatenate([t, b.sum_t])), pack(np.concatenate([b.k, b.sum_k])), pack(b.n_live), None),
                (SUMS, bucket, -1, None, None, None, [int(x) for x in (customers.sum(), k.sum(), b.sum_t.sum(), b.sum_k.sum())])]
         if last:  # every context asked for, with what the kept sweeps sum to
             out += _send(bucket, b.names, [np.bincount(b.ctx[b.live], b.sum_t, len(b.names))], groups)
@@ -309,8 +384,8 @@ def _sweep(sweep: int, groups: int, keep: bool, last: bool, d: float, d_root: fl
 
 def _answer(kept: int, d: float, d_root: float, root_customers: float, root_tables: float, vocabulary: int):
     """log10 p of each shard's pairs and the training counts of its words."""
-    def run(key, group):
-        rows = group.to_pylist()
+    def run(key, pairs, moving):
+        rows = pairs.to_pylist() + moving.to_pylist()
         b = Bucket(rows)
         d_r = d * (b.n_r + _returned(rows, EXCESS, 1)[0] / kept)
         t = (b.counts > 0).astype(np.float64)
@@ -324,7 +399,7 @@ def _answer(kept: int, d: float, d_root: float, root_customers: float, root_tabl
             if r["kind"] == ASKED:
                 mine = np.cumsum(unpack(r["a"], "<u4").astype(np.int64))
                 w = b.word[mine]
-                out.append((ANSWER, key[0].as_py(), r["other"], log_p[mine].astype("<f4").tobytes(), pack(c_word[w[_runs(w)]]), None, None))
+                out.append((ANSWER, key[0].as_py(), r["other"], log_p[mine].astype("<f8").tobytes(), pack(c_word[w[_runs(w)]]), None, None))
         return _table(out)
 
     return run
@@ -337,7 +412,7 @@ def _score(total: int, vocabulary: int):
             return SCORES.empty_table()
         word, _, where, sizes = token_pairs(texts)
         answers = answers.sort_by("bucket")
-        model = np.concatenate([np.frombuffer(x, "<f4") for x in answers["a"].to_pylist()]).astype(np.float64)
+        model = np.concatenate([np.frombuffer(x, "<f8") for x in answers["a"].to_pylist()])
         c_word = np.concatenate([unpack(x) for x in answers["b"].to_pylist()]).astype(np.float64)
         first = _runs(word)
         if len(model) != len(word) or len(c_word) != len(first):
@@ -358,14 +433,39 @@ SCORES = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens
                     ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
 
-def _stored(df: DataFrame, name: str, *by: str) -> DataFrame:
-    """:func:`stored`; the shuffle files behind it, which nothing reads again, are dropped when it is written."""
-    conf, before = df.sparkSession.conf, df.sparkSession.conf.get(CLEANUP, "false")
-    conf.set(CLEANUP, "true")
-    try:
-        return stored(df, name, *by)
-    finally:
-        conf.set(CLEANUP, before)
+class _Tables:
+    """The tables of one run in the shared folder; shuffle files behind one, which nothing reads again, go when it is written."""
+
+    def __init__(self, spark):
+        self.spark, self.paths, self.names = spark, {}, []
+
+    def _write(self, name: str, write):
+        path = self.paths[name] = scratch_path(self.spark, name)
+        conf, before = self.spark.conf, self.spark.conf.get(CLEANUP, "false")
+        conf.set(CLEANUP, "true")
+        try:
+            return write(path)
+        finally:
+            conf.set(CLEANUP, before)
+
+    def store(self, df: DataFrame, name: str, *by: str) -> DataFrame:
+        return self._write(name, lambda path: stored_at(df, path, *by))
+
+    def store_bucketed(self, df: DataFrame, name: str, parts: int) -> DataFrame:
+        """By kind, and in files by bucket: what groups one kind by bucket reads it without a shuffle."""
+        self.names.append(f"pitman_yor_{uuid.uuid4().hex}")
+        return self._write(name, lambda path: df.write.partitionBy("kind").bucketBy(parts, "bucket").option("path", path)
+                           .saveAsTable(self.names[-1]) or self.spark.table(self.names[-1]))
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            drop_path(self.spark, self.paths.pop(name))
+
+    def drop_all(self) -> None:
+        for name in self.names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self.names = []
+        self.drop(*list(self.paths))
 
 
 def _sums(rows: DataFrame, n: int) -> list[int]:
@@ -389,22 +489,40 @@ def scores(docs: DataFrame, contexts: int | None = None, shard_docs: int = SHARD
     groups = contexts or 1 << log_buckets
     dealt = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("int"))
     asked = dealt.groupBy("shard").applyInArrow(_ask(log_buckets), ROWS)
-    held = _stored(asked.groupBy("bucket").applyInArrow(_gather(groups), ROWS), "pairs", "kind")
+    kept = _Tables(docs.sparkSession)
+    try:
+        parts = min(1 << log_buckets, MAX_PARTS)
+        held = kept.store_bucketed(asked.groupBy("bucket").applyInArrow(_gather(groups), ROWS), "pairs", parts)
+        answers, total, vocabulary = _sampled(kept, held, groups, sweeps, burn_in)
+        mine = answers.select(F.col("other").alias("shard"), "bucket", "a", "b")
+        return stored(dealt.groupBy("shard").cogroup(mine.groupBy("shard")).applyInArrow(
+            _score(total, vocabulary),
+            "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"), "scores")
+    finally:
+        kept.drop_all()
+
+
+def _sampled(kept: _Tables, held: DataFrame, groups: int, sweeps: int, burn_in: int) -> tuple[DataFrame, int, int]:
+    """All sweeps over the buckets' pairs: the answers to the shards, training tokens and vocabulary."""
     vocabulary, total, pairs, *seen = _sums(held, 7)
     d, d_root = discount_of(*seen[:2]), discount_of(*seen[2:])
     of_kind = lambda df, *kinds: df.where(F.col("kind").isin(*kinds)).select(*TABLE)
     summed = lambda df, kind: of_kind(df, TO_GROUP).groupBy("other").applyInArrow(_sum_groups(kind), ROWS)
-    fixed = of_kind(held, STATE).unionByName(_stored(summed(held, TOTALS), "totals"))
-    state, root_customers, root_tables = fixed, pairs, vocabulary  # a table for each pair and one in the root for each word
+
+    def with_pairs(moving: DataFrame, run, *kinds: int) -> DataFrame:
+        return of_kind(held, *kinds).groupBy("bucket").cogroup(moving.groupBy("bucket")).applyInArrow(run, ROWS)
+
+    moving = totals = kept.store(summed(held, TOTALS), "totals")
+    root_customers, root_tables = pairs, vocabulary  # a table for each pair and one in the root for each word
     for sweep in range(sweeps):
         run = _sweep(sweep, groups, sweep >= burn_in, sweep == sweeps - 1, d, d_root, root_customers, root_tables, vocabulary)
-        now = _stored(state.groupBy("bucket").applyInArrow(run, ROWS), "seatings", "kind")
+        now = kept.store(with_pairs(moving, run, STATE), f"seatings-{sweep}", "kind")
+        if sweep:
+            kept.drop(f"seatings-{sweep - 1}")
         root_customers, root_tables, sum_t, sum_k = _sums(now, 4)
-        state = fixed.unionByName(of_kind(now, SEATED)).unionByName(summed(now, EXCESS))
-    kept = max(1, sweeps - burn_in)
-    run = _answer(kept, d, d_root, pairs + sum_t / kept, sum_k / kept, vocabulary)
-    answered = _stored(state.unionByName(of_kind(held, ASKED)).groupBy("bucket").applyInArrow(run, ROWS), "answers")
-    mine = answered.select(F.col("other").alias("shard"), "bucket", "a", "b")
-    return dealt.groupBy("shard").cogroup(mine.groupBy("shard")).applyInArrow(
-        _score(total, vocabulary),
-        "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+        moving = of_kind(now, SEATED).unionByName(summed(now, EXCESS))
+    n = max(1, sweeps - burn_in)
+    run = _answer(n, d, d_root, pairs + sum_t / n, sum_k / n, vocabulary)
+    answers = kept.store(with_pairs(moving.unionByName(totals), run, STATE, ASKED), "answers")
+    kept.drop("pairs", "totals", f"seatings-{sweeps - 1}")
+    return answers, total, vocabulary

@@ -80,17 +80,6 @@ def test_predictive_probabilities_add_up_to_one():
         assert total == pytest.approx(1, abs=1e-9)
 
 
-def test_seating_follows_the_restaurant_process():
-    """Mean tables of the block seating against a seating one by one."""
-    rng = np.random.default_rng(5)
-    for c, d, w in ((2, 0.5, 0.7), (30, 0.3, 2.0), (500, 0.6, 5.0)):
-        got = pitman_yor.seat(rng, np.full(3000, c), d, np.full(3000, w)).mean()
-        t = np.ones(3000)
-        for k in range(1, c):
-            t += rng.random(3000) < w / (w + k - d * t)
-        assert got == pytest.approx(t.mean(), rel=0.05)
-
-
 def test_scores_of_an_empty_table(spark):
     assert pitman_yor.scores(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 

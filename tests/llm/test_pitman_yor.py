@@ -1,11 +1,15 @@
 """Contexts are the words directly before, all of them; restaurants' totals are those of all buckets."""
 
 import math
+import os
 import random
+from itertools import product
 
+import numpy as np
 import pytest
 
 from mercato.llm import pitman_yor
+from mercato.session import ensure_checkpoint_dir
 
 
 def paired_corpus():
@@ -38,3 +42,80 @@ def test_scores_hardly_depend_on_the_number_of_buckets(spark):
     docs = spark.createDataFrame([(i, prose()) for i in range(640)], "doc_id long, text string")
     one, many = (sum(r["score"] for r in pitman_yor.scores(docs, shard_docs=n).collect()) for n in (640, 40))
     assert many == pytest.approx(one, rel=1e-3)
+
+
+def law_of_tables(c, d, w):
+    """Probabilities of 1..c tables, from the seatings' weights by a recursion of its own (exact fractions of floats scaled)."""
+    ways = [0.0, 1.0]
+    for n in range(1, c):
+        grown = [0.0] + [ways[t - 1] * w + (ways[t] * (n - d * t) if t <= n else 0.0) for t in range(1, n + 2)]
+        top = max(grown)
+        ways = [x / top for x in grown]
+    return np.array(ways[1:]) / sum(ways[1:])
+
+
+def law_by_all_seatings(c, d, w):
+    """The same by running through every seating of c customers."""
+    total = np.zeros(c)
+    for choice in product(*(range(k + 1) for k in range(c))):  # customer k sits at a table up to the number open
+        sizes, weight = [], 1.0
+        for at in choice:
+            if at > len(sizes):
+                break
+            if at == len(sizes):
+                sizes.append(1)
+                weight *= w
+            else:
+                weight *= sizes[at] - d
+                sizes[at] += 1
+        else:
+            total[len(sizes) - 1] += weight
+    return total / total.sum()
+
+
+@pytest.mark.parametrize(("d", "w"), [(0.3, 0.2), (0.7, 4.0)])
+def test_the_law_of_tables_is_that_of_all_seatings(d, w):
+    assert law_of_tables(6, d, w) == pytest.approx(law_by_all_seatings(6, d, w))
+
+
+CASES = [(2, 0.5, 0.7), (3, 0.6, 2.0), (20, 0.8, 0.2), (64, 0.5, 5.0), (100, 0.3, 20.0), (500, 0.6, 5.0), (512, 0.7, 300.0)]
+
+
+@pytest.mark.parametrize(("c", "d", "w"), CASES)
+def test_seatings_have_the_exact_conditional_law(c, d, w):
+    law, n = law_of_tables(c, d, w), 20_000
+    got = np.bincount(pitman_yor.seat(np.random.default_rng(5), np.full(n, c), d, np.full(n, w)).astype(int), minlength=c + 1)[1:]
+    mean, sd = law @ np.arange(1, c + 1), math.sqrt(law @ np.arange(1, c + 1) ** 2 - (law @ np.arange(1, c + 1)) ** 2)
+    assert got @ np.arange(1, c + 1) / n == pytest.approx(mean, abs=5 * sd / math.sqrt(n))
+    assert abs(got.cumsum() / n - law.cumsum()).max() < 2.2 / math.sqrt(n)  # Kolmogorov-Smirnov
+
+
+@pytest.mark.parametrize(("c", "d", "w"), [(3, 0.6, 2.0), (64, 0.5, 5.0), (500, 0.6, 5.0), (500, 0.8, 50.0), (300, 0.3, 200.0), (900, 0.7, 40.0)])
+def test_steps_for_many_customers_have_the_same_law(c, d, w):
+    """Few tables, many, and nearly as many as customers; also below the number from which the query uses them."""
+    law, n, rng = law_of_tables(c, d, w), 600, np.random.default_rng(6)
+    got = np.array([pitman_yor.seat_many(rng, c, d, w) for _ in range(n)])
+    mean = law @ np.arange(1, c + 1)
+    sd = math.sqrt(law @ np.arange(1, c + 1) ** 2 - mean**2)
+    assert got.mean() == pytest.approx(mean, abs=5 * sd / math.sqrt(n))
+    assert got.std() == pytest.approx(sd, rel=0.2)
+
+
+def test_both_ways_agree_where_they_meet():
+    rng, n = np.random.default_rng(7), 400
+    for c in (pitman_yor.STIRLING, pitman_yor.STIRLING + 1):
+        got = pitman_yor.seat(rng, np.full(n, c), 0.6, np.full(n, 8.0))
+        law = law_of_tables(c, 0.6, 8.0)
+        mean = law @ np.arange(1, c + 1)
+        assert got.mean() == pytest.approx(mean, abs=5 * got.std() / math.sqrt(n))
+
+
+def test_a_run_leaves_only_its_result_and_reads_pairs_in_place(spark):
+    rows = [(i, f"word{i % 7} of the word{i % 5} " * 3) for i in range(300)] + [(None, None), (1, ""), (1, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    folder = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    out = pitman_yor.scores(docs, shard_docs=40)
+    assert out.count() == len(rows)
+    assert [x.split("-")[0] for x in set(os.listdir(folder)) - before] == ["scores"]
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("pitman_yor_")]
