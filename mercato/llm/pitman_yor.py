@@ -59,7 +59,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.common import drop_path, raw, scratch_path, stored, stored_at, word_hashes, words_of
+from mercato.llm.common import drop_path, raw, scratch_path, stored_at, word_hashes, words_of
 
 SHARD_DOCS = 5_000
 SWEEPS, BURN_IN = 8, 3
@@ -495,9 +495,11 @@ def scores(docs: DataFrame, contexts: int | None = None, shard_docs: int = SHARD
         held = kept.store_bucketed(asked.groupBy("bucket").applyInArrow(_gather(groups), ROWS), "pairs", parts)
         answers, total, vocabulary = _sampled(kept, held, groups, sweeps, burn_in)
         mine = answers.select(F.col("other").alias("shard"), "bucket", "a", "b")
-        return stored(dealt.groupBy("shard").cogroup(mine.groupBy("shard")).applyInArrow(
+        out = kept.store(dealt.groupBy("shard").cogroup(mine.groupBy("shard")).applyInArrow(
             _score(total, vocabulary),
             "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"), "scores")
+        kept.paths.pop("scores")
+        return out
     finally:
         kept.drop_all()
 
@@ -523,6 +525,4 @@ def _sampled(kept: _Tables, held: DataFrame, groups: int, sweeps: int, burn_in:
         moving = of_kind(now, SEATED).unionByName(summed(now, EXCESS))
     n = max(1, sweeps - burn_in)
     run = _answer(n, d, d_root, pairs + sum_t / n, sum_k / n, vocabulary)
-    answers = kept.store(with_pairs(moving.unionByName(totals), run, STATE, ASKED), "answers")
-    kept.drop("pairs", "totals", f"seatings-{sweeps - 1}")
-    return answers, total, vocabulary
+    return with_pairs(moving.unionByName(totals), run, STATE, ASKED), total, vocabulary
