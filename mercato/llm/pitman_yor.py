@@ -303,16 +303,23 @@ def _gather(groups: int):
             sizes.append(np.frombuffer(a, "<u4", n, 8 * n))
             contexts.append(np.frombuffer(b, np.uint64))
             counts.append(unpack(c, "<u4"))
-        names, ctx = np.unique(np.concatenate(contexts), return_inverse=True)
-        _, word = np.unique(np.concatenate(words), return_inverse=True)
-        word = np.repeat(word, np.concatenate(sizes))
-        pairs, where = np.unique(word * len(names) + ctx, return_inverse=True)
+        asked = list(map(len, contexts))
+        # arrays of all that was asked, in 8 bytes each: as few as possible at a time
+        contexts = np.concatenate(contexts)
+        names, pair = np.unique(contexts, return_inverse=True)
+        del contexts
+        word = np.repeat(np.unique(np.concatenate(words), return_inverse=True)[1], np.concatenate(sizes))
+        word *= len(names)
+        pair += word
+        del words, sizes, word
+        pairs, where = np.unique(pair, return_inverse=True)
+        del pair
         c = np.bincount(where, np.concatenate(counts), len(pairs)).astype(np.int64)
         word, ctx = pairs // len(names), pairs % len(names)
         out = [(STATE, bucket, -1, names.tobytes(), pack(np.diff(word, prepend=0), "<u1"), pack(ctx, "<u4"), None),
                (STATE, bucket, -2, pack(c), None, None, None)]
         at = 0
-        for shard, n in zip(shards, map(len, contexts)):
+        for shard, n in zip(shards, asked):
             out.append((ASKED, bucket, shard, pack(np.diff(where[at : at + n], prepend=0), "<u4"), None, None, None))
             at += n
         c_word = np.bincount(word, c)
