@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +23,8 @@ BROADCAST_BYTES = 32 << 20
 BATCH_ROWS = 2_000
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+def table(spark: SparkSession, sf_dir: str, name: str, batch_rows: int = BATCH_ROWS) -> DataFrame:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch_rows)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -47,6 +49,29 @@ def drop_path(spark: SparkSession, path: str) -> None:
     found.getFileSystem(spark._jsc.hadoopConfiguration()).delete(found, True)
 
 
+_scopes = threading.local()
+
+
+@contextmanager
+def broadcasts_end() -> Iterator[None]:
+    """What :func:`hand_out` broadcasts inside is destroyed at the end, on the driver and in Python workers: write all that reads it inside."""
+    outer, _scopes.now = getattr(_scopes, "now", None), []
+    try:
+        yield
+    finally:
+        for held in _scopes.now:
+            held.destroy()
+        _scopes.now = outer
+
+
+def hand_out(spark: SparkSession, value):
+    """A broadcast of a value of bounded size."""
+    held = spark.sparkContext.broadcast(value)
+    if getattr(_scopes, "now", None) is not None:
+        _scopes.now.append(held)
+    return held
+
+
 def small(df: DataFrame, rows: int, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Hint a broadcast of ``df`` only if its counted size is within ``limit``; else it joins by a shuffle."""
     return F.broadcast(df) if rows * row_bytes <= limit else df

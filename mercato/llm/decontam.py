@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.common import raw, stored
+from mercato.llm.common import hand_out, raw, stored
 
 WIDTH = 10
 #: Bytes of item texts held at once.
@@ -57,8 +57,7 @@ def _windows(rows, width: int) -> dict[tuple, set[str]]:
 
 def _word_counts(docs: DataFrame, text_col: str, words: set[bytes]) -> dict[bytes, int]:
     """How often each of a bounded set of words occurs in all documents."""
-    sc = docs.sparkSession.sparkContext
-    held = sc.broadcast(frozenset(words))
+    held = hand_out(docs.sparkSession, frozenset(words))
 
     def count(batches):
         known = held.value.__contains__
@@ -102,7 +101,7 @@ def _blocks(docs: DataFrame, benchmark: DataFrame, width: int, block_bytes: int,
         part = bench if blocks == 1 else bench.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
         windows = _windows(part.collect(), width)  # one block of bounded size
         rarity = _word_counts(docs, text_col, {x for w in windows for x in w})
-        yield k + 1 == blocks, docs.sparkSession.sparkContext.broadcast(_index(rarity, windows))
+        yield k + 1 == blocks, hand_out(docs.sparkSession, _index(rarity, windows))
 
 
 def _join_block(rows: DataFrame, held) -> DataFrame:

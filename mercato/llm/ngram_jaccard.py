@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.common import components, mix, raw, stored, word_hashes, words_of
+from mercato.llm.common import components, hand_out, mix, raw, stored, word_hashes, words_of
 
 WORDS = 5
 #: Shingles whose count is known; 12 bytes each.
@@ -121,9 +121,11 @@ def _gather(bits: int, least: int):
         cut = lambda name: [np.frombuffer(x, np.uint32) for x in group[name].to_pylist()]
         ones, many, counts = cut("ones"), cut("many"), cut("counts")
         low = np.concatenate([*ones, *many])
-        n = np.concatenate([np.ones(sum(map(len, ones)), np.uint64), *(c.astype(np.uint64) for c in counts)])
+        n = np.concatenate([np.ones(sum(map(len, ones)), np.uint32), *counts])
+        del ones, many, counts
         order = np.argsort(low, kind="stable")
-        low, n = low[order], n[order]
+        low, n = low[order], n[order].astype(np.uint64)
+        del order
         at = np.flatnonzero(np.r_[True, low[1:] != low[:-1]]) if len(low) else np.zeros(0, np.int64)
         total = np.add.reduceat(n, at) if len(at) else n
         low = low[at]
@@ -304,7 +306,7 @@ def jaccard_components(docs: DataFrame, id_col="doc_id", text_col="text", max_ho
                        max_bits: int = MAX_BITS) -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sketch = docs.sparkSession.sparkContext.broadcast(build_sketch(rows.select("text"), max_hot, max_bits))
+    sketch = hand_out(docs.sparkSession, build_sketch(rows.select("text"), max_hot, max_bits))
     sets = stored(rows.mapInArrow(
         _sets(sketch), "doc_id long, n long, sig long, sig2 long, first array<long>, data binary"), "shingle-sets")
 

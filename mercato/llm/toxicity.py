@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mercato.llm.common import raw, stored
+from mercato.llm.common import hand_out, raw, stored
 from mercato.llm.decontam import item_words
 
 SAMPLE_DOCS = 12_000
@@ -154,7 +154,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) ->
 
 def severity(docs: DataFrame, model: OrdinalModel, text: Column) -> Column:
     """Column of structs (expected_severity, p_toxic)."""
-    held = docs.sparkSession.sparkContext.broadcast(model)  # a bounded number of weights
+    held = hand_out(docs.sparkSession, model)  # a bounded number of weights
     kind = T.StructType([T.StructField("expected_severity", T.DoubleType()), T.StructField("p_toxic", T.DoubleType())])
 
     @F.arrow_udf(kind)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from mercato.llm import bpe, decontam, ngram_jaccard, quality, toxicity
+from mercato.llm.common import broadcasts_end, hand_out
 from mercato.llm.queries import tokenizer_file
 
 SF = "/root/testdata/sf0.001"
@@ -97,3 +98,15 @@ def test_run_is_the_stages_in_a_row(spark):
     out = corpus_pipeline.run(spark, SF)
     assert out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
     assert 0 < out.count() < spark.read.parquet(f"{SF}/documents.parquet").count()
+
+
+def test_broadcasts_of_a_stage_end_with_it(spark):
+    with broadcasts_end():
+        inner = hand_out(spark, [1])
+        with broadcasts_end():
+            nested = hand_out(spark, [2])
+        assert nested._jbroadcast.isValid() is False
+        assert inner._jbroadcast.isValid()
+    assert inner._jbroadcast.isValid() is False
+    outside = hand_out(spark, [3])
+    assert outside.value == [3] and outside._jbroadcast.isValid()
