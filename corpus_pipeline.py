@@ -22,16 +22,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercato.llm import bpe, decontam, ngram_jaccard, quality, toxicity
-from mercato.llm.common import scratch_path, small, table
+from mercato.llm.common import broadcasts_end, scratch_path, small, table
 from mercato.llm.queries import tokenizer_file
 
+#: Fewer rows of a batch than in the single queries: Python workers and the JVM keep memory of the stages before.
+BATCH_ROWS = 500
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return toxicity.without_toxic(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+    return toxicity.without_toxic(docs, toxicity.train(docs, table(spark, sf_dir, "labels", BATCH_ROWS)))
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality.without_low_quality(docs, quality.QualityModel(docs, table(spark, sf_dir, "labels")))
+    return quality.without_low_quality(docs, quality.QualityModel(docs, table(spark, sf_dir, "labels", BATCH_ROWS)))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +44,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontam.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
+    return decontam.without_contaminated(docs, table(spark, sf_dir, "benchmark", BATCH_ROWS))
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,10 +65,11 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written as Parquet in the shared folder and read again."""
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents", BATCH_ROWS)
     for name, stage in STAGES:
         path = scratch_path(spark, f"stage-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with broadcasts_end():  # models and sketches of a stage go when its table is there
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
 
