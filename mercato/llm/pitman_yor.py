@@ -85,6 +85,17 @@ def unpack(x: bytes, kind: str = "<u8") -> np.ndarray:
     return np.frombuffer(zlib.decompress(x), kind)
 
 
+def split_doubles(x: np.ndarray) -> tuple[bytes, bytes]:
+    """The lower six bytes of each double as they are, and the upper two, which have few values, compressed."""
+    x = x.astype("<f8").view("<u2").reshape(-1, 4)
+    return x[:, :3].tobytes(), pack(x[:, 3], "<u2")
+
+
+def join_doubles(low: bytes, high: bytes) -> np.ndarray:
+    high = unpack(high, "<u2")
+    return np.concatenate([np.frombuffer(low, "<u2").reshape(-1, 3), high[:, None]], axis=1).view("<f8").ravel()
+
+
 def _table(rows: list[tuple]) -> pa.Table:
     kinds = (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64()))
     columns = zip(*rows) if rows else [[]] * len(TABLE)
@@ -406,7 +417,8 @@ def _answer(kept: int, d: float, d_root: float, root_customers: float, root_tabl
             if r["kind"] == ASKED:
                 mine = np.cumsum(unpack(r["a"], "<u4").astype(np.int64))
                 w = b.word[mine]
-                out.append((ANSWER, key[0].as_py(), r["other"], log_p[mine].astype("<f8").tobytes(), pack(c_word[w[_runs(w)]]), None, None))
+                low, high = split_doubles(log_p[mine])
+                out.append((ANSWER, key[0].as_py(), r["other"], low, pack(c_word[w[_runs(w)]]), high, None))
         return _table(out)
 
     return run
@@ -419,7 +431,7 @@ def _score(total: int, vocabulary: int):
             return SCORES.empty_table()
         word, _, where, sizes = token_pairs(texts)
         answers = answers.sort_by("bucket")
-        model = np.concatenate([np.frombuffer(x, "<f8") for x in answers["a"].to_pylist()])
+        model = np.concatenate([join_doubles(x, y) for x, y in zip(answers["a"].to_pylist(), answers["c"].to_pylist())])
         c_word = np.concatenate([unpack(x) for x in answers["b"].to_pylist()]).astype(np.float64)
         first = _runs(word)
         if len(model) != len(word) or len(c_word) != len(first):
@@ -501,7 +513,7 @@ def scores(docs: DataFrame, contexts: int | None = None, shard_docs: int = SHARD
         parts = min(1 << log_buckets, MAX_PARTS)
         held = kept.store_bucketed(asked.groupBy("bucket").applyInArrow(_gather(groups), ROWS), "pairs", parts)
         answers, total, vocabulary = _sampled(kept, held, groups, sweeps, burn_in)
-        mine = answers.select(F.col("other").alias("shard"), "bucket", "a", "b")
+        mine = answers.select(F.col("other").alias("shard"), "bucket", "a", "b", "c")
         out = kept.store(dealt.groupBy("shard").cogroup(mine.groupBy("shard")).applyInArrow(
             _score(total, vocabulary),
             "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"), "scores")
@@ -532,4 +544,6 @@ def _sampled(kept: _Tables, held: DataFrame, groups: int, sweeps: int, burn_in:
         moving = of_kind(now, SEATED).unionByName(summed(now, EXCESS))
     n = max(1, sweeps - burn_in)
     run = _answer(n, d, d_root, pairs + sum_t / n, sum_k / n, vocabulary)
-    return with_pairs(moving.unionByName(totals), run, STATE, ASKED), total, vocabulary
+    answers = kept.store(with_pairs(moving.unionByName(totals), run, STATE, ASKED), "answers")
+    kept.drop("pairs", "totals", f"seatings-{sweeps - 1}")
+    return answers, total, vocabulary

@@ -119,3 +119,9 @@ def test_a_run_leaves_only_its_result_and_reads_pairs_in_place(spark):
     assert out.count() == len(rows)
     assert [x.split("-")[0] for x in set(os.listdir(folder)) - before] == ["scores"]
     assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("pitman_yor_")]
+
+
+def test_doubles_come_back_whole():
+    x = np.r_[np.log10(np.random.default_rng(8).random(1000)), 0.0, -300.25, np.nextafter(-1, 0)]
+    assert (pitman_yor.join_doubles(*pitman_yor.split_doubles(x)) == x).all()
+    assert len(pitman_yor.join_doubles(*pitman_yor.split_doubles(np.zeros(0)))) == 0
