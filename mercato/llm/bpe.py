@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.common import PieceCache
+from mercato.llm.common import PieceCache, give_back
 
 #: Below this all characters are Latin: composed already, and told apart by category here.
 LATIN_END = 0x250
@@ -214,9 +214,11 @@ class PairIndexBPE:
 _CODERS: dict[str, PairIndexBPE] = {}
 
 
-def coder(path: str) -> PairIndexBPE:
+def coder(path: str, kept_pieces: int = KEPT_PIECES) -> PairIndexBPE:
     if path not in _CODERS:
         _CODERS[path] = PairIndexBPE(path)
+        give_back()
+    _CODERS[path].pieces.limit = kept_pieces
     return _CODERS[path]
 
 
@@ -238,11 +240,16 @@ def encoded(docs: DataFrame, tokenizer_path: str, id_col="doc_id", text_col="tex
     return rows.mapInArrow(run, "doc_id long, ids array<long>, decoded string")
 
 
-def encoding_digests(docs: DataFrame, tokenizer_path: str, id_col="doc_id", text_col="text") -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every text; repeated rows give a row each."""
+def encoding_digests(docs: DataFrame, tokenizer_path: str, id_col="doc_id", text_col="text",
+                     kept_pieces: int = KEPT_PIECES) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every text; repeated rows give a row each.
+
+    ``kept_pieces``: of which a worker keeps the ids, for speed alone.
+    """
 
     def run(batches):
-        c = coder(tokenizer_path)
+        give_back()
+        c = coder(tokenizer_path, kept_pieces)
         for b in batches:
             rows = [(len(data) // 4, hashlib.sha256(data).hexdigest(), hashlib.sha256(text.encode()).hexdigest())
                     for data, text in c.encode([t or "" for t in b.column(1).to_pylist()])]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import threading
 import uuid
 from collections.abc import Iterable, Iterator
@@ -77,6 +78,14 @@ def small(df: DataFrame, rows: int, row_bytes: int, limit: int = BROADCAST_BYTES
     return F.broadcast(df) if rows * row_bytes <= limit else df
 
 
+def give_back() -> None:
+    """Hand memory that this Python worker has freed back to the system: workers live on through the stages that follow."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the C library, where it has one
+    if trim:
+        trim(0)
+
+
 def raw(column: pa.Array) -> list[bytes]:
     """The UTF-8 bytes of a string column; null becomes empty."""
     return [b"" if x is None else x for x in column.cast(pa.large_binary()).to_pylist()]

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.common import components, hand_out, mix, raw, stored, word_hashes, words_of
+from mercato.llm.common import components, give_back, hand_out, mix, raw, stored, word_hashes, words_of
 
 WORDS = 5
 #: Shingles whose count is known; 12 bytes each.
@@ -112,6 +112,7 @@ def _send(buckets: int):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(found, pa.int32()), *(pa.array(x, pa.binary()) for x in (ones, many, counts))],
                 ["bucket", "ones", "many", "counts"])
+        give_back()
 
     return run
 
@@ -225,6 +226,7 @@ def _sets(held):
                 [b.column(0), pa.array(n, pa.int64()), pa.array(sig, pa.int64()), pa.array(sig2, pa.int64()),
                  pa.array(firsts, pa.list_(pa.int64())), pa.array(blobs, pa.binary())],
                 ["doc_id", "n", "sig", "sig2", "first", "data"])
+        give_back()
 
     return run
 
@@ -243,6 +245,7 @@ def _verify(batches):
                            and links_by_size(len(np.intersect1d(s, t, True)), n, m)))
         keep = pa.array(ok, pa.bool_())
         yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep)], ["a", "b"])
+    give_back()
 
 
 def _linked(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
