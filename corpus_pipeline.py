@@ -27,6 +27,7 @@ from mercato.llm.queries import tokenizer_file
 
 #: Fewer rows of a batch than in the single queries: Python workers and the JVM keep memory of the stages before.
 BATCH_ROWS = 500
+KEPT_PIECES = 100_000
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +49,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe.encoding_digests(docs, tokenizer_file("word_bpe_49k.json"))
+    return bpe.encoding_digests(docs, tokenizer_file("word_bpe_49k.json"), kept_pieces=KEPT_PIECES)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
