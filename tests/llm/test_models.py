@@ -154,14 +154,17 @@ def test_kneser_ney_joins(spark):
     texts = ["the cat sat on the mat", "the dog sat on the log", "a cat and a dog", "Zebra 42!", "thé"]
     docs = spark.createDataFrame([("en", t) for t in texts] + [(None, "xx xy"), ("fr", "un")], "lang string, text string")
     train = docs.where("lang IS NULL OR lang = 'en'")
-    got = {(r["lang"], r["code"]): r["p"] for r in quality.kneser_ney(quality.ngram_counts(train), quality.distinct_ngrams(docs)).collect()}
-    p = brute_kneser_ney([int(c) for t in texts for c in quality.codes_of(t.encode())])
+    letters = quality.alphabets(train)
+    held = spark.sparkContext.broadcast(letters)
+    wanted = quality.kneser_ney(quality.ngram_counts(train, held), quality.distinct_ngrams(docs, held))
+    got = {(r["lang"], r["code"]): r["p"] for r in wanted.collect()}
+    p = brute_kneser_ney([int(c) for t in texts for c in letters["en"].codes_of(t)])
     mine = {c: v for (lang, c), v in got.items() if lang == "en"}
     assert len(mine) > 40 and {lang for lang, _ in got} == {"en", None}
     for code, v in mine.items():
         assert v == pytest.approx(p(code, 4), rel=1e-9)
     # over all 64 symbols after a context the model adds up to one
-    ctx = quality.codes_of(b"the ")[-1] & ((1 << 18) - 1)
+    ctx = letters["en"].codes_of("the ")[-1] & ((1 << 18) - 1)
     assert sum(p((int(ctx) << 6) | w, 4) for w in range(64)) == pytest.approx(1)
 
 
