@@ -241,14 +241,23 @@ def encoded(docs: DataFrame, tokenizer_path: str, id_col="doc_id", text_col="tex
 
 
 def encoding_digests(docs: DataFrame, tokenizer_path: str, id_col="doc_id", text_col="text",
-                     kept_pieces: int = KEPT_PIECES) -> DataFrame:
+                     kept_pieces: int = KEPT_PIECES, forget: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every text; repeated rows give a row each.
 
-    ``kept_pieces``: of which a worker keeps the ids, for speed alone.
+    ``kept_pieces``: of which a worker keeps the ids, for speed alone. ``forget``: a task drops
+    vocabulary and pieces at its end, and the next one reads them again: for sessions that go on to other work.
     """
 
     def run(batches):
         give_back()
+        try:
+            yield from digests(batches)
+        finally:
+            if forget:
+                _CODERS.clear()
+                give_back()
+
+    def digests(batches):
         c = coder(tokenizer_path, kept_pieces)
         for b in batches:
             rows = [(len(data) // 4, hashlib.sha256(data).hexdigest(), hashlib.sha256(text.encode()).hexdigest())
