@@ -49,7 +49,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe.encoding_digests(docs, tokenizer_file("word_bpe_49k.json"), kept_pieces=KEPT_PIECES)
+    return bpe.encoding_digests(docs, tokenizer_file("word_bpe_49k.json"), kept_pieces=KEPT_PIECES, forget=True)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
