@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from mercato.functions import ts_literal
 from mercato.operators.ranking import reliable
 from mercato.params import Params
+from mercato.sources.schema import PURCHASE_MONTH
 
 # Order states dropped by the cohort analysis.
 INACTIVE_STATUSES = ("canceled", "unavailable")
@@ -36,11 +37,16 @@ def active(orders: DataFrame) -> DataFrame:
 
 
 def in_date_range(orders: DataFrame, params: Params) -> DataFrame:
-    ts = F.col("order_purchase_timestamp")
+    """Orders placed in the range; of orders stored by month only its months are read."""
+    ts, by_month = F.col("order_purchase_timestamp"), PURCHASE_MONTH in orders.columns
     if params.start is not None:
         orders = orders.where(ts >= ts_literal(params.start))
+        if by_month:
+            orders = orders.where(F.col(PURCHASE_MONTH) >= params.start.year * 100 + params.start.month)
     if params.end is not None:
         orders = orders.where(ts <= ts_literal(params.end))
+        if by_month:
+            orders = orders.where(F.col(PURCHASE_MONTH) <= params.end.year * 100 + params.end.month)
     return orders
 
 

@@ -28,6 +28,9 @@ class Stored:
         self.fallback, self.text_as = fallback, text_as
 
 
+#: Integer column of orders stored by month (:mod:`mercato.sources.layout`): 201803 for March 2018.
+PURCHASE_MONTH = "purchase_month"
+
 KEY = Stored(T.LongType())
 SCORE = Stored(T.IntegerType(), text_as=T.DoubleType())
 
@@ -85,12 +88,15 @@ def conform(df: DataFrame, name: str) -> DataFrame:
     pushes filters below it. A column that is not there stays away: the checks
     report it and only the analyses that use it fail. Tables without declared
     columns (present only for the table check) pass through unchanged.
+    Orders stored by month keep the month's column.
     """
     columns = _COLUMNS.get(name)
     if columns is None:
         return df
     stored = {f.name.lower(): f for f in df.schema.fields}
-    return df.select([_as_declared(stored[c], kind).alias(c) for c, kind in columns if c in stored])
+    month = stored.get(PURCHASE_MONTH) if name == "orders" else None
+    by_month = [F.col(PURCHASE_MONTH)] if month is not None and isinstance(month.dataType, T.IntegralType) else []
+    return df.select([_as_declared(stored[c], kind).alias(c) for c, kind in columns if c in stored] + by_month)
 
 
 def altered_money(df: DataFrame, name: str) -> dict[str, Column]:

@@ -11,7 +11,7 @@ the earlier output is kept until the new one stands.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -28,7 +28,12 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> bool:
 
 def write_parquet(df: DataFrame, path: str) -> bool:
     """Write ``df`` as parquet; returns False (``path`` left as it is) when empty."""
-    return _write(df, path, lambda w, p: w.parquet(p))
+    return replace_parquet(df, path)
+
+
+def replace_parquet(df: DataFrame, path: str, by: Sequence[str] = ()) -> bool:
+    """:func:`write_parquet` in folders by the columns ``by``."""
+    return _write(df, path, lambda w, p: w.partitionBy(*by).parquet(p))
 
 
 def _write(df: DataFrame, path: str, write: Callable[[DataFrameWriter, str], None]) -> bool:
