@@ -1,7 +1,7 @@
 """Batch run from the command line (``spark-submit -m`` style entry point).
 
     python -m mercato --input s3a://bucket/marketplace --output s3a://bucket/out \
-        [--start-date 2018-01-01] [--end-date 2018-06-30] [--seller-state SP]
+        [--start-date 2018-01-01] [--end-date 2018-06-30] [--seller-state SP] [--parallel 4]
     python -m mercato --catalog-db marketplace --output ...
 
 Same parameters as the reference product: dates as ``YYYY-MM-DD`` (empty =
@@ -35,6 +35,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--start-date", default="")
     ap.add_argument("--end-date", default="")
     ap.add_argument("--seller-state", default="")
+    ap.add_argument("--parallel", type=int, default=4, help="analyses that run at a time")
     args = ap.parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
     log = logging.getLogger("mercato")
@@ -43,7 +44,7 @@ def main(argv: list[str] | None = None) -> int:
     except ValueError as exc:
         log.error(str(exc))
         return 1
-    spark = tune(SparkSession.builder.appName("mercato").getOrCreate())
+    spark = tune(SparkSession.builder.appName("mercato").config("spark.scheduler.mode", "FAIR").getOrCreate())
     if args.input:
         tables = Tables.from_files(spark, args.input, args.format)
     elif args.catalog_db:
@@ -53,7 +54,7 @@ def main(argv: list[str] | None = None) -> int:
     if not tables:
         log.error("no input table found")
         return 1
-    result = run_batch(tables, args.output, params)
+    result = run_batch(tables, args.output, params, parallel=max(1, args.parallel))
     log.info("checks passed: %s; written: %s; errors: %s", result.checks_passed, result.written, result.errors)
     return 0
 

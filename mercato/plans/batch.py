@@ -1,7 +1,9 @@
-"""The batch run: checks, then the five analyses, then the outputs.
+"""The batch run: checks, the five analyses, their outputs.
 
-Mirrors the reference product's run: checks only warn; each analysis is
-independent, so one failing analysis is logged and the others still run;
+Mirrors the reference product's run: checks only warn, so they run beside the
+analyses; each analysis is independent, so they run side by side, each in a scheduler
+pool of its own (the small jobs of one fill the cores that another leaves
+idle), and one failing analysis is logged while the others go on;
 outputs are the top-50 seller summary (CSV), the full ABC table (parquet)
 and the data behind each report chart and sheet (parquet), all written by
 Spark's distributed writers into ``output_dir`` (any Hadoop-compatible
@@ -12,16 +14,20 @@ from __future__ import annotations
 
 import datetime as _dt
 import logging
+from collections.abc import Callable, Iterator
+from concurrent.futures import Future, ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercato.operators import abc, checks, cohort, delivery, monthly, scorecard
 from mercato.operators.order_lines import order_lines
 from mercato.operators.ranking import numbered
 from mercato.params import NO_FILTER, Params
-from mercato.session import tune
+from mercato.session import ensure_checkpoint_dir, tune
 from mercato.sources.sinks import write_csv, write_parquet
 
 log = logging.getLogger("mercato")
@@ -69,6 +75,28 @@ def _try(result: RunResult, name: str, fn):
         return None
 
 
+@contextmanager
+def _side_by_side(spark: SparkSession, parallel: int) -> Iterator[Callable[[str, Callable[[], None]], None]]:
+    """``start(name, job)`` runs ``job`` beside others, its Spark jobs in the scheduler pool ``name``; all have ended at the end.
+
+    A pool is a fair share of the executors where the cluster's ``spark.scheduler.mode`` is FAIR; else the
+    jobs queue, and later ones take the cores that earlier ones leave idle. The caller's job group and tags hold.
+    """
+    running: list[Future] = []
+    with ThreadPoolExecutor(parallel, "mercato") as threads:
+
+        def start(name: str, job: Callable[[], None]) -> None:
+            def in_pool() -> None:
+                spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
+                job()
+
+            running.append(threads.submit(inheritable_thread_target(spark)(in_pool)))
+
+        yield start
+    for done in running:
+        done.result()  # raises what a job did not handle
+
+
 def _shared_lines(t, params: Params) -> DataFrame | None:
     """The stored :func:`~mercato.operators.order_lines.order_lines` that three analyses aggregate:
     the items are read and joined once per run. None if they can't be made: each analysis then
@@ -86,76 +114,69 @@ def run_batch(
     output_dir: str,
     params: Params = NO_FILTER,
     now: _dt.datetime | None = None,
+    parallel: int = 4,
 ) -> RunResult:
-    """Run checks, analyses and sinks; return what passed, what was written, what failed."""
+    """Run checks, analyses and sinks, ``parallel`` of them at a time; return what passed, what was written, what failed."""
+    if parallel < 1:
+        raise ValueError(f"parallel={parallel}: at least one analysis runs at a time")
     result = RunResult()
     out = output_dir.rstrip("/")
     tune(t.spark)
+    ensure_checkpoint_dir(t.spark)  # before threads meet
 
-    rows = _try(result, "checks", lambda: checks.run_checks(t, now))
-    if rows is not None:
-        result.failed_checks = [r for r in rows if not r["passed"]]
-        result.checks_passed = not result.failed_checks
-        for r in result.failed_checks:
-            log.warning("check failed: %s", r)
-
-    lines = _shared_lines(t, params)
-    with_reviews = lines if lines is not None and "score_sum" in lines.columns else None
-    analyses: dict[str, callable] = {
-        "seller_scorecard": lambda: scorecard.seller_scorecard(t, params, lines=with_reviews),
-        "abc_classification": lambda: abc.abc_classification(t, params, lines=lines),
-        "cohort_retention": lambda: cohort.cohort_retention(t, params),
-        "delivery_by_state": lambda: delivery.delivery_by_state(t, params),
-        "monthly_growth": lambda: monthly.monthly_growth(t, params, lines=lines),
-    }
-    frames: dict[str, DataFrame] = {}
-    for name, build in analyses.items():
-        df = _try(result, name, build)
-        if df is not None:
-            frames[name] = ordered_for_output(df, name)
+    def check() -> None:
+        rows = _try(result, "checks", lambda: checks.run_checks(t, now))
+        if rows is not None:
+            result.failed_checks = [r for r in rows if not r["passed"]]
+            result.checks_passed = not result.failed_checks
+            for r in result.failed_checks:
+                log.warning("check failed: %s", r)
 
     def save(name: str, fn) -> None:
         ok = _try(result, name, fn)
         result.written[name] = bool(ok)
 
-    def derive(base: str, path: str, outputs: dict) -> None:
-        """Report tables read the written base table: a lineage cut, no recompute."""
-        if not result.written.get(base):
-            result.written.update({name: False for name in outputs})
-            return
-        written = t.spark.read.parquet(path)
-        for name, (fn, target) in outputs.items():
-            save(name, lambda fn=fn, target=target: fn(written, target))
-
     def parquet(build):
         return lambda df, target: write_parquet(build(df), target)
 
+    def analysis(name: str, build, output: str, path: str, reports: dict) -> None:
+        """Build and write an analysis, then its report tables from the written one: a lineage cut, no recompute."""
+        df = _try(result, name, build)
+        if df is None:
+            return
+        save(output, lambda: write_parquet(ordered_for_output(df, name), path))
+        if not result.written[output]:
+            result.written.update({report: False for report in reports})
+            return
+        written = t.spark.read.parquet(path)
+        for report, (fn, target) in reports.items():
+            save(report, lambda fn=fn, target=target: fn(written, target))
+
     rep = f"{out}/report"
-    if "seller_scorecard" in frames:
-        save("seller_scorecard", lambda: write_parquet(frames["seller_scorecard"], f"{rep}/seller_scorecard"))
-        derive("seller_scorecard", f"{rep}/seller_scorecard", {
-            "summary.csv": (lambda df, p: write_csv(scorecard.top_sellers(df, SUMMARY_ROWS), p, True),
-                            f"{out}/summary.csv"),
-            "top_sellers_10": (parquet(lambda df: scorecard.top_sellers(df, 10)), f"{rep}/top_sellers_10"),
-        })
-    if "abc_classification" in frames:
-        save("detail.parquet", lambda: write_parquet(frames["abc_classification"], f"{out}/detail.parquet"))
-        derive("detail.parquet", f"{out}/detail.parquet", {
-            "abc_tier_summary": (parquet(abc.summarize_tiers), f"{rep}/abc_tier_summary"),
-        })
-    if "cohort_retention" in frames:
-        save("cohort_retention", lambda: write_parquet(frames["cohort_retention"], f"{rep}/cohort_retention"))
-        derive("cohort_retention", f"{rep}/cohort_retention", {
-            "cohort_retention_long": (parquet(cohort.long_form), f"{rep}/cohort_retention_long"),
-        })
-    if "delivery_by_state" in frames:
-        save("delivery_by_state", lambda: write_parquet(frames["delivery_by_state"], f"{rep}/delivery_by_state"))
-        derive("delivery_by_state", f"{rep}/delivery_by_state", {
-            "delivery_days_early": (parquet(delivery.days_early_of), f"{rep}/delivery_days_early"),
-        })
-    if "monthly_growth" in frames:
-        save("monthly_growth", lambda: write_parquet(frames["monthly_growth"], f"{rep}/monthly_growth"))
-        derive("monthly_growth", f"{rep}/monthly_growth", {
-            "monthly_series": (parquet(lambda df: monthly.series_of(df).orderBy("month_label")), f"{rep}/monthly_series"),
-        })
+    from_orders = [
+        ("cohort_retention", lambda: cohort.cohort_retention(t, params), "cohort_retention", f"{rep}/cohort_retention",
+         {"cohort_retention_long": (parquet(cohort.long_form), f"{rep}/cohort_retention_long")}),
+        ("delivery_by_state", lambda: delivery.delivery_by_state(t, params), "delivery_by_state", f"{rep}/delivery_by_state",
+         {"delivery_days_early": (parquet(delivery.days_early_of), f"{rep}/delivery_days_early")}),
+    ]
+    with _side_by_side(t.spark, parallel) as start:
+        start("checks", check)
+        for name, *rest in from_orders:
+            start(name, lambda name=name, rest=rest: analysis(name, *rest))
+        lines = _shared_lines(t, params)
+        with_reviews = lines if lines is not None and "score_sum" in lines.columns else None
+        from_lines = [
+            ("seller_scorecard", lambda: scorecard.seller_scorecard(t, params, lines=with_reviews),
+             "seller_scorecard", f"{rep}/seller_scorecard",
+             {"summary.csv": (lambda df, p: write_csv(scorecard.top_sellers(df, SUMMARY_ROWS), p, True), f"{out}/summary.csv"),
+              "top_sellers_10": (parquet(lambda df: scorecard.top_sellers(df, 10)), f"{rep}/top_sellers_10")}),
+            ("abc_classification", lambda: abc.abc_classification(t, params, lines=lines),
+             "detail.parquet", f"{out}/detail.parquet",
+             {"abc_tier_summary": (parquet(abc.summarize_tiers), f"{rep}/abc_tier_summary")}),
+            ("monthly_growth", lambda: monthly.monthly_growth(t, params, lines=lines),
+             "monthly_growth", f"{rep}/monthly_growth",
+             {"monthly_series": (parquet(lambda df: monthly.series_of(df).orderBy("month_label")), f"{rep}/monthly_series")}),
+        ]
+        for name, *rest in from_lines:
+            start(name, lambda name=name, rest=rest: analysis(name, *rest))
     return result

@@ -250,3 +250,59 @@ def test_shared_lines_give_what_the_analyses_give_alone(spark, make_tables):
             assert alone.columns == shared.columns and alone.dtypes == shared.dtypes
             a, b = (sorted(map(tuple, df.collect()), key=str) for df in (alone, shared))
             assert a == b and len(a) > 0
+
+
+SIDE_BY_SIDE = """
+import sys
+from pyspark.sql import SparkSession
+from mercato.plans import batch
+from mercato.sources.tables import Tables
+log, out, sf = sys.argv[1:]
+spark = (SparkSession.builder.master("local[4]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "4")
+         .config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", log).config("spark.eventLog.rolling.enabled", "false").config("spark.eventLog.compress", "false")
+         .config("spark.scheduler.mode", "FAIR").config("spark.checkpoint.dir", out + "/ckpt").getOrCreate())
+real = batch.cohort.cohort_retention
+batch.cohort.cohort_retention = lambda t, p: real(t, p).withColumn("x", batch.F.raise_error(batch.F.lit("on purpose")))
+res = batch.run_batch(Tables.from_tpch(spark, sf), out + "/out")
+assert set(res.errors) == {"cohort_retention"} and "on purpose" in res.errors["cohort_retention"], res.errors
+bad = {k for k, ok in res.written.items() if not ok}
+assert bad == {"cohort_retention", "cohort_retention_long"} and len(res.written) == 11, res.written
+spark.stop()
+"""
+
+
+def test_analyses_run_side_by_side_in_pools_of_their_own(tmp_path):
+    """From the event log: jobs of different analyses overlap, and each runs in its analysis' pool; one failure is one analysis'."""
+    import json
+    import subprocess
+    import sys
+
+    (tmp_path / "log").mkdir()
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    run = subprocess.run([sys.executable, "-c", SIDE_BY_SIDE, str(tmp_path / "log"), str(tmp_path), SF_SMALL], cwd=root,
+                         capture_output=True, text=True, timeout=600)
+    assert run.returncode == 0, run.stderr[-3000:]
+    began, spans = {}, {}
+    for line in open(next((tmp_path / "log").iterdir())):
+        e = json.loads(line)
+        if e["Event"] == "SparkListenerJobStart":
+            began[e["Job ID"]] = e["Submission Time"], e.get("Properties", {}).get("spark.scheduler.pool")
+        elif e["Event"] == "SparkListenerJobEnd":
+            start, pool = began[e["Job ID"]]
+            spans.setdefault(pool, []).append((start, e["Completion Time"]))
+    pools = {"checks", "seller_scorecard", "abc_classification", "cohort_retention", "delivery_by_state", "monthly_growth"}
+    assert pools <= set(spans) <= pools | {None}  # None: the shared lines
+    meets = lambda a, b: any(x < v and u < y for x, y in spans[a] for u, v in spans[b])
+    assert meets("seller_scorecard", "abc_classification") and meets("cohort_retention", None)
+
+
+def test_one_at_a_time_gives_the_same(spark):
+    outs = [tempfile.mkdtemp(prefix="mercato-run-") for _ in range(2)]
+    t = Tables.from_tpch(spark, SF_SMALL)
+    results = [run_batch(t, out, parallel=n) for out, n in zip(outs, (1, 6))]
+    assert results[0].written == results[1].written and not results[0].errors
+    for name in ("detail.parquet", "report/seller_scorecard", "report/monthly_series"):
+        a, b = (sorted(map(str, spark.read.parquet(f"{out}/{name}").collect())) for out in outs)
+        assert a == b
+    with pytest.raises(ValueError, match="at least one"):
+        run_batch(t, outs[0], parallel=0)
