@@ -27,11 +27,24 @@ TUNING = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# Set only where the session says nothing. A task of the large join sorts both
+# sides and holds an aggregate of its rows, 20 to 30 times the bytes it reads from
+# the (compressed) shuffle. Rows are dealt over many partitions, which adaptive
+# execution puts together up to the size below: a task's memory depends on that size and
+# not on the input, until the partitions themselves are larger (about 16 GB in one shuffle).
+TASK_SIZE = {
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "1000",
+}
+
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply :data:`TUNING` to a running session (idempotent)."""
+    """Apply :data:`TUNING`, and :data:`TASK_SIZE` where it is not set, to a running session (idempotent)."""
     for key, value in TUNING.items():
         spark.conf.set(key, value)
+    for key, value in TASK_SIZE.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
     return spark
 
 

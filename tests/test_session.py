@@ -1,5 +1,6 @@
 import pytest
 
+from mercato import session
 from mercato.session import ensure_checkpoint_dir
 
 
@@ -48,3 +49,22 @@ def test_cluster_without_setting_fails_instead_of_using_a_local_folder():
 def test_local_mode_gets_a_temporary_folder():
     folder = ensure_checkpoint_dir(_Session(_Context("local[4]", {})))
     assert "mercato-ckpt-" in folder
+
+
+def test_tasks_are_bounded_by_bytes(spark):
+    """Few shuffle partitions are no reason for large tasks; what a session says itself stays."""
+    keys = ("spark.sql.shuffle.partitions", *session.TASK_SIZE)
+    was = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in session.TASK_SIZE:
+            spark.conf.unset(k)
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+        session.tune(spark)
+        keys_of = spark.range(3_000_000).selectExpr("xxhash64(id) AS k")
+        assert keys_of.groupBy("k").count().rdd.getNumPartitions() > 2
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "3m")
+        session.tune(spark)
+        assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "3m"
+    finally:
+        for k, v in was.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
