@@ -1,9 +1,12 @@
 """Every trusted document counts, whatever other languages have; every script has letters."""
 
+import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from mercato.llm import quality
 
@@ -66,3 +69,57 @@ def test_alphabets_are_the_commonest_characters(spark):
     assert set(got) == {"zh", None} and list(got[None].codes_of("ab") & 63) == [1, 2]
     last = got["zh"].codes_of("".join(chr(0x4E00 + i) for i in range(90))) & 63
     assert list(last[: quality.OWN]) == list(range(1, quality.OWN + 1)) and min(last[quality.OWN :]) > quality.OWN
+
+
+def brute_logs(train: list[str], text: str) -> float:
+    """log10 p of the text by the recursion over tuples of characters, none of them folded."""
+    grams = lambda t: [tuple("\0\0\0" + t)[i : i + 4] for i in range(len(t))]
+    levels = {4: Counter(g for t in train for g in grams(t))}
+    for k in (3, 2, 1):
+        levels[k] = Counter(g[1:] for g in levels[k + 1])
+    cuts = {}
+    for k, of in levels.items():
+        n = Counter(of.values())
+        y = n[1] / (n[1] + 2 * n[2]) if n[1] else 0
+        cuts[k] = ([max(0.05, min(j - 0.05, j - (j + 1) * y * n[j + 1] / n[j])) for j in (1, 2, 3)]
+                   if all(n[j] for j in (1, 2, 3, 4)) else [0.5, 1.0, 1.5])
+
+    def p(g, k):
+        if k == 0:
+            return 1 / max(64, len(levels[1]) + 2)
+        g, of, cut = g[4 - k :] if len(g) > k else g, levels[k], lambda c: cuts[k][min(c, 3) - 1]
+        after = [c for h, c in of.items() if h[:-1] == g[:-1]]
+        if not after:
+            return p(g[1:], k - 1)
+        own = of[g] - cut(of[g]) if g in of else 0
+        return (own + sum(map(cut, after)) * p(g[1:], k - 1)) / sum(after)
+
+    return sum(math.log10(p(g, 4)) for g in grams(text))
+
+
+def test_rarer_characters_stay_apart(spark):
+    """Two hundred characters, some beyond the first plane, in languages of their own: each counts as itself, in copies too."""
+    rnd = random.Random(11)
+    signs = {"zh": [chr(0x4E00 + i) for i in range(170)] + [chr(0x20000 + i) for i in range(30)], None: [chr(0x10330 + i) for i in range(20)]}
+    prose = lambda lang: "".join(rnd.choices(signs[lang], [1 / (i + 1) for i in range(len(signs[lang]))], k=40))
+    rows = [(i, prose(lang), lang) for lang, ids in (("zh", range(60)), (None, range(100, 140))) for i in ids]
+    rows += [(1_000, rows[0][1], "zh"), (1_001, rows[0][1], "zh"), (1_002, "新" + prose("zh")[:9], "zh"), (1_003, rows[0][1], None),
+             (1_004, prose("zh").translate({0x4E00 + 150 + i: 0x4E00 + 169 - i for i in range(20)}), "zh"), (1_005, "", "zh")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i, _, _ in rows if i < 1_000], "doc_id long, quality int, toxic int")
+    apart = {r["id"] for r in spark.range(1_000).where("pmod(xxhash64(id, 5), 5) = 0").collect()}
+    train = {x: [t for i, t, lang in rows if lang == x and i < 1_000 and i not in apart] for x in signs}
+    # all n-grams handed out; the commoner ones; none, each text on its own
+    for known, limit in ((quality.KNOWN, quality.NAMED), (2_000, quality.NAMED), (0, 1)):
+        quality.NAMED = limit
+        model = quality.QualityModel(docs, labels, known_rows=known)
+        assert bool(model.rare_langs) == (known < quality.KNOWN)
+        got = {r["doc_id"]: r["perplexity"] for r in quality.quality(docs, model).collect()}
+        assert len(got) == len(rows) and got.pop(1_005) is None and got[0] == got[1_000] == got[1_001]
+        for i, text, lang in rows:
+            if text:
+                assert -math.log10(got[i]) * len(text) == pytest.approx(brute_logs(train[lang], text), rel=1e-5)
+    quality.NAMED = 200_000
+    left = quality.without_low_quality(docs.withColumn("key", F.lit(1)), model)
+    assert left.columns == ["doc_id", "text", "lang", "key"]
+    assert sorted(r["doc_id"] for r in left.collect()) == sorted(r["doc_id"] for r in quality.quality(docs, model).where("kept").collect())
