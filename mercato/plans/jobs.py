@@ -11,8 +11,18 @@ from pyspark.sql import DataFrame
 EXCHANGE = re.compile(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition|RoundRobin)")
 
 
+METADATA = "spark.sql.maxMetadataStringLength"  # a scan's filters are cut to it
+
+
 def plan_of(df: DataFrame) -> str:
-    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    """The physical plan, with the filters of its scans in full."""
+    conf = df.sparkSession.conf
+    was = conf.get(METADATA, None)
+    conf.set(METADATA, "100000")
+    try:
+        return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        conf.unset(METADATA) if was is None else conf.set(METADATA, was)
 
 
 @contextmanager

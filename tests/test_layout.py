@@ -69,3 +69,14 @@ def test_edges(spark, make_tables):
     # a column of that name that holds no number is not the month
     other = t["orders"].withColumn(PURCHASE_MONTH, F.lit("May"))
     assert PURCHASE_MONTH not in Tables.conformed({"orders": other})["orders"].columns
+
+
+def test_plans_show_whole_filters(spark, by_month):
+    """However long the columns' numbers make them."""
+    spark.conf.set("spark.sql.maxMetadataStringLength", "30")
+    try:
+        plan = plan_of(in_date_range(by_month[1]["orders"], RANGE))
+        assert spark.conf.get("spark.sql.maxMetadataStringLength") == "30"
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "199503" in plan and "199602" in plan.split("PartitionFilters: ")[1].split("PushedFilters")[0]
