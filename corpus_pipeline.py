@@ -27,7 +27,8 @@ from mercato.llm.queries import tokenizer_file
 
 #: Fewer rows of a batch than in the single queries: Python workers and the JVM keep memory of the stages before.
 BATCH_ROWS = 500
-KEPT_PIECES = 100_000
+KEPT_PIECES = 20_000
+TEXTS = 100
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +50,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe.encoding_digests(docs, tokenizer_file("word_bpe_49k.json"), kept_pieces=KEPT_PIECES, forget=True)
+    return bpe.encoding_digests(docs, tokenizer_file("word_bpe_49k.json"), kept_pieces=KEPT_PIECES, texts=TEXTS,
+                                forget=True)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

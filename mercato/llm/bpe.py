@@ -90,9 +90,11 @@ class PairIndexBPE:
         letters, numbers = latin("L"), latin("N")
         self.latin = re.compile(f"'(?:[stmd]|re|ve|ll)|[{letters}]+|[{numbers}]|[^{WHITE}{letters}{numbers}]+").findall
         self.white = re.compile(r"[^\s\x1c-\x1f]*(?:[\x1c-\x1f]+[^\s\x1c-\x1f]*)*").findall
-        self.lib = Tokenizer.from_file(path)
+        # asked only for its normalizer and pre-tokenizer: without the vocabulary, which it would hold twice
+        self.lib = Tokenizer.from_str(json.dumps(spec | {"added_tokens": [], "model": {"type": "BPE", "vocab": {}, "merges": []}}))
         self.back = {ord(s): b for b, s in enumerate(symbols)}
         self.pieces = PieceCache(self.learn, KEPT_PIECES)
+        self.texts = TEXTS
 
     # -- pre-tokens ------------------------------------------------------
     def split(self, segment: str) -> list[str]:
@@ -193,8 +195,8 @@ class PairIndexBPE:
 
     def encode(self, texts: list[str]) -> Iterator[tuple[bytes, str]]:
         """Ids (unsigned 32-bit, little endian) and the text decoded from them, of every text."""
-        for lo in range(0, len(texts), TEXTS):
-            part, split, marks = texts[lo : lo + TEXTS], [], []
+        for lo in range(0, len(texts), self.texts):
+            part, split, marks = texts[lo : lo + self.texts], [], []
             for t in part:
                 segments = self.added_at.split(t) if self.added_at and any(a in t for a in self.added) else [t]
                 split.append([p for s in segments[::2] for p in self.split(s)] if len(segments) > 1 else self.split(t))
@@ -214,11 +216,11 @@ class PairIndexBPE:
 _CODERS: dict[str, PairIndexBPE] = {}
 
 
-def coder(path: str, kept_pieces: int = KEPT_PIECES) -> PairIndexBPE:
+def coder(path: str, kept_pieces: int = KEPT_PIECES, texts: int = TEXTS) -> PairIndexBPE:
     if path not in _CODERS:
         _CODERS[path] = PairIndexBPE(path)
         give_back()
-    _CODERS[path].pieces.limit = kept_pieces
+    _CODERS[path].pieces.limit, _CODERS[path].texts = kept_pieces, texts
     return _CODERS[path]
 
 
@@ -241,10 +243,11 @@ def encoded(docs: DataFrame, tokenizer_path: str, id_col="doc_id", text_col="tex
 
 
 def encoding_digests(docs: DataFrame, tokenizer_path: str, id_col="doc_id", text_col="text",
-                     kept_pieces: int = KEPT_PIECES, forget: bool = False) -> DataFrame:
+                     kept_pieces: int = KEPT_PIECES, texts: int = TEXTS, forget: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every text; repeated rows give a row each.
 
-    ``kept_pieces``: of which a worker keeps the ids, for speed alone. ``forget``: a task drops
+    ``kept_pieces``: of which a worker keeps the ids; ``texts``: whose new pieces it learns together. Both are
+    for speed alone and take memory. ``forget``: a task drops
     vocabulary and pieces at its end, and the next one reads them again: for sessions that go on to other work.
     """
 
@@ -258,7 +261,7 @@ def encoding_digests(docs: DataFrame, tokenizer_path: str, id_col="doc_id", text
                 give_back()
 
     def digests(batches):
-        c = coder(tokenizer_path, kept_pieces)
+        c = coder(tokenizer_path, kept_pieces, texts)
         for b in batches:
             rows = [(len(data) // 4, hashlib.sha256(data).hexdigest(), hashlib.sha256(text.encode()).hexdigest())
                     for data, text in c.encode([t or "" for t in b.column(1).to_pylist()])]

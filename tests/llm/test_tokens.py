@@ -62,6 +62,24 @@ def test_bpe_one_block_of_overlapping_pairs():
         assert np.frombuffer(ids, "<u4").tolist() == lib.encode(t, add_special_tokens=False).ids
 
 
+def test_bpe_learns_and_keeps_few_pieces_at_a_time():
+    """A worker of the pipeline holds the pieces of a few texts and two short generations, with the same ids."""
+    path = tokenizer_file("word_bpe_49k.json")
+    texts = [" ".join(f"w{i * 7 + k}x é{k}ł {k}" for k in range(20)) for i in range(40)] + ["", "<|endoftext|> a b"]
+    want = list(bpe.PairIndexBPE(path).encode(texts))
+    bpe._CODERS.clear()
+    coder, learnt = bpe.coder(path, kept_pieces=100, texts=4), []
+    coder.pieces.learn = lambda pieces: learnt.append(len(pieces)) or coder.learn(pieces)
+    got = []
+    for x in coder.encode(texts):
+        got.append(x)
+        assert max(len(coder.pieces), len(coder.pieces.old)) <= 100 + 4 * 60
+    assert got == want
+    assert max(learnt) <= 4 * 60
+    assert coder.lib.get_vocab_size() == 0  # the library's own copy of the vocabulary is not kept
+    bpe._CODERS.clear()
+
+
 def test_token_counts(docs, rows):
     import sentencepiece
 
