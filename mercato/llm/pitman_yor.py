@@ -166,9 +166,9 @@ def _sibuya(rng, d: float, z: float, n: int) -> np.ndarray:
     out = np.zeros(0)
     while len(out) < n:
         p = np.maximum(rng.beta(d, 1 - d, max(16, 2 * (n - len(out)))), 1e-300)
-        with np.errstate(divide="ignore"):
-            k = np.maximum(1.0, np.ceil(np.log(1.0 - rng.random(len(p))) / np.log1p(-p)))
-        out = np.r_[out, k[rng.random(len(k)) < np.exp(k * math.log(z))]]
+        k = np.maximum(1.0, np.ceil(np.log(1.0 - rng.random(len(p))) / np.log1p(-p)))
+        k = k[rng.random(len(k)) < np.exp(k * math.log(z))]
+        out = np.concatenate([out, k]) if len(out) else k
     return out[:n]
 
 
@@ -199,13 +199,15 @@ def seat_many(rng, c: int, d: float, weight: float) -> int:
         return math.lgamma(m - d) - math.lgamma(m) + m * math.log(z)
 
     sizes, now = np.zeros(0), factor(c)
-    for _ in range(math.ceil(STEPS / part)):
-        new = np.r_[sizes[rng.random(len(sizes)) >= part], _sibuya(rng, d, z, rng.poisson(fresh))]
-        m = c - new.sum()
-        if m >= 1:
-            then = factor(m)
-            if then >= now or rng.random() < math.exp(then - now):
-                sizes, now = new, then
+    with np.errstate(divide="ignore"):  # of _sibuya; here and np.concatenate, as this loop is most of a sweep
+        for _ in range(math.ceil(STEPS / part)):
+            stay = sizes[rng.random(len(sizes)) >= part]
+            new = np.concatenate([stay, _sibuya(rng, d, z, rng.poisson(fresh))])
+            m = c - float(new.sum())
+            if m >= 1:
+                then = factor(m)
+                if then >= now or rng.random() < math.exp(then - now):
+                    sizes, now = new, then
     return len(sizes) + 1
 
 

@@ -3,6 +3,7 @@
 import math
 import os
 import random
+import sys
 from itertools import product
 
 import numpy as np
@@ -101,6 +102,17 @@ def test_steps_for_many_customers_have_the_same_law(c, d, w):
     assert got.std() == pytest.approx(sd, rel=0.2)
 
 
+def test_a_step_for_many_customers_is_a_few_calls():
+    """This loop is most of a sweep: a step draws and adds up, without helpers that cost more than the draws."""
+    calls = []
+    sys.setprofile(lambda frame, event, arg: calls.append(event) if event in ("call", "c_call") else None)
+    try:
+        pitman_yor.seat_many(np.random.default_rng(8), 2_000, 0.7, 3.0)
+    finally:
+        sys.setprofile(None)
+    assert len(calls) < 40 * pitman_yor.STEPS
+
+
 def test_both_ways_agree_where_they_meet():
     rng, n = np.random.default_rng(7), 400
     for c in (pitman_yor.STIRLING, pitman_yor.STIRLING + 1):
