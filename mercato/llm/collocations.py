@@ -28,6 +28,7 @@ count each time. Ids and other columns are ignored; an empty table gives no rows
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,14 +37,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.common import mix, raw, small, stored
+from mercato.llm.common import give_back, mix, raw, small, stored
 from mercato.operators.ranking import numbered
 
 PERIOD = 16  # words a chunk has on average before it closes
 WORDS = 3  # of the longest phrase
 OVERLAP = WORDS - 1
 BLOCK_TOKENS = 1 << 20  # whose phrases are combined at once; below 2**21, so that three word numbers fit 63 bits
-TEXT_BYTES = 4 << 20
+BATCH_PHRASES = 1 << 17  # that are written out as text at once
+TEXT_BYTES = 1 << 20
 BUCKET_BYTES = 4 << 20  # of text for a bucket
 LEAST_BUCKETS = 64
 SEPARATORS = b".,;:!?\n\x0b\x0c\r"  # fixed values
@@ -96,14 +98,18 @@ def dictionary(docs: DataFrame, lang: str | Column = "lang", text: str | Column
                 of, chunks = chunks_of(texts[first:stop])
                 yield pa.RecordBatch.from_arrays([langs.take(pa.array(of + first)), chunks], ["lang", "chunk"])
                 first = stop
+        give_back()
 
     lang, text = (F.col(c) if isinstance(c, str) else c for c in (lang, text))
     rows = docs.select(F.coalesce(lang, F.lit("und")).alias("lang"), text.alias("text")).where("text <> ''")
     return rows.mapInArrow(run, "lang string, chunk string").groupBy("lang", "chunk").agg(F.count("*").alias("n"))
 
 
-def phrases_in(lang: str, chunks: pa.Array, times: np.ndarray, buckets: int) -> pa.RecordBatch:
-    """Each phrase of a block of distinct chunks once with its occurrences: a row (lang, bucket, phrases, times) a bucket."""
+def phrases_in(lang: str, chunks: pa.Array, times: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Each phrase of a block of distinct chunks once with its occurrences: a row (lang, bucket, phrases, times) a bucket.
+
+    The phrases are numbers until their batch of about ``BATCH_PHRASES`` is made.
+    """
     begin, ids, words = word_numbers(chunks)
     if len(words) >= 1 << 21:
         raise ValueError("too many words in a block")
@@ -111,41 +117,60 @@ def phrases_in(lang: str, chunks: pa.Array, times: np.ndarray, buckets: int) ->
     place = np.empty(len(words), np.int64)
     place[by_word] = np.arange(len(words))
     ids, words = place[ids], words.take(pa.array(by_word))
+    del place, by_word
     word = ids != pc.index(words, ".").as_py()
     weight = np.repeat(times, np.diff(begin))
     starts = word.copy()
     for back in range(1, OVERLAP + 1):  # what starts in the closing words belongs to the next chunk
         starts[begin[1:] - back] = False
     h = hashes_of(words)
-    found_bucket, found_times, found = [], [], []
+    found = []  # by size of the phrases: buckets in order, the phrases as numbers, and their occurrences
     for size in range(1, WORDS + 1):
         if size > 1:
             starts = starts[:-1] & word[size - 1 :]
         at = np.flatnonzero(starts)
         key = np.zeros(len(at), np.int64)
         for k in range(size):
-            key = key << 21 | ids[at + k]
+            key <<= 21
+            key |= ids[at + k]
         order = np.argsort(key)
         key, n = key[order], weight[at[order]]
+        del at, order
         first = np.flatnonzero(np.diff(key, prepend=-1))
         key, n = key[first], np.add.reduceat(n, first) if len(first) else n
-        parts = [key >> 21 * (size - 1 - k) & ((1 << 21) - 1) for k in range(size)]
-        mixed = np.full(len(key), xxhash.xxh3_64_intdigest(lang), np.uint64)
-        for k, p in enumerate(parts):
-            mixed = mix(mixed + h[p] * WEIGHTS[k])
-        found_bucket.append((mixed % np.uint64(buckets)).astype(np.int64))
-        found_times.append(n)
-        found.append(pc.binary_join_element_wise(*(words.take(pa.array(p)) for p in parts), " "))
-    bucket = np.concatenate(found_bucket)
-    order = np.argsort(bucket, kind="stable")
-    bucket, n = bucket[order], np.concatenate(found_times)[order]
-    first = np.flatnonzero(np.diff(bucket, prepend=-1))
-    cut = [*first.tolist(), len(bucket)]
-    lists = pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.concat_arrays(found).take(pa.array(order)))
-    return pa.RecordBatch.from_arrays(
-        [pa.array([lang] * len(first), pa.string()), pa.array(bucket[first]), pc.binary_join(lists, "\n"),
-         pa.array([n[x:y].astype("<i8").tobytes() for x, y in zip(cut, cut[1:])], pa.binary())],
-        ["lang", "bucket", "phrases", "times"])
+        del first
+        bucket = np.full(len(key), xxhash.xxh3_64_intdigest(lang), np.uint64)
+        for k in range(size):
+            bucket = mix(bucket + h[_word_of(key, size, k)] * WEIGHTS[k])
+        bucket = (bucket % np.uint64(buckets)).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        found.append((bucket[order], key[order], n[order]))
+        del bucket, key, n, order
+    del ids, word, weight, starts, h
+    some = np.unique(np.concatenate([np.unique(b) for b, _, _ in found]))
+    until = [np.r_[0, np.searchsorted(b, some, "right")] for b, _, _ in found]
+    cut = sum(until)
+    x = 0
+    while x < len(some):  # some buckets, or a large one, at a time
+        y = max(x + 1, int(np.searchsorted(cut, cut[x] + BATCH_PHRASES, "right")) - 1)
+        parts = [tuple(column[u[x] : u[y]] for column in of_size) for u, of_size in zip(until, found)]
+        order = np.argsort(np.concatenate([b for b, _, _ in parts]), kind="stable")
+        texts = pa.concat_arrays([
+            pc.binary_join_element_wise(*(words.take(pa.array(_word_of(key, size, k))) for k in range(size)), " ")
+            for size, (_, key, _) in enumerate(parts, 1)])
+        n = np.concatenate([n for _, _, n in parts])[order].astype("<i8")
+        ends = cut[x : y + 1] - cut[x]
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), texts.take(pa.array(order)))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([lang] * (y - x), pa.string()), pa.array(some[x:y], pa.int64()), pc.binary_join(lists, "\n"),
+             pa.array([n[i:j].tobytes() for i, j in zip(ends, ends[1:])], pa.binary())],
+            ["lang", "bucket", "phrases", "times"])
+        x = y
+
+
+def _word_of(key: np.ndarray, size: int, k: int) -> np.ndarray:
+    """The number of word ``k`` of phrases of ``size`` words."""
+    return key >> 21 * (size - 1 - k) & ((1 << 21) - 1)
 
 
 def phrase_counts(chunks: DataFrame, buckets: int, min_count: int) -> DataFrame:
@@ -161,7 +186,8 @@ def phrase_counts(chunks: DataFrame, buckets: int, min_count: int) -> DataFrame:
         def rows(lang):
             del size[lang]
             texts, times = zip(*held.pop(lang))
-            return phrases_in(lang, pa.concat_arrays(texts), np.concatenate(times), buckets)
+            yield from phrases_in(lang, pa.concat_arrays(texts), np.concatenate(times), buckets)
+            give_back()
 
         for batch in batches:
             if not batch.num_rows:
@@ -172,13 +198,13 @@ def phrase_counts(chunks: DataFrame, buckets: int, min_count: int) -> DataFrame:
                 lang, texts = batch.column(0)[a].as_py(), batch.column(1).slice(a, b - a)
                 many = pc.sum(pc.count_substring(texts, " ")).as_py() + b - a
                 if size[lang] + many > BLOCK_TOKENS and held[lang]:
-                    yield rows(lang)
+                    yield from rows(lang)
                 held[lang].append((texts, batch.column(2).slice(a, b - a).to_numpy()))
                 size[lang] += many
             while sum(size.values()) > 2 * BLOCK_TOKENS:
-                yield rows(max(size, key=size.get))
+                yield from rows(max(size, key=size.get))
         for lang in list(held):
-            yield rows(lang)
+            yield from rows(lang)
 
     def added(table):
         table = table.combine_chunks()
@@ -191,6 +217,7 @@ def phrase_counts(chunks: DataFrame, buckets: int, min_count: int) -> DataFrame:
         words = single.group_by("lang").aggregate([("n", "sum")])
         none = pa.nulls(words.num_rows, pa.string())
         words = pa.table({"lang": words.column("lang"), "phrase": none, "n": words.column("n_sum")})
+        give_back()
         return pa.concat_tables([sums.filter(pc.greater_equal(sums.column("n"), min_count)), words])
 
     rows = chunks.select("lang", "chunk", "n").mapInArrow(packed, "lang string, bucket long, phrases string, times binary")

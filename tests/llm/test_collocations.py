@@ -4,6 +4,8 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from mercato.llm import collocations
@@ -102,3 +104,20 @@ def test_empty_tables(spark):
     docs = spark.createDataFrame([(k, "en", "a b c. " * 4) for k in range(3)], "id long, tongue string, body string")
     got = collocations.collocations(docs.withColumn("text", F.lit(1)), lang="tongue", text="body").collect()
     assert [r["phrase"] for r in got] == ["a b c"]
+
+
+def test_phrases_of_a_block_leave_in_batches_of_bounded_size(monkeypatch):
+    monkeypatch.setattr(collocations, "BATCH_PHRASES", 60, raising=False)
+    _, chunks = chunks_of([t.encode() for _, t in sample() if t][:40])
+    got, sizes = Counter(), []
+    for rows in list(collocations.phrases_in("en", chunks, np.ones(len(chunks), np.int64), 50)):
+        found = [p.split("\n") for p in rows.column("phrases").to_pylist()]
+        times = [np.frombuffer(t, "<i8").tolist() for t in rows.column("times").to_pylist()]
+        assert list(map(len, found)) == list(map(len, times)) and set(rows.column("lang").to_pylist()) == {"en"}
+        sizes.append((sum(map(len, found)), len(found), rows.column("bucket").to_pylist()))
+        got.update({p: n for ps, ns in zip(found, times) for p, n in zip(ps, ns)})
+    assert len(sizes) > 3 and all(n <= 60 or buckets == 1 for n, buckets, _ in sizes)
+    buckets = [b for _, _, of in sizes for b in of]
+    assert len(buckets) == len(set(buckets))  # a row for each bucket and block
+    assert got == Counter(" ".join(p) for _, t in [r for r in sample() if r[1]][:40] for p in phrases(t))
+    assert not list(collocations.phrases_in("en", pa.array([". ."]), np.ones(1, np.int64), 50))
