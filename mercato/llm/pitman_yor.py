@@ -50,7 +50,6 @@ from __future__ import annotations
 
 import math
 import uuid
-import zlib
 from functools import lru_cache
 
 import numpy as np
@@ -67,7 +66,7 @@ THETA, THETA_ROOT = 5.0, 5.0
 STIRLING = 512  # customers of a (restaurant, word) up to which the table count is drawn from its weights
 STEPS = 30  # Metropolis steps beyond, times the part of the tables that a step draws anew
 MAX_PARTS = 8_192  # files that the buckets' pairs are written to
-END = xxhash.xxh3_64_intdigest(b" end")  # no word holds a space
+END_WORD = b" end"  # no word holds a space
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 START = xxhash.xxh3_64_intdigest(b" start")
 
@@ -78,11 +77,12 @@ STATE, ASKED, TO_GROUP, SUMS, TOTALS, EXCESS, SEATED, ANSWER = range(8)
 
 
 def pack(x: np.ndarray, kind: str = "<u8") -> bytes:
-    return zlib.compress(x.astype(kind).tobytes(), 1)
+    flat = x.astype(kind).tobytes()
+    return len(flat).to_bytes(8, "little") + pa.compress(flat, "zstd", asbytes=True)
 
 
 def unpack(x: bytes, kind: str = "<u8") -> np.ndarray:
-    return np.frombuffer(zlib.decompress(x), kind)
+    return np.frombuffer(pa.decompress(memoryview(x)[8:], int.from_bytes(x[:8], "little"), "zstd"), kind)
 
 
 def split_doubles(x: np.ndarray) -> tuple[bytes, bytes]:
@@ -102,17 +102,38 @@ def _table(rows: list[tuple]) -> pa.Table:
     return pa.table({n: pa.array(list(c), k) for n, c, k in zip(TABLE, columns, kinds)})
 
 
+def distinct(x: np.ndarray, bits: int = 64) -> tuple[np.ndarray, np.ndarray]:
+    """``np.unique`` with the inverse, of whole numbers below ``2 ** bits``: by one plain sort of their upper bits and places."""
+    room = len(x).bit_length()
+    x = x.astype(np.uint64) << np.uint64(64 - bits)
+    at = np.sort(x >> np.uint64(room) << np.uint64(room) | np.arange(len(x), dtype=np.uint64))
+    at &= np.uint64((1 << room) - 1)
+    found = x[at]
+    new = np.ones(len(x), bool)
+    new[1:] = found[1:] != found[:-1]
+    values = found[new]
+    if (values[1:] <= values[:-1]).any():  # values of the same upper bits
+        values, where = np.unique(x, return_inverse=True)
+    else:
+        where = np.empty(len(x), np.int64)
+        where[at] = np.cumsum(new) - 1
+    return values >> np.uint64(64 - bits), where
+
+
 def token_pairs(texts: list[bytes]):
     """Word and context of the distinct pairs in ascending order, the pair of each token, and tokens per text."""
-    hashes = []
+    hashes = [np.array([START], np.uint64)]
     for t in texts:
         words = words_of(t)
-        hashes.append(np.r_[word_hashes(words, len(words)), np.uint64(END)])
-    sizes = np.fromiter(map(len, hashes), np.int64, len(hashes))
-    names, at = np.unique(np.concatenate([np.array([START], np.uint64), *hashes]), return_inverse=True)
+        words.append(END_WORD)
+        hashes.append(word_hashes(words, len(words)))
+    sizes = np.fromiter(map(len, hashes[1:]), np.int64, len(texts))
+    hashes = np.concatenate(hashes)
+    names, at = distinct(hashes)
+    del hashes
     before = at[:-1].copy()
     before[np.cumsum(sizes) - sizes] = at[0]
-    pairs, where = np.unique(at[1:] * len(names) + before, return_inverse=True)
+    pairs, where = distinct(at[1:] * len(names) + before, 2 * len(names).bit_length())
     return names[pairs // len(names)], names[pairs % len(names)], where, sizes
 
 
@@ -163,11 +184,13 @@ def log_stirling(d: float) -> np.ndarray:
 
 def _sibuya(rng, d: float, z: float, n: int) -> np.ndarray:
     """n table sizes k with weight ``(1-d)(2-d)...(k-1-d) / k! * z^k``: a mixture of geometric sizes, thinned by z^k."""
-    out = np.zeros(0)
+    out, log_z = np.zeros(0), math.log(z)
     while len(out) < n:
         p = np.maximum(rng.beta(d, 1 - d, max(16, 2 * (n - len(out)))), 1e-300)
-        k = np.maximum(1.0, np.ceil(np.log(1.0 - rng.random(len(p))) / np.log1p(-p)))
-        k = k[rng.random(len(k)) < np.exp(k * math.log(z))]
+        k = np.log(1.0 - rng.random(len(p)))
+        k /= np.log1p(np.negative(p, p), p)
+        np.maximum(1.0, np.ceil(k, k), k)
+        k = k[rng.random(len(k)) < np.exp(k * log_z)]
         out = np.concatenate([out, k]) if len(out) else k
     return out[:n]
 
@@ -201,9 +224,12 @@ def seat_many(rng, c: int, d: float, weight: float) -> int:
     sizes, now = np.zeros(0), factor(c)
     with np.errstate(divide="ignore"):  # of _sibuya; here and np.concatenate, as this loop is most of a sweep
         for _ in range(math.ceil(STEPS / part)):
-            stay = sizes[rng.random(len(sizes)) >= part]
-            new = np.concatenate([stay, _sibuya(rng, d, z, rng.poisson(fresh))])
-            m = c - float(new.sum())
+            new = sizes[rng.random(len(sizes)) >= part] if len(sizes) else sizes
+            more = rng.poisson(fresh)
+            if more:
+                more = _sibuya(rng, d, z, more)
+                new = np.concatenate([new, more]) if len(new) else more
+            m = c - float(np.add.reduce(new))
             if m >= 1:
                 then = factor(m)
                 if then >= now or rng.random() < math.exp(then - now):
@@ -221,8 +247,10 @@ def seat(rng, counts: np.ndarray, d: float, weight: np.ndarray) -> np.ndarray:
         mine = order[np.searchsorted(some, c) : np.searchsorted(some, c, "right")]
         tables = np.arange(1, c + 1)
         for block in np.array_split(mine, -(-len(mine) * int(c) // (1 << 20))):
-            p = log_s[c, 1 : c + 1] + log_w[block, None] * tables
-            p = np.cumsum(np.exp(p - p.max(1, keepdims=True)), axis=1)
+            p = log_w[block, None] * tables
+            p += log_s[c, 1 : c + 1]
+            p -= np.maximum.reduce(p, 1, keepdims=True)
+            p = np.add.accumulate(np.exp(p, p), 1)
             t[block] = 1 + (p[:, :-1] <= rng.random(len(block))[:, None] * p[:, -1:]).sum(1)
     for i in order[np.searchsorted(some, STIRLING, "right") :]:
         t[i] = seat_many(rng, int(counts[i]), d, float(weight[i]))
@@ -319,14 +347,16 @@ def _gather(groups: int):
         asked = list(map(len, contexts))
         # arrays of all that was asked, in 8 bytes each: as few as possible at a time
         contexts = np.concatenate(contexts)
-        names, pair = np.unique(contexts, return_inverse=True)
+        names, pair = distinct(contexts)
         del contexts
         word = np.repeat(np.unique(np.concatenate(words), return_inverse=True)[1], np.concatenate(sizes))
+        n_words = int(word.max()) + 1
         word *= len(names)
         pair += word
         del words, sizes, word
-        pairs, where = np.unique(pair, return_inverse=True)
+        pairs, where = distinct(pair, (n_words * len(names)).bit_length())
         del pair
+        pairs = pairs.astype(np.int64)
         c = np.bincount(where, np.concatenate(counts), len(pairs)).astype(np.int64)
         word, ctx = pairs // len(names), pairs % len(names)
         out = [(STATE, bucket, -1, names.tobytes(), pack(np.diff(word, prepend=0), "<u1"), pack(ctx, "<u4"), None),

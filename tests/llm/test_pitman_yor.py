@@ -137,3 +137,32 @@ def test_doubles_come_back_whole():
     x = np.r_[np.log10(np.random.default_rng(8).random(1000)), 0.0, -300.25, np.nextafter(-1, 0)]
     assert (pitman_yor.join_doubles(*pitman_yor.split_doubles(x)) == x).all()
     assert len(pitman_yor.join_doubles(*pitman_yor.split_doubles(np.zeros(0)))) == 0
+
+
+def test_distinct_numbers_are_those_of_unique():
+    rng = np.random.default_rng(9)
+    close = np.array([5 << 40, (5 << 40) + 1, 5 << 40, 7, (5 << 40) + 1], np.uint64)  # apart in the lowest bits alone
+    for x, bits in ((rng.integers(0, 2**63, 1000, np.uint64).repeat(2), 64), (rng.integers(0, 2**40, 500).repeat(3), 40), (close, 64),
+                    (np.zeros(0, np.int64), 20), (np.array([0, 0, 3]), 2), (np.array([2**64 - 1, 0, 2**64 - 1], np.uint64), 64)):
+        values, where = pitman_yor.distinct(x, bits)
+        expected, inverse = np.unique(x, return_inverse=True)
+        assert (values == expected).all() and (where == inverse).all()
+
+
+def test_pairs_of_tokens_are_found_by_plain_sorts(monkeypatch):
+    """A shard's pairs are found twice; sorting places by value (np.unique with the inverse) took half of that."""
+    rnd = random.Random(10)
+    texts = [" ".join(rnd.choice(["a", "B", "b", f"w{rnd.randrange(50)}"]) for _ in range(rnd.randrange(30))).encode() for _ in range(40)] + [b""]
+    tokens = [[b"", *t.lower().split(), b" end"] for t in texts]  # an empty word stands for the start
+    pairs = [(w, before) for ws in tokens for before, w in zip(ws, ws[1:])]
+    monkeypatch.setattr(pitman_yor.np, "unique", None)
+    word, context, where, sizes = pitman_yor.token_pairs(texts)
+    assert sizes.tolist() == [len(ws) - 1 for ws in tokens]
+    assert len(set(pairs)) == len(word) == len(set(zip(word.tolist(), context.tolist())))
+    assert len(set(zip(pairs, where.tolist()))) == len(word)
+    assert (np.diff(word.astype(object)) >= 0).all()
+
+
+def test_packed_numbers_come_back():
+    for x, kind in ((np.arange(1000.0), "<u8"), (np.zeros(0), "<u4"), (np.array([2**32 - 1]), "<u4"), (np.array([1, 255]), "<u1")):
+        assert (pitman_yor.unpack(pitman_yor.pack(x, kind), kind) == x).all()
