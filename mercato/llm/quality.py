@@ -248,12 +248,13 @@ def kneser_ney(counts: DataFrame, wanted: DataFrame) -> DataFrame:
     Below the single characters stands an even share of each: of 64 symbols, or of the start, the language's
     characters and an unknown one where these are more. Characters that were not learnt are the unknown one.
     """
-    levels = {ORDER: counts}
+    # each order is read several times: written once, its counts are no part of the plan of the joins
+    levels = {ORDER: stored(counts, "ngram-counts")}
     for k in range(ORDER - 1, 0, -1):
         # how many different symbols stand before the shorter n-gram
         code, rare = _last(k + 1, k)
         low = levels[k + 1].select("lang", code.alias("code"), rare.alias("rare"))
-        levels[k] = low.groupBy("lang", "code", "rare").agg(F.count("*").alias("n"))
+        levels[k] = stored(low.groupBy("lang", "code", "rare").agg(F.count("*").alias("n")), "ngram-counts")
 
     sizes = levels[1].groupBy("lang").agg((1.0 / F.greatest(F.lit(64), F.count("*") + 2)).alias("p"))
     kept = [c for c in wanted.columns if c not in ("lang", "code", "rare")]

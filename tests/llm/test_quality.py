@@ -123,3 +123,15 @@ def test_rarer_characters_stay_apart(spark):
     left = quality.without_low_quality(docs.withColumn("key", F.lit(1)), model)
     assert left.columns == ["doc_id", "text", "lang", "key"]
     assert sorted(r["doc_id"] for r in left.collect()) == sorted(r["doc_id"] for r in quality.quality(docs, model).where("kept").collect())
+
+
+def test_the_joins_do_not_count_again(spark):
+    """Every order's counts are read in three places: what counts them is no part of the plan, which the driver plans again after each shuffle."""
+    rnd = random.Random(5)
+    rows = [("en", "".join(rnd.choices("abcd é", k=30))) for _ in range(20)]
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    letters = spark.sparkContext.broadcast(quality.alphabets(docs))
+    p = quality.kneser_ney(quality.ngram_counts(docs, letters), quality.distinct_ngrams(docs, letters))
+    plan = p._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1  # of the n-grams wanted
+    assert plan.count("Exchange") <= 40
