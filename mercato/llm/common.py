@@ -39,8 +39,18 @@ def stored(df: DataFrame, name: str, *by: str) -> DataFrame:
     return stored_at(df, scratch_path(df.sparkSession, name), *by)
 
 
+#: Shuffle files go when the job that wrote them ends, not when the driver happens to collect its garbage.
+SHUFFLES_END = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored_at(df: DataFrame, path: str, *by: str) -> DataFrame:
-    df.write.partitionBy(*by).parquet(path)
+    conf = df.sparkSession.conf
+    was = conf.get(SHUFFLES_END, None)
+    conf.set(SHUFFLES_END, "true")  # for this write alone: nothing else reads its shuffles
+    try:
+        df.write.partitionBy(*by).parquet(path)
+    finally:
+        conf.unset(SHUFFLES_END) if was is None else conf.set(SHUFFLES_END, was)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -119,7 +129,7 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     Alternating large-star and small-star rounds (each node sends its
     neighbours to the smallest node seen), so the number of rounds grows with
     the logarithm of the longest path; links and labels stay distributed and
-    every round is written to the shared folder. A round needs only the minimum
+    every star is written to the shared folder, which keeps the plans small. A round needs only the minimum
     per node, aggregated before its shuffle; the edges then join that aggregate by
     node, where a hub's edges meet in one task unless the minima are small enough to be broadcast.
     """
@@ -132,7 +142,7 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         big = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        big = big.where("a <> b").distinct()
+        big = stored(big.where("a <> b"), "links")  # a row per edge at most
         # small star: the node and its smaller neighbours go to the smallest of them
         least = big.groupBy("a").agg(F.min("b").alias("m"))
         near = big.join(least, "a")

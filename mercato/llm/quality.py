@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mercato.llm.common import give_back, hand_out, small, stored, strings
+from mercato.llm.common import drop_path, give_back, hand_out, scratch_path, small, stored, stored_at, strings
 
 ORDER = 4
 TAIL, SLACK, SPREAD = 0.995, 1.1, 80.0
@@ -242,11 +242,26 @@ def _head(code: Column, rare: Column) -> tuple[Column, Column]:
     return F.shiftright(code, 6), F.when(code.bitwiseAND(63) == OTHER, shorter).otherwise(rare)
 
 
-def kneser_ney(counts: DataFrame, wanted: DataFrame) -> DataFrame:
+def in_turn(spark, name: str):
+    """A writer of tables of which each replaces the one before: written from it, it is all that is read."""
+    paths: list[str] = []
+
+    def write(df: DataFrame) -> DataFrame:
+        paths.append(scratch_path(spark, name))
+        out = stored_at(df, paths[-1])
+        for path in paths[-2:-1]:
+            drop_path(spark, path)
+        return out
+
+    return write
+
+
+def kneser_ney(counts: DataFrame, wanted: DataFrame, write=lambda df: df) -> DataFrame:
     """lang, code, rare, p and the further columns of every wanted n-gram in a language that has counts.
 
     Below the single characters stands an even share of each: of 64 symbols, or of the start, the language's
     characters and an unknown one where these are more. Characters that were not learnt are the unknown one.
+    ``write`` takes each order's probabilities before the next one's joins: with :func:`in_turn`, a plan holds the joins of one order.
     """
     # each order is read several times: written once, its counts are no part of the plan of the joins
     levels = {ORDER: stored(counts, "ngram-counts")}
@@ -282,8 +297,8 @@ def kneser_ney(counts: DataFrame, wanted: DataFrame) -> DataFrame:
         of = of.withColumnsRenamed({"code": "own", "rare": "own_rare"})
         q = q.alias("q").join(of.alias("c"), _same("q", "c", "lang", "own", "own_rare"), "left").select(
             *of_q, "q.p", "q.all", "q.freed", "c.n", "c.cut")
-        out = q.select("lang", "code", "rare", *kept, F.when(F.col("all").isNull(), F.col("p")).otherwise(
-            (F.coalesce(F.col("n") - F.col("cut"), F.lit(0.0)) + F.col("freed") * F.col("p")) / F.col("all")).alias("p"))
+        out = write(q.select("lang", "code", "rare", *kept, F.when(F.col("all").isNull(), F.col("p")).otherwise(
+            (F.coalesce(F.col("n") - F.col("cut"), F.lit(0.0)) + F.col("freed") * F.col("p")) / F.col("all")).alias("p")))
     return out
 
 
@@ -366,7 +381,7 @@ class QualityModel:
         learnt = trusted.where(~apart)
         letters = alphabets(learnt)
         self.letters = hand_out(spark, letters)
-        table = stored(kneser_ney(ngram_counts(learnt, self.letters), distinct_ngrams(docs, self.letters)), "ngram-p")
+        table = kneser_ney(ngram_counts(learnt, self.letters), distinct_ngrams(docs, self.letters), in_turn(spark, "ngram-p"))
         own = F.count(F.when(F.col("rare") == "", 1))
         sizes = [(r["lang"], r["n"]) for r in table.groupBy("lang").agg(own.alias("n")).orderBy("lang").collect()]
         rare = table.where("rare <> ''").select(

@@ -83,6 +83,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
+        # whole filters in plan texts, whatever the length of the columns' numbers in them
+        .config("spark.sql.maxMetadataStringLength", "2000")
         # a checkpoint's files go when nothing refers to it any more
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("MERCATO_DRIVER_MEMORY", "8g"))

@@ -1,7 +1,9 @@
 """Every trusted document counts, whatever other languages have; every script has letters."""
 
+import glob
 import math
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -135,3 +137,25 @@ def test_the_joins_do_not_count_again(spark):
     plan = p._jdf.queryExecution().executedPlan().toString()
     assert plan.count("MapInArrow") == 1  # of the n-grams wanted
     assert plan.count("Exchange") <= 40
+
+
+def test_each_order_is_joined_in_a_plan_of_its_own(spark):
+    """The same probabilities, with one order's joins in a plan and one table of them left."""
+    rnd = random.Random(6)
+    rows = [(rnd.choice(["en", None]), "".join(rnd.choices("abcd é", k=30))) for _ in range(20)]
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    letters = spark.sparkContext.broadcast(quality.alphabets(docs))
+    counts, wanted = quality.ngram_counts(docs, letters), quality.distinct_ngrams(docs, letters)
+    plans, write = [], quality.in_turn(spark, "in-turn")
+
+    def kept(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df)
+
+    probabilities = lambda df: {(r["lang"], r["code"], r["rare"], r["held"]): r["p"] for r in df.collect()}
+    whole, turns = quality.kneser_ney(counts, wanted), quality.kneser_ney(counts, wanted, kept)
+    got = probabilities(turns)
+    assert len(got) > 100 and got == pytest.approx(probabilities(whole), rel=1e-12)
+    joins = lambda plan: len(re.findall(r"(?:SortMerge|BroadcastHash|ShuffledHash)Join", plan))
+    assert len(plans) == quality.ORDER and max(map(joins, plans)) <= 5 < joins(whole._jdf.queryExecution().executedPlan().toString())
+    assert len(glob.glob(spark.sparkContext.getCheckpointDir().removeprefix("file:") + "/in-turn-*")) == 1
