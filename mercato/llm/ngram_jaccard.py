@@ -38,7 +38,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.common import components, give_back, hand_out, mix, raw, stored, word_hashes, words_of
+from mercato.llm.common import (
+    components, drop_path, give_back, hand_out, mix, raw, scratch_path, stored, stored_at, word_hashes, words_of,
+)
 
 WORDS = 5
 #: Shingles whose count is known; 12 bytes each.
@@ -182,7 +184,8 @@ def build_sketch(texts: DataFrame, max_hot: int = MAX_HOT, max_bits: int = MAX_B
     least = max(8, -(-shingles // max_hot))  # at most shingles / least of them occur so often
     sent = texts.mapInArrow(_send(buckets), "bucket int, ones binary, many binary, counts binary")
     rows = sent.groupBy("bucket").applyInArrow(_gather(bits, least), "bucket int, bits binary, hot binary, hot_n binary")
-    return Sketch(buckets, bits, rows.toLocalIterator())
+    # written first: the shuffled counts go before the next step
+    return Sketch(buckets, bits, stored(rows, "shingle-sketch").toLocalIterator())
 
 
 # -- sets and prefixes --------------------------------------------------------
@@ -271,7 +274,7 @@ def _joined(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     star = (posts.join(pivot.select("tok", "p"), "tok")
             .select(F.col("node").alias("a"), F.col("p.node").alias("b"), "n", "rest", F.col("p.n").alias("m"), F.col("p.rest").alias("rest2"))
             .where(f"a <> b AND {FITS}").select("a", "b").distinct())
-    links = stored(_linked(star, nodes), "shingle-links")
+    links = stored(_linked(stored(star, "shingle-pairs"), nodes), "shingle-links")
     parts = components(links)
 
     # what shares a prefix shingle across components
@@ -298,26 +301,30 @@ def _joined(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     near = across.join(side("p1", "a", "n", "rest"), ["post", "p1"]).where(may).select("post", "p2", "a", "n", "rest")
     pairs = (near.join(side("p2", "b", "m", "rest2"), ["post", "p2"])
              .where(FITS).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    more = stored(_linked(pairs, nodes), "shingle-links")
+    more = stored(_linked(stored(pairs, "shingle-pairs"), nodes), "shingle-links")
     if more.isEmpty():
         return links, parts
-    links = links.unionByName(more)
-    return links, components(links)
+    known = parts.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+    return links.unionByName(more), components(known.unionByName(more))  # the components found so far are stars already
 
 
 def jaccard_components(docs: DataFrame, id_col="doc_id", text_col="text", max_hot: int = MAX_HOT,
                        max_bits: int = MAX_BITS) -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sketch = hand_out(docs.sparkSession, build_sketch(rows.select("text"), max_hot, max_bits))
-    sets = stored(rows.mapInArrow(
-        _sets(sketch), "doc_id long, n long, sig long, sig2 long, first array<long>, data binary"), "shingle-sets")
+    spark = docs.sparkSession
+    sketch = hand_out(spark, build_sketch(rows.select("text"), max_hot, max_bits))
+    path = scratch_path(spark, "shingle-sets")
+    sets = stored_at(rows.mapInArrow(
+        _sets(sketch), "doc_id long, n long, sig long, sig2 long, first array<long>, data binary"), path)
 
     # equal sets are one node
     nodes = stored(
         sets.where("data IS NOT NULL").groupBy(F.col("sig").alias("node"), "sig2")
         .agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("first").alias("first"), F.first("data").alias("data"))
         .drop("sig2"), "shingle-nodes")
+    sets = stored(sets.select("doc_id", "n", "sig"), "shingle-sizes")
+    drop_path(spark, path)  # from here on the nodes alone hold shingles
     links, parts = _joined(nodes)
 
     # the smallest id of each component's documents

@@ -1,15 +1,17 @@
 """Joins and searches against brute force: shingle join, embeddings, decontamination, components."""
 
+import glob
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from mercato.llm import decontam, embedding_dedup, ngram_jaccard
-from mercato.llm.common import components
+from mercato.llm.common import SHUFFLES_END, components
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -198,3 +200,21 @@ def test_decontamination_empty_tables(spark):
     some = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     assert decontam.contamination(none, bench).collect() == []
     assert [tuple(r)[:4] for r in decontam.contamination(some, bench).collect()] == [(1, 2, 0, 0)]
+
+
+def test_shuffled_shingles_do_not_stay(spark):
+    """Each step's shuffle files go when it is written, and so does the table that holds the sets of all documents."""
+    files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+    shuffles = lambda: {n for n in files.getAllFiles().mkString(" ").split() if "/shuffle_" in n}
+    tables = lambda: {n for n in glob.glob(spark.sparkContext.getCheckpointDir().removeprefix("file:") + "/shingle-*")}
+    docs = spark.createDataFrame(corpus(7), "doc_id long, text string")
+    was, stood, setting = shuffles(), tables(), spark.conf.get(SHUFFLES_END, None)
+    out = ngram_jaccard.stored_components(docs)
+    assert spark.conf.get(SHUFFLES_END, None) == setting
+    for _ in range(50):  # the files go in the background; two small counts are read outside of a write
+        left = {re.search(r"shuffle_\d+", n)[0] for n in shuffles() - was}
+        if len(left) < 8:
+            break
+        time.sleep(0.2)
+    assert len(left) < 8
+    assert not [n for n in tables() - stood if "shingle-sets" in n] and out.count() == 160
